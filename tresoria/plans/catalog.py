@@ -7,6 +7,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tresoria import fixtures
 from tresoria.operators import controls, ledger, periods
@@ -99,3 +100,216 @@ for _kind, _kn in (("recettes", "receipts"), ("depenses", "spending")):
         for _f, _n in FREQ_NAME.items():
             _name = f"{_kn}_{_n}" + ("_budget" if _grain == "budget" else "")
             register(_name, O.flows_sql(_kind, _grain, _f))(_flow_query(_kind, _grain, _f))
+
+
+@register("balance_month_last", O.ledger_ctes(
+    bal=f"SELECT * FROM sage WHERE code_flux_libelle = {O.q('Solde Final')} AND annee_mois IS NOT NULL AND banque_compte IS NOT NULL",
+    daily=f"SELECT annee_mois, banque_compte, date_montant, {O.msum('montant')} AS montant FROM bal GROUP BY 1, 2, 3")
+    + """SELECT annee_mois, banque_compte, max_by(montant, date_montant) AS montant FROM daily GROUP BY 1, 2""")
+def q_balance_month_last(spark, sf):
+    return periods.balance(sage(spark, sf), "flux", "M", how="last")
+
+
+@register("flow_labels", O.ledger_ctes() + f"""
+SELECT 'recettes' AS kind, code_flux_libelle FROM ({O.flow_labels_sql('recettes', 'flux')})
+UNION ALL SELECT 'depenses', code_flux_libelle FROM ({O.flow_labels_sql('depenses', 'flux')})""")
+def q_flow_labels(spark, sf):
+    return periods.flow_label_table(sage(spark, sf), "flux")
+
+
+@register("flow_extremes", O.flow_extremes_sql("flux") + "SELECT * FROM ext")
+def q_flow_extremes(spark, sf):
+    s = sage(spark, sf)
+    return periods.flow_extremes(s, periods.flow_label_table(s, "flux"), "flux")
+
+
+@register("flow_extremes_budget", O.flow_extremes_sql("budget") + "SELECT * FROM ext")
+def q_flow_extremes_budget(spark, sf):
+    s = sage(spark, sf)
+    codes = raw_ledger(spark, sf).select("CODE_BUDGETAIRE").toDF("code_budgetaire")
+    return periods.flow_extremes(s, periods.flow_label_table(s, "budget", codes), "budget")
+
+
+@register("axis_range", O.flow_extremes_sql("flux") + """
+SELECT frequence, CAST(1.10 AS DOUBLE) * max(max_total) AS borne_haute, min(min_total) AS borne_basse
+FROM ext GROUP BY frequence""")
+def q_axis_range(spark, sf):
+    return periods.axis_range(q_flow_extremes(spark, sf))
+
+
+@register("kpi_week", O.kpi_sql(7) + "SELECT * FROM kp")
+def q_kpi_week(spark, sf):
+    return controls.kpi(sage(spark, sf), 7)
+
+
+@register("kpi_month", O.kpi_sql(30) + "SELECT * FROM kp")
+def q_kpi_month(spark, sf):
+    return controls.kpi(sage(spark, sf), 30)
+
+
+@register("kpi_text", O.kpi_sql(7) + O.KPI_TEXT_SELECT)
+def q_kpi_text(spark, sf):
+    return controls.kpi_text(controls.kpi(sage(spark, sf), 7))
+
+
+RANGE = ("2023-12-01", "2024-01-31")
+ACCOUNTS = [" 107CDNB", "Total"]
+
+
+@register("date_account_filter", O.ledger_ctes() + f"""
+SELECT * FROM sage WHERE date_montant BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}'
+AND banque_compte IN {O.in_list(ACCOUNTS)}""")
+def q_date_account_filter(spark, sf):
+    return ledger.filter_range_accounts(sage(spark, sf), RANGE[0], RANGE[1], ACCOUNTS)
+
+
+@register("balance_week_filtered", O.ledger_ctes(
+    bal=(f"SELECT * FROM sage WHERE code_flux_libelle = {O.q('Solde Final')} "
+         f"AND date_montant BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}' AND banque_compte IN {O.in_list(ACCOUNTS)}"))
+    + O.sum_by_sql("bal", "S", "banque_compte"))
+def q_balance_week_filtered(spark, sf):
+    s = ledger.filter_range_accounts(sage(spark, sf), RANGE[0], RANGE[1], ACCOUNTS)
+    return periods.balance(s, "flux", "S")
+
+
+# -------------------------------------------------------------- forecast ---
+
+from tresoria import constants as K  # noqa: E402
+from tresoria.functions.text import normalise_name, stringify  # noqa: E402
+from tresoria.operators import forecast, labels  # noqa: E402
+
+
+def raw_prev(spark, sf):
+    return fixtures.view(spark, sf, "prev")
+
+
+def clean_prev(spark, sf, frequence="mensuelle"):
+    return forecast.clean_forecast(raw_prev(spark, sf), frequence)
+
+
+@register("prev_labels", O.prev_ctes() + "SELECT * FROM harm")
+def q_prev_labels(spark, sf):
+    return labels.harmonise(forecast.typed_forecast(raw_prev(spark, sf)))
+
+
+@register("prev_latest_version", O.prev_ctes() + "SELECT * FROM lat")
+def q_prev_latest_version(spark, sf):
+    return forecast.latest_realised(labels.harmonise(forecast.typed_forecast(raw_prev(spark, sf))))
+
+
+@register("prev_monthly", O.prev_ctes() + "SELECT * FROM cleanp")
+def q_prev_monthly(spark, sf):
+    return clean_prev(spark, sf)
+
+
+@register("prev_quarterly", O.prev_ctes() + f"""
+SELECT trimestre, nature_montant, type_montant, annee, version_prev, {O.msum('montant_millions')} AS montant_millions
+FROM cleanp WHERE trimestre IS NOT NULL AND nature_montant IS NOT NULL AND type_montant IS NOT NULL
+  AND annee IS NOT NULL AND version_prev IS NOT NULL
+GROUP BY trimestre, nature_montant, type_montant, annee, version_prev""")
+def q_prev_quarterly(spark, sf):
+    return clean_prev(spark, sf, "trimestrielle")
+
+
+REPORT_YEAR, REPORT_VERSION, REPORT_LABEL = 1997, "1997-06", "Contributions pôle emploi"
+
+
+@register("flux_report_month", O.flux_report_sql(REPORT_YEAR, REPORT_VERSION, "M"))
+def q_flux_report_month(spark, sf):
+    return forecast.flux_report(clean_prev(spark, sf), REPORT_YEAR, REPORT_VERSION, "M")
+
+
+@register("flux_report_quarter", O.flux_report_sql(REPORT_YEAR, REPORT_VERSION, "T"))
+def q_flux_report_quarter(spark, sf):
+    return forecast.flux_report(clean_prev(spark, sf), REPORT_YEAR, REPORT_VERSION, "T")
+
+
+@register("nature_report", O.flux_report_sql(REPORT_YEAR, REPORT_VERSION, "M", REPORT_LABEL))
+def q_nature_report(spark, sf):
+    return forecast.nature_report(clean_prev(spark, sf), REPORT_LABEL, REPORT_YEAR, REPORT_VERSION, "M")
+
+
+@register("running_totals", O.prev_ctes() + O.RUNNING_TOTALS)
+def q_running_totals(spark, sf):
+    return forecast.running_totals(clean_prev(spark, sf))
+
+
+@register("forecast_versions", O.prev_ctes() + f"""
+SELECT DISTINCT annee, version_prev FROM cleanp WHERE type_montant = {O.q(K.FORECAST_TYPE)}""")
+def q_forecast_versions(spark, sf):
+    return forecast.versions(clean_prev(spark, sf))
+
+
+@register("forecast_versions_label", O.prev_ctes() + f"""
+SELECT DISTINCT annee, version_prev FROM cleanp WHERE type_montant = {O.q(K.FORECAST_TYPE)}
+AND annee = {REPORT_YEAR} AND nature_montant = {O.q(REPORT_LABEL)}""")
+def q_forecast_versions_label(spark, sf):
+    return forecast.versions(clean_prev(spark, sf), REPORT_YEAR, REPORT_LABEL)
+
+
+LEVELS = (["Solde", "Total Dépenses"],
+          [lab for cat, labs in K.LABEL_CATEGORIES if cat != "depenses" for lab in labs],
+          [lab for cat, labs in K.LABEL_CATEGORIES if cat == "depenses" for lab in labs])
+
+
+@register("label_levels", O.prev_ctes() + f"""
+SELECT DISTINCT nature_montant, CASE WHEN nature_montant IN {O.in_list(LEVELS[0])} THEN 'niv01'
+  WHEN nature_montant IN {O.in_list(LEVELS[1])} THEN 'niv02'
+  WHEN nature_montant IN {O.in_list(LEVELS[2])} THEN 'niv03'
+  WHEN nature_montant IS NULL THEN '' END AS niveau FROM cleanp""")
+def q_label_levels(spark, sf):
+    df = clean_prev(spark, sf)
+    return df.select("nature_montant", labels.level_tag("nature_montant", *LEVELS).alias("niveau")).distinct()
+
+
+def _first_category_rows():
+    seen, rows = set(), []
+    for cat, labs in K.LABEL_CATEGORIES:
+        for lab in labs:
+            if lab not in seen:
+                seen.add(lab)
+                rows.append((lab, cat))
+    return rows
+
+
+@register("label_category", O.prev_ctes(cat=O.values_sql(_first_category_rows(), ["nature_montant", "categorie"]))
+          + "SELECT DISTINCT c.nature_montant, cat.categorie FROM cleanp c LEFT JOIN cat USING (nature_montant)")
+def q_label_category(spark, sf):
+    return labels.with_category(clean_prev(spark, sf).select("nature_montant")).distinct()
+
+
+@register("nan_to_null", O.prev_ctes() + """
+SELECT CASE WHEN lower(replace(CAST(version_prev AS VARCHAR), chr(10), ' ')) = 'nan' THEN NULL ELSE replace(CAST(version_prev AS VARCHAR), chr(10), ' ') END AS version_prev,
+       CASE WHEN lower(annee) = 'nan' THEN NULL ELSE annee END AS annee,
+       CASE WHEN lower(mois) = 'nan' THEN NULL ELSE mois END AS mois,
+       CASE WHEN lower(mois_nom) = 'nan' THEN NULL ELSE mois_nom END AS mois_nom,
+       CASE WHEN lower(nature_montant) = 'nan' THEN NULL ELSE nature_montant END AS nature_montant,
+       CASE WHEN lower(type_montant) = 'nan' THEN NULL ELSE type_montant END AS type_montant,
+       CASE WHEN lower(CAST(montant_millions AS VARCHAR)) = 'nan' THEN NULL ELSE CAST(montant_millions AS VARCHAR) END AS montant_millions
+FROM harm""")
+def q_nan_to_null(spark, sf):
+    return stringify(labels.harmonise(forecast.typed_forecast(raw_prev(spark, sf))))
+
+
+_NORM_SQL = "regexp_replace(lower({x}), '^[ \\t\\n\\r\\f\\x0B]+|[ \\t\\n\\r\\f\\x0B]+$', '', 'g')"
+
+
+def _norm_sql(x: str) -> str:
+    from tresoria.functions.text import NAME_REPLACEMENTS
+    out = _NORM_SQL.format(x=x)
+    for a, b in NAME_REPLACEMENTS:
+        out = f"replace({out}, {O.q(a)}, {O.q(b)})"
+    return f"upper({out})"
+
+
+@register("name_normaliser", "SELECT p_partkey, p_name, " + _norm_sql("p_name") + " AS nom_normalise FROM part")
+def q_name_normaliser(spark, sf):
+    fixtures.register_base_tables(spark, sf, ["part"])
+    return spark.table("part").select("p_partkey", "p_name", normalise_name("p_name").alias("nom_normalise"))
+
+
+@register("label_normaliser", O.ctes(prev=None) + "SELECT DISTINCT NATURE_MONTANT AS nature_montant, "
+          + _norm_sql("NATURE_MONTANT") + " AS nom_normalise FROM prev")
+def q_label_normaliser(spark, sf):
+    return (raw_prev(spark, sf).select(F.col("NATURE_MONTANT").alias("nature_montant"),
+                                       normalise_name("NATURE_MONTANT").alias("nom_normalise")).distinct())

@@ -99,3 +99,145 @@ def flows_sql(kind: str, grain: str, freq: str) -> str:
     if freq == "J":
         return base + f"SELECT date_montant, {lab}, montant FROM fl"
     return base + sum_by_sql("fl", freq, lab)
+
+
+def flow_extremes_sql(grain: str = "flux") -> str:
+    lab = "code_flux_libelle" if grain == "flux" else "code_budgetaire"
+    per = " UNION ALL ".join([
+        "SELECT kind, 'J' AS frequence, CAST(date_montant AS VARCHAR) AS periode, total FROM daily",
+        "SELECT kind, 'S', strftime(date_montant, '%Y-%U'), total FROM daily",
+        "SELECT kind, 'M', strftime(date_montant, '%Y-%m'), total FROM daily",
+        "SELECT kind, 'T', CAST(year(date_montant) AS VARCHAR) || '-T' || CAST(quarter(date_montant) AS VARCHAR), total FROM daily",
+        "SELECT kind, 'A', CAST(year(date_montant) AS VARCHAR), total FROM daily",
+    ])
+    return ledger_ctes(
+        lt=(f"SELECT 'recettes' AS kind, {lab} FROM ({flow_labels_sql('recettes', grain)}) "
+            f"UNION ALL SELECT 'depenses', {lab} FROM ({flow_labels_sql('depenses', grain)})"),
+        daily=(f"SELECT lt.kind, s.date_montant, COALESCE(SUM(CAST(s.montant AS {MONEY})), 0) AS total "
+               f"FROM sage s JOIN lt ON s.{lab} = lt.{lab} "
+               f"WHERE s.banque_compte = {q(K.CONSOLIDATED_ACCOUNT)} AND s.date_montant IS NOT NULL GROUP BY 1, 2"),
+        per=per,
+        tot="SELECT kind, frequence, periode, SUM(total) AS t FROM per GROUP BY 1, 2, 3",
+        ext=("SELECT kind, frequence, CAST(max(t) AS DOUBLE) AS max_total, CAST(min(t) AS DOUBLE) AS min_total "
+             "FROM tot GROUP BY 1, 2"),
+    )
+
+
+def kpi_sql(lag: int, accounts=(K.CONSOLIDATED_ACCOUNT,)) -> str:
+    labels = " UNION ALL ".join(f"SELECT {i} AS ord, {q(n)} AS libelle" for i, n in enumerate(K.KPI_LABELS))
+    return ledger_ctes(
+        e="SELECT max(date_montant) AS d FROM sage",
+        k=(f"SELECT code_flux_libelle, date_montant, montant FROM sage WHERE code_flux_libelle IN {in_list(K.KPI_LABELS)} "
+           f"AND banque_compte IN {in_list(accounts)}"),
+        l=labels,
+        v=(f"SELECT l.libelle, "
+           f"(SELECT min(montant) FROM k, e WHERE k.code_flux_libelle = l.libelle AND k.date_montant = e.d) AS montant_fin, "
+           f"(SELECT min(montant) FROM k, e WHERE k.code_flux_libelle = l.libelle "
+           f"AND k.date_montant = CAST(e.d - INTERVAL {lag} DAY AS DATE)) AS montant_debut FROM l"),
+        kp=("SELECT libelle, montant_fin, montant_debut, CASE WHEN montant_debut <> 0 THEN "
+            "CAST(100 AS DOUBLE) * (montant_fin - montant_debut) / montant_debut END AS evolution_pct FROM v"),
+    )
+
+
+KPI_TEXT_SELECT = r"""
+SELECT libelle,
+       CASE WHEN montant_fin IS NULL THEN NULL ELSE
+         replace(format('{:,}', CAST(round_even(montant_fin, 0) AS BIGINT)), ',', ' ') || ' €' END AS valeur,
+       CASE WHEN evolution_pct IS NULL THEN NULL ELSE
+         replace(regexp_replace(format('{:,.2f}', round_even(evolution_pct, 2)), '(\.[0-9])0$', '\1'), ',', ' ') || ' %' END AS evolution
+FROM kp"""
+
+
+# ------------------------------------------------------------- forecast ---
+
+TYPED_PREV = """
+SELECT VERSION_PREV AS version_prev, ANNEE AS annee, MOIS AS mois, MOIS_NOM AS mois_nom,
+       NATURE_MONTANT AS nature_montant, TYPE_MONTANT AS type_montant,
+       TRY_CAST(MONTANT_MILLIONS AS DOUBLE) AS montant_millions
+FROM prev"""
+
+
+def _harm_sql() -> str:
+    renames = " ".join(f"WHEN {q(a)} THEN {q(b)}" for a, b in K.LABEL_RULES)
+    signed = " ".join(
+        f"WHEN r = {q(src)} AND montant_millions < 0 THEN {q(neg)} "
+        f"WHEN r = {q(src)} AND montant_millions >= 0 THEN {q(pos)}"
+        for src, neg, pos in K.SIGNED_LABEL_RULES)
+    return (f"SELECT version_prev, annee, mois, mois_nom, CASE {signed} ELSE r END AS nature_montant, "
+            f"type_montant, montant_millions FROM (SELECT *, CASE nature_montant {renames} "
+            f"ELSE nature_montant END AS r FROM typedp)")
+
+
+REAL = None  # filled below
+
+
+def _latest_sql() -> str:
+    real = in_list(K.REALISED_TYPES)
+    return (f"SELECT * FROM harm WHERE type_montant IN {real} AND "
+            f"(annee, mois, mois_nom, type_montant, nature_montant, version_prev) IN ("
+            f"SELECT annee, mois, mois_nom, type_montant, nature_montant, max(version_prev) FROM harm "
+            f"WHERE type_montant IN {real} AND annee IS NOT NULL AND mois IS NOT NULL AND mois_nom IS NOT NULL "
+            f"AND type_montant IS NOT NULL AND nature_montant IS NOT NULL GROUP BY 1, 2, 3, 4, 5) "
+            f"UNION ALL SELECT * FROM harm WHERE type_montant = {q(K.FORECAST_TYPE)}")
+
+
+CLEAN_PREV = f"""
+SELECT version_prev, TRY_CAST(annee AS INTEGER) AS annee, mois, mois_nom, nature_montant, type_montant,
+       montant_millions, annee || '-' || mois AS annee_mois,
+       annee || '-T' || CAST(CAST(ceil(TRY_CAST(mois AS INTEGER) / 3) AS INTEGER) AS VARCHAR) AS trimestre
+FROM lat WHERE mois_nom NOT IN {in_list(K.TOTAL_MONTH_NAMES)} OR mois_nom IS NULL"""
+
+
+def prev_ctes(**more: str) -> str:
+    return ctes(prev=None, typedp=TYPED_PREV, harm=_harm_sql(), lat=_latest_sql(), cleanp=CLEAN_PREV, **more)
+
+
+def values_sql(rows, names) -> str:
+    def lit(v):
+        return str(v) if isinstance(v, int) else q(v)
+    body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+    return f"SELECT * FROM (VALUES {body}) AS t({', '.join(names)})"
+
+
+def _side(name: str, cond: str, period: str) -> str:
+    return (f"SELECT categorie, {period}, COALESCE(SUM(CAST(montant_millions AS {MONEY})), 0) AS s, "
+            f"SUM(COALESCE(SUM(CAST(montant_millions AS {MONEY})), 0)) OVER (PARTITION BY categorie ORDER BY {period} "
+            f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c "
+            f"FROM cleanp JOIN l2c USING (nature_montant) WHERE {cond} AND {period} IS NOT NULL GROUP BY categorie, {period}")
+
+
+def flux_report_sql(annee: int, version: str, freq: str = "M", label: str | None = None) -> str:
+    period = "annee_mois" if freq == "M" else "trimestre"
+    if label is None:
+        l2c = values_sql([(lab, cat) for cat, labs, _ in K.FLOW_CATEGORIES for lab in labs],
+                         ["nature_montant", "categorie"])
+        signs = values_sql([(cat, s) for cat, _, s in K.FLOW_CATEGORIES], ["categorie", "signe"])
+    else:
+        l2c = values_sql([(label, "nature")], ["nature_montant", "categorie"])
+        signs = values_sql([("nature", 1)], ["categorie", "signe"])
+    real = f"type_montant IN {in_list(K.REALISED_TYPES)} AND annee = {annee}"
+    prv = f"type_montant = {q(K.FORECAST_TYPE)} AND annee = {annee} AND version_prev = {q(version)}"
+    body = (f"SELECT COALESCE(r.{period}, p.{period}) AS {period}, sg.categorie AS type, "
+            f"CAST(sg.signe * r.s AS DOUBLE) AS montant_realise, CAST(sg.signe * p.s AS DOUBLE) AS montant_prevu, "
+            f"CAST(sg.signe * r.c AS DOUBLE) AS cumul_realise, CAST(sg.signe * p.c AS DOUBLE) AS cumul_prevu "
+            f"FROM r FULL OUTER JOIN p ON r.categorie = p.categorie AND r.{period} = p.{period} "
+            f"JOIN signs sg ON sg.categorie = COALESCE(r.categorie, p.categorie)")
+    sql = prev_ctes(l2c=l2c, signs=signs, r=_side("r", real, period), p=_side("p", prv, period)) + body
+    if label is not None:
+        sql = (f"SELECT {period}, montant_realise, montant_prevu, cumul_realise, cumul_prevu FROM ("
+               + sql + ")")
+    return sql
+
+
+RUNNING_TOTALS = f"""
+SELECT cote, nature_montant, annee, version, annee_mois, CAST(m AS DOUBLE) AS montant,
+       CAST(SUM(m) OVER (PARTITION BY cote, nature_montant, annee, version ORDER BY annee_mois
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS cumul
+FROM (SELECT CASE WHEN type_montant IN {in_list(K.REALISED_TYPES)} THEN 'realise' ELSE 'prevu' END AS cote,
+             nature_montant, annee,
+             CASE WHEN type_montant IN {in_list(K.REALISED_TYPES)} THEN NULL ELSE version_prev END AS version,
+             annee_mois, COALESCE(SUM(CAST(montant_millions AS {MONEY})), 0) AS m
+      FROM cleanp
+      WHERE (type_montant IN {in_list(K.REALISED_TYPES)} OR type_montant = {q(K.FORECAST_TYPE)})
+        AND annee_mois IS NOT NULL AND nature_montant IS NOT NULL AND annee IS NOT NULL
+      GROUP BY 1, 2, 3, 4, 5)"""
