@@ -313,3 +313,97 @@ def q_name_normaliser(spark, sf):
 def q_label_normaliser(spark, sf):
     return (raw_prev(spark, sf).select(F.col("NATURE_MONTANT").alias("nature_montant"),
                                        normalise_name("NATURE_MONTANT").alias("nom_normalise")).distinct())
+
+
+# ----------------------------------------------------------------- cells ---
+
+from tresoria.functions.version import version_from_filename  # noqa: E402
+from tresoria.operators import cells as C  # noqa: E402
+from tresoria.operators.controls import quality_gate  # noqa: E402
+
+
+def prepared(spark, sf, name):
+    return C.prepare_cells(fixtures.view(spark, sf, name))
+
+
+@register("sheet_bounds", O.ctes(**O.bounds_ctes("cells")) + "SELECT * FROM bnd")
+def q_sheet_bounds(spark, sf):
+    return C.sheet_bounds(prepared(spark, sf, "cells"))
+
+
+@register("sheet_bounds_single", O.ctes(**O.bounds_ctes("cells_single")) + "SELECT * FROM bnd")
+def q_sheet_bounds_single(spark, sf):
+    return C.sheet_bounds(prepared(spark, sf, "cells_single"))
+
+
+@register("numeric_columns", O.ctes(**O.bounds_ctes("cells")) + "SELECT * FROM st2")
+def q_numeric_columns(spark, sf):
+    return C.numeric_columns(prepared(spark, sf, "cells"))
+
+
+@register("leading_run", O.ctes(**O.bounds_ctes("cells")) + "SELECT * FROM run")
+def q_leading_run(spark, sf):
+    return C._leading_run(C.numeric_columns(prepared(spark, sf, "cells")), "is_float")
+
+
+@register("sheet_unpivot_multi", O.ctes(**O.unpivot_multi_ctes()) + "SELECT * FROM lng")
+def q_sheet_unpivot_multi(spark, sf):
+    c = prepared(spark, sf, "cells")
+    return C.unpivot_multi(C.crop(c, C.sheet_bounds(c)))
+
+
+@register("sheet_unpivot_single", O.ctes(**O.unpivot_single_ctes()) + "SELECT * FROM lng")
+def q_sheet_unpivot_single(spark, sf):
+    c = prepared(spark, sf, "cells_single")
+    return C.unpivot_single(C.crop(c, C.sheet_bounds(c)))
+
+
+@register("year_fill", O.ctes(**O.unpivot_single_ctes()) + "SELECT * FROM yf")
+def q_year_fill(spark, sf):
+    c = prepared(spark, sf, "cells_single")
+    return C.year_fill(C.crop(c, C.sheet_bounds(c)))
+
+
+@register("quality_gate", O.ctes(**O.unpivot_multi_ctes(), fact=O.fact_cte())
+          + O.gate_sql("fact", ["nom_fichier", "nom_onglet"]))
+def q_quality_gate(spark, sf):
+    return quality_gate(C.long_forecast(prepared(spark, sf, "cells"), "multi"))
+
+
+@register("quality_gate_single", O.ctes(**O.unpivot_single_ctes(), fact=O.fact_cte())
+          + O.gate_sql("fact", ["nom_fichier"]))
+def q_quality_gate_single(spark, sf):
+    return quality_gate(C.long_forecast(prepared(spark, sf, "cells_single"), "single"), ["nom_fichier"])
+
+
+@register("forecast_ingest", O.ingest_sql("multi"))
+def q_forecast_ingest(spark, sf):
+    return C.ingest_forecast(prepared(spark, sf, "cells"), "multi")
+
+
+@register("forecast_ingest_single", O.ingest_sql("single"))
+def q_forecast_ingest_single(spark, sf):
+    return C.ingest_forecast(prepared(spark, sf, "cells_single"), "single")
+
+
+@register("version_from_filename", O.ctes(cells=None, cells_single=None, cells_adj=None)
+          + f"SELECT file, {O.version_sql('file')} AS version_prev FROM (SELECT DISTINCT FILE AS file FROM cells "
+          "UNION SELECT DISTINCT FILE FROM cells_single UNION SELECT DISTINCT FILE FROM cells_adj)")
+def q_version_from_filename(spark, sf):
+    files = None
+    for v in ("cells", "cells_single", "cells_adj"):
+        f = fixtures.view(spark, sf, v).select(F.col("FILE").alias("file"))
+        files = f if files is None else files.unionByName(f)
+    return files.distinct().select("file", version_from_filename("file").alias("version_prev"))
+
+
+@register("date_header_cut", O.ctes(**O.adj_ctes()) + "SELECT * FROM h2")
+def q_date_header_cut(spark, sf):
+    c = prepared(spark, sf, "cells_adj")
+    c = c.join(C._first_sheets(c, C.ADJ_MAX_SHEETS), on=C.SHEET, how="left_semi")
+    return C.date_header(c)
+
+
+@register("adjustments", O.ctes(**O.adj_ctes()) + O.ADJ_SELECT)
+def q_adjustments(spark, sf):
+    return C.adjustments(prepared(spark, sf, "cells_adj"))

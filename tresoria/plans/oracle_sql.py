@@ -241,3 +241,193 @@ FROM (SELECT CASE WHEN type_montant IN {in_list(K.REALISED_TYPES)} THEN 'realise
       WHERE (type_montant IN {in_list(K.REALISED_TYPES)} OR type_montant = {q(K.FORECAST_TYPE)})
         AND annee_mois IS NOT NULL AND nature_montant IS NOT NULL AND annee IS NOT NULL
       GROUP BY 1, 2, 3, 4, 5)"""
+
+
+# ---------------------------------------------------------------- cells ---
+
+def _re_alt(words) -> str:
+    return "|".join(words)
+
+
+def cells_base(view: str) -> dict:
+    return {view: None,
+            "cl": f"SELECT FILE AS file, SHEET AS sheet, R AS r, C AS c, V AS v, "
+                  f"TRY_CAST(V AS DOUBLE) IS NOT NULL AS num FROM {view}"}
+
+
+def bounds_ctes(view: str) -> dict:
+    d = cells_base(view)
+    aggs = ["COALESCE(max(CASE WHEN r >= 0 THEN r END), -1) + 1 AS n_lignes", "max(c) + 1 AS n_cols"]
+    for k in range(3):
+        aggs.append(f"COALESCE(bool_or(c = {k} AND r >= 0 AND NOT num), false) AS cap{k}")
+        for j, t in enumerate(K.ANCHOR_TEXTS):
+            aggs.append(f"min(CASE WHEN c = {k} AND r >= 0 AND contains(lower(v), {q(t)}) THEN r END) AS m{k}_{j}")
+    d["an"] = f"SELECT file, sheet, {', '.join(aggs)} FROM cl GROUP BY file, sheet"
+    chain = " ".join(f"WHEN NOT cap{k} THEN NULL WHEN COALESCE(m{k}_0, m{k}_1) IS NOT NULL THEN {k}" for k in range(3))
+    stop = " ".join(f"WHEN {k} THEN COALESCE(m{k}_0, m{k}_1) + 2" for k in range(3))
+    d["an2"] = f"SELECT file, sheet, n_lignes, n_cols, CASE {chain} END AS ancre FROM an"
+    d["an3"] = (f"SELECT an2.*, CASE an2.ancre {stop} END AS arret FROM an2 JOIN an USING (file, sheet)")
+    months = _re_alt(K.MONTH_COLUMN_WORDS)
+    d["st"] = (f"SELECT cl.file, cl.sheet, cl.c, a.arret, a.n_lignes, "
+               f"count(*) FILTER (WHERE num) AS n_num, count(*) FILTER (WHERE NOT num) AS n_txt, "
+               f"bool_or(r = -1) AS has_head, COALESCE(bool_or(r = -1 AND num), false) AS head_num, "
+               f"count(*) FILTER (WHERE r >= 0) AS n_body, "
+               f"bool_or(regexp_matches(lower(v), {q(months)})) AS has_month "
+               f"FROM cl JOIN an3 a USING (file, sheet) WHERE a.ancre IS NOT NULL AND cl.r < a.arret "
+               f"GROUP BY cl.file, cl.sheet, cl.c, a.arret, a.n_lignes")
+    d["st2"] = ("SELECT file, sheet, c, "
+                "(n_num > n_txt + CASE WHEN has_head THEN 0 ELSE 1 END AND n_num > least(arret, n_lignes) - n_body) AS is_float, "
+                "has_month, (head_num AND n_num = least(arret, n_lignes) + 1) AS all_numeric FROM st")
+    d["fl"] = "SELECT file, sheet, min(c) AS run_min FROM st2 WHERE is_float GROUP BY file, sheet"
+    d["fe"] = ("SELECT s.file, s.sheet, min(s.c) AS run_max FROM st2 s JOIN fl USING (file, sheet) "
+               "WHERE s.is_float AND s.c >= fl.run_min AND NOT EXISTS (SELECT 1 FROM st2 t WHERE t.file = s.file "
+               "AND t.sheet = s.sheet AND t.c = s.c + 1 AND t.is_float) GROUP BY s.file, s.sheet")
+    d["run"] = "SELECT file, sheet, run_min, run_max, run_max - run_min + 1 AS run_len FROM fl JOIN fe USING (file, sheet)"
+    d["mo"] = ("SELECT s.file, s.sheet, min(s.c) + 1 AS first_ml FROM st2 s WHERE s.has_month AND s.c >= 11 "
+               "AND EXISTS (SELECT 1 FROM st2 e WHERE e.file = s.file AND e.sheet = s.sheet AND e.c = 11 AND e.has_month) "
+               "AND NOT EXISTS (SELECT 1 FROM st2 t WHERE t.file = s.file AND t.sheet = s.sheet AND t.c = s.c + 1 "
+               "AND t.has_month) GROUP BY s.file, s.sheet")
+    d["bad"] = "SELECT file, sheet, bool_or(all_numeric) AS any_all_num FROM st2 GROUP BY file, sheet"
+    d["okt"] = ("SELECT an3.*, run.run_min, run.run_max, COALESCE(mo.first_ml, 11) AS first_ml, "
+                "COALESCE(an3.ancre IS NOT NULL AND run.run_len >= 2 AND run.run_min >= 1 AND an3.n_cols >= 11 "
+                "AND NOT COALESCE(bad.any_all_num, false), false) AS ok "
+                "FROM an3 LEFT JOIN run USING (file, sheet) LEFT JOIN mo USING (file, sheet) LEFT JOIN bad USING (file, sheet)")
+    d["bnd"] = ("SELECT file, sheet, CASE WHEN ok THEN ancre ELSE 0 END AS ancre, "
+                "CASE WHEN ok THEN arret ELSE n_lignes END AS ligne_fin, "
+                "CASE WHEN ok THEN run_min - 1 ELSE 0 END AS col_debut, "
+                "CASE WHEN ok THEN least(run_max + 1, first_ml) ELSE n_cols END AS col_fin, NOT ok AS repli FROM okt")
+    d["cr"] = ("SELECT cl.file, cl.sheet, cl.r, cl.c, cl.v, b.col_debut, b.col_fin FROM cl JOIN bnd b USING (file, sheet) "
+               "WHERE cl.r < b.ligne_fin AND cl.c >= b.col_debut AND cl.c < b.col_fin "
+               "UNION ALL SELECT a.file, a.sheet, a.r, b.col_debut, a.v, b.col_debut, b.col_fin FROM cl a JOIN bnd b "
+               "USING (file, sheet) WHERE a.c = b.ancre AND b.ancre <> b.col_debut AND a.r >= 0 AND a.r < b.ligne_fin "
+               "AND NOT EXISTS (SELECT 1 FROM cl x WHERE x.file = a.file AND x.sheet = a.sheet AND x.r = a.r "
+               "AND x.c = b.col_debut)")
+    return d
+
+
+def _unpivot_ctes(first_row: int, heads: dict) -> dict:
+    hsel = ", ".join(f"max(CASE WHEN r = {row} THEN v END) AS {name}" for name, row in heads.items())
+    return {
+        "meta": f"SELECT file, sheet, c, {hsel} FROM cr WHERE c > col_debut AND r < {first_row} GROUP BY file, sheet, c",
+        "lab": f"SELECT file, sheet, r, v AS label FROM cr WHERE c = col_debut AND r >= {first_row}",
+        "vals": f"SELECT file, sheet, r, c, v AS montant FROM cr WHERE c > col_debut AND r >= {first_row}",
+    }
+
+
+def unpivot_multi_ctes(view: str = "cells") -> dict:
+    d = bounds_ctes(view)
+    d.update(_unpivot_ctes(1, {"mois_nom": -1, "type_montant": 0}))
+    d["lng"] = ("SELECT v.file, v.sheet, v.r, v.c, v.sheet AS annee, "
+                "COALESCE(m.mois_nom, 'Unnamed: ' || CAST(v.c AS VARCHAR)) AS mois_nom, m.type_montant, l.label, v.montant "
+                "FROM vals v LEFT JOIN meta m USING (file, sheet, c) LEFT JOIN lab l USING (file, sheet, r)")
+    return d
+
+
+def unpivot_single_ctes(view: str = "cells_single") -> dict:
+    d = bounds_ctes(view)
+    d.update(_unpivot_ctes(2, {"mois_nom": 0, "type_montant": 1}))
+    d["ym"] = ("SELECT file, sheet, c, max(CASE WHEN r = -1 THEN v END) AS entete, "
+               "max(CASE WHEN r = 0 THEN v END) AS mois_nom FROM cr WHERE c > col_debut AND r <= 0 GROUP BY file, sheet, c")
+    d["yf"] = ("SELECT m.file, m.sheet, m.c, COALESCE((SELECT j.entete FROM ym j WHERE j.file = m.file AND j.sheet = m.sheet "
+               "AND j.mois_nom = 'janvier' AND j.entete IS NOT NULL AND j.c <= m.c ORDER BY j.c DESC LIMIT 1), "
+               "m.entete, 'Unnamed: ' || CAST(m.c AS VARCHAR)) AS annee FROM ym m")
+    d["lng"] = ("SELECT v.file, v.sheet, v.r, v.c, y.annee, m.mois_nom, m.type_montant, l.label, v.montant "
+                "FROM vals v LEFT JOIN meta m USING (file, sheet, c) LEFT JOIN lab l USING (file, sheet, r) "
+                "LEFT JOIN yf y USING (file, sheet, c)")
+    return d
+
+
+YM_RE = "(^|[^0-9])([0-9]{4})[ .-]([0-9]{2})([^0-9]|$)"
+DMY_RE = "(^|[^0-9])([0-9]{2})([0-9]{2})([0-9]{4})([^0-9]|$)"
+
+
+def version_sql(x: str) -> str:
+    n = f"regexp_replace({x}, '^.*mensualisées/', '')"
+
+    def g(rx, i):
+        return f"regexp_extract({n}, {q(rx)}, {i})"
+    return (f"COALESCE(CASE WHEN {g(YM_RE, 2)} <> '' AND TRY_CAST({g(YM_RE, 3)} AS INTEGER) BETWEEN 1 AND 12 "
+            f"THEN {g(YM_RE, 2)} || '-' || {g(YM_RE, 3)} END, "
+            f"CASE WHEN {g(DMY_RE, 4)} <> '' AND TRY_CAST({g(DMY_RE, 3)} AS INTEGER) BETWEEN 1 AND 12 "
+            f"THEN {g(DMY_RE, 4)} || '-' || {g(DMY_RE, 3)} END)")
+
+
+def month_num_sql(x: str) -> str:
+    return "CASE " + x + " " + " ".join(f"WHEN {q(n)} THEN '{i:02d}'" for i, n in enumerate(K.MONTHS_FR, 1)) + " END"
+
+
+def month_name_sql(x: str) -> str:
+    return "CASE " + x + " " + " ".join(f"WHEN {i} THEN {q(n)}" for i, n in enumerate(K.MONTHS_FR, 1)) + " END"
+
+
+WS = "[ \\t\\n\\r\\f\\x0B]"
+
+
+def fact_cte() -> str:
+    lab = (f"NULLIF(regexp_replace(COALESCE(label, {q(K.MISSING_LABEL)}), '^{WS}+|{WS}+$', '', 'g'), 'null')")
+    return (f"SELECT file AS nom_fichier, sheet AS nom_onglet, {version_sql('file')} AS version_prev, "
+            f"NULLIF(annee, 'null') AS annee, {month_num_sql(chr(40) + 'NULLIF(mois_nom, ' + q('null') + ')' + chr(41))} AS mois, "
+            f"NULLIF(mois_nom, 'null') AS mois_nom, {lab} AS nature_montant, "
+            f"NULLIF(type_montant, 'null') AS type_montant, NULLIF(montant, 'null') AS montant_millions "
+            f"FROM lng WHERE NULLIF(montant, 'null') IS NOT NULL")
+
+
+def gate_sql(src: str, keys) -> str:
+    k = ", ".join(keys)
+    mh = " + ".join(f"COALESCE(CAST(contains(lower(mois_nom), {q(w)}) AS INTEGER), 0)" for w in K.GATE_MONTH_WORDS)
+    th = " + ".join(f"COALESCE(CAST(contains(lower(type_montant), {q(w)}) AS INTEGER), 0)" for w in K.GATE_TYPE_WORDS)
+    return (f"SELECT {k}, nb_lignes, mh = nb_lignes AS mois_ok, th = nb_lignes AS type_ok, lab = nb_lignes AS nature_ok, "
+            f"(mh = nb_lignes AND th = nb_lignes AND lab = nb_lignes) AS valide, "
+            f"(bad = 0 AND lab = nb_lignes) AS valide_strict FROM ("
+            f"SELECT {k}, count(*) AS nb_lignes, sum({mh}) AS mh, sum({th}) AS th, "
+            f"count(*) FILTER (WHERE nature_montant IN {in_list(K.ALLOWED_LABELS)}) AS lab, "
+            f"count(*) FILTER (WHERE ({mh}) <> 1 OR ({th}) <> 1) AS bad FROM {src} GROUP BY {k})")
+
+
+FACT_COLS = "version_prev, annee, mois, mois_nom, nature_montant, type_montant, montant_millions"
+
+
+def ingest_sql(layout: str) -> str:
+    d = unpivot_multi_ctes("cells") if layout == "multi" else unpivot_single_ctes("cells_single")
+    keys = ["nom_fichier", "nom_onglet"] if layout == "multi" else ["nom_fichier"]
+    d["fact"] = fact_cte()
+    d["gate"] = gate_sql("fact", keys)
+    return (ctes(**d) + f"SELECT {FACT_COLS} FROM fact WHERE ({', '.join(keys)}) IN "
+            f"(SELECT {', '.join(keys)} FROM gate WHERE valide)")
+
+
+def adj_ctes() -> dict:
+    isd = "(COALESCE(try_strptime(v, '%Y-%m-%d'), try_strptime(v, '%Y-%m-%d %H:%M:%S')) IS NOT NULL)"
+    d = cells_base("cells_adj")
+    d["fs"] = ("SELECT file, sheet FROM (SELECT file, sheet, dense_rank() OVER (PARTITION BY file ORDER BY sheet) AS k "
+               "FROM (SELECT DISTINCT file, sheet FROM cl)) WHERE k <= 5")
+    d["c5"] = "SELECT * FROM cl WHERE (file, sheet) IN (SELECT file, sheet FROM fs)"
+    d["hd"] = (f"SELECT file, sheet, max(c) AS max_c, CASE WHEN bool_or(r = -1 AND {isd}) THEN -1 "
+               f"ELSE min(CASE WHEN r >= 0 AND {isd} THEN r END) END AS ligne_entete FROM c5 GROUP BY file, sheet")
+    d["dc"] = (f"SELECT c5.file, c5.sheet, c5.c, hd.max_c FROM c5 JOIN hd USING (file, sheet) "
+               f"WHERE c5.r = hd.ligne_entete AND {isd}")
+    d["en"] = ("SELECT file, sheet, min(c) AS e FROM dc d WHERE c >= 1 AND c + 1 <= max_c AND NOT EXISTS "
+               "(SELECT 1 FROM dc x WHERE x.file = d.file AND x.sheet = d.sheet AND x.c = d.c + 1) GROUP BY file, sheet")
+    d["h2"] = ("SELECT hd.file, hd.sheet, hd.ligne_entete, COALESCE(en.e, hd.max_c) AS col_fin FROM hd "
+               "LEFT JOIN en USING (file, sheet) WHERE hd.ligne_entete IS NOT NULL")
+    d["x"] = "SELECT c5.*, h2.ligne_entete, h2.col_fin FROM c5 JOIN h2 USING (file, sheet) WHERE c5.c <= h2.col_fin"
+    d["body"] = "SELECT * FROM x WHERE r > ligne_entete"
+    d["crs"] = "SELECT file, sheet, max(c) AS col_raison FROM body WHERE contains(lower(v), 'raison') GROUP BY file, sheet"
+    d["mk"] = "SELECT b.* FROM body b JOIN crs USING (file, sheet) WHERE b.c = crs.col_raison"
+    d["ret"] = ("SELECT file, sheet, r AS r_ret, row_number() OVER (PARTITION BY file, sheet ORDER BY r) AS i "
+                "FROM mk WHERE contains(lower(v), 'retraitement')")
+    d["rai"] = ("SELECT file, sheet, r AS r_rai, row_number() OVER (PARTITION BY file, sheet ORDER BY r) AS i "
+                "FROM mk WHERE contains(lower(v), 'raison')")
+    d["pairs"] = "SELECT * FROM ret JOIN rai USING (file, sheet, i)"
+    d["heads"] = (f"SELECT file, sheet, c, CAST(COALESCE(try_strptime(v, '%Y-%m-%d'), try_strptime(v, '%Y-%m-%d %H:%M:%S')) AS DATE) AS d "
+                  f"FROM x WHERE r = ligne_entete AND {isd}")
+    d["am"] = ("SELECT b.file, b.sheet, b.c, p.r_rai, b.v AS montant_retraitement FROM body b JOIN pairs p "
+               "ON b.file = p.file AND b.sheet = p.sheet AND b.r = p.r_ret")
+    d["adj"] = ("SELECT am.*, h.d, rs.v AS raison FROM am JOIN heads h USING (file, sheet, c) LEFT JOIN body rs "
+                "ON rs.file = am.file AND rs.sheet = am.sheet AND rs.c = am.c AND rs.r = am.r_rai")
+    return d
+
+
+ADJ_SELECT = (f"SELECT regexp_replace(file, '^.*Prévisions DEA mensualisées/', '') AS nom_fichier, sheet AS nom_onglet, "
+              f"CAST(year(d) AS VARCHAR) AS annee, lpad(CAST(month(d) AS VARCHAR), 2, '0') AS mois, "
+              f"{month_name_sql('month(d)')} AS mois_nom, montant_retraitement, raison FROM adj")

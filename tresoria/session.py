@@ -75,3 +75,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def materialize(df):
+    """Cut the lineage of ``df``: write it to the shared checkpoint folder
+    (``spark.checkpoint.dir``) and continue from the written copy.
+
+    Used where a pipeline reads the same intermediate result several times
+    (workbook cells, per-sheet bounds): the plan stays small and a lost
+    executor re-reads the written copy instead of recomputing its inputs."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
