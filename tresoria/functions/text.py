@@ -74,12 +74,17 @@ def thousands(s: Column) -> Column:
 
 
 def amount_text(x) -> Column:
-    """Whole euros, half-even, blank thousands separator, ``€`` suffix."""
-    return F.concat(thousands(F.format_number(F.bround(col_(x), 0), 0)), F.lit(" €"))
+    """Whole euros, blank thousands separator, ``€`` suffix.
+
+    ``format_number`` rounds half-even on the exact binary value of the
+    double, as Python's ``round`` does (rounding the decimal text first, as
+    ``bround`` does, differs on values such as -1234.565)."""
+    s = F.regexp_replace(F.format_number(col_(x), 0), "^-0$", "0")
+    return F.concat(thousands(s), F.lit(" €"))
 
 
 def percent_text(x) -> Column:
-    """Two decimals half-even, trailing zero dropped as Python prints floats."""
-    s = F.format_number(F.bround(col_(x), 2), 2)
+    """Two decimals, trailing zero dropped as Python prints a rounded float."""
+    s = F.format_number(col_(x), 2)
     s = F.regexp_replace(s, "(\\.[0-9])0$", "$1")
     return F.concat(thousands(s), F.lit(" %"))

@@ -407,3 +407,56 @@ def q_date_header_cut(spark, sf):
 @register("adjustments", O.ctes(**O.adj_ctes()) + O.ADJ_SELECT)
 def q_adjustments(spark, sf):
     return C.adjustments(prepared(spark, sf, "cells_adj"))
+
+
+# ------------------------------------------------------- sources / sinks ---
+
+from tresoria.sources import sinks  # noqa: E402
+from tresoria.sources.tables import new_files  # noqa: E402
+from tresoria.session import scratch_path  # noqa: E402
+
+
+@register("consolidate", O.ctes(ledger=None) + "SELECT * FROM ledger")
+def q_consolidate(spark, sf):
+    raw = raw_ledger(spark, sf)
+    current = raw.where(F.col("FICHIER") == "export_0.csv")
+    history = raw.where(~(F.col("FICHIER") == "export_0.csv") | F.col("FICHIER").isNull())
+    return sinks.consolidate(current, history)
+
+
+@register("manifest_anti", O.ctes(cells=None, cells_single=None)
+          + f"SELECT DISTINCT FILE AS name FROM (SELECT FILE FROM cells UNION ALL SELECT FILE FROM cells_single) "
+          f"WHERE FILE NOT IN {O.in_list(K.PROCESSED_FILES)}")
+def q_manifest_anti(spark, sf):
+    files = (fixtures.view(spark, sf, "cells").select(F.col("FILE").alias("name"))
+             .unionByName(fixtures.view(spark, sf, "cells_single").select(F.col("FILE").alias("name")))
+             .distinct())
+    manifest = spark.createDataFrame([(n,) for n in K.PROCESSED_FILES], "name string")
+    return new_files(files, manifest)
+
+
+LOAD_DATE = "2024-01-31"
+_PREV_COLS = ["VERSION_PREV", "ANNEE", "MOIS", "MOIS_NOM", "NATURE_MONTANT", "TYPE_MONTANT", "MONTANT_MILLIONS"]
+_LOADED_SQL = (O.ctes(prev=None) + "SELECT " + ", ".join(
+    f"CASE WHEN lower({c}) = 'nan' THEN NULL ELSE replace({c}, chr(10), ' ') END AS {c}" for c in _PREV_COLS)
+    + f", '{LOAD_DATE}' AS DATE_EXTRACTION FROM prev")
+
+
+@register("write_overwrite", _LOADED_SQL)
+def q_write_overwrite(spark, sf):
+    import uuid
+    path = scratch_path(spark, f"tables/treso_dea_prev_{uuid.uuid4().hex}")
+    sinks.write_overwrite(raw_prev(spark, sf), path, load_date=LOAD_DATE)
+    return spark.read.parquet(path)
+
+
+@register("write_append_compact", _LOADED_SQL)
+def q_write_append_compact(spark, sf):
+    """Two appends of the two halves of the table, then compaction."""
+    import uuid
+    base = scratch_path(spark, f"tables/treso_dea_prev_{uuid.uuid4().hex}")
+    raw = raw_prev(spark, sf)
+    even = F.col("ANNEE").try_cast("int") % 2 == 0
+    sinks.write_append(raw.where(even), base, load_date=LOAD_DATE)
+    sinks.write_append(raw.where(~even | even.isNull()), base, load_date=LOAD_DATE)
+    return sinks.compact(spark, base, base + "_compact")

@@ -142,9 +142,9 @@ def kpi_sql(lag: int, accounts=(K.CONSOLIDATED_ACCOUNT,)) -> str:
 KPI_TEXT_SELECT = r"""
 SELECT libelle,
        CASE WHEN montant_fin IS NULL THEN NULL ELSE
-         replace(format('{:,}', CAST(round_even(montant_fin, 0) AS BIGINT)), ',', ' ') || ' €' END AS valeur,
+         replace(regexp_replace(format('{:,.0f}', montant_fin), '^-0$', '0'), ',', ' ') || ' €' END AS valeur,
        CASE WHEN evolution_pct IS NULL THEN NULL ELSE
-         replace(regexp_replace(format('{:,.2f}', round_even(evolution_pct, 2)), '(\.[0-9])0$', '\1'), ',', ' ') || ' %' END AS evolution
+         replace(regexp_replace(format('{:,.2f}', evolution_pct), '(\.[0-9])0$', '\1'), ',', ' ') || ' %' END AS evolution
 FROM kp"""
 
 
