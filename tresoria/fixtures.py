@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tresoria.session import spread
+
 BASE_TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -102,9 +104,10 @@ VIEWS = {
 }
 
 
-def register_base_tables(spark: SparkSession, sf_dir: str, names=None) -> None:
+def register_base_tables(spark: SparkSession, sf_dir: str, names=None, spread_rows: bool = False) -> None:
     for t in names or BASE_TABLES:
-        spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet").createOrReplaceTempView(t)
+        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet")
+        (spread(df) if spread_rows else df).createOrReplaceTempView(t)
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -48,7 +48,7 @@ def prepare_cells(cells: DataFrame) -> DataFrame:
             F.col("r").cast("int"), F.col("c").cast("int"), F.col("v").cast("string")]
     if "sheet_no" in df.columns:
         cols.append(F.col("sheet_no").cast("int"))
-    return materialize(df.select(*cols))
+    return materialize(df.select(*cols), "cells")
 
 
 def is_number(v: Column) -> Column:
@@ -120,17 +120,21 @@ def _column_stats(cells: DataFrame, anchors: DataFrame) -> DataFrame:
 
 
 def _leading_run(flags: DataFrame, flag: str, start: int | None = None) -> DataFrame:
-    """First maximal run of consecutive column indexes among flagged columns.
-
-    Gaps and islands: ``c - row_number()`` is constant along a run.  With
-    ``start``, only the run beginning exactly at ``start`` is kept."""
+    """First maximal run of consecutive column indexes among flagged columns:
+    ``(file, sheet, run_min, run_max, run_len)``.
+
+    Gaps and islands: along the flagged columns of a sheet ``c - rank`` is
+    constant on a run, so the first run is the rows where it equals its
+    minimum.  With ``start`` only a run beginning exactly at ``start``
+    counts.  One window pass per sheet (one row per column), then an
+    aggregate on the same partitioning (no further shuffle)."""
     f = flags.where(F.col(flag))
     if start is not None:
         f = f.where(F.col("c") >= start)
     w = Window.partitionBy(*SHEET).orderBy("c")
     f = f.withColumn("_g", F.col("c") - F.row_number().over(w))
-    first = f.groupBy(*SHEET).agg(F.min("c").alias("run_min"), F.min("_g").alias("_g0"))
-    run = (f.join(first, on=SHEET).where(F.col("_g") == F.col("_g0"))
+    f = f.withColumn("_g0", F.min("_g").over(Window.partitionBy(*SHEET)))
+    run = (f.where(F.col("_g") == F.col("_g0"))
            .groupBy(*SHEET).agg(F.min("c").alias("run_min"), F.max("c").alias("run_max"),
                                 F.count(F.lit(1)).alias("run_len")))
     if start is not None:
@@ -138,6 +142,32 @@ def _leading_run(flags: DataFrame, flag: str, start: int | None = None) -> DataF
     return run
 
 
+def _runs(stats: DataFrame) -> DataFrame:
+    """Both runs the bounds need, from one window pass over the columns:
+    the first run of numeric columns and the run of month columns starting
+    at index 11; plus whether any column is fully numeric."""
+    w = Window.partitionBy(*SHEET).orderBy("c").rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(*SHEET)
+    fl = F.col("is_float")
+    mo = F.col("has_month") & (F.col("c") >= MONTHLESS_MIN_INDEX + 1)
+    x = stats.select(
+        *SHEET, "c", "is_float", "all_numeric",
+        F.when(fl, F.col("c") - F.sum(fl.cast("int")).over(w)).alias("_gf"),
+        F.when(mo, F.col("c") - F.sum(mo.cast("int")).over(w)).alias("_gm"))
+    x = x.withColumns({"_gf0": F.min("_gf").over(whole), "_gm0": F.min("_gm").over(whole)})
+    in_f = F.col("_gf") == F.col("_gf0")
+    in_m = F.col("_gm") == F.col("_gm0")
+    g = x.groupBy(*SHEET).agg(
+        F.min(F.when(in_f, F.col("c"))).alias("run_min"),
+        F.max(F.when(in_f, F.col("c"))).alias("run_max"),
+        F.count_if(in_f).alias("run_len"),
+        F.min(F.when(in_m, F.col("c"))).alias("_m_min"),
+        F.max(F.when(in_m, F.col("c"))).alias("_m_max"),
+        F.max(F.col("all_numeric").cast("int")).alias("any_all_num"))
+    month_end = F.when(F.col("_m_min") == MONTHLESS_MIN_INDEX + 1, F.col("_m_max"))
+    return g.select(*SHEET, "run_min", "run_max", "run_len", month_end.alias("month_run_end"), "any_all_num")
+
+
 def sheet_bounds(cells: DataFrame) -> DataFrame:
     """Table bounds of every sheet: ``(file, sheet, ancre, ligne_fin, col_debut,
     col_fin, repli)``; rows ``< ligne_fin`` and columns ``[col_debut, col_fin)``
@@ -150,21 +180,16 @@ def sheet_bounds(cells: DataFrame) -> DataFrame:
     if that comes first).  When any step fails the whole sheet is kept
     (``repli``)."""
     cells = normalise_cells(cells)
-    anchors = materialize(_anchor_table(cells))
-    stats = materialize(_column_stats(cells, anchors))
-    floats = _leading_run(stats, "is_float")
-    months = _leading_run(stats, "has_month", start=MONTHLESS_MIN_INDEX + 1)
-    bad_cols = stats.groupBy(*SHEET).agg(F.max(F.col("all_numeric").cast("int")).alias("any_all_num"))
-    b = (anchors.join(floats, on=SHEET, how="left")
-         .join(months.select(*SHEET, F.col("run_max").alias("month_run_end")), on=SHEET, how="left")
-         .join(bad_cols, on=SHEET, how="left"))
+    anchors = _anchor_table(cells)
+    stats = _column_stats(cells, anchors)
+    b = anchors.join(_runs(stats), on=SHEET, how="left")
     first_monthless = F.coalesce(F.col("month_run_end") + 1, F.lit(MONTHLESS_MIN_INDEX + 1))
     ok = F.coalesce(
         F.col("ancre").isNotNull() & (F.col("run_len") >= 2) & (F.col("run_min") >= 1)
         & (F.col("n_cols") >= MONTHLESS_MIN_INDEX + 1)
         & (F.coalesce(F.col("any_all_num"), F.lit(0)) == 0),
         F.lit(False))
-    return materialize(b.select(
+    return materialize(name="bounds", df=b.select(
         *SHEET,
         F.when(ok, F.col("ancre")).otherwise(0).alias("ancre"),
         F.when(ok, F.col("arret")).otherwise(F.col("n_lignes")).alias("ligne_fin"),
@@ -173,6 +198,13 @@ def sheet_bounds(cells: DataFrame) -> DataFrame:
         (~ok).alias("repli")))
 
 
+def all_unnamed(cells: DataFrame) -> DataFrame:
+    """Per sheet: is every header cell empty (all columns ``Unnamed``)?"""
+    cells = normalise_cells(cells)
+    return (cells.groupBy(*SHEET)
+            .agg((F.count_if(F.col("r") == -1) == 0).alias("sans_entete")))
+
+
 def numeric_columns(cells: DataFrame) -> DataFrame:
     """Per (sheet, column): numeric / month flags used by the bounds detection."""
     cells = normalise_cells(cells)
@@ -210,7 +242,9 @@ def _unpivot(cropped: DataFrame, head_rows: dict[str, int], first_value_row: int
     labels = (cropped.where((F.col("c") == F.col("col_debut")) & (F.col("r") >= first_value_row))
               .select(*SHEET, "r", F.col("v").alias("label")))
     vals = cols.where(F.col("r") >= first_value_row).select(*SHEET, "r", "c", F.col("v").alias("montant"))
-    return (vals.join(meta, on=SHEET + ["c"], how="left")
+    # one metadata row per sheet column: broadcast behind a size check, so
+    # the value cells of a very tall sheet are not shuffled by column key
+    return (vals.join(broadcast_if_small(meta), on=SHEET + ["c"], how="left")
             .join(labels, on=SHEET + ["r"], how="left"))
 
 
@@ -286,7 +320,7 @@ def ingest_forecast(cells: DataFrame, layout: str = "multi",
     The gate unit is the sheet for the sheet-per-year layout and the
     workbook for the one-sheet layout.  Passing units are applied as a
     semi-join (broadcast behind a size check: one row per sheet)."""
-    fact = materialize(long_forecast(cells, layout))
+    fact = materialize(long_forecast(cells, layout), "fact")
     keys = ["nom_fichier", "nom_onglet"] if layout == "multi" else ["nom_fichier"]
     gate = quality_gate(fact, keys, allowed)
     ok = gate.where(F.col("valide")).select(*keys)
@@ -358,7 +392,7 @@ def adjustments(cells: DataFrame, max_sheets: int = ADJ_MAX_SHEETS) -> DataFrame
     paired; every date column with an amount gives one row."""
     cells = prepare_cells(cells)
     cells = cells.join(broadcast_if_small(_first_sheets(cells, max_sheets)), on=SHEET, how="left_semi")
-    hdr = broadcast_if_small(materialize(date_header(cells)))
+    hdr = broadcast_if_small(date_header(cells))
     x = cells.join(hdr, on=SHEET).where(F.col("c") <= F.col("col_fin"))
     body = x.where(F.col("r") > F.col("ligne_entete"))
     low = F.lower(F.col("v"))
@@ -372,7 +406,8 @@ def adjustments(cells: DataFrame, max_sheets: int = ADJ_MAX_SHEETS) -> DataFrame
     pairs = ret.join(rai, on=SHEET + ["i"], how="inner")
     heads = (x.where((F.col("r") == F.col("ligne_entete")) & is_date_text(F.col("v")))
              .select(*SHEET, "c", _as_date(F.col("v")).alias("d")))
-    amounts = (body.join(pairs, on=SHEET).where(F.col("r") == F.col("r_ret"))
+    # equi-join on the row key: each body cell meets at most its own pair
+    amounts = (body.join(pairs.withColumnRenamed("r_ret", "r"), on=SHEET + ["r"], how="inner")
                .select(*SHEET, "c", "r_rai", F.col("v").alias("montant_retraitement")))
     reasons = body.select(*SHEET, "c", F.col("r").alias("r_rai"), F.col("v").alias("raison"))
     out = (amounts.join(heads, on=SHEET + ["c"], how="inner")

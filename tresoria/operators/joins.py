@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,10 +17,18 @@ BROADCAST_MAX_ROWS = 1_000_000
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Return ``broadcast(df)`` if ``df`` has at most ``max_rows`` rows.
 
-    The check runs ``limit(max_rows + 1).count()``: a job over the (already
-    aggregated) side only, which stops as soon as the bound is exceeded."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    ``df`` is the small side (an aggregate or a dictionary).  It is persisted
+    and counted: the count is the size check, and the broadcast (and any
+    later plan containing the same sub-plan) then reads the persisted rows
+    instead of recomputing the aggregate.  Above the bound the rows are
+    released and the join is left to the planner (shuffle join; AQE splits
+    skewed partitions)."""
+    small = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = small.count()
+    if n <= max_rows:
+        return F.broadcast(small)
+    small.unpersist()
+    return df
 
 
 def semi_join_small(big: DataFrame, small: DataFrame, on, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

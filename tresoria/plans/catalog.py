@@ -336,6 +336,13 @@ def q_sheet_bounds_single(spark, sf):
     return C.sheet_bounds(prepared(spark, sf, "cells_single"))
 
 
+@register("all_unnamed", O.ctes(cells_adj=None) + """
+SELECT FILE AS file, SHEET AS sheet, count(*) FILTER (WHERE R = -1) = 0 AS sans_entete FROM cells_adj
+GROUP BY FILE, SHEET""")
+def q_all_unnamed(spark, sf):
+    return C.all_unnamed(fixtures.view(spark, sf, "cells_adj"))
+
+
 @register("numeric_columns", O.ctes(**O.bounds_ctes("cells")) + "SELECT * FROM st2")
 def q_numeric_columns(spark, sf):
     return C.numeric_columns(prepared(spark, sf, "cells"))

@@ -77,12 +77,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
-def materialize(df):
-    """Cut the lineage of ``df``: write it to the shared checkpoint folder
-    (``spark.checkpoint.dir``) and continue from the written copy.
+def materialize(df, name: str = "stage"):
+    """Cut the lineage of ``df``: write it as a Parquet table under the shared
+    checkpoint folder (``spark.checkpoint.dir``) and continue from it.
 
     Used where a pipeline reads the same intermediate result several times
-    (workbook cells, per-sheet bounds): the plan stays small and a lost
-    executor re-reads the written copy instead of recomputing its inputs."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    (workbook cells, per-sheet bounds): the plan stays small, a lost executor
+    re-reads the written files instead of recomputing the inputs, and later
+    reads get column pruning and filter pushdown.  (``Dataset.checkpoint``
+    would compute ``df`` twice: once to count, once to write.)  The folder is
+    scratch space: its retention is the cluster's policy."""
+    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, f"stages/{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def spread(df):
+    """Give ``df`` at least the cluster's default parallelism in partitions.
+
+    A small table stored as one Parquet row group is scanned by one task, so
+    every per-row expression after it runs on one core.  Such inputs are
+    spread round-robin first; inputs that already have enough partitions
+    (any table at scale) are returned unchanged, so no shuffle is added
+    there."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
