@@ -259,3 +259,17 @@ def test_adjustments_pairs_and_cut(spark):
     out = rows(C.adjustments(cells), "annee", "mois", "mois_nom", "montant_retraitement", "raison")
     assert out == [("2021", "01", "janvier", "10", "r1"), ("2021", "02", "février", "22", "r22"),
                    ("2021", "03", "mars", "30", "r3")]
+
+
+def test_typed_ledger_is_idempotent_and_storable(spark, tmp_path):
+    raw = _ledger(spark, [
+        ("2024/01/06", "2024/01/06 06:00:00", "Total", "R", "Solde Final", "Solde Final", "1.5", "a"),
+        ("2024/02/06", "2024/02/07 06:00:00", "Total", "R", "Solde Final", "Solde Final", "x", "b")])
+    once = ledger.typed_ledger(raw)
+    assert rows(ledger.typed_ledger(once), "date_montant", "montant") == rows(once, "date_montant", "montant")
+    path = str(tmp_path / "typed")
+    ledger.store_typed_ledger(raw, path)
+    back = spark.read.parquet(path).where("date_montant >= DATE '2024-02-01'")
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "GreaterThanOrEqual(date_montant" in plan
+    assert rows(ledger.clean_ledger(back), "montant") == [(None,)]

@@ -21,15 +21,32 @@ def label_column(grain: str) -> str:
 
 
 def typed_ledger(raw: DataFrame) -> DataFrame:
-    """Lower-case names; dates, timestamps and amounts typed (NULL if unparsable)."""
+    """Lower-case names; dates, timestamps and amounts typed (NULL if unparsable).
+
+    Text columns are parsed with the export formats; columns that are already
+    typed (a stored typed copy) are kept, so the view is idempotent."""
     df = lower_columns(raw)
+    kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
+
+    def typed(c, parse, target):
+        return parse(c) if kinds.get(c) == "string" else F.col(c).cast(target)
     return df.withColumns({
-        "date_montant": parse_date("date_montant", LEDGER_DATE_FORMAT),
-        "date_production_fichier": parse_timestamp("date_production_fichier", LEDGER_TIMESTAMP_FORMAT),
-        "montant": to_number("montant"),
+        "date_montant": typed("date_montant", lambda c: parse_date(c, LEDGER_DATE_FORMAT), "date"),
+        "date_production_fichier": typed(
+            "date_production_fichier", lambda c: parse_timestamp(c, LEDGER_TIMESTAMP_FORMAT), "timestamp_ntz"),
+        "montant": typed("montant", to_number, "double"),
     })
 
 
+def store_typed_ledger(raw: DataFrame, path: str) -> None:
+    """Write the typed ledger partitioned by ``annee_mois``.
+
+    Filters on the typed columns then reach the Parquet scan (a cast on a
+    text column blocks pushdown) and month filters prune whole folders."""
+    (typed_ledger(raw).withColumn("annee_mois", year_month("date_montant"))
+     .write.mode("overwrite").partitionBy("annee_mois").parquet(path))
+
+
 def latest_file(typed: DataFrame) -> DataFrame:
     """Keep, per (day, account), the rows of the most recent export file."""
     return keep_latest(typed, ["date_montant", "banque_compte"], "date_production_fichier")
