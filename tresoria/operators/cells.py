@@ -189,7 +189,9 @@ def sheet_bounds(cells: DataFrame) -> DataFrame:
         & (F.col("n_cols") >= MONTHLESS_MIN_INDEX + 1)
         & (F.coalesce(F.col("any_all_num"), F.lit(0)) == 0),
         F.lit(False))
-    return materialize(name="bounds", df=b.select(
+    # one row per sheet; its lineage starts at the written cells, and the
+    # size check of every consumer persists it, so it is not written itself
+    return (b.select(
         *SHEET,
         F.when(ok, F.col("ancre")).otherwise(0).alias("ancre"),
         F.when(ok, F.col("arret")).otherwise(F.col("n_lignes")).alias("ligne_fin"),
