@@ -273,3 +273,21 @@ def test_typed_ledger_is_idempotent_and_storable(spark, tmp_path):
     plan = back._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "GreaterThanOrEqual(date_montant" in plan
     assert rows(ledger.clean_ledger(back), "montant") == [(None,)]
+
+
+def test_keep_latest_shuffle_path_equals_broadcast_path(spark, monkeypatch):
+    """A hot key holding a third of the rows; same result whether the per-key
+    maxima are broadcast or (size check failing) joined by shuffle."""
+    from tresoria.operators import joins
+    hot = [("hot", f"v{i % 7}", i) for i in range(3000)]
+    cold = [(f"k{i}", f"v{i % 3}", 10000 + i) for i in range(6000)]
+    df = spark.createDataFrame(hot + cold, "k string, v string, id int")
+    broadcast = rows(latest.keep_latest(df, ["k"], "v"), "id")
+    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 0)
+    monkeypatch.setattr(joins.broadcast_if_small, "__defaults__", (0,))
+    monkeypatch.setattr(joins.semi_join_small, "__defaults__", (0,))
+    shuffled = latest.keep_latest(df, ["k"], "v")
+    plan = shuffled._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan
+    assert rows(shuffled, "id") == broadcast
+    assert len([r for r in broadcast if r[0] < 3000]) == len([i for i in range(3000) if i % 7 == 6])

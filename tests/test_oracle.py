@@ -24,10 +24,18 @@ def test_every_query_has_an_oracle():
     assert set(E.oracle_sql()) == set(E.queries())
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    sdf = E.queries()[name](spark, SF).toPandas()
-    ddf = con.sql(E.oracle_sql()[name]).df()
+    df = E.queries()[name](spark, SF)
+    rel = con.sql(E.oracle_sql()[name])
+    stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString()) for f in df.schema.fields}
+    assert stypes == {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    sdf = df.toPandas()
+    ddf = rel.df()
     sc, sr = rows_of(sdf)
     dc, dr = rows_of(ddf)
     assert sc == dc

@@ -282,7 +282,8 @@ def bounds_ctes(view: str) -> dict:
     d["fe"] = ("SELECT s.file, s.sheet, min(s.c) AS run_max FROM st2 s JOIN fl USING (file, sheet) "
                "WHERE s.is_float AND s.c >= fl.run_min AND NOT EXISTS (SELECT 1 FROM st2 t WHERE t.file = s.file "
                "AND t.sheet = s.sheet AND t.c = s.c + 1 AND t.is_float) GROUP BY s.file, s.sheet")
-    d["run"] = "SELECT file, sheet, run_min, run_max, run_max - run_min + 1 AS run_len FROM fl JOIN fe USING (file, sheet)"
+    d["run"] = ("SELECT file, sheet, run_min, run_max, CAST(run_max - run_min + 1 AS BIGINT) AS run_len "
+                "FROM fl JOIN fe USING (file, sheet)")
     d["mo"] = ("SELECT s.file, s.sheet, min(s.c) + 1 AS first_ml FROM st2 s WHERE s.has_month AND s.c >= 11 "
                "AND EXISTS (SELECT 1 FROM st2 e WHERE e.file = s.file AND e.sheet = s.sheet AND e.c = 11 AND e.has_month) "
                "AND NOT EXISTS (SELECT 1 FROM st2 t WHERE t.file = s.file AND t.sheet = s.sheet AND t.c = s.c + 1 "
