@@ -96,3 +96,28 @@ def test_streaming_ingest_reads_each_workbook_once(spark):
     both = ingest.read_ingested(spark, sink + "/fact")
     assert both.count() == 48
     assert sorted(r[0] for r in both.select("VERSION_PREV").distinct().collect()) == ["2021-06", "2021-08"]
+
+
+def test_new_workbooks_skip_manifest(spark):
+    d = _tmpdir()
+    for n in ("Equilibre Technique mensualisé 2021.06 - DEA.xlsx", "Equilibre Technique mensualisé 2021.08 - DEA.xlsx"):
+        write_xlsx(os.path.join(d, n), [("2020", _forecast_sheet(0))])
+    manifest = spark.createDataFrame([("Equilibre Technique mensualisé 2021.06 - DEA.xlsx",)], "name string")
+    cells = workbook.new_workbook_cells(spark, d, manifest)
+    files = {r["file"].rsplit("/", 1)[-1] for r in cells.select("file").distinct().collect()}
+    assert files == {"Equilibre Technique mensualisé 2021.08 - DEA.xlsx"}
+    all_done = spark.createDataFrame([(n,) for n in files] + [("Equilibre Technique mensualisé 2021.06 - DEA.xlsx",)], "name string")
+    assert workbook.new_workbook_cells(spark, d, all_done).count() == 0
+
+
+def test_streaming_adjustments(spark):
+    src, sink, ck = _tmpdir(), _tmpdir(), _tmpdir()
+    g = {(1, c): dt.date(2021, c, 1) for c in range(1, 4)}
+    g.update({(1, 4): "Commentaire", (2, 0): "Retraitements", (3, 0): "Raisons",
+              (2, 1): 10.5, (2, 3): 30, (3, 1): "décalage", (3, 3): "report"})
+    write_xlsx(os.path.join(src, "Previsions DFT 2021.06.xlsx"), [("2021", g)])
+    q = ingest.start_ingest(spark, src, sink + "/adj", ck + "/ck", layout="adjustments", load_date="2024-01-31")
+    q.awaitTermination(120)
+    out = sorted(tuple(r) for r in ingest.read_ingested(spark, sink + "/adj")
+                 .select("MOIS", "MONTANT_RETRAITEMENT", "RAISON").collect())
+    assert out == [("01", "10.5", "décalage"), ("03", "30", "report")]

@@ -132,3 +132,19 @@ def workbook_cells(spark: SparkSession, root: str, glob: str = "*.xlsx", recursi
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", str(recursive).lower()).load(root))
     return decode_files(files)
+
+
+def new_workbook_cells(spark: SparkSession, root: str, manifest: DataFrame, glob: str = "*.xlsx") -> DataFrame:
+    """Cells of the workbooks under ``root`` that are not in ``manifest``
+    (one column ``name``: file names already loaded).
+
+    Files are listed first (metadata only), the manifest is applied as a
+    left-anti join, and only the remaining files are opened, so loaded
+    workbooks are never read again.  The surviving paths are file-listing
+    metadata (what Spark's own file index keeps on the driver)."""
+    from tresoria.sources.tables import discover_files, new_files
+    todo = new_files(discover_files(spark, root, glob), manifest)
+    paths = [r["path"] for r in todo.select("path").collect()]
+    if not paths:
+        return spark.createDataFrame([], CELL_SCHEMA)
+    return decode_files(spark.read.format("binaryFile").load(paths))
