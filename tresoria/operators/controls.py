@@ -41,11 +41,15 @@ def kpi(sage: DataFrame, lag_days: int, end_date=None, accounts: Sequence[str] =
     matching rows resolve to the smallest amount (deterministic); a missing
     value or a zero base gives NULL."""
     lab = label_column(grain)
-    end = (F.lit(end_date).cast("date") if end_date is not None
-           else sage.select(F.max("date_montant")).scalar())
-    start = F.date_sub(end, lag_days)
-    df = sage.where(F.col(lab).isin(KPI_LABELS) & F.col("banque_compte").isin(list(accounts))
-                    & ((F.col("date_montant") == end) | (F.col("date_montant") == start)))
+    end_value = (F.lit(end_date).cast("date") if end_date is not None
+                 else sage.select(F.max("date_montant")).scalar())
+    # the end date (a scalar subquery, computed once) is projected once and
+    # then referenced by column, so the plan holds the subquery only once
+    df = (sage.where(F.col(lab).isin(KPI_LABELS) & F.col("banque_compte").isin(list(accounts)))
+          .select(lab, "date_montant", "montant", end_value.alias("_end"))
+          .withColumn("_start", F.date_sub("_end", lag_days))
+          .where((F.col("date_montant") == F.col("_end")) | (F.col("date_montant") == F.col("_start"))))
+    end, start = F.col("_end"), F.col("_start")
     aggs = []
     for i, name in enumerate(KPI_LABELS):
         is_l = F.col(lab) == name
