@@ -291,3 +291,37 @@ def test_keep_latest_shuffle_path_equals_broadcast_path(spark, monkeypatch):
     assert "BroadcastHashJoin" not in plan
     assert rows(shuffled, "id") == broadcast
     assert len([r for r in broadcast if r[0] < 3000]) == len([i for i in range(3000) if i % 7 == 6])
+
+
+def test_bounds_cut_at_first_monthless_column_beyond_10(spark):
+    g = _multi_sheet()
+    g[(-1, 13)] = "TOTAL"
+    g[(-1, 14)] = "Commentaire"
+    g[(0, 13)] = g[(0, 14)] = "Prévu"
+    for r in range(1, 5):
+        g[(r, 13)] = "1"
+        g[(r, 14)] = "2"
+    b = C.sheet_bounds(C.prepare_cells(_grid(spark, g))).first()
+    # numeric run 1..14, but column 14 has no month word: the table ends before it
+    assert (b["col_debut"], b["col_fin"], b["repli"]) == (0, 14, False)
+    fact = C.ingest_forecast(_grid(spark, g), "multi")
+    assert fact.where("mois_nom = 'TOTAL'").count() == 4 and fact.where("mois IS NULL").count() == 4
+
+
+def test_bounds_fall_back_on_fully_numeric_column(spark):
+    g = _multi_sheet()
+    g[(-1, 5)] = "2021"  # numeric header over a column without gaps
+    for r in range(0, 6):
+        g[(r, 5)] = "5"
+    b = C.sheet_bounds(C.prepare_cells(_grid(spark, g))).first()
+    assert b["repli"]
+
+
+def test_empty_header_counts_as_text(spark):
+    # column 2 has no header cell: its "Unnamed" name counts as text, so
+    # 2 numbers against 1 text + 1 unnamed header is not a numeric column
+    g = {(-1, 1): "janvier", (0, 1): "Prévu", (1, 1): "1", (2, 1): "2", (3, 1): "3",
+         (0, 2): "Prévu", (1, 2): "1", (2, 2): "2",
+         (1, 0): "Aides", (3, 0): "Variation de trésorerie"}
+    stats = {r["c"]: r["is_float"] for r in C.numeric_columns(C.prepare_cells(_grid(spark, g))).collect()}
+    assert stats[1] is True and stats[2] is False
