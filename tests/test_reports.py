@@ -61,3 +61,10 @@ def test_ingest_and_consolidate(spark, ledger_raw):
     a = ledger_raw.where("FICHIER = 'export_0.csv'")
     b = ledger_raw.where("FICHIER <> 'export_0.csv'")
     assert reports.consolidate_ledger(a, b).count() == ledger_raw.count()
+
+
+def test_reports_are_ordered_by_period(spark, ledger_raw, prev_raw):
+    fr = [r["annee_mois"] for r in reports.flux_report(prev_raw, 1997, "1997-06").collect()]
+    assert fr == sorted(fr)
+    bal = [r["annee_semaine"] for r in reports.balance(ledger_raw, "S").collect()]
+    assert bal == sorted(bal)

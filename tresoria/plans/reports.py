@@ -25,12 +25,19 @@ def sage_clean(ledger_raw: DataFrame) -> DataFrame:
     return ledger.clean_ledger(ledger_raw)
 
 
+def _period_col(freq: str) -> str:
+    return "annee_mois" if freq.upper().startswith("M") else "trimestre"
+
+
 def flux_report(prev_raw: DataFrame, annee: int, version: str, freq: str = "M") -> DataFrame:
-    return forecast.flux_report(prev_clean(prev_raw), annee, version, freq)
+    """Ordered by period (the result has at most a few dozen rows)."""
+    out = forecast.flux_report(prev_clean(prev_raw), annee, version, freq)
+    return out.orderBy(_period_col(freq), "type")
 
 
 def nature_report(prev_raw: DataFrame, label: str, annee: int, version: str, freq: str = "M") -> DataFrame:
-    return forecast.nature_report(prev_clean(prev_raw), label, annee, version, freq)
+    out = forecast.nature_report(prev_clean(prev_raw), label, annee, version, freq)
+    return out.orderBy(_period_col(freq))
 
 
 def versions(prev_raw: DataFrame, annee: int | None = None, label: str | None = None) -> DataFrame:
@@ -46,7 +53,8 @@ def kpi(ledger_raw: DataFrame, lag_days: int, end_date=None,
 def balance(ledger_raw: DataFrame, freq: str = "J", accounts: Sequence[str] | None = (CONSOLIDATED_ACCOUNT,),
             start=None, end=None, grain: str = "flux", how: str = "sum") -> DataFrame:
     s = ledger.filter_range_accounts(sage_clean(ledger_raw), start, end, accounts)
-    return periods.balance(s, grain, freq, how)
+    out = periods.balance(s, grain, freq, how)
+    return out.orderBy(out.columns[0], "banque_compte")
 
 
 def flows(ledger_raw: DataFrame, kind: str = "recettes", freq: str = "J", grain: str = "flux",
@@ -55,7 +63,8 @@ def flows(ledger_raw: DataFrame, kind: str = "recettes", freq: str = "J", grain:
     derived from the whole ledger, the rows from the chosen date range."""
     all_rows = sage_clean(ledger_raw)
     labels = periods.flow_labels(all_rows, kind, grain, budget_codes)
-    return periods.flows(ledger.filter_range_accounts(all_rows, start, end), labels, grain, freq)
+    out = periods.flows(ledger.filter_range_accounts(all_rows, start, end), labels, grain, freq)
+    return out.orderBy(out.columns[0], out.columns[1])
 
 
 def flow_axis(ledger_raw: DataFrame, grain: str = "flux", start=None, end=None,
