@@ -14,6 +14,28 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 1_000_000
 
 
+def checked_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
+    """Persist and count ``df``; return ``(df, True)`` if it has at most
+    ``max_rows`` rows (then kept persisted), else ``(df, False)`` unpersisted.
+
+    A table derived from a checked one with at most one row per checked row
+    (e.g. one row per sheet) inherits the bound: no new count is needed."""
+    small = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if small.count() <= max_rows:
+        return small, True
+    small.unpersist()
+    return df, False
+
+
+def broadcast_if(df: DataFrame, bounded: bool) -> DataFrame:
+    """Broadcast hint only for a side whose row bound is already proven.
+
+    The side is persisted lazily (no count job): its first use fills the
+    cache and every other reference to it, in this plan or the next, reads
+    the persisted rows."""
+    return F.broadcast(df.persist(StorageLevel.MEMORY_AND_DISK)) if bounded else df
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Return ``broadcast(df)`` if ``df`` has at most ``max_rows`` rows.
 
@@ -23,12 +45,8 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     instead of recomputing the aggregate.  Above the bound the rows are
     released and the join is left to the planner (shuffle join; AQE splits
     skewed partitions)."""
-    small = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = small.count()
-    if n <= max_rows:
-        return F.broadcast(small)
-    small.unpersist()
-    return df
+    small, ok = checked_small(df, max_rows)
+    return broadcast_if(small, ok)
 
 
 def semi_join_small(big: DataFrame, small: DataFrame, on, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
