@@ -348,6 +348,12 @@ def q_numeric_columns(spark, sf):
     return C.numeric_columns(prepared(spark, sf, "cells"))
 
 
+@register("month_columns", O.ctes(**O.bounds_ctes("cells")) + "SELECT file, sheet, c FROM st2 WHERE has_month")
+def q_month_columns(spark, sf):
+    stats = C.numeric_columns(prepared(spark, sf, "cells"))
+    return stats.where(F.col("has_month")).select("file", "sheet", "c")
+
+
 @register("leading_run", O.ctes(**O.bounds_ctes("cells")) + "SELECT * FROM run")
 def q_leading_run(spark, sf):
     return C._leading_run(C.numeric_columns(prepared(spark, sf, "cells")), "is_float")
