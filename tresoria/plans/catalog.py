@@ -9,9 +9,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tresoria import constants as K
 from tresoria import fixtures
-from tresoria.operators import controls, ledger, periods
+from tresoria.functions.text import normalise_name, stringify
+from tresoria.functions.version import version_from_filename
+from tresoria.operators import cells as C
+from tresoria.operators import controls, forecast, labels, ledger, periods
+from tresoria.operators.controls import quality_gate
 from tresoria.plans import oracle_sql as O
+from tresoria.session import scratch_path
+from tresoria.sources import sinks
+from tresoria.sources.tables import new_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -174,10 +182,6 @@ def q_balance_week_filtered(spark, sf):
 
 # -------------------------------------------------------------- forecast ---
 
-from tresoria import constants as K  # noqa: E402
-from tresoria.functions.text import normalise_name, stringify  # noqa: E402
-from tresoria.operators import forecast, labels  # noqa: E402
-
 
 def raw_prev(spark, sf):
     return fixtures.view(spark, sf, "prev")
@@ -317,10 +321,6 @@ def q_label_normaliser(spark, sf):
 
 # ----------------------------------------------------------------- cells ---
 
-from tresoria.functions.version import version_from_filename  # noqa: E402
-from tresoria.operators import cells as C  # noqa: E402
-from tresoria.operators.controls import quality_gate  # noqa: E402
-
 
 def prepared(spark, sf, name):
     return C.prepare_cells(fixtures.view(spark, sf, name))
@@ -424,10 +424,6 @@ def q_adjustments(spark, sf):
 
 # ------------------------------------------------------- sources / sinks ---
 
-from tresoria.sources import sinks  # noqa: E402
-from tresoria.sources.tables import new_files  # noqa: E402
-from tresoria.session import scratch_path  # noqa: E402
-
 
 @register("consolidate", O.ctes(ledger=None) + "SELECT * FROM ledger")
 def q_consolidate(spark, sf):
