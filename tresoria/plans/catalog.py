@@ -469,3 +469,13 @@ def q_write_append_compact(spark, sf):
     sinks.write_append(raw.where(even), base, load_date=LOAD_DATE)
     sinks.write_append(raw.where(~even | even.isNull()), base, load_date=LOAD_DATE)
     return sinks.compact(spark, base, base + "_compact")
+
+
+@register("typed_ledger_store", O.ctes(ledger=None, typed=O.TYPED_LEDGER)
+          + "SELECT *, strftime(date_montant, '%Y-%m') AS annee_mois FROM typed")
+def q_typed_ledger_store(spark, sf):
+    import uuid
+    path = scratch_path(spark, f"tables/ledger_typed_{uuid.uuid4().hex}")
+    ledger.store_typed_ledger(raw_ledger(spark, sf), path)
+    return (spark.read.option("basePath", path).parquet(path)
+            .withColumn("annee_mois", F.col("annee_mois").cast("string")))
