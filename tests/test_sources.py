@@ -121,3 +121,16 @@ def test_streaming_adjustments(spark):
     out = sorted(tuple(r) for r in ingest.read_ingested(spark, sink + "/adj")
                  .select("MOIS", "MONTANT_RETRAITEMENT", "RAISON").collect())
     assert out == [("01", "10.5", "décalage"), ("03", "30", "report")]
+
+
+def test_compact_catalog_table_swaps_location(spark):
+    d = _tmpdir()
+    df = spark.createDataFrame([(i, f"x{i}") for i in range(50)], "id int, s string")
+    spark.sql("DROP TABLE IF EXISTS tresoria_compact_t")
+    sinks.write_overwrite(df.repartition(5), d + "/t", table="tresoria_compact_t", load_date="2024-01-31")
+    before = sorted(map(tuple, spark.table("tresoria_compact_t").collect()))
+    new = sinks.compact_table(spark, "tresoria_compact_t", target_file_bytes=1 << 30)
+    assert sinks.table_location(spark, "tresoria_compact_t").rstrip("/").endswith(new.rsplit("/", 1)[-1])
+    assert sorted(map(tuple, spark.table("tresoria_compact_t").collect())) == before
+    assert len([f for f in os.listdir(new.replace("file:", "")) if f.endswith(".parquet")]) == 1
+    spark.sql("DROP TABLE IF EXISTS tresoria_compact_t")

@@ -66,5 +66,31 @@ def compact(spark: SparkSession, path: str, out_path: str, target_file_bytes: in
     about ``target_file_bytes``; the content is unchanged (same multiset of
     rows).  The number of files follows the stored size, not a row count."""
     n = max(1, math.ceil(_path_bytes(spark, path) / target_file_bytes))
-    spark.read.parquet(path).repartition(n).write.mode("overwrite").parquet(out_path)
+    df = spark.read.parquet(path)
+    # fewer, larger files: merge scan partitions without a shuffle; only a
+    # table whose scan gives fewer partitions than wanted files is re-spread
+    out = df.coalesce(n) if n <= df.rdd.getNumPartitions() else df.repartition(n)
+    out.write.mode("overwrite").parquet(out_path)
     return spark.read.parquet(out_path)
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    for r in rows:
+        if r["col_name"] == "Location":
+            return r["data_type"]
+    raise ValueError(f"{table} has no location")
+
+
+def compact_table(spark: SparkSession, table: str, target_file_bytes: int = TARGET_FILE_BYTES) -> str:
+    """Compact a catalog table: write the compacted copy next to the current
+    files, then point the table at it (a metadata change; no file is moved).
+    Readers see either the old or the new location, never a partial copy.
+    Returns the new location; the old files stay for the retention policy."""
+    import uuid
+    old = table_location(spark, table)
+    new = f"{old.rstrip('/')}_compact_{uuid.uuid4().hex[:12]}"
+    compact(spark, old, new, target_file_bytes)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
+    spark.catalog.refreshTable(table)
+    return new
