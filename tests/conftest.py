@@ -10,7 +10,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
     from tresoria.session import build_session
-    s = build_session(master="local[*]", shuffle_partitions=8, app_name="tresoria-tests")
+    wh = tempfile.mkdtemp(prefix="tresoria-wh-", dir="/tmp")
+    s = build_session(master="local[*]", shuffle_partitions=8, app_name="tresoria-tests",
+                      extra={"spark.sql.warehouse.dir": wh})
     yield s
     s.stop()
