@@ -134,3 +134,25 @@ def test_compact_catalog_table_swaps_location(spark):
     assert sorted(map(tuple, spark.table("tresoria_compact_t").collect())) == before
     assert len([f for f in os.listdir(new.replace("file:", "")) if f.endswith(".parquet")]) == 1
     spark.sql("DROP TABLE IF EXISTS tresoria_compact_t")
+
+
+def test_decode_rich_text_and_iso_dates():
+    import io
+    import zipfile
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    rns = 'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as z:
+        z.writestr("xl/workbook.xml", f'<workbook {ns} {rns}><sheets><sheet name="S" sheetId="1" r:id="rId1"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels",
+                   '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+                   '<Relationship Id="rId1" Type="x" Target="/xl/worksheets/s1.xml"/></Relationships>')
+        z.writestr("xl/sharedStrings.xml", f'<sst {ns}><si><r><t>Solde </t></r><r><t>final</t></r>'
+                                            '<rPh><t>ignored</t></rPh></si></sst>')
+        z.writestr("xl/worksheets/s1.xml", f'<worksheet {ns}><sheetData><row r="1">'
+                                           '<c r="A1" t="s"><v>0</v></c><c r="B1" t="d"><v>2021-03-01T00:00:00</v></c>'
+                                           '<c r="C1" t="inlineStr"><is><t>abc</t></is></c><c r="D1"><f>1+1</f><v>2</v></c>'
+                                           '</row></sheetData></worksheet>')
+    cells = sorted(workbook.decode_workbook("x.xlsx", buf.getvalue()))
+    assert cells == [("S", 1, -1, 0, "Solde final"), ("S", 1, -1, 1, "2021-03-01"),
+                     ("S", 1, -1, 2, "abc"), ("S", 1, -1, 3, "2")]

@@ -38,7 +38,13 @@ def _col_index(letters: str) -> int:
 
 
 def _text(el) -> str:
-    return "".join(t.text or "" for t in el.iter(f"{{{_NS['m']}}}t"))
+    """Text of a string item: its own ``<t>`` or its rich-text runs' ``<t>``;
+    phonetic hints (``<rPh>``) are not part of the value."""
+    m = _NS["m"]
+    out = [t.text or "" for t in el.findall(f"{{{m}}}t")]
+    for run in el.findall(f"{{{m}}}r"):
+        out += [t.text or "" for t in run.findall(f"{{{m}}}t")]
+    return "".join(out)
 
 
 def _date_styles(z: zipfile.ZipFile) -> set[int]:
@@ -100,6 +106,8 @@ def decode_workbook(name: str, content: bytes):
                     v = "True" if ve.text == "1" else "False"
                 elif kind in ("str", "e"):
                     v = ve.text
+                elif kind == "d":  # ISO 8601 date cell
+                    v = ve.text[:10] if ve.text.endswith("T00:00:00") or len(ve.text) == 10 else ve.text.replace("T", " ")
                 else:
                     v = _number_text(ve.text, int(cell.get("s", "0")) in dates)
             if v is None or v == "":
