@@ -115,6 +115,16 @@ def decode_workbook(name: str, content: bytes):
             yield sh.get("name"), no, int(m.group(2)) - 2, _col_index(m.group(1)), v
 
 
+# decoded cells leave the task in chunks of this many rows, so memory per
+# task stays bounded however large a workbook is
+CHUNK_ROWS = 200_000
+
+
+def _frame(rows):
+    return pd.DataFrame(rows, columns=["file", "sheet", "sheet_no", "r", "c", "v"]).astype(
+        {"sheet_no": "int32", "r": "int32", "c": "int32"})
+
+
 def _decode_batches(batches):
     for pdf in batches:
         rows = []
@@ -122,8 +132,11 @@ def _decode_batches(batches):
             name = path.rsplit("/", 1)[-1]
             for sheet, no, r, c, v in decode_workbook(name, bytes(content)):
                 rows.append((path, sheet, no, r, c, v))
-        yield pd.DataFrame(rows, columns=["file", "sheet", "sheet_no", "r", "c", "v"]).astype(
-            {"sheet_no": "int32", "r": "int32", "c": "int32"})
+                if len(rows) >= CHUNK_ROWS:
+                    yield _frame(rows)
+                    rows = []
+        if rows:
+            yield _frame(rows)
 
 
 def decode_files(files: DataFrame) -> DataFrame:
