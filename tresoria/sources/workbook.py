@@ -87,32 +87,46 @@ def decode_workbook(name: str, content: bytes):
     for no, sh in enumerate(wb.iterfind("m:sheets/m:sheet", _NS), start=1):
         t = target[sh.get(f"{{{_NS['r']}}}id")]
         part = t.lstrip("/") if t.startswith("/") else posixpath.normpath(posixpath.join("xl", t))
-        root = ET.fromstring(z.read(part))
-        for cell in root.iterfind("m:sheetData/m:row/m:c", _NS):
-            m = _REF.match(cell.get("r", ""))
-            if not m:
-                continue
-            kind = cell.get("t", "n")
-            if kind == "inlineStr":
-                is_ = cell.find("m:is", _NS)
-                v = _text(is_) if is_ is not None else None
-            else:
-                ve = cell.find("m:v", _NS)
-                if ve is None or ve.text is None:
+        # streamed: each row element is released once its cells are read
+        c_tag, row_tag = f"{{{_NS['m']}}}c", f"{{{_NS['m']}}}row"
+        with z.open(part) as fh:
+            for _, el in ET.iterparse(fh, events=("end",)):
+                if el.tag == row_tag:
+                    el.clear()
                     continue
-                if kind == "s":
-                    v = shared[int(ve.text)]
-                elif kind == "b":
-                    v = "True" if ve.text == "1" else "False"
-                elif kind in ("str", "e"):
-                    v = ve.text
-                elif kind == "d":  # ISO 8601 date cell
-                    v = ve.text[:10] if ve.text.endswith("T00:00:00") or len(ve.text) == 10 else ve.text.replace("T", " ")
-                else:
-                    v = _number_text(ve.text, int(cell.get("s", "0")) in dates)
-            if v is None or v == "":
-                continue
-            yield sh.get("name"), no, int(m.group(2)) - 2, _col_index(m.group(1)), v
+                if el.tag != c_tag:
+                    continue
+                out = _cell_value(el, shared, dates)
+                if out is not None:
+                    yield sh.get("name"), no, out[0], out[1], out[2]
+
+
+def _cell_value(cell, shared, dates):
+    """``(r, c, text)`` of one ``<c>`` element, or None when empty."""
+    m = _REF.match(cell.get("r", ""))
+    if not m:
+        return None
+    kind = cell.get("t", "n")
+    if kind == "inlineStr":
+        is_ = cell.find("m:is", _NS)
+        v = _text(is_) if is_ is not None else None
+    else:
+        ve = cell.find("m:v", _NS)
+        if ve is None or ve.text is None:
+            return None
+        if kind == "s":
+            v = shared[int(ve.text)]
+        elif kind == "b":
+            v = "True" if ve.text == "1" else "False"
+        elif kind in ("str", "e"):
+            v = ve.text
+        elif kind == "d":  # ISO 8601 date cell
+            v = ve.text[:10] if ve.text.endswith("T00:00:00") or len(ve.text) == 10 else ve.text.replace("T", " ")
+        else:
+            v = _number_text(ve.text, int(cell.get("s", "0")) in dates)
+    if v is None or v == "":
+        return None
+    return int(m.group(2)) - 2, _col_index(m.group(1)), v
 
 
 # decoded cells leave the task in chunks of this many rows, so memory per
