@@ -21,10 +21,6 @@ def parse_timestamp(c, fmt: str = "yyyy/MM/dd HH:mm:ss") -> Column:
     return F.try_to_timestamp(col_(c), F.lit(fmt)).cast("timestamp_ntz")
 
 
-def year_of(d) -> Column:
-    return F.year(col_(d))
-
-
 def year_month(d) -> Column:
     """``yyyy-MM`` of a date."""
     return F.date_format(col_(d), "yyyy-MM")

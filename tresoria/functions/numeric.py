@@ -28,8 +28,3 @@ def money(c) -> Column:
 def money_sum(c) -> Column:
     """Sum of amounts that skips missing values and is 0 over an all-missing group."""
     return F.coalesce(F.sum(money(c)), F.lit(0).cast(MONEY_TYPE)).cast("double")
-
-
-def money_sum_or_null(c) -> Column:
-    """Sum of amounts, NULL over an all-missing group (for conditional sums)."""
-    return F.sum(money(c)).cast("double")

@@ -1,6 +1,6 @@
 """Independent ANSI/DuckDB SQL for every registered query.
 
-Each text defines the fixture views it reads (``fixtures.oracle_with``) and
+Each text defines the fixture views it reads (``oracle_sql.ctes``) and
 recomputes the result from the driver's base tables with plain SQL.  Money
 is summed as DECIMAL(28,4) then cast to DOUBLE, exactly as the Spark side,
 so both results are independent of summation order.
@@ -168,7 +168,6 @@ def _harm_sql() -> str:
             f"ELSE nature_montant END AS r FROM typedp)")
 
 
-REAL = None  # filled below
 
 
 def _latest_sql() -> str:

@@ -92,17 +92,3 @@ def materialize(df, name: str = "stage"):
     path = scratch_path(spark, f"stages/{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
-
-
-def spread(df):
-    """Give ``df`` at least the cluster's default parallelism in partitions.
-
-    A small table stored as one Parquet row group is scanned by one task, so
-    every per-row expression after it runs on one core.  Such inputs are
-    spread round-robin first; inputs that already have enough partitions
-    (any table at scale) are returned unchanged, so no shuffle is added
-    there."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want)
