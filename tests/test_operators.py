@@ -325,3 +325,22 @@ def test_empty_header_counts_as_text(spark):
          (1, 0): "Aides", (3, 0): "Variation de trésorerie"}
     stats = {r["c"]: r["is_float"] for r in C.numeric_columns(C.prepare_cells(_grid(spark, g))).collect()}
     assert stats[1] is True and stats[2] is False
+
+
+def test_budget_label_set_is_null_safe(spark):
+    codes = spark.createDataFrame([("R01",), ("r02",), ("",), (None,), ("D01",), ("Solde Final",)], "code_budgetaire string")
+    s = spark.createDataFrame([], "code_flux_libelle string, type_montant string")
+    rec = rows(periods.flow_labels(s, "recettes", "budget", codes), "code_budgetaire")
+    dep = rows(periods.flow_labels(s, "depenses", "budget", codes), "code_budgetaire")
+    assert rec == [("R01",), ("r02",)] and dep == [("D01",)]
+
+
+def test_date_account_filter_keeps_leading_blanks(spark):
+    raw = _ledger(spark, [
+        ("2024/01/06", "2024/01/06 06:00:00", " 107CDNB", "R", "x", "x", "1", "a"),
+        ("2024/01/06", "2024/01/06 06:00:00", "107CDNB", "R", "x", "x", "2", "a"),
+        ("bad", "2024/01/06 06:00:00", " 107CDNB", "R", "x", "x", "3", "a"),
+        ("2024/02/06", "2024/02/06 06:00:00", " 107CDNB", "R", "x", "x", "4", "a")])
+    t = ledger.typed_ledger(raw)
+    out = ledger.filter_range_accounts(t, "2024-01-01", "2024-01-31", [" 107CDNB"])
+    assert rows(out, "montant") == [(1.0,)]
