@@ -74,6 +74,8 @@ def _side_sums(clean: DataFrame, label_to_cat: DataFrame | None, annee: int, ver
     df = clean.where((F.col("annee") == annee) & (is_real | is_prev) & F.col(period).isNotNull())
     if label_to_cat is not None:
         df = df.join(F.broadcast(label_to_cat), on="nature_montant", how="inner")
+    elif labels is None:  # every label is its own group
+        df = df.where(F.col("nature_montant").isNotNull()).withColumn("categorie", F.col("nature_montant"))
     else:
         df = df.where(F.col("nature_montant").isin(labels)).withColumn("categorie", F.lit("nature"))
     amt = money("montant_millions")
@@ -128,6 +130,13 @@ def nature_report(clean: DataFrame, label: str, annee: int, version: str, freq:
     return _realised_vs_forecast(sums, period, None).drop("type")
 
 
+def label_reports(clean: DataFrame, annee: int, version: str, freq: str = "M") -> DataFrame:
+    """``nature_report`` for every label at once (one group per label)."""
+    period = _period(freq)
+    sums = _side_sums(clean, None, annee, version, period, labels=None)
+    return _realised_vs_forecast(sums, period, None).withColumnRenamed("type", "nature_montant")
+
+
 def running_totals(clean: DataFrame) -> DataFrame:
     """Monthly sums and running totals within the year for every label:
     realised per (label, year), forecasts per (label, year, version).

@@ -233,6 +233,11 @@ def q_nature_report(spark, sf):
     return forecast.nature_report(clean_prev(spark, sf), REPORT_LABEL, REPORT_YEAR, REPORT_VERSION, "M")
 
 
+@register("label_reports", O.label_reports_sql(REPORT_YEAR, REPORT_VERSION, "M"))
+def q_label_reports(spark, sf):
+    return forecast.label_reports(clean_prev(spark, sf), REPORT_YEAR, REPORT_VERSION, "M")
+
+
 @register("running_totals", O.prev_ctes() + O.RUNNING_TOTALS)
 def q_running_totals(spark, sf):
     return forecast.running_totals(clean_prev(spark, sf))

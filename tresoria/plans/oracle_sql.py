@@ -205,6 +205,19 @@ def _side(name: str, cond: str, period: str) -> str:
             f"FROM cleanp JOIN l2c USING (nature_montant) WHERE {cond} AND {period} IS NOT NULL GROUP BY categorie, {period}")
 
 
+def label_reports_sql(annee: int, version: str, freq: str = "M") -> str:
+    """Every label against one forecast version (no sign flip)."""
+    period = "annee_mois" if freq == "M" else "trimestre"
+    real = f"type_montant IN {in_list(K.REALISED_TYPES)} AND annee = {annee}"
+    prv = f"type_montant = {q(K.FORECAST_TYPE)} AND annee = {annee} AND version_prev = {q(version)}"
+    l2c = "SELECT DISTINCT nature_montant, nature_montant AS categorie FROM cleanp WHERE nature_montant IS NOT NULL"
+    body = (f"SELECT COALESCE(r.{period}, p.{period}) AS {period}, COALESCE(r.categorie, p.categorie) AS nature_montant, "
+            f"CAST(r.s AS DOUBLE) AS montant_realise, CAST(p.s AS DOUBLE) AS montant_prevu, "
+            f"CAST(r.c AS DOUBLE) AS cumul_realise, CAST(p.c AS DOUBLE) AS cumul_prevu "
+            f"FROM r FULL OUTER JOIN p ON r.categorie = p.categorie AND r.{period} = p.{period}")
+    return prev_ctes(l2c=l2c, r=_side("r", real, period), p=_side("p", prv, period)) + body
+
+
 def flux_report_sql(annee: int, version: str, freq: str = "M", label: str | None = None) -> str:
     period = "annee_mois" if freq == "M" else "trimestre"
     if label is None:
