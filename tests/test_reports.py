@@ -68,3 +68,9 @@ def test_reports_are_ordered_by_period(spark, ledger_raw, prev_raw):
     assert fr == sorted(fr)
     bal = [r["annee_semaine"] for r in reports.balance(ledger_raw, "S").collect()]
     assert bal == sorted(bal)
+
+
+def test_label_reports_contain_the_single_label_report(spark, prev_raw):
+    allr = reports.label_reports(prev_raw, 1997, "1997-06").where("nature_montant = 'Contributions pôle emploi'")
+    one = reports.nature_report(prev_raw, "Contributions pôle emploi", 1997, "1997-06")
+    assert same(one, allr.drop("nature_montant"))

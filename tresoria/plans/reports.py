@@ -40,6 +40,12 @@ def nature_report(prev_raw: DataFrame, label: str, annee: int, version: str, fre
     return out.orderBy(_period_col(freq))
 
 
+def label_reports(prev_raw: DataFrame, annee: int, version: str, freq: str = "M") -> DataFrame:
+    """Every label realised against one forecast version, ordered by label and period."""
+    out = forecast.label_reports(prev_clean(prev_raw), annee, version, freq)
+    return out.orderBy("nature_montant", _period_col(freq))
+
+
 def versions(prev_raw: DataFrame, annee: int | None = None, label: str | None = None) -> DataFrame:
     return forecast.versions(prev_clean(prev_raw), annee, label).orderBy("annee", "version_prev", ascending=False)
 
