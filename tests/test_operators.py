@@ -344,3 +344,13 @@ def test_date_account_filter_keeps_leading_blanks(spark):
     t = ledger.typed_ledger(raw)
     out = ledger.filter_range_accounts(t, "2024-01-01", "2024-01-31", [" 107CDNB"])
     assert rows(out, "montant") == [(1.0,)]
+
+
+def test_ledger_dates_accept_both_export_forms(spark):
+    raw = _ledger(spark, [
+        ("2024/01/06", "2024/01/06 06:00:00", "Total", "R", "x", "x", "1", "a"),
+        ("2024-01-07", "2024-01-07 06:00:00", "Total", "R", "x", "x", "2", "a"),
+        ("07/01/2024", "bad", "Total", "R", "x", "x", "3", "a")])
+    got = rows(ledger.typed_ledger(raw), "montant", "date_montant")
+    import datetime as dt
+    assert got == [(1.0, dt.date(2024, 1, 6)), (2.0, dt.date(2024, 1, 7)), (3.0, None)]

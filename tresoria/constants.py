@@ -144,9 +144,9 @@ SPENDING_MARK = "pense"
 # FIXED VALUES: look-back in days of the KPI change, by frequency code.
 KPI_LAG_DAYS = {"J": 1, "S": 7, "M": 30, "T": 90, "A": 365}
 
-# FIXED VALUES: ledger text formats.
-LEDGER_DATE_FORMAT = "yyyy/MM/dd"
-LEDGER_TIMESTAMP_FORMAT = "yyyy/MM/dd HH:mm:ss"
+# FIXED VALUES: ledger text formats (the export's form first, then the ISO form).
+LEDGER_DATE_FORMATS = ["yyyy/MM/dd", "yyyy-MM-dd"]
+LEDGER_TIMESTAMP_FORMATS = ["yyyy/MM/dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss"]
 
 # FIXED VALUES: allowed forecast labels of the data-quality gate (127 values,
 # in the order of the configuration file).

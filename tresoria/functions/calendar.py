@@ -11,14 +11,19 @@ from tresoria.constants import MONTHS_FR
 from tresoria.functions.numeric import col_
 
 
-def parse_date(c, fmt: str = "yyyy/MM/dd") -> Column:
-    """Text -> date with an explicit pattern; NULL when it does not parse."""
-    return F.try_to_timestamp(col_(c), F.lit(fmt)).cast("date")
+def _formats(fmt) -> list[str]:
+    return [fmt] if isinstance(fmt, str) else list(fmt)
 
 
-def parse_timestamp(c, fmt: str = "yyyy/MM/dd HH:mm:ss") -> Column:
-    """Text -> timestamp without time zone; NULL when it does not parse."""
-    return F.try_to_timestamp(col_(c), F.lit(fmt)).cast("timestamp_ntz")
+def parse_date(c, fmt="yyyy/MM/dd") -> Column:
+    """Text -> date with explicit pattern(s), the first that parses wins;
+    NULL when none does."""
+    return F.coalesce(*[F.try_to_timestamp(col_(c), F.lit(f)) for f in _formats(fmt)]).cast("date")
+
+
+def parse_timestamp(c, fmt="yyyy/MM/dd HH:mm:ss") -> Column:
+    """Text -> timestamp without time zone, pattern(s) as ``parse_date``."""
+    return F.coalesce(*[F.try_to_timestamp(col_(c), F.lit(f)) for f in _formats(fmt)]).cast("timestamp_ntz")
 
 
 def year_month(d) -> Column:

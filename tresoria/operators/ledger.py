@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tresoria.constants import LEDGER_DATE_FORMAT, LEDGER_TIMESTAMP_FORMAT
+from tresoria.constants import LEDGER_DATE_FORMATS, LEDGER_TIMESTAMP_FORMATS
 from tresoria.functions.calendar import (parse_date, parse_timestamp, year_month,
                                          year_quarter, year_week_sunday)
 from tresoria.functions.numeric import to_number
@@ -31,9 +31,9 @@ def typed_ledger(raw: DataFrame) -> DataFrame:
     def typed(c, parse, target):
         return parse(c) if kinds.get(c) == "string" else F.col(c).cast(target)
     return df.withColumns({
-        "date_montant": typed("date_montant", lambda c: parse_date(c, LEDGER_DATE_FORMAT), "date"),
+        "date_montant": typed("date_montant", lambda c: parse_date(c, LEDGER_DATE_FORMATS), "date"),
         "date_production_fichier": typed(
-            "date_production_fichier", lambda c: parse_timestamp(c, LEDGER_TIMESTAMP_FORMAT), "timestamp_ntz"),
+            "date_production_fichier", lambda c: parse_timestamp(c, LEDGER_TIMESTAMP_FORMATS), "timestamp_ntz"),
         "montant": typed("montant", to_number, "double"),
     })
 

@@ -36,8 +36,9 @@ def msum(x: str) -> str:
 
 
 TYPED_LEDGER = """
-SELECT CAST(try_strptime(DATE_MONTANT, '%Y/%m/%d') AS DATE) AS date_montant,
-       try_strptime(DATE_PRODUCTION_FICHIER, '%Y/%m/%d %H:%M:%S') AS date_production_fichier,
+SELECT CAST(COALESCE(try_strptime(DATE_MONTANT, '%Y/%m/%d'), try_strptime(DATE_MONTANT, '%Y-%m-%d')) AS DATE) AS date_montant,
+       COALESCE(try_strptime(DATE_PRODUCTION_FICHIER, '%Y/%m/%d %H:%M:%S'),
+                try_strptime(DATE_PRODUCTION_FICHIER, '%Y-%m-%d %H:%M:%S')) AS date_production_fichier,
        BANQUE_COMPTE AS banque_compte, TYPE_MONTANT AS type_montant,
        CODE_FLUX_LIBELLE AS code_flux_libelle, CODE_BUDGETAIRE AS code_budgetaire,
        TRY_CAST(MONTANT AS DOUBLE) AS montant, FICHIER AS fichier
