@@ -156,3 +156,15 @@ def test_decode_rich_text_and_iso_dates():
     cells = sorted(workbook.decode_workbook("x.xlsx", buf.getvalue()))
     assert cells == [("S", 1, -1, 0, "Solde final"), ("S", 1, -1, 1, "2021-03-01"),
                      ("S", 1, -1, 2, "abc"), ("S", 1, -1, 3, "2")]
+
+
+def test_append_creates_then_adds_to_catalog_table(spark):
+    d = _tmpdir()
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, s string")
+    spark.sql("DROP TABLE IF EXISTS tresoria_append_t")
+    sinks.write_append(df, d + "/t", table="tresoria_append_t", load_date="2024-01-31")
+    sinks.write_append(df, d + "/t", table="tresoria_append_t", load_date="2024-02-29")
+    back = spark.table("tresoria_append_t")
+    assert back.count() == 4
+    assert sorted(r[0] for r in back.select("DATE_EXTRACTION").distinct().collect()) == ["2024-01-31", "2024-02-29"]
+    spark.sql("DROP TABLE IF EXISTS tresoria_append_t")
