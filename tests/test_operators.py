@@ -354,3 +354,17 @@ def test_ledger_dates_accept_both_export_forms(spark):
     got = rows(ledger.typed_ledger(raw), "montant", "date_montant")
     import datetime as dt
     assert got == [(1.0, dt.date(2024, 1, 6)), (2.0, dt.date(2024, 1, 7)), (3.0, None)]
+
+
+def test_typed_forecast_store_prunes_years(spark, tmp_path):
+    from tresoria import fixtures
+    raw = fixtures.view(spark, "/root/testdata/sf0.001", "prev")
+    path = str(tmp_path / "prev")
+    forecast.store_typed_forecast(raw, path)
+    back = spark.read.parquet(path)
+    one_year = forecast.clean_forecast(back).where("annee = 1997")
+    plan = one_year._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(annee" in plan and "= 1997)" in plan
+    direct = forecast.clean_forecast(raw).where("annee = 1997")
+    got = sorted(map(tuple, one_year.select(*direct.columns).collect()), key=str)
+    assert got == sorted(map(tuple, direct.collect()), key=str)

@@ -21,6 +21,13 @@ def typed_forecast(raw: DataFrame) -> DataFrame:
     return df.withColumn("montant_millions", to_number("montant_millions"))
 
 
+def store_typed_forecast(raw: DataFrame, path: str) -> None:
+    """Write the typed forecast fact partitioned by ``annee``: a year filter
+    then reads only that year's folder.  Reading it back gives an integer
+    ``annee`` partition column, which ``clean_forecast`` accepts as well."""
+    typed_forecast(raw).write.mode("overwrite").partitionBy("annee").parquet(path)
+
+
 def latest_realised(df: DataFrame) -> DataFrame:
     """Realised rows of the latest version per (year, month, type, label),
     ties kept, plus every forecast row of every version; other types dropped."""

@@ -484,3 +484,11 @@ def q_typed_ledger_store(spark, sf):
     ledger.store_typed_ledger(raw_ledger(spark, sf), path)
     return (spark.read.option("basePath", path).parquet(path)
             .withColumn("annee_mois", F.col("annee_mois").cast("string")))
+
+
+@register("typed_forecast_store", O.prev_ctes() + "SELECT * FROM typedp")
+def q_typed_forecast_store(spark, sf):
+    import uuid
+    path = scratch_path(spark, f"tables/prev_typed_{uuid.uuid4().hex}")
+    forecast.store_typed_forecast(raw_prev(spark, sf), path)
+    return spark.read.parquet(path).withColumn("annee", F.col("annee").cast("string"))
