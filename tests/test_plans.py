@@ -33,3 +33,9 @@ def test_scans_read_only_needed_columns(spark):
     full = df._jdf.queryExecution().executedPlan().toString()
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", full) or re.findall(r"struct<([^>]*)>", full)
     assert schemas and all("props" not in s and "ts:" not in s for s in schemas)
+
+
+def test_flow_report_uses_two_broadcast_semi_joins(spark):
+    plan = _main_plan(E.queries()["receipts_month"](spark, SF))
+    assert plan.count("BroadcastHashJoin") >= 2 and "SortMergeJoin" not in plan
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
