@@ -168,3 +168,20 @@ def test_append_creates_then_adds_to_catalog_table(spark):
     assert back.count() == 4
     assert sorted(r[0] for r in back.select("DATE_EXTRACTION").distinct().collect()) == ["2024-01-31", "2024-02-29"]
     spark.sql("DROP TABLE IF EXISTS tresoria_append_t")
+
+
+def test_catalog_ledger_roundtrip_report(spark):
+    import __spark_entry__ as E
+    from tresoria import fixtures
+    from tresoria.plans import reports
+    sf = "/root/testdata/sf0.001"
+    d = _tmpdir()
+    spark.sql("CREATE DATABASE IF NOT EXISTS raw_reporting_treso")
+    spark.sql("DROP TABLE IF EXISTS raw_reporting_treso.export_sage_code_flux_historique")
+    sinks.write_overwrite(fixtures.view(spark, sf, "ledger"), d + "/ledger",
+                          table="raw_reporting_treso.export_sage_code_flux_historique", load_date="2024-01-31")
+    stored = tables.ledger_table(spark, "flux")
+    got = reports.balance(stored, "M", accounts=None)
+    want = E.queries()["balance_month"](spark, sf)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
+    spark.sql("DROP TABLE IF EXISTS raw_reporting_treso.export_sage_code_flux_historique")
