@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tresoria.llm import pii, quality, secrets
+from tresoria.llm import pii, quality, secrets, simhash
 from tresoria.llm.common import read_table
 
 
@@ -20,6 +20,10 @@ def op7_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.scan(read_table(spark, sf_dir, "documents", "doc_id", "text")))
 
 
+def op8_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.components(read_table(spark, sf_dir, "documents", "doc_id", "text"), shingle=3, max_bits=3)
+
+
 def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -27,6 +31,7 @@ def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op7_pii_boosting": op7_pii_boosting,
+    "op8_simhash_pigeonring": op8_simhash_pigeonring,
     "op9_line_quality": op9_line_quality,
 }
 
