@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tresoria.llm import pii, quality, secrets, simhash
+from tresoria.llm import packing, pii, quality, secrets, simhash
 from tresoria.llm.common import read_table
 
 
@@ -16,6 +16,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(read_table(spark, sf_dir, "documents", "doc_id", "text")))
 
 
+def op3_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents", "doc_id", "text"), with_ids=False)
+
+
 def op7_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.scan(read_table(spark, sf_dir, "documents", "doc_id", "text")))
 
@@ -30,6 +34,7 @@ def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op3_nnls_packing": op3_nnls_packing,
     "op7_pii_boosting": op7_pii_boosting,
     "op8_simhash_pigeonring": op8_simhash_pigeonring,
     "op9_line_quality": op9_line_quality,
