@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tresoria.llm import packing, pii, quality, secrets, simhash
+from tresoria.llm import hosts, mincut, packing, pii, quality, secrets, simhash
 from tresoria.llm.common import read_table
 
 
@@ -16,10 +16,18 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(read_table(spark, sf_dir, "documents", "doc_id", "text")))
 
 
+def op2_html_mincut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mincut.extract(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op3_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents", "doc_id", "text"), with_ids=False)
 
 
+def op6_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hosts.judge(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op7_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.scan(read_table(spark, sf_dir, "documents", "doc_id", "text")))
 
@@ -34,7 +42,9 @@ def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_html_mincut": op2_html_mincut,
     "op3_nnls_packing": op3_nnls_packing,
+    "op6_host_trust": op6_host_trust,
     "op7_pii_boosting": op7_pii_boosting,
     "op8_simhash_pigeonring": op8_simhash_pigeonring,
     "op9_line_quality": op9_line_quality,
