@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tresoria.llm import hosts, mincut, packing, pii, quality, secrets, simhash
+from tresoria.llm import hosts, mincut, packing, pii, quality, secrets, simhash, tiling
 from tresoria.llm.common import read_table
 
 
@@ -24,6 +24,11 @@ def op3_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents", "doc_id", "text"), with_ids=False)
 
 
+def op4_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.leaks(read_table(spark, sf_dir, "documents", "doc_id", "text"),
+                        read_table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op6_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hosts.judge(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
@@ -44,6 +49,7 @@ QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_html_mincut": op2_html_mincut,
     "op3_nnls_packing": op3_nnls_packing,
+    "op4_string_tiling": op4_string_tiling,
     "op6_host_trust": op6_host_trust,
     "op7_pii_boosting": op7_pii_boosting,
     "op8_simhash_pigeonring": op8_simhash_pigeonring,
