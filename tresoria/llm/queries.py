@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tresoria.llm import hosts, mincut, packing, pii, quality, secrets, simhash, tiling
+from tresoria.llm import brown, hosts, mincut, packing, pii, quality, secrets, simhash, tiling
 from tresoria.llm.common import read_table
 
 
@@ -29,6 +29,10 @@ def op4_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
                         read_table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op5_brown_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.score(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op6_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hosts.judge(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
@@ -50,6 +54,7 @@ QUERIES = {
     "op2_html_mincut": op2_html_mincut,
     "op3_nnls_packing": op3_nnls_packing,
     "op4_string_tiling": op4_string_tiling,
+    "op5_brown_scoring": op5_brown_scoring,
     "op6_host_trust": op6_host_trust,
     "op7_pii_boosting": op7_pii_boosting,
     "op8_simhash_pigeonring": op8_simhash_pigeonring,
