@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tresoria.llm import brown, hosts, mincut, packing, pii, quality, secrets, simhash, tiling
+from tresoria.llm import brown, hosts, mincut, packing, pii, quality, secrets, simhash, suffix, tiling
 from tresoria.llm.common import read_table
 
 
@@ -49,6 +49,10 @@ def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove(read_table(spark, sf_dir, "documents", "doc_id", "text"), with_text=False)
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_html_mincut": op2_html_mincut,
@@ -59,6 +63,7 @@ QUERIES = {
     "op7_pii_boosting": op7_pii_boosting,
     "op8_simhash_pigeonring": op8_simhash_pigeonring,
     "op9_line_quality": op9_line_quality,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLE = {
