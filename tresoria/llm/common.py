@@ -64,3 +64,14 @@ def span_list(spans: Column) -> Column:
     """``kind:start:end`` of each span, comma-joined in the array's order."""
     return F.concat_ws(",", F.transform(spans, lambda x: F.concat_ws(
         ":", x["kind"], x["s"].cast("string"), x["e"].cast("string"))))
+
+
+def settled(df: DataFrame, keep: list[str], columns: dict[str, Column]) -> DataFrame:
+    """``keep`` and the computed ``columns``, as rows of a generator.
+
+    A filter on a computed column would be moved below the projections that
+    compute it, with every expression written out again in it; it cannot be
+    moved below a generator.
+    """
+    one = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select(*keep, F.explode(F.array(one)).alias("__settled")).select(*keep, "__settled.*")

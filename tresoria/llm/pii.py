@@ -24,7 +24,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tresoria.llm.common import labelled, matches, span_list, text_or_empty
+from tresoria.llm.common import labelled, matches, settled, span_list, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -264,7 +264,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", models
     models = train(docs, text_col) if models is None else models
     df = _selected(_prepared(docs, [F.col(id_col).alias("__id")], text_col), models)
     found = F.array_sort(F.concat("__base", "__more"), lambda a, b: _order(a, b))
-    return df.select(F.col("__id").alias(id_col), F.col("__base").alias("base"), found.alias("found"))
+    return settled(df.withColumnRenamed("__id", id_col), [id_col], {"base": F.col("__base"), "found": found})
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tresoria.llm.common import SPAN, labelled, matches, span_list, text_or_empty
+from tresoria.llm.common import SPAN, labelled, matches, settled, span_list, text_or_empty
 
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 #: Whole runs only, so a minimal length inside the pattern drops what the base rule drops.
@@ -113,8 +113,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     df = df.withColumn("__more", F.filter(entropy_spans(text), lambda x: ~F.exists(
         "__base", lambda b: (b["s"] <= x["s"]) & (b["e"] >= x["e"]))))
     more = labelled(F.col("__more"), "entropy", KINDS.index("entropy"))
-    return df.select(F.col("__id").alias(id_col), F.col("__base").alias("base"),
-                     F.array_sort(F.concat("__base", more)).alias("found"))
+    return settled(df.withColumnRenamed("__id", id_col), [id_col], {
+        "base": F.col("__base"), "found": F.array_sort(F.concat("__base", more))})
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
