@@ -275,24 +275,49 @@ def test_typed_ledger_is_idempotent_and_storable(spark, tmp_path):
     assert rows(ledger.clean_ledger(back), "montant") == [(None,)]
 
 
-def test_keep_latest_shuffle_path_equals_broadcast_path(spark, monkeypatch):
-    """A hot key holding a third of the rows; same result whether the per-key
-    maxima are broadcast or (size check failing) joined by shuffle."""
-    from tresoria.operators import joins
+def test_keep_latest_shuffle_path_equals_broadcast_path(spark):
+    """A hot key holding a third of the rows; same result whether the planner
+    broadcasts the per-key maxima or joins them by shuffle."""
     hot = [("hot", f"v{i % 7}", i) for i in range(3000)]
     cold = [(f"k{i}", f"v{i % 3}", 10000 + i) for i in range(6000)]
     df = spark.createDataFrame(hot + cold, "k string, v string, id int")
     broadcast = rows(latest.keep_latest(df, ["k"], "v"), "id")
-    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 0)
-    monkeypatch.setattr(joins.broadcast_if_small, "__defaults__", (0,))
-    monkeypatch.setattr(joins.semi_join_small, "__defaults__", (0,))
-    shuffled = latest.keep_latest(df, ["k"], "v")
-    plan = shuffled._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" not in plan
-    assert rows(shuffled, "id") == broadcast
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = [spark.conf.get(k) for k in keys]
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        shuffled = latest.keep_latest(df, ["k"], "v")
+        got = rows(shuffled, "id")
+        assert "BroadcastHashJoin" not in shuffled._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in zip(keys, before):
+            spark.conf.set(k, v)
+    assert got == broadcast
     assert len([r for r in broadcast if r[0] < 3000]) == len([i for i in range(3000) if i % 7 == 6])
 
 
+def test_small_amounts_are_not_cut(spark):
+    """Ten amounts of 0.00004 sum to 0.0004; an amount out of range raises."""
+    from pyspark.errors import PySparkException
+    from tresoria.functions.numeric import money_sum
+    df = spark.createDataFrame([(0.00004,)] * 10 + [(None,), (float("nan"),)], "x double")
+    assert df.agg(money_sum("x").alias("s")).first().s == 0.0004
+    wide = spark.createDataFrame([(1e25,), (1.0,)], "x double")
+    assert wide.agg(money_sum("x").alias("s")).first().s == 1e25 + 1.0
+    import pytest
+    with pytest.raises(PySparkException, match="out of range"):
+        spark.createDataFrame([(1e27,)], "x double").agg(money_sum("x").alias("s")).collect()
+
+
+def test_numbers_are_strict(spark):
+    from tresoria.functions.numeric import to_number
+    texts = {"12": 12.0, " -1.5 ": -1.5, "1e3": 1000.0, ".5": 0.5, "7.": 7.0, "nan": None, "NaN": None, "12d": None, "3f": None,
+             "Infinity": None, "inf": None, "n/a": None, "": None, "1 000": None, "0x1A": None}
+    df = spark.createDataFrame(list(texts.items()), "t string, want double")
+    assert [r.t for r in df.select("t", to_number("t").alias("got"), "want").where("not (got <=> want)").collect()] == []
+
+
 def test_bounds_cut_at_first_monthless_column_beyond_10(spark):
     g = _multi_sheet()
     g[(-1, 13)] = "TOTAL"

@@ -180,7 +180,7 @@ def test_catalog_ledger_roundtrip_report(spark):
     spark.sql("DROP TABLE IF EXISTS raw_reporting_treso.export_sage_code_flux_historique")
     sinks.write_overwrite(fixtures.view(spark, sf, "ledger"), d + "/ledger",
                           table="raw_reporting_treso.export_sage_code_flux_historique", load_date="2024-01-31")
-    stored = tables.ledger_table(spark, "flux")
+    stored = tables.ledger_table(spark, "raw_reporting_treso", "flux")
     got = reports.balance(stored, "M", accounts=None)
     want = E.queries()["balance_month"](spark, sf)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))

@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Amounts are summed as fixed-point decimals, then turned back into doubles:
-# the result no longer depends on the order in which partitions are merged,
-# which a double sum does (and which would differ run to run on a cluster).
-MONEY_TYPE = "decimal(28,4)"
+# Amounts are summed as fixed-point decimals, then turned back into doubles: the
+# result does not depend on the order in which partitions are merged, which a
+# double sum does.  Twelve places keep amounts in millions to the millionth of a
+# unit; an amount beyond the type's 26 whole digits raises.
+MONEY_TYPE = "decimal(38,12)"
+
+#: What counts as a number: an optional sign, digits with at most one point, an optional exponent.
+NUMBER = r"^[ \t]*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?[ \t]*$"
 
 
 def col_(c) -> Column:
@@ -16,13 +20,19 @@ def col_(c) -> Column:
 
 
 def to_number(c) -> Column:
-    """Text -> double, NULL when the text is not a number (``'n/a'``, ``''``)."""
-    return col_(c).try_cast("double")
+    """Text -> double, NULL when the text is not a plain number (``'n/a'``, ``''``,
+    ``'nan'``, ``'12d'``, ``'Infinity'``)."""
+    text = col_(c).cast("string")
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def money(c) -> Column:
-    """A double amount as an exact decimal (NULL stays NULL)."""
-    return col_(c).try_cast(MONEY_TYPE)
+    """A double amount as an exact decimal; NULL and NaN give NULL, an amount out of
+    range raises (whatever the session's own rule for casts is)."""
+    v = col_(c)
+    exact = F.when(~F.isnan(v), v).try_cast(MONEY_TYPE)
+    lost = v.isNotNull() & ~F.isnan(v) & exact.isNull()
+    return F.when(lost, F.raise_error(F.concat(F.lit("amount out of range: "), v.cast("string"))).cast(MONEY_TYPE)).otherwise(exact)
 
 
 def money_sum(c) -> Column:

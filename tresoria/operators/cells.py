@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 
 from tresoria.constants import ALLOWED_LABELS, ANCHOR_TEXTS, MONTH_COLUMN_WORDS, MONTHS_FR
 from tresoria.functions.calendar import month_number
+from tresoria.functions.numeric import to_number
 from tresoria.functions.text import fill_trim_label, null_text
 from tresoria.functions.version import version_from_filename
 from tresoria.operators.controls import quality_gate
-from tresoria.operators.joins import broadcast_if, broadcast_if_small, checked_small
+from tresoria.operators.joins import semi_join
 from tresoria.session import materialize
 
 SHEET = ["file", "sheet"]
@@ -43,16 +44,20 @@ def prepare_cells(cells: DataFrame) -> DataFrame:
     Every later step reads the cells several times (bounds, crop, unpivot);
     reading a written copy keeps plans small and avoids decoding the source
     again.  Operators accept unprepared cells too."""
+    if getattr(cells, "_prepared_cells", False):
+        return cells
     df = normalise_cells(cells)
     cols = [F.col("file").cast("string"), F.col("sheet").cast("string"),
             F.col("r").cast("int"), F.col("c").cast("int"), F.col("v").cast("string")]
     if "sheet_no" in df.columns:
         cols.append(F.col("sheet_no").cast("int"))
-    return materialize(df.select(*cols), "cells")
+    out = materialize(df.select(*cols), "cells")
+    out._prepared_cells = True  # written already: a second preparation returns it as it is
+    return out
 
 
 def is_number(v: Column) -> Column:
-    return v.try_cast("double").isNotNull()
+    return to_number(v).isNotNull()
 
 
 def _contains_any(v: Column, words: Sequence[str]) -> Column:
@@ -95,11 +100,10 @@ def _anchor_table(cells: DataFrame) -> DataFrame:
                     "ancre", "arret"))
 
 
-def _column_stats(cells: DataFrame, anchors: DataFrame, sheets_bounded: bool | None = None) -> DataFrame:
+def _column_stats(cells: DataFrame, anchors: DataFrame) -> DataFrame:
     """Per (sheet, column) statistics over the header row and the rows above
     the stop row (only sheets where an anchor was found)."""
     a = anchors.where(F.col("ancre").isNotNull()).select(*SHEET, "arret", "n_lignes")
-    a = broadcast_if_small(a) if sheets_bounded is None else broadcast_if(a, sheets_bounded)
     win = cells.join(a, on=SHEET, how="inner").where(F.col("r") < F.col("arret"))
     num = is_number(F.col("v"))
     head = F.col("r") == -1
@@ -180,31 +184,22 @@ def sheet_bounds(cells: DataFrame) -> DataFrame:
     the end (just after it, or the first month-less column beyond index 10
     if that comes first).  When any step fails the whole sheet is kept
     (``repli``)."""
-    return _sheet_bounds(cells)[0]
-
-
-def _sheet_bounds(cells: DataFrame) -> tuple[DataFrame, bool]:
-    """Bounds and whether the number of sheets passed the broadcast bound
-    (the anchor table has one row per sheet and is counted once; every
-    per-sheet table derived from it inherits that bound)."""
     cells = normalise_cells(cells)
-    anchors, bounded = checked_small(_anchor_table(cells))
-    stats = _column_stats(cells, anchors, bounded)
-    b = anchors.join(broadcast_if(_runs(stats), bounded), on=SHEET, how="left")
+    anchors = _anchor_table(cells)
+    b = anchors.join(_runs(_column_stats(cells, anchors)), on=SHEET, how="left")
     first_monthless = F.coalesce(F.col("month_run_end") + 1, F.lit(MONTHLESS_MIN_INDEX + 1))
     ok = F.coalesce(
         F.col("ancre").isNotNull() & (F.col("run_len") >= 2) & (F.col("run_min") >= 1)
         & (F.col("n_cols") >= MONTHLESS_MIN_INDEX + 1)
         & (F.coalesce(F.col("any_all_num"), F.lit(0)) == 0),
         F.lit(False))
-    # one row per sheet; its lineage starts at the written cells
-    return (b.select(
+    return b.select(
         *SHEET,
         F.when(ok, F.col("ancre")).otherwise(0).alias("ancre"),
         F.when(ok, F.col("arret")).otherwise(F.col("n_lignes")).alias("ligne_fin"),
         F.when(ok, F.col("run_min") - 1).otherwise(0).alias("col_debut"),
         F.when(ok, F.least(F.col("run_max") + 1, first_monthless)).otherwise(F.col("n_cols")).alias("col_fin"),
-        (~ok).alias("repli")), bounded)
+        (~ok).alias("repli"))
 
 
 def all_unnamed(cells: DataFrame) -> DataFrame:
@@ -220,12 +215,11 @@ def numeric_columns(cells: DataFrame) -> DataFrame:
     return _column_stats(cells, _anchor_table(cells))
 
 
-def crop(cells: DataFrame, bounds: DataFrame, bounds_bounded: bool | None = None) -> DataFrame:
+def crop(cells: DataFrame, bounds: DataFrame) -> DataFrame:
     """Cells inside the bounds, header row included, label column repaired:
     an empty label takes the anchor column's text on the same row."""
     cells = normalise_cells(cells)
     b = bounds.select(*SHEET, "ancre", "ligne_fin", "col_debut", "col_fin")
-    b = broadcast_if_small(b) if bounds_bounded is None else broadcast_if(b, bounds_bounded)
     x = cells.join(b, on=SHEET, how="inner")
     inside = (F.col("r") < F.col("ligne_fin")) & (F.col("c") >= F.col("col_debut")) & (F.col("c") < F.col("col_fin"))
     kept = x.where(inside)
@@ -252,9 +246,7 @@ def _unpivot(cropped: DataFrame, head_rows: dict[str, int], first_value_row: int
     labels = (cropped.where((F.col("c") == F.col("col_debut")) & (F.col("r") >= first_value_row))
               .select(*SHEET, "r", F.col("v").alias("label")))
     vals = cols.where(F.col("r") >= first_value_row).select(*SHEET, "r", "c", F.col("v").alias("montant"))
-    # one metadata row per sheet column: broadcast behind a size check, so
-    # the value cells of a very tall sheet are not shuffled by column key
-    return (vals.join(broadcast_if_small(meta), on=SHEET + ["c"], how="left")
+    return (vals.join(meta, on=SHEET + ["c"], how="left")
             .join(labels, on=SHEET + ["r"], how="left"))
 
 
@@ -316,15 +308,9 @@ FACT_COLUMNS = ["version_prev", "annee", "mois", "mois_nom", "nature_montant", "
 
 def long_forecast(cells: DataFrame, layout: str = "multi") -> DataFrame:
     """Cells -> long forecast rows with provenance (before the gate)."""
-    return _long_forecast(cells, layout)[0]
-
-
-def _long_forecast(cells: DataFrame, layout: str) -> tuple[DataFrame, bool]:
     cells = prepare_cells(cells)
-    bounds, bounded = _sheet_bounds(cells)
-    cropped = crop(cells, bounds, bounded)
-    long = unpivot_multi(cropped) if layout == "multi" else unpivot_single(cropped)
-    return to_fact(long), bounded
+    cropped = crop(cells, sheet_bounds(cells))
+    return to_fact(unpivot_multi(cropped) if layout == "multi" else unpivot_single(cropped))
 
 
 def ingest_forecast(cells: DataFrame, layout: str = "multi",
@@ -333,14 +319,12 @@ def ingest_forecast(cells: DataFrame, layout: str = "multi",
 
     The gate unit is the sheet for the sheet-per-year layout and the
     workbook for the one-sheet layout.  Passing units are applied as a
-    semi-join (broadcast behind a size check: one row per sheet)."""
-    long, bounded = _long_forecast(cells, layout)
-    fact = materialize(long, "fact")
+    semi-join."""
+    fact = materialize(long_forecast(cells, layout), "fact")
     keys = ["nom_fichier", "nom_onglet"] if layout == "multi" else ["nom_fichier"]
     gate = quality_gate(fact, keys, allowed)
-    # at most one row per sheet: bounded by the sheet count checked above
-    ok = broadcast_if(gate.where(F.col("valide")).select(*keys), bounded)
-    return fact.join(ok, on=keys, how="left_semi").select(*FACT_COLUMNS)
+    ok = gate.where(F.col("valide")).select(*keys)
+    return semi_join(fact, ok, keys).select(*FACT_COLUMNS)
 
 
 # ------------------------------------------------------------ adjustments ---
@@ -361,7 +345,7 @@ def _as_date(v: Column) -> Column:
                       F.try_to_timestamp(v, F.lit("yyyy-MM-dd HH:mm:ss"))).cast("date")
 
 
-def date_header(cells: DataFrame, sheets_bounded: bool | None = None) -> DataFrame:
+def date_header(cells: DataFrame) -> DataFrame:
     """Per sheet: the row of dates used as header and the last column kept.
 
     Header: the sheet header if it holds a date, else the first row holding
@@ -376,8 +360,7 @@ def date_header(cells: DataFrame, sheets_bounded: bool | None = None) -> DataFra
     hdr = g.select(*SHEET, "max_c",
                    F.when(F.col("_hd") == 1, F.lit(-1)).otherwise(F.col("_fr")).alias("ligne_entete"))
     hdr = hdr.where(F.col("ligne_entete").isNotNull())
-    hb = broadcast_if_small(hdr) if sheets_bounded is None else broadcast_if(hdr, sheets_bounded)
-    dates = (cells.join(hb, on=SHEET).where((F.col("r") == F.col("ligne_entete")) & d)
+    dates = (cells.join(hdr, on=SHEET).where((F.col("r") == F.col("ligne_entete")) & d)
              .select(*SHEET, "c", "max_c"))
     nxt = dates.select(*SHEET, (F.col("c") - 1).alias("c"))
     ends = (dates.where((F.col("c") >= 1) & (F.col("c") + 1 <= F.col("max_c")))
@@ -407,15 +390,13 @@ def adjustments(cells: DataFrame, max_sheets: int = ADJ_MAX_SHEETS) -> DataFrame
     lists ``Retraitement`` rows and ``raison`` rows; the i-th of each are
     paired; every date column with an amount gives one row."""
     cells = prepare_cells(cells)
-    first, bounded = checked_small(_first_sheets(cells, max_sheets))
-    cells = cells.join(broadcast_if(first, bounded), on=SHEET, how="left_semi")
-    # per-sheet tables below have at most one row per (kept) sheet
-    hdr = broadcast_if(date_header(cells, bounded), bounded)
+    cells = semi_join(cells, _first_sheets(cells, max_sheets), SHEET)
+    hdr = date_header(cells)
     x = cells.join(hdr, on=SHEET).where(F.col("c") <= F.col("col_fin"))
     body = x.where(F.col("r") > F.col("ligne_entete"))
     low = F.lower(F.col("v"))
     col_r = body.where(low.contains("raison")).groupBy(*SHEET).agg(F.max("c").alias("col_raison"))
-    marks = body.join(broadcast_if(col_r, bounded), on=SHEET).where(F.col("c") == F.col("col_raison"))
+    marks = body.join(col_r, on=SHEET).where(F.col("c") == F.col("col_raison"))
     w = Window.partitionBy(*SHEET).orderBy("r")
     ret = (marks.where(low.contains("retraitement")).select(*SHEET, "r")
            .withColumn("i", F.row_number().over(w)).withColumnRenamed("r", "r_ret"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tresoria.constants import FLOW_CATEGORIES, FORECAST_TYPE, REALISED_TYPES, TOTAL_MONTH_NAMES
 from tresoria.functions.calendar import forecast_quarter, forecast_year_month
-from tresoria.functions.numeric import money, money_sum, to_number
+from tresoria.functions.numeric import MONEY_TYPE, money, money_sum, to_number
 from tresoria.functions.text import lower_columns
 from tresoria.operators.labels import harmonise
 from tresoria.operators.latest import keep_latest
@@ -89,8 +89,8 @@ def _side_sums(clean: DataFrame, label_to_cat: DataFrame | None, annee: int, ver
     return df.groupBy("categorie", period).agg(
         F.count_if(is_real).alias("n_real"),
         F.count_if(is_prev).alias("n_prev"),
-        F.coalesce(F.sum(F.when(is_real, amt)), F.lit(0).cast("decimal(28,4)")).alias("s_real"),
-        F.coalesce(F.sum(F.when(is_prev, amt)), F.lit(0).cast("decimal(28,4)")).alias("s_prev"))
+        F.coalesce(F.sum(F.when(is_real, amt)), F.lit(0).cast(MONEY_TYPE)).alias("s_real"),
+        F.coalesce(F.sum(F.when(is_prev, amt)), F.lit(0).cast(MONEY_TYPE)).alias("s_prev"))
 
 
 def _realised_vs_forecast(sums: DataFrame, period: str, signs: DataFrame | None) -> DataFrame:
@@ -160,7 +160,7 @@ def running_totals(clean: DataFrame) -> DataFrame:
           }))
     keys = ["cote", "nature_montant", "annee", "version"]
     g = df.groupBy(*keys, "annee_mois").agg(
-        F.coalesce(F.sum(money("montant_millions")), F.lit(0).cast("decimal(28,4)")).alias("m"))
+        F.coalesce(F.sum(money("montant_millions")), F.lit(0).cast(MONEY_TYPE)).alias("m"))
     w = Window.partitionBy(*keys).orderBy("annee_mois").rowsBetween(Window.unboundedPreceding, 0)
     return g.select(*keys, "annee_mois",
                     F.col("m").cast("double").alias("montant"),

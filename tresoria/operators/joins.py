@@ -1,54 +1,18 @@
-"""Join helpers with an explicit size check before any broadcast."""
+"""Joins with sides derived from data.
+
+No side that grows with the data is hinted: its size is not known when the plan
+is built.  The planner broadcasts a side whose estimate is small, adaptive
+execution one whose *measured* bytes are below
+``spark.sql.adaptive.autoBroadcastJoinThreshold``; beyond it the join shuffles
+and skewed partitions are split.  Nothing is counted or persisted, so building a
+report starts no job and a later read sees files that arrived meanwhile.
+"""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# A side is broadcast only when it has at most this many rows.  The sides we
-# broadcast are aggregates over low-cardinality keys (days x accounts,
-# periods x labels) or fixed dictionaries, a few narrow columns wide, so
-# 1M rows stays well under 100 MB per executor.  Above the bound the join
-# stays a shuffle join and AQE splits skewed partitions at run time.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def checked_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
-    """Persist and count ``df``; return ``(df, True)`` if it has at most
-    ``max_rows`` rows (then kept persisted), else ``(df, False)`` unpersisted.
-
-    A table derived from a checked one with at most one row per checked row
-    (e.g. one row per sheet) inherits the bound: no new count is needed."""
-    small = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if small.count() <= max_rows:
-        return small, True
-    small.unpersist()
-    return df, False
-
-
-def broadcast_if(df: DataFrame, bounded: bool) -> DataFrame:
-    """Broadcast hint only for a side whose row bound is already proven.
-
-    The side is persisted lazily (no count job): its first use fills the
-    cache and every other reference to it, in this plan or the next, reads
-    the persisted rows."""
-    return F.broadcast(df.persist(StorageLevel.MEMORY_AND_DISK)) if bounded else df
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Return ``broadcast(df)`` if ``df`` has at most ``max_rows`` rows.
-
-    ``df`` is the small side (an aggregate or a dictionary).  It is persisted
-    and counted: the count is the size check, and the broadcast (and any
-    later plan containing the same sub-plan) then reads the persisted rows
-    instead of recomputing the aggregate.  Above the bound the rows are
-    released and the join is left to the planner (shuffle join; AQE splits
-    skewed partitions)."""
-    small, ok = checked_small(df, max_rows)
-    return broadcast_if(small, ok)
 
 
-def semi_join_small(big: DataFrame, small: DataFrame, on, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``big LEFT SEMI JOIN small``, broadcasting ``small`` behind a size check."""
-    return big.join(broadcast_if_small(small, max_rows), on=on, how="left_semi")
+def semi_join(big: DataFrame, small: DataFrame, on) -> DataFrame:
+    """Rows of ``big`` that have a match in ``small``."""
+    return big.join(small, on=on, how="left_semi")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tresoria.operators.joins import semi_join_small
+from tresoria.operators.joins import semi_join
 
 
 def keep_latest(df: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
@@ -15,13 +15,12 @@ def keep_latest(df: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
 
     Rows with a NULL key are dropped (they form no group).  The maximum is a
     partial (map-side) aggregate, so a key holding a third of all rows costs
-    no more than any other; the per-key table is then broadcast behind a
-    size check and the rows are filtered by a semi-join without shuffling
-    the wide side."""
+    no more than any other; the rows are then filtered by a semi-join.  A
+    filter on the keys reaches both scans: nothing between them is persisted."""
     keys = list(keys)
     cond = None
     for k in keys:
         c = F.col(k).isNotNull()
         cond = c if cond is None else cond & c
     latest = (df.where(cond).groupBy(*keys).agg(F.max(version).alias(version)))
-    return semi_join_small(df, latest, keys + [version])
+    return semi_join(df, latest, keys + [version])

@@ -61,18 +61,29 @@ def with_calendar(df: DataFrame, date_col: str = "date_montant") -> DataFrame:
     })
 
 
-def clean_ledger(raw: DataFrame) -> DataFrame:
-    """Typed, latest-file ledger with calendar keys (the bank report's base)."""
-    return with_calendar(latest_file(typed_ledger(raw)))
+def clean_ledger(raw: DataFrame, start=None, end=None, accounts=None) -> DataFrame:
+    """Typed, latest-file ledger with calendar keys (the bank report's base).
+
+    Day and account are the keys of the latest-file rule, so a range of days or a
+    set of accounts may be cut out before it: both scans then read only that."""
+    return with_calendar(latest_file(filter_range_accounts(typed_ledger(raw), start, end, accounts)))
 
 
 def filter_range_accounts(df: DataFrame, start=None, end=None, accounts=None) -> DataFrame:
-    """Inclusive date range and account set (names keep their leading blank)."""
+    """Inclusive date range and account set (names keep their leading blank).
+
+    A stored typed copy has its month as the partition column ``annee_mois``: the
+    range of months that the days imply is added, which skips the other folders."""
     cond = F.lit(True)
-    if start is not None:
-        cond = cond & (F.col("date_montant") >= F.lit(start).cast("date"))
-    if end is not None:
-        cond = cond & (F.col("date_montant") <= F.lit(end).cast("date"))
+    by_month = "annee_mois" in df.columns
+    for bound, below in ((start, False), (end, True)):
+        if bound is None:
+            continue
+        day = F.lit(bound).cast("date")
+        cond = cond & ((F.col("date_montant") <= day) if below else (F.col("date_montant") >= day))
+        if by_month:
+            month, edge = F.col("annee_mois").cast("string"), str(bound)[:7]
+            cond = cond & ((month <= edge) if below else (month >= edge))
     if accounts is not None:
         cond = cond & F.col("banque_compte").isin(list(accounts))
     return df.where(cond)

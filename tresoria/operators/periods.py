@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tresoria.constants import (BALANCE_LABEL, CONSOLIDATED_ACCOUNT, LEDGER_REALISED_TYPE,
                                 RECEIPT_MARK, SPENDING_MARK)
 from tresoria.functions.numeric import MONEY_TYPE, money, money_sum
-from tresoria.operators.joins import broadcast_if_small
+from tresoria.operators.joins import semi_join
 from tresoria.operators.ledger import PERIOD_COLUMN, label_column, with_calendar
 
 FREQUENCIES = ["J", "S", "M", "T", "A"]
@@ -92,11 +92,10 @@ def flow_label_table(sage_all: DataFrame, grain: str = "flux",
 def flows(sage: DataFrame, labels: DataFrame, grain: str = "flux", freq: str = "J") -> DataFrame:
     """Receipts or spending of the consolidated account by period and label.
 
-    ``labels`` is a one-column label set (``flow_labels``), broadcast behind a
-    size check and applied as a semi-join."""
+    ``labels`` is a one-column label set (``flow_labels``), applied as a
+    semi-join."""
     lab = label_column(grain)
-    df = (sage.where(F.col("banque_compte") == CONSOLIDATED_ACCOUNT)
-          .join(broadcast_if_small(labels.select(lab)), on=lab, how="left_semi"))
+    df = semi_join(sage.where(F.col("banque_compte") == CONSOLIDATED_ACCOUNT), labels.select(lab), lab)
     if freq.upper() == "J":
         return df.select("date_montant", lab, "montant")
     return _sum_by(df, freq, lab)
@@ -114,7 +113,7 @@ def flow_extremes(sage: DataFrame, label_table: DataFrame, grain: str = "flux",
     lab = label_column(grain)
     rows = (sage.where((F.col("banque_compte") == CONSOLIDATED_ACCOUNT)
                        & F.col("date_montant").isNotNull())
-            .join(broadcast_if_small(label_table.select("kind", lab)), on=lab, how="inner"))
+            .join(label_table.select("kind", lab), on=lab, how="inner"))
     daily = rows.groupBy("kind", "date_montant").agg(
         F.coalesce(F.sum(money("montant")), F.lit(0).cast(MONEY_TYPE)).alias("total"))
     daily = with_calendar(daily)

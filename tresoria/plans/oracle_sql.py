@@ -2,8 +2,8 @@
 
 Each text defines the fixture views it reads (``oracle_sql.ctes``) and
 recomputes the result from the driver's base tables with plain SQL.  Money
-is summed as DECIMAL(28,4) then cast to DOUBLE, exactly as the Spark side,
-so both results are independent of summation order.
+is summed from the amounts' own text as DECIMAL(38,12), which cuts none of them,
+then cast to DOUBLE: the result is independent of summation order.
 """
 
 from __future__ import annotations
@@ -28,11 +28,16 @@ def ctes(**defs: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
 
 
-MONEY = "DECIMAL(28,4)"
+MONEY = "DECIMAL(38,12)"
+
+
+def money(x: str) -> str:
+    """An amount as an exact decimal: through its text, not through binary arithmetic."""
+    return f"CAST(CAST({x} AS VARCHAR) AS {MONEY})"
 
 
 def msum(x: str) -> str:
-    return f"CAST(COALESCE(SUM(CAST({x} AS {MONEY})), 0) AS DOUBLE)"
+    return f"CAST(COALESCE(SUM({money(x)}), 0) AS DOUBLE)"
 
 
 TYPED_LEDGER = """
@@ -114,7 +119,7 @@ def flow_extremes_sql(grain: str = "flux") -> str:
     return ledger_ctes(
         lt=(f"SELECT 'recettes' AS kind, {lab} FROM ({flow_labels_sql('recettes', grain)}) "
             f"UNION ALL SELECT 'depenses', {lab} FROM ({flow_labels_sql('depenses', grain)})"),
-        daily=(f"SELECT lt.kind, s.date_montant, COALESCE(SUM(CAST(s.montant AS {MONEY})), 0) AS total "
+        daily=(f"SELECT lt.kind, s.date_montant, COALESCE(SUM({money("s.montant")}), 0) AS total "
                f"FROM sage s JOIN lt ON s.{lab} = lt.{lab} "
                f"WHERE s.banque_compte = {q(K.CONSOLIDATED_ACCOUNT)} AND s.date_montant IS NOT NULL GROUP BY 1, 2"),
         per=per,
@@ -200,8 +205,8 @@ def values_sql(rows, names) -> str:
 
 
 def _side(name: str, cond: str, period: str) -> str:
-    return (f"SELECT categorie, {period}, COALESCE(SUM(CAST(montant_millions AS {MONEY})), 0) AS s, "
-            f"SUM(COALESCE(SUM(CAST(montant_millions AS {MONEY})), 0)) OVER (PARTITION BY categorie ORDER BY {period} "
+    return (f"SELECT categorie, {period}, COALESCE(SUM({money("montant_millions")}), 0) AS s, "
+            f"SUM(COALESCE(SUM({money("montant_millions")}), 0)) OVER (PARTITION BY categorie ORDER BY {period} "
             f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c "
             f"FROM cleanp JOIN l2c USING (nature_montant) WHERE {cond} AND {period} IS NOT NULL GROUP BY categorie, {period}")
 
@@ -249,7 +254,7 @@ SELECT cote, nature_montant, annee, version, annee_mois, CAST(m AS DOUBLE) AS mo
 FROM (SELECT CASE WHEN type_montant IN {in_list(K.REALISED_TYPES)} THEN 'realise' ELSE 'prevu' END AS cote,
              nature_montant, annee,
              CASE WHEN type_montant IN {in_list(K.REALISED_TYPES)} THEN NULL ELSE version_prev END AS version,
-             annee_mois, COALESCE(SUM(CAST(montant_millions AS {MONEY})), 0) AS m
+             annee_mois, COALESCE(SUM({money("montant_millions")}), 0) AS m
       FROM cleanp
       WHERE (type_montant IN {in_list(K.REALISED_TYPES)} OR type_montant = {q(K.FORECAST_TYPE)})
         AND annee_mois IS NOT NULL AND nature_montant IS NOT NULL AND annee IS NOT NULL

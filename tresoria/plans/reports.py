@@ -1,4 +1,5 @@
-"""User-level reports: one lazy DataFrame (one logical plan) per report.
+"""User-level reports: one lazy DataFrame (one logical plan) per report; building
+one starts no job, except the workbook loads, which write their cells once.
 
 Inputs are the stored tables (all-text, upper-case names as loaded by the
 sinks); the caller collects or writes the result.
@@ -20,9 +21,9 @@ def prev_clean(prev_raw: DataFrame, frequence: str = "mensuelle") -> DataFrame:
     return forecast.clean_forecast(prev_raw, frequence)
 
 
-def sage_clean(ledger_raw: DataFrame) -> DataFrame:
-    """Typed, latest-file ledger with calendar keys."""
-    return ledger.clean_ledger(ledger_raw)
+def sage_clean(ledger_raw: DataFrame, start=None, end=None, accounts=None) -> DataFrame:
+    """Typed, latest-file ledger with calendar keys, of a range of days and accounts."""
+    return ledger.clean_ledger(ledger_raw, start, end, accounts)
 
 
 def _period_col(freq: str) -> str:
@@ -58,8 +59,7 @@ def kpi(ledger_raw: DataFrame, lag_days: int, end_date=None,
 
 def balance(ledger_raw: DataFrame, freq: str = "J", accounts: Sequence[str] | None = (CONSOLIDATED_ACCOUNT,),
             start=None, end=None, grain: str = "flux", how: str = "sum") -> DataFrame:
-    s = ledger.filter_range_accounts(sage_clean(ledger_raw), start, end, accounts)
-    out = periods.balance(s, grain, freq, how)
+    out = periods.balance(sage_clean(ledger_raw, start, end, accounts), grain, freq, how)
     return out.orderBy(out.columns[0], "banque_compte")
 
 
@@ -69,7 +69,7 @@ def flows(ledger_raw: DataFrame, kind: str = "recettes", freq: str = "J", grain:
     derived from the whole ledger, the rows from the chosen date range."""
     all_rows = sage_clean(ledger_raw)
     labels = periods.flow_labels(all_rows, kind, grain, budget_codes)
-    out = periods.flows(ledger.filter_range_accounts(all_rows, start, end), labels, grain, freq)
+    out = periods.flows(sage_clean(ledger_raw, start, end), labels, grain, freq)
     return out.orderBy(out.columns[0], out.columns[1])
 
 
@@ -77,7 +77,7 @@ def flow_axis(ledger_raw: DataFrame, grain: str = "flux", start=None, end=None,
               budget_codes: DataFrame | None = None) -> DataFrame:
     all_rows = sage_clean(ledger_raw)
     table = periods.flow_label_table(all_rows, grain, budget_codes)
-    ext = periods.flow_extremes(ledger.filter_range_accounts(all_rows, start, end), table, grain)
+    ext = periods.flow_extremes(sage_clean(ledger_raw, start, end), table, grain)
     return periods.axis_range(ext)
 
 
