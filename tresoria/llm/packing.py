@@ -42,72 +42,123 @@ SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 
 
 class Encoder:
-    """Token ids of whole texts with a cache of pieces.
+    """Token ids of whole texts with caches of their parts.
 
     The vocabulary's pre-tokenizer never joins across white space, so a text's
-    ids are those of its blank-separated chunks in a row; chunks repeat, and each
-    is encoded once as long as the cache holds it.  Plain ASCII texts are cut
-    finer, into the letter runs, digits and symbol runs that the vocabulary's
-    pattern would give, in lower case.
+    ids are those of its blank-separated chunks in a row; a chunk that is in the
+    cache costs one look-up.  In a text of Latin-1 characters, where composing
+    and lower-casing touch single characters only, chunks are looked up in lower
+    case, and a new one is put together from its letter runs, digits and symbol
+    runs, as the vocabulary's pattern cuts it.  Whatever that does not cover
+    (contractions, special tokens, control characters, other scripts) goes to the
+    tokenizer chunk by chunk.
     """
 
-    PLAIN = re.compile(r"[a-z]+|[0-9]|[^a-z0-9\x20\t-\r]+")
-    #: what keeps an ASCII text from the finer cut: contractions, special tokens, control characters
-    NOT_PLAIN = re.compile(r"['\x00-\x08\x0e-\x1f\x7f]|<\|")
+    #: the vocabulary's pattern over lower-cased Latin-1 without apostrophes and white space
+    PIECE = re.compile(r"[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]"
+                       r"|[^a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff0-9\xb2\xb3\xb9\xbc-\xbe]+")
+    NOT_PLAIN = re.compile(r"['\x00-\x20\x7f-\xa0\xad]")
 
-    def __init__(self, path: str, cache_size: int = 400_000):
+    def __init__(self, path: str, cache_size: int = 1_000_000):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict = {}
         self.cache_size = cache_size
+        self.latin: dict[bytes, bytes] = {}  # lower-cased chunks of Latin-1 texts
+        self.other: dict[bytes, bytes] = {}  # chunks of other texts, as they are
+        self.pieces: dict[str, bytes] = {}
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(True) <= 1 << 16 else "<u4")
         fold = self.tokenizer.encode("A a", add_special_tokens=False).ids
-        self.fine = len(fold) == 2 and fold[0] == fold[1]  # lower-cased, white space dropped
-
-    def _learn(self, new: list) -> None:
-        if len(self.cache) + len(new) > self.cache_size:
-            self.cache.clear()
-        plain = [k for k in new if k.isascii() and b"<" not in (k if isinstance(k, bytes) else k.encode())]
-        for lo in range(0, len(plain), 2000):
-            part = plain[lo:lo + 2000]
-            text = " ".join(k if isinstance(k, str) else k.decode() for k in part)
-            enc = self.tokenizer.encode(text, add_special_tokens=False)
-            first = np.array([a for a, _ in enc.offsets], dtype=np.int64)
-            ends = np.cumsum([len(k) + 1 for k in part])
-            cuts = np.searchsorted(first, ends).tolist()
-            ids = np.array(enc.ids, dtype=self.dtype).tobytes()
-            size, at = self.dtype.itemsize, 0
-            for k, c in zip(part, cuts):
-                self.cache[k] = ids[at * size:c * size]
-                at = c
-        rest = [k for k in new if k not in self.cache]
-        for k, enc in zip(rest, self.tokenizer.encode_batch(
-                [k if isinstance(k, str) else k.decode("utf-8", "replace") for k in rest], add_special_tokens=False)):
-            self.cache[k] = np.array(enc.ids, dtype=self.dtype).tobytes()
+        self.model = self.tokenizer.model
+        self.table = self._byte_level()
+        self.by_chunk = len(fold) == 2 and fold[0] == fold[1]  # lower-cased, white space dropped
+
+    def _byte_level(self) -> dict | None:
+        """How Latin-1 characters reach the model (as characters for their UTF-8
+        bytes); None if the model alone doesn't give the tokenizer's ids."""
+        from tokenizers import pre_tokenizers
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        plain = [chr(i) for i in range(33, 256) if not self.NOT_PLAIN.search(chr(i)) and chr(i) == chr(i).lower()]
+        table = {ord(c): level.pre_tokenize_str(c)[0][0] for c in plain}
+        samples = plain + [a + b for a in "aeznéß" for b in "aeznéß"] + ["information", "été", "übergröße", "...", "###"]
+        for s in samples:
+            if [t.id for t in self.model.tokenize(s.translate(table))] != self.tokenizer.encode(s, add_special_tokens=False).ids:
+                return None
+        return table
+
+    def _encode(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces of the vocabulary's pattern, as raw bytes: the model alone
+        is asked, since normalizing and cutting are done."""
+        if self.table is None:
+            return self._whole(pieces)
+        run, table = self.model.tokenize, self.table
+        return [np.array([t.id for t in run(p.translate(table))], dtype=self.dtype).tobytes() for p in pieces]
+
+    def _whole(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks of any kind, each by the whole tokenizer."""
+        got = self.tokenizer.encode_batch(chunks, add_special_tokens=False) if chunks else []
+        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in got]
+
+    def _learn(self, cache: dict, new: list[bytes]) -> None:
+        if len(cache) + len(new) > self.cache_size:
+            cache.clear()
+        if cache is self.other:
+            cache.update(zip(new, self._whole([k.decode("utf-8", "replace") for k in new])))
+            return
+        odd, cut = [], []
+        for k in new:
+            s = k.decode().lower()
+            if self.NOT_PLAIN.search(s):
+                odd.append(k)
+            else:
+                cut.append((k, self.PIECE.findall(s)))
+        cache.update(zip(odd, self._whole([k.decode() for k in odd])))
+        if len(self.pieces) > self.cache_size:
+            self.pieces.clear()
+        missing = list(dict.fromkeys(p for _, ps in cut for p in ps if p not in self.pieces))
+        self.pieces.update(zip(missing, self._encode(missing)))
+        get = self.pieces.__getitem__
+        for k, ps in cut:
+            cache[k] = get(ps[0]) if len(ps) == 1 else b"".join(map(get, ps))
 
     def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids of each UTF-8 text, without an end id."""
-        out = []
-        for t in texts:
-            if self.fine and t.isascii() and not self.NOT_PLAIN.search(s := t.decode("ascii")):
-                keys = self.PLAIN.findall(s.lower())
-            elif self.fine:
-                keys = t.split()  # bytes: the six ASCII blanks only
-            else:
+        out: list = [None] * len(texts)
+        groups: dict = {}
+        for i, t in enumerate(texts):
+            if not self.by_chunk:
                 ids = self.tokenizer.encode(t.decode("utf-8", "replace"), add_special_tokens=False).ids
-                out.append(np.array(ids, dtype=self.dtype))
-                continue
-            get = self.cache.get
-            found = [get(k) for k in keys]
-            if None in found:
-                self._learn(list(dict.fromkeys(k for k, v in zip(keys, found) if v is None)))
-                if any(k not in self.cache for k in keys):  # the cache was emptied meanwhile
-                    self._learn(list(dict.fromkeys(k for k in keys if k not in self.cache)))
-                found = [self.cache[k] for k in keys]
-            out.append(np.frombuffer(b"".join(found), dtype=self.dtype))
+                out[i] = np.array(ids, dtype=self.dtype)
+            elif b"<|" not in t and _is_latin(t):
+                groups.setdefault("latin", []).append((i, t.lower().split()))
+            else:
+                groups.setdefault("other", []).append((i, t.split()))  # bytes: the six ASCII blanks only
+        for name, members in groups.items():
+            cache = getattr(self, name)
+            get = cache.get
+            found = [(i, keys, [get(k) for k in keys]) for i, keys in members]
+            new = dict.fromkeys(k for _, keys, got in found if None in got for k, v in zip(keys, got) if v is None)
+            if new:
+                self._learn(cache, list(new))
+            for i, keys, got in found:
+                if None in got:
+                    got = [get(k) for k in keys]
+                    if None in got:  # the cache was emptied meanwhile
+                        self._learn(cache, list(dict.fromkeys(k for k, v in zip(keys, got) if v is None)))
+                        got = [v if v is not None else get(k) for k, v in zip(keys, got)]
+                out[i] = np.frombuffer(b"".join(got), dtype=self.dtype)
         return out
 
 
+def _is_latin(t: bytes) -> bool:
+    if t.isascii():
+        return True
+    try:
+        t.decode("utf-8").encode("latin-1")
+    except UnicodeError:
+        return False
+    return True
+
+
 _ENCODERS: dict = {}
 
 
