@@ -17,10 +17,12 @@ else.  The plan is that of a difference-cover suffix sort, kept to the first
    start to the end of its last string.  Blocks with an equal are repeated in all
    their strings.
 4. *Remaining suffixes.*  Only blocks that occur once and share their sample's name
-   with another are left open.  Their starts, and those of one copy of each
-   block with that name, are named by all ``width`` bytes and compared once more.
+   with another are left open.  Their starts, and those of one copy of each other
+   block with that name, are named in pieces of 16 by what all strings of a piece
+   hold and by all that they cover, which settles most; the others are named by
+   their whole strings and compared once more.
 
-Names are 128-bit fingerprints, not ranks: equal strings only have to be
+Names are fingerprints (128 bits where they decide), not ranks: equal strings only have to be
 neighbours, and a fingerprint needs no shuffle to be given.
 
 Scale: a few numbers for each ``reach / 2`` bytes are shuffled, and the texts never,
@@ -46,7 +48,7 @@ from pyspark.sql import functions as F
 from tresoria.session import materialize
 
 WIDTH = 400
-REACH = 192
+REACH = 256
 GRAM = 16
 #: starts handled at a time: bounds memory for very long texts
 CHUNK = 1 << 20
@@ -97,7 +99,7 @@ def _signed(digests: list[bytes]) -> np.ndarray:
 
 
 def _blocks(docs: DataFrame, width: int, reach: int) -> DataFrame:
-    """(key, a, b, name, block): the starts of each sample, its name, its block's name."""
+    """(key, p, a, b, name, block): each sample with its starts, its name, its block's name."""
     held = width - reach + 1
 
     def run(batches):
@@ -105,72 +107,121 @@ def _blocks(docs: DataFrame, width: int, reach: int) -> DataFrame:
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for lo in range(0, len(keys), 200):
-                k, a, b, n, bl = [], [], [], [], []
+                k, at, names, blocks = [], [], [], []
                 for key, t in zip(keys[lo:lo + 200], texts[lo:lo + 200]):
-                    for p, x, y in samples(t, width, reach):
-                        k.append(key)
-                        a.append(x)
-                        b.append(y)
-                        n.append(name(t[p:p + held]))
-                        bl.append(name(t[x:y + width - 1]))
+                    found = samples(t, width, reach)
+                    k.extend([key] * len(found))
+                    at.extend(found)
+                    names.extend(name(t[p:p + held]) for p, _, _ in found)
+                    blocks.extend(name(t[x:y + width - 1]) for _, x, y in found)
+                places = np.array(at, dtype=np.int32).reshape(-1, 3)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(k, pa.binary()), pa.array(a, pa.int32()), pa.array(b, pa.int32()),
-                     pa.array(np.array(n, dtype="<u8").view("<i8")), pa.array(np.array(bl, dtype="<u8").view("<i8"))],
-                    names=["key", "a", "b", "name", "block"])
+                    [pa.array(k, pa.binary()), *(pa.array(places[:, i]) for i in range(3)),
+                     *(pa.array(np.array(n, dtype="<u8").view("<i8")) for n in (names, blocks))],
+                    names=["key", "p", "a", "b", "name", "block"])
 
-    return docs.select("key", "text").mapInArrow(run, "key binary, a int, b int, name long, block long")
+    return docs.select("key", "text").mapInArrow(run, "key binary, p int, a int, b int, name long, block long")
 
 
-def _starts(open_blocks: DataFrame, width: int) -> DataFrame:
-    """(n1, n2, id, at) for each start of the open blocks (text, blocks)."""
+#: starts that are named together before they are named one by one
+STEP = 16
+
+
+def _pieces(texts: DataFrame, width: int) -> DataFrame:
+    """(c1, c2, hull, id, single, u, v): the starts u..v of each piece of the blocks in
+    (text, blocks).  Pieces lie at fixed distances from the sample, so equal strings
+    start in pieces with the same distance.  (c1, c2) names the core, the bytes that
+    every string from the piece holds, ``hull`` all bytes of its strings."""
     def run(batches):
-        digest = xxhash.xxh3_128_digest
+        core_of, hull_of = xxhash.xxh3_128_digest, xxhash.xxh3_64_intdigest
         for batch in batches:
             for t, blocks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for lo in range(0, len(blocks), 500):
-                    part = blocks[lo:lo + 500]
-                    names = _signed([digest(t[i:i + width]) for x in part for i in range(x["a"], x["b"])]).reshape(-1, 2)
-                    sizes = [x["b"] - x["a"] for x in part]
+                for lo in range(0, len(blocks), 2000):
+                    rows, cores, hulls = [], [], []
+                    for x in blocks[lo:lo + 2000]:
+                        p, a, b = x["p"], x["a"], x["b"]
+                        for q in range((p - b + 1) // STEP, (p - a) // STEP + 1):
+                            last = p - STEP * q
+                            u, v = max(a, last - STEP + 1), min(b - 1, last)
+                            cores.append(core_of(t[last:last - STEP + 1 + width]))
+                            hulls.append(hull_of(t[u:v + width]))
+                            rows.append((x["id"], x["single"], u, v))
+                    names = _signed(cores).reshape(-1, 2)
+                    ids, single, u, v = zip(*rows)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(names[:, 0]), pa.array(names[:, 1]), pa.array(np.array(hulls, dtype="<u8").view("<i8")),
+                         pa.array(ids, pa.int64()), pa.array(single, pa.bool_()), pa.array(u, pa.int32()), pa.array(v, pa.int32())],
+                        names=["c1", "c2", "hull", "id", "single", "u", "v"])
+
+    return texts.mapInArrow(run, "c1 long, c2 long, hull long, id long, single boolean, u int, v int")
+
+
+def _starts(texts: DataFrame, width: int) -> DataFrame:
+    """(n1, n2, id, single, u, v): every start of the pieces in (text, pieces), named by its string."""
+    def run(batches):
+        digest = xxhash.xxh3_128_digest
+        for batch in batches:
+            for t, pieces in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for lo in range(0, len(pieces), 2000):
+                    rows = [(x["id"], x["single"], i) for x in pieces[lo:lo + 2000] for i in range(x["u"], x["v"] + 1)]
+                    names = _signed([digest(t[i:i + width]) for _, _, i in rows]).reshape(-1, 2)
+                    ids, single, at = zip(*rows)
+                    at = pa.array(at, pa.int32())
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(names[:, 0]), pa.array(names[:, 1]),
-                         pa.array(np.repeat(np.array([x["id"] for x in part], dtype=np.int64), sizes)),
-                         pa.array(np.concatenate([np.arange(x["a"], x["b"], dtype=np.int32) for x in part]))],
-                        names=["n1", "n2", "id", "at"])
+                        [pa.array(names[:, 0]), pa.array(names[:, 1]), pa.array(ids, pa.int64()), pa.array(single, pa.bool_()), at, at],
+                        names=["n1", "n2", "id", "single", "u", "v"])
+
+    return texts.mapInArrow(run, "n1 long, n2 long, id long, single boolean, u int, v int")
+
 
-    return open_blocks.mapInArrow(run, "n1 long, n2 long, id long, at int")
+def _meet(many: DataFrame, side: DataFrame, on, rows: int, row_bytes: int, how: str, small_bytes: int) -> DataFrame:
+    """``many`` joined with ``side``: sent to every task while its bytes are few."""
+    return many.join(F.broadcast(side) if rows * row_bytes <= small_bytes else side, on, how)
 
 
-def _meet(docs: DataFrame, side: DataFrame, rows: int, row_bytes: int, how: str, small_bytes: int) -> DataFrame:
-    """``docs`` joined with ``side`` on ``key``: sent to every task while its bytes are few."""
-    return docs.join(F.broadcast(side) if rows * row_bytes <= small_bytes else side, "key", how)
+def _texts_with(docs: DataFrame, parts: DataFrame, n_parts: int, small_bytes: int) -> DataFrame:
+    """(text, parts): each text that has ``parts`` (key, x), once, with all of them.
+    Copies of a text collapse in each task before the texts are shuffled."""
+    by_text = parts.groupBy("key").agg(F.collect_list("x").alias("parts"))
+    met = _meet(docs.select("key", "text"), by_text, "key", n_parts, 48, "inner", small_bytes)
+    return met.dropDuplicates(["key"]).select("text", "parts")
 
 
 def repeated_spans(docs: DataFrame, width: int = WIDTH, reach: int = REACH, small_bytes: int = SMALL_BYTES) -> DataFrame:
     """(key, s, e): covered stretches, which may overlap, of ``docs`` (key, text)."""
     every = materialize(_blocks(docs, width, reach), "suffix-samples")
-    met = every.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name")
-    left = materialize(every.join(met, "name"), "suffix-named")
+    names = materialize(every.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name"), "suffix-names")
+    left = materialize(_meet(every, names, "name", names.count(), 16, "left_semi", small_bytes), "suffix-named")
     # the same block twice: all its strings are repeated
     blocks = left.groupBy("name", "block").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "a", "b")).alias("one"))
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "p", "a", "b")).alias("one"))
     blocks = materialize(blocks.withColumn("id", F.monotonically_increasing_id()), "suffix-blocks")
     again = left.join(blocks.filter("n > 1").select("name", "block"), ["name", "block"]).select(
         "key", F.col("a").alias("s"), (F.col("b") + (width - 1)).alias("e")).distinct()
     # blocks that occur once, and one copy of each other block of their names
     open_names = blocks.groupBy("name").agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("kinds")).filter(
         "least = 1 and kinds > 1").select("name")
-    open_ = materialize(blocks.join(open_names, "name").select("id", "n", "one.*"), "suffix-open")
-    n_open = open_.count()
-    by_text = open_.groupBy("key").agg(F.collect_list(F.struct("id", "a", "b")).alias("blocks"))
-    # copies of a text answer once for its blocks: they collapse in each task before the shuffle
-    once = _meet(docs.select("key", "text"), by_text, n_open, 40, "inner", small_bytes).dropDuplicates(["key"])
-    # these rows meet by name and are read twice: one shuffle serves both
-    starts = _starts(once.select("text", "blocks"), width).repartition("n1", "n2")
-    twice = starts.groupBy("n1", "n2").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("n1", "n2")
-    alone = open_.filter("n = 1").select("id", "key")
-    found = starts.join(twice, ["n1", "n2"]).groupBy("id").agg(F.min("at").alias("s"), F.max("at").alias("last"))
-    part = found.join(alone, "id").select("key", "s", (F.col("last") + width).alias("e"))
-    return again.union(part)
+    open_ = materialize(blocks.join(open_names, "name").select("id", (F.col("n") == 1).alias("single"), "one.*"), "suffix-open")
+    texts = _texts_with(docs, open_.select("key", F.struct("id", "single", "p", "a", "b").alias("x")), open_.count(), small_bytes)
+
+    # pieces of 16 starts: a core that no other block has settles its piece, and so does an equal hull
+    pieces = materialize(_pieces(texts, width), "suffix-pieces")
+    two = [F.min("id").alias("lo"), F.max("id").alias("hi")]
+    cores = pieces.groupBy("c1", "c2").agg(*two).filter("lo < hi").select("c1", "c2")
+    met = materialize(pieces.join(cores, ["c1", "c2"]), "suffix-cores")
+    hulls = materialize(met.groupBy("c1", "c2", "hull").agg(*two, F.max("single").alias("single"),
+                                                            F.min(F.struct("id", "u", "v")).alias("one")), "suffix-hulls")
+    whole = met.filter("single").join(hulls.filter("lo < hi").select("c1", "c2", "hull"), ["c1", "c2", "hull"])
+    still = hulls.filter("single and lo = hi").select("c1", "c2").distinct()
+
+    # what is left is named start by start
+    ends = hulls.join(still, ["c1", "c2"]).select("single", "one.*").join(open_.select("id", "key"), "id")
+    ends = materialize(ends.select("key", F.struct("id", "single", "u", "v").alias("x")), "suffix-ends")
+    starts = materialize(_starts(_texts_with(docs, ends, ends.count(), small_bytes), width), "suffix-starts")
+    twice = starts.groupBy("n1", "n2").agg(*two).filter("lo < hi").select("n1", "n2")
+    found = starts.filter("single").join(twice, ["n1", "n2"]).select("id", "u", "v").union(whole.select("id", "u", "v"))
+    found = found.groupBy("id").agg(F.min("u").alias("s"), (F.max("v") + width).alias("e"))
+    return again.union(found.join(open_.select("id", "key"), "id").select("key", "s", "e"))
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -221,5 +272,5 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
                 cols, names = cols + [pa.array(out[5], pa.binary())], names + ["kept"]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    joined = _meet(rows, by_text, n_spans, 40, "left", small_bytes).select("id", "text", "spans")
+    joined = _meet(rows, by_text, "key", n_spans, 40, "left", small_bytes).select("id", "text", "spans")
     return joined.mapInArrow(run, RESULT + (", kept binary" if with_text else "")).withColumnRenamed("doc_id", id_col)
