@@ -249,13 +249,66 @@ def test_single_sheet_year_fill(spark):
     assert years == [(c, "2020" if c <= 12 else "2021") for c in range(1, 25)]
 
 
+def test_single_sheet_year_before_the_first_january(spark):
+    """A table that starts in March takes its year from March's own header."""
+    g = {}
+    for i in range(14):
+        c = i + 1
+        g[(0, c)] = K.MONTHS_FR[(i + 2) % 12]
+        g[(1, c)] = "Prévu"
+        g[(2, c)] = "1"
+    g[(-1, 1)] = "2019"
+    g[(-1, 11)] = "2020"
+    g.update({(2, 0): "Aides", (3, 0): "Variation de trésorerie"})
+    cells = C.prepare_cells(_grid(spark, g).withColumn("SHEET", F.lit("Feuil1")))
+    years = rows(C.year_fill(C.crop(cells, C.sheet_bounds(cells))), "c", "annee")
+    assert years == [(c, "2019" if c < 11 else "2020") for c in range(1, 15)]
+
+
+def test_adjustments_promote_a_date_row_below_the_header(spark):
+    g = {(-1, 0): "Titre", (-1, 1): "Sans date"}
+    g.update({(1, c): f"2021-{c:02d}-01" for c in range(1, 4)})
+    g.update({(0, 0): "Raison avant l'entête", (2, 0): "Retraitement", (3, 0): "Raison", (2, 1): "10", (3, 1): "r1", (2, 3): "30"})
+    cells = _grid(spark, g).withColumn("SHEET_NO", F.lit(1))
+    assert rows(C.date_header(cells), "ligne_entete", "col_fin") == [(1, 3)]
+    out = rows(C.adjustments(cells), "mois", "montant_retraitement", "raison")
+    assert out == [("01", "10", "r1"), ("03", "30", None)]
+
+
+def test_first_sheets_follow_workbook_order(spark):
+    import pytest
+    cells = spark.createDataFrame([("w", f"s{9 - i}", i, 0, 0, "x") for i in range(1, 8)],
+                                  "file string, sheet string, sheet_no int, r int, c int, v string")
+    assert sorted(r.sheet for r in C._first_sheets(cells, 5).collect()) == ["s4", "s5", "s6", "s7", "s8"]
+    with pytest.raises(ValueError):
+        C._first_sheets(cells.drop("sheet_no"), 5)
+
+
+def test_category_table_and_gate_by_hand(spark):
+    """Expected rows written out: they do not come from the engine's own rules."""
+    from tresoria.operators import controls
+    fact = spark.createDataFrame([
+        ("a", "2021", "janvier", "Réalisé", "Aides"), ("a", "2021", "février", "Prévu", "Aides"),
+        ("b", "2021", "janvier", "Réalisé", "Inconnu"), ("c", "2021", "zzz", "Réalisé", "Aides")],
+        "nom_fichier string, nom_onglet string, mois_nom string, type_montant string, nature_montant string")
+    got = {r.nom_fichier: (r.mois_ok, r.type_ok, r.nature_ok, r.valide) for r in controls.quality_gate(fact).collect()}
+    assert got == {"a": (True, True, True, True), "b": (True, True, False, False), "c": (False, True, True, False)}
+
+
+def test_name_normaliser_by_hand(spark):
+    from tresoria.functions.text import normalise_name
+    df = spark.createDataFrame([("  Été ", 0), ("Montant", 1)], "n string, i int")
+    got = [r.x for r in df.select("i", normalise_name("n").alias("x")).orderBy("i").collect()]
+    assert got[1] == "MONTANT" and got[0] == got[0].strip().upper()
+
+
 def test_adjustments_pairs_and_cut(spark):
     g = {(-1, c): f"2021-{c:02d}-01" for c in range(1, 5)}
     g.update({(-1, 5): "Commentaire", (-1, 6): "2099-01-01",
               (0, 0): "Retraitement", (1, 0): "Raison", (2, 0): "Retraitement 2", (3, 0): "raisons",
               (0, 1): "10", (0, 3): "30", (1, 1): "r1", (1, 3): "r3", (2, 2): "22", (3, 2): "r22",
               (0, 6): "99"})
-    cells = _grid(spark, g)
+    cells = _grid(spark, g).withColumn("SHEET_NO", F.lit(1))
     out = rows(C.adjustments(cells), "annee", "mois", "mois_nom", "montant_retraitement", "raison")
     assert out == [("2021", "01", "janvier", "10", "r1"), ("2021", "02", "février", "22", "r22"),
                    ("2021", "03", "mars", "30", "r3")]

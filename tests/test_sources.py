@@ -185,3 +185,65 @@ def test_catalog_ledger_roundtrip_report(spark):
     want = E.queries()["balance_month"](spark, sf)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
     spark.sql("DROP TABLE IF EXISTS raw_reporting_treso.export_sage_code_flux_historique")
+
+
+def test_compaction_of_a_partitioned_table_keeps_text_and_is_read(spark):
+    """Partition values '01', '02' stay text, a NULL value survives, the table reads the new files."""
+    d = _tmpdir()
+    rows_ = [(f"v{i}", None if i % 7 == 0 else f"{1 + i % 3:02d}") for i in range(400)]
+    spark.sql("DROP TABLE IF EXISTS tresoria_part_t")
+    for half in (0, 1):
+        df = spark.createDataFrame(rows_[half::2], "NATURE string, MOIS string").repartition(5)
+        sinks.write_append(df, d + "/t", table="tresoria_part_t", load_date="2024-01-31", partition_by=["MOIS"])
+    before = sorted(map(tuple, spark.table("tresoria_part_t").select("NATURE", "MOIS").collect()), key=str)
+    n_files = len(spark.table("tresoria_part_t").inputFiles())
+    new = sinks.compact_table(spark, "tresoria_part_t")
+    after = spark.table("tresoria_part_t")
+    assert dict(after.dtypes)["MOIS"] == "string"
+    assert sorted(map(tuple, after.select("NATURE", "MOIS").collect()), key=str) == before == sorted(rows_, key=str)
+    assert len(after.inputFiles()) < n_files and all(new.rsplit("/", 1)[-1] in f for f in after.inputFiles())
+    spark.sql("DROP TABLE IF EXISTS tresoria_part_t")
+
+
+def test_load_workbooks_twice(spark):
+    """The second run finds every workbook in the manifest and decodes none; a new one is loaded alone."""
+    from tresoria.plans import loads
+    d = _tmpdir()
+    grid = {(1, c): f"2021-{c:02d}-01" for c in range(1, 5)}
+    grid.update({(2, 0): "Retraitement", (3, 0): "Raison", (2, 1): "10", (3, 1): "r1"})
+    os.makedirs(d + "/in")
+    write_xlsx(d + "/in/a 2021.02.xlsx", [("S1", grid)])
+    run = lambda: loads.load_workbooks(spark, d + "/in", "adjustments", d + "/t", d + "/m", load_date="2024-01-31")
+    assert (run(), run()) == (1, 0)
+    write_xlsx(d + "/in/b 2021.04.xlsx", [("S1", grid)])
+    assert run() == 1 and spark.read.parquet(d + "/t").count() == 2
+    assert loads.read_manifest(spark, d + "/m").count() == 2
+
+
+def test_repeated_headers_get_a_suffix():
+    from tresoria.sources.workbook import _suffixed
+    cells = [("s", 1, -1, 0, "TOTAL"), ("s", 1, -1, 1, "janvier"), ("s", 1, -1, 2, "janvier"), ("s", 1, 0, 2, "janvier"),
+             ("s", 1, -1, 3, "janvier"), ("t", 2, -1, 0, "janvier")]
+    assert [v for *_, v in _suffixed(cells)] == ["TOTAL", "janvier", "janvier.1", "janvier", "janvier.2", "janvier"]
+
+
+def test_scratch_folder_is_never_local_on_a_cluster(spark, monkeypatch):
+    import pytest
+    from tresoria import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())

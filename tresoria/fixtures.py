@@ -51,7 +51,7 @@ CELLS_SQL = """
 WITH m AS (SELECT * FROM (VALUES (1,'janvier'),(2,'février'),(3,'mars'),(4,'avril'),(5,'mai'),(6,'juin'),(7,'juillet'),(8,'août'),
                                  (9,'septembre'),(10,'octobre'),(11,'novembre'),(12,'décembre')) AS t(c, mois_nom)),
      n AS (SELECT * FROM (VALUES (1,'Contributions'),(2,'Aides'),(3,NULL),(4,'Total Dépenses'),(5,'Variation de trésorerie'),(6,'Dette'),(8,'note hors tableau')) AS t(r, nature)),
-     b AS (SELECT 'Equilibre Technique mensualisé ' || CAST(2017 + o_orderkey % 5 AS STRING) || '.' || lpad(CAST(2 + 2 * (o_orderkey % 5) AS STRING), 2, '0') || ' - DEA.xlsx' AS file,
+     b AS (SELECT 'lot_' || CAST(CAST(floor(o_orderkey / 8000) AS INT) AS STRING) || '/Equilibre Technique mensualisé ' || CAST(2017 + o_orderkey % 5 AS STRING) || '.' || lpad(CAST(2 + 2 * (o_orderkey % 5) AS STRING), 2, '0') || ' - DEA.xlsx' AS file,
                   CAST(year(o_orderdate) AS STRING) AS sheet, CAST(1 + o_custkey % 9 AS INT) AS r, CAST(month(o_orderdate) AS INT) AS c,
                   CAST(o_totalprice AS DECIMAL(18,2)) AS amt FROM orders),
      y AS (SELECT DISTINCT file, sheet FROM b)
@@ -65,32 +65,37 @@ CELLS_SINGLE_SQL = """
 WITH m AS (SELECT * FROM (VALUES (1,'janvier'),(2,'février'),(3,'mars'),(4,'avril'),(5,'mai'),(6,'juin'),(7,'juillet'),(8,'août'),
                                  (9,'septembre'),(10,'octobre'),(11,'novembre'),(12,'décembre')) AS t(mm, mois_nom)),
      n AS (SELECT * FROM (VALUES (2,'Contributions'),(3,'Aides'),(4,NULL),(5,'Total Dépenses'),(6,'Variation de trésorerie')) AS t(r, nature)),
-     b AS (SELECT 'Equilibre Technique mensualisé 2021.' || lpad(CAST(2 + 2 * (o_orderkey % 5) AS STRING), 2, '0') || ' - DEA.xlsx' AS file,
+     b AS (SELECT 'lot_' || CAST(CAST(floor(o_orderkey / 8000) AS INT) AS STRING) || '/Equilibre Technique mensualisé 2021.' || lpad(CAST(2 + 2 * (o_orderkey % 5) AS STRING), 2, '0') || ' - DEA.xlsx' AS file,
                   CAST(year(o_orderdate) AS INT) AS yr, CAST(month(o_orderdate) AS INT) AS mm, CAST(2 + o_custkey % 5 AS INT) AS r,
-                  CAST(o_totalprice AS DECIMAL(18,2)) AS amt FROM orders WHERE year(o_orderdate) IN (1999, 2000)),
-     h AS (SELECT f.file, y.yr, m.mm, m.mois_nom FROM (SELECT DISTINCT file FROM b) f
-           CROSS JOIN (SELECT * FROM (VALUES (1999),(2000)) AS t(yr)) y CROSS JOIN m)
-SELECT file AS FILE, 'Feuil1' AS SHEET, -1 AS R, (yr - 1999) * 12 + mm AS C, CAST(yr AS STRING) AS V FROM h WHERE mm = 1
-UNION ALL SELECT file, 'Feuil1', 0, (yr - 1999) * 12 + mm, mois_nom FROM h
-UNION ALL SELECT file, 'Feuil1', 1, (yr - 1999) * 12 + mm, CASE WHEN yr = 1999 THEN 'Réalisé' ELSE 'Prévu' END FROM h
+                  CAST(o_totalprice AS DECIMAL(18,2)) AS amt FROM orders),
+     y AS (SELECT DISTINCT yr FROM b),
+     y0 AS (SELECT min(yr) AS first_yr FROM b),
+     h AS (SELECT f.file, y.yr, m.mm, m.mois_nom, (y.yr - y0.first_yr) * 12 + m.mm AS c, y0.first_yr FROM (SELECT DISTINCT file FROM b) f
+           CROSS JOIN y CROSS JOIN y0 CROSS JOIN m)
+SELECT file AS FILE, 'Feuil1' AS SHEET, -1 AS R, c AS C, CAST(yr AS STRING) AS V FROM h WHERE mm = 1
+UNION ALL SELECT file, 'Feuil1', 0, c, mois_nom FROM h
+UNION ALL SELECT file, 'Feuil1', 1, c, CASE WHEN yr = first_yr THEN 'Réalisé' ELSE 'Prévu' END FROM h
 UNION ALL SELECT f.file, 'Feuil1', n.r, 0, n.nature FROM (SELECT DISTINCT file FROM b) f CROSS JOIN n WHERE nature IS NOT NULL
-UNION ALL SELECT file, 'Feuil1', r, (yr - 1999) * 12 + mm, CAST(CAST(sum(amt) AS DECIMAL(18,2)) AS STRING) FROM b GROUP BY file, r, yr, mm
+UNION ALL SELECT file, 'Feuil1', r, (yr - first_yr) * 12 + mm, CAST(CAST(sum(amt) AS DECIMAL(18,2)) AS STRING) FROM b CROSS JOIN y0 GROUP BY file, r, yr, mm, first_yr
 """
 
 CELLS_ADJ_SQL = """
-WITH b AS (SELECT 'Previsions DFT 2021.' || lpad(CAST(2 + 2 * (o_orderkey % 5) AS STRING), 2, '0') || '.xlsx' AS file,
+WITH b AS (SELECT 'lot_' || CAST(CAST(floor(o_orderkey / 8000) AS INT) AS STRING) || '/Previsions DFT 2021.' || lpad(CAST(2 + 2 * (o_orderkey % 5) AS STRING), 2, '0') || '.xlsx' AS file,
                   CAST(year(o_orderdate) AS STRING) AS sheet, CAST(month(o_orderdate) AS INT) AS c, CAST(o_custkey % 2 AS INT) AS pair,
-                  CAST(o_totalprice AS DECIMAL(18,2)) AS amt FROM orders WHERE o_orderkey % 7 = 0),
-     s AS (SELECT DISTINCT file, sheet FROM b),
+                  CAST(o_totalprice AS DECIMAL(18,2)) AS amt FROM orders),
+     s AS (SELECT file, sheet, dense_rank() OVER (PARTITION BY file ORDER BY sheet DESC) AS no FROM (SELECT DISTINCT file, sheet FROM b)),
      d AS (SELECT * FROM (VALUES (1),(2),(3),(4),(5),(6),(7),(8),(9),(10),(11),(12)) AS t(c)),
-     l AS (SELECT * FROM (VALUES (1,'Retraitements'),(2,'Raisons'),(3,'Retraitements (suite)'),(4,'Raisons')) AS t(r, lab))
-SELECT file AS FILE, sheet AS SHEET, -1 AS R, c AS C, sheet || '-' || lpad(CAST(c AS STRING), 2, '0') || '-01' AS V FROM s CROSS JOIN d
+     l AS (SELECT * FROM (VALUES (1,'Retraitements'),(2,'Raisons'),(3,'Retraitements (suite)'),(4,'Raisons')) AS t(r, lab)),
+     u AS (
+SELECT file, sheet, -1 AS r, c, sheet || '-' || lpad(CAST(c AS STRING), 2, '0') || '-01' AS v FROM s CROSS JOIN d
 UNION ALL SELECT file, sheet, -1, 13, 'Commentaire' FROM s
 UNION ALL SELECT file, sheet, -1, 14, '2099-01-01' FROM s
 UNION ALL SELECT file, sheet, r, 0, lab FROM s CROSS JOIN l
 UNION ALL SELECT file, sheet, 1 + 2 * pair, c, CAST(CAST(sum(amt) AS DECIMAL(18,2)) AS STRING) FROM b GROUP BY file, sheet, pair, c
 UNION ALL SELECT file, sheet, 2 + 2 * pair, c, 'décalage ' || CAST(count(*) AS STRING) FROM b GROUP BY file, sheet, pair, c
-UNION ALL SELECT file, sheet, 1, 14, '1.00' FROM s
+UNION ALL SELECT file, sheet, 1, 14, '1.00' FROM s)
+SELECT u.file AS FILE, u.sheet AS SHEET, u.r AS R, u.c AS C, u.v AS V, CAST(s.no AS INT) AS SHEET_NO
+FROM u JOIN s ON u.file = s.file AND u.sheet = s.sheet
 """
 
 VIEWS = {

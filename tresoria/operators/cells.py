@@ -261,18 +261,16 @@ def unpivot_multi(cropped: DataFrame) -> DataFrame:
 
 
 def year_fill(cropped: DataFrame) -> DataFrame:
-    """Single-sheet layout: the year stands only above each ``janvier``
-    column; every month column takes the year of the last ``janvier`` at or
-    before it (its own header before the first one).  A window over the
+    """Single-sheet layout: the year stands above the first month of each year
+    (``janvier``, or a later one where a table starts in mid-year); every month
+    column takes the last non-empty header at or before it.  A window over the
     columns of a sheet (one row per column, never per cell)."""
     meta = (cropped.where((F.col("c") > F.col("col_debut")) & (F.col("r") <= 0))
             .groupBy(*SHEET, "c")
-            .agg(F.max(F.when(F.col("r") == -1, F.col("v"))).alias("entete"),
-                 F.max(F.when(F.col("r") == 0, F.col("v"))).alias("mois_nom")))
-    jan_year = F.when(F.col("mois_nom") == MONTHS_FR[0], F.col("entete"))
+            .agg(F.max(F.when(F.col("r") == -1, F.col("v"))).alias("entete")))
     w = Window.partitionBy(*SHEET).orderBy("c").rowsBetween(Window.unboundedPreceding, 0)
-    filled = F.last(jan_year, ignorenulls=True).over(w)
-    own = F.coalesce(F.col("entete"), F.concat(F.lit("Unnamed: "), F.col("c").cast("string")))
+    filled = F.last("entete", ignorenulls=True).over(w)
+    own = F.concat(F.lit("Unnamed: "), F.col("c").cast("string"))
     return meta.select(*SHEET, "c", F.coalesce(filled, own).alias("annee"))
 
 
@@ -372,14 +370,10 @@ def date_header(cells: DataFrame) -> DataFrame:
 
 def _first_sheets(cells: DataFrame, n: int) -> DataFrame:
     """(file, sheet) of the first ``n`` sheets of every workbook, in workbook
-    order (``sheet_no`` when the reader gives it, else sheet-name order).
-    Ranked on the distinct sheet list, never on the cells."""
-    if "sheet_no" in cells.columns:
-        sheets = cells.select(*SHEET, "sheet_no").distinct()
-        return sheets.where(F.col("sheet_no") <= n).select(*SHEET)
-    sheets = cells.select(*SHEET).distinct()
-    w = Window.partitionBy("file").orderBy("sheet")
-    return sheets.withColumn("_k", F.dense_rank().over(w)).where(F.col("_k") <= n).select(*SHEET)
+    order, which only ``sheet_no`` tells."""
+    if "sheet_no" not in cells.columns:
+        raise ValueError("cells need sheet_no: the order of a workbook's sheets is not the order of their names")
+    return cells.where(F.col("sheet_no") <= n).select(*SHEET).distinct()
 
 
 def adjustments(cells: DataFrame, max_sheets: int = ADJ_MAX_SHEETS) -> DataFrame:

@@ -1,6 +1,6 @@
 """Registry of named queries: ``name -> (spark, sf_dir) -> DataFrame`` and the
 matching oracle SQL (``name -> str``).  Each query reads the driver's tables
-through the fixture views, so its work grows with the tables."""
+through the fixture views, whose rows, files and sheets grow with the tables."""
 
 from __future__ import annotations
 
@@ -11,15 +11,17 @@ from pyspark.sql import functions as F
 
 from tresoria import constants as K
 from tresoria import fixtures
+from tresoria.functions.numeric import money_sum
 from tresoria.functions.text import normalise_name, stringify
 from tresoria.functions.version import version_from_filename
 from tresoria.operators import cells as C
 from tresoria.operators import controls, forecast, labels, ledger, periods
 from tresoria.operators.controls import quality_gate
+from tresoria.plans import loads
 from tresoria.plans import oracle_sql as O
 from tresoria.session import scratch_path
 from tresoria.sources import sinks
-from tresoria.sources.tables import new_files
+from tresoria.sources.tables import discover_files, ledger_table, new_files, read_csv_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -155,6 +157,21 @@ def q_kpi_month(spark, sf):
     return controls.kpi(sage(spark, sf), 30)
 
 
+@register("kpi_day", O.kpi_sql(1) + "SELECT * FROM kp")
+def q_kpi_day(spark, sf):
+    return controls.kpi(sage(spark, sf), K.KPI_LAG_DAYS["J"])
+
+
+@register("kpi_quarter", O.kpi_sql(90) + "SELECT * FROM kp")
+def q_kpi_quarter(spark, sf):
+    return controls.kpi(sage(spark, sf), K.KPI_LAG_DAYS["T"])
+
+
+@register("kpi_year", O.kpi_sql(365) + "SELECT * FROM kp")
+def q_kpi_year(spark, sf):
+    return controls.kpi(sage(spark, sf), K.KPI_LAG_DAYS["A"])
+
+
 @register("kpi_text", O.kpi_sql(7) + O.KPI_TEXT_SELECT)
 def q_kpi_text(spark, sf):
     return controls.kpi_text(controls.kpi(sage(spark, sf), 7))
@@ -180,6 +197,16 @@ def q_balance_week_filtered(spark, sf):
     return periods.balance(s, "flux", "S")
 
 
+@register("small_amounts", """
+SELECT o_orderstatus, CAST(CAST(SUM(CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(20,2))) * CAST(0.0000001 AS DECIMAL(8,7))
+       AS VARCHAR) AS DOUBLE) AS total FROM orders GROUP BY o_orderstatus""")
+def q_small_amounts(spark, sf):
+    """Amounts of a hundredth of a unit in ten millions keep all their places in a sum."""
+    fixtures.register_base_tables(spark, sf, ["orders"])
+    small = spark.table("orders").select("o_orderstatus", (F.col("o_totalprice") / F.lit(1e7)).alias("x"))
+    return small.groupBy("o_orderstatus").agg(money_sum("x").alias("total"))
+
+
 # -------------------------------------------------------------- forecast ---
 
 
@@ -492,3 +519,100 @@ def q_typed_forecast_store(spark, sf):
     path = scratch_path(spark, f"tables/prev_typed_{uuid.uuid4().hex}")
     forecast.store_typed_forecast(raw_prev(spark, sf), path)
     return spark.read.parquet(path).withColumn("annee", F.col("annee").cast("string"))
+
+
+def _fresh(spark, name: str) -> str:
+    """A folder of its own in the shared scratch space for a written table."""
+    import uuid
+    return scratch_path(spark, f"tables/{name}_{uuid.uuid4().hex}")
+
+
+@register("csv_ledger", O.ctes(ledger=None) + "SELECT * FROM ledger")
+def q_csv_ledger(spark, sf):
+    """The ledger written as a semicolon-separated export and read back as text."""
+    path = _fresh(spark, "ledger_csv")
+    raw_ledger(spark, sf).write.option("sep", ";").option("header", "true").option(
+        "ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
+    return read_csv_table(spark, path)
+
+
+@register("discover_exports", O.ctes(ledger=None) + "SELECT DISTINCT FICHIER AS dossier FROM ledger WHERE FICHIER <> 'export_1.csv'")
+def q_discover_exports(spark, sf):
+    """Folders found by the recursive listing, those of listed names left out."""
+    path = _fresh(spark, "exports")
+    raw_ledger(spark, sf).withColumn("dossier", F.col("FICHIER")).repartition("dossier").write.partitionBy(
+        "dossier").option("sep", ";").csv(path)
+    found = discover_files(spark, path, "*.csv").select(F.regexp_extract("path", "dossier=([^/]+)/", 1).alias("name"))
+    done = spark.createDataFrame([("export_1.csv",)], "name string")
+    return new_files(found.distinct(), done).select(F.col("name").alias("dossier"))
+
+
+def _stored_ledger(spark, sf):
+    """The ledger as the catalog table of its grain, in a database of its own."""
+    import uuid
+    database = f"tresorerie_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{_fresh(spark, database)}'")
+    sinks.write_overwrite(raw_ledger(spark, sf), _fresh(spark, "export_sage"), load_date=LOAD_DATE,
+                          table=f"{database}.export_sage_code_flux_historique")
+    return ledger_table(spark, database, "flux")
+
+
+@register("catalog_ledger_balance", O.balance_sql("M"))
+def q_catalog_ledger_balance(spark, sf):
+    return periods.balance(ledger.clean_ledger(_stored_ledger(spark, sf)), "flux", "M")
+
+
+_LEDGER_LOADED = O.ctes(ledger=None) + f"SELECT *, '{LOAD_DATE}' AS DATE_EXTRACTION FROM ledger"
+
+
+@register("consolidate_table", _LEDGER_LOADED)
+def q_consolidate_table(spark, sf):
+    """Current export into a new catalog table, history appended, table read back."""
+    import uuid
+    raw, table = raw_ledger(spark, sf), f"export_sage_{uuid.uuid4().hex[:12]}"
+    current = F.col("FICHIER") == "export_0.csv"
+    sinks.consolidate_table(raw.where(current), raw.where(~current | F.col("FICHIER").isNull()),
+                            _fresh(spark, table), table, LOAD_DATE)
+    return spark.table(table)
+
+
+_FACT_UPPER = ", ".join(f"{c} AS {c.upper()}" for c in C.FACT_COLUMNS)
+
+
+def _load_twice(spark, cells, kind, table):
+    """Two runs of a load; the second finds every file in the manifest."""
+    path, manifest = _fresh(spark, table), _fresh(spark, "manifest")
+    first = loads.load_cells(cells, kind, path, manifest, load_date=LOAD_DATE)
+    again = loads.load_cells(cells, kind, path, manifest, load_date=LOAD_DATE)
+    if cells.limit(1).count() and (not first or again):
+        raise ValueError(f"loaded {first} files, then {again} again")
+    return spark.read.parquet(path)
+
+
+@register("load_forecast_table", f"SELECT {_FACT_UPPER}, '{LOAD_DATE}' AS DATE_EXTRACTION FROM ({O.ingest_sql('multi')})")
+def q_load_forecast_table(spark, sf):
+    return _load_twice(spark, fixtures.view(spark, sf, "cells"), "multi", "treso_dea_prev")
+
+
+@register("load_adjustments_table", "SELECT nom_fichier AS NOM_FICHIER, nom_onglet AS NOM_ONGLET, annee AS ANNEE, mois AS MOIS, "
+          "mois_nom AS MOIS_NOM, montant_retraitement AS MONTANT_RETRAITEMENT, raison AS RAISON, "
+          f"'{LOAD_DATE}' AS DATE_EXTRACTION FROM ({O.ctes(**O.adj_ctes()) + O.ADJ_SELECT})")
+def q_load_adjustments_table(spark, sf):
+    return _load_twice(spark, fixtures.view(spark, sf, "cells_adj"), "adjustments", "treso_dea_retraitements")
+
+
+@register("compact_partitioned", _LOADED_SQL)
+def q_compact_partitioned(spark, sf):
+    """A catalog table partitioned by month, written in two appends and compacted:
+    same rows and types, and the table reads the new files."""
+    import uuid
+    table = f"treso_dea_prev_{uuid.uuid4().hex[:12]}"
+    path, raw = _fresh(spark, table), raw_prev(spark, sf)
+    even = F.col("ANNEE").try_cast("int") % 2 == 0
+    for part in (raw.where(even), raw.where(~even | even.isNull())):
+        sinks.write_append(part, path, table, LOAD_DATE, partition_by=["MOIS"])
+    new = sinks.compact_table(spark, table)
+    out = spark.table(table)
+    if not all("_compact_" in f for f in out.inputFiles()):
+        raise ValueError(f"{table} does not read {new}")
+    return out

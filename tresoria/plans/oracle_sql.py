@@ -270,7 +270,7 @@ def _re_alt(words) -> str:
 def cells_base(view: str) -> dict:
     return {view: None,
             "cl": f"SELECT FILE AS file, SHEET AS sheet, R AS r, C AS c, V AS v, "
-                  f"TRY_CAST(V AS DOUBLE) IS NOT NULL AS num FROM {view}"}
+                  f"regexp_matches(V, '^[ \\t]*[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?[ \\t]*$') AS num FROM {view}"}
 
 
 def bounds_ctes(view: str) -> dict:
@@ -348,8 +348,8 @@ def unpivot_single_ctes(view: str = "cells_single") -> dict:
     d["ym"] = ("SELECT file, sheet, c, max(CASE WHEN r = -1 THEN v END) AS entete, "
                "max(CASE WHEN r = 0 THEN v END) AS mois_nom FROM cr WHERE c > col_debut AND r <= 0 GROUP BY file, sheet, c")
     d["yf"] = ("SELECT m.file, m.sheet, m.c, COALESCE((SELECT j.entete FROM ym j WHERE j.file = m.file AND j.sheet = m.sheet "
-               "AND j.mois_nom = 'janvier' AND j.entete IS NOT NULL AND j.c <= m.c ORDER BY j.c DESC LIMIT 1), "
-               "m.entete, 'Unnamed: ' || CAST(m.c AS VARCHAR)) AS annee FROM ym m")
+               "AND j.entete IS NOT NULL AND j.c <= m.c ORDER BY j.c DESC LIMIT 1), "
+               "'Unnamed: ' || CAST(m.c AS VARCHAR)) AS annee FROM ym m")
     d["lng"] = ("SELECT v.file, v.sheet, v.r, v.c, y.annee, m.mois_nom, m.type_montant, l.label, v.montant "
                 "FROM vals v LEFT JOIN meta m USING (file, sheet, c) LEFT JOIN lab l USING (file, sheet, r) "
                 "LEFT JOIN yf y USING (file, sheet, c)")
@@ -418,8 +418,7 @@ def ingest_sql(layout: str) -> str:
 def adj_ctes() -> dict:
     isd = "(COALESCE(try_strptime(v, '%Y-%m-%d'), try_strptime(v, '%Y-%m-%d %H:%M:%S')) IS NOT NULL)"
     d = cells_base("cells_adj")
-    d["fs"] = ("SELECT file, sheet FROM (SELECT file, sheet, dense_rank() OVER (PARTITION BY file ORDER BY sheet) AS k "
-               "FROM (SELECT DISTINCT file, sheet FROM cl)) WHERE k <= 5")
+    d["fs"] = "SELECT DISTINCT FILE AS file, SHEET AS sheet FROM cells_adj WHERE SHEET_NO <= 5"
     d["c5"] = "SELECT * FROM cl WHERE (file, sheet) IN (SELECT file, sheet FROM fs)"
     d["hd"] = (f"SELECT file, sheet, max(c) AS max_c, CASE WHEN bool_or(r = -1 AND {isd}) THEN -1 "
                f"ELSE min(CASE WHEN r >= 0 AND {isd} THEN r END) END AS ligne_entete FROM c5 GROUP BY file, sheet")

@@ -57,14 +57,18 @@ def apply_core_conf(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder (HDFS/S3/...); we only read it.  Only when
-    the setting is absent (tests, local runs) do we create one of our own.
+    A cluster names a shared folder (HDFS/S3/...); we only read it.  Without the
+    setting a local session gets a folder of its own; a cluster session raises,
+    since executors would write to disks that the others do not see.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if d:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(d)
         return d
+    master = spark.sparkContext.master or ""
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     d = tempfile.mkdtemp(prefix="tresoria-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +55,13 @@ def consolidate(current: DataFrame, history: DataFrame) -> DataFrame:
     return current.unionByName(history, allowMissingColumns=True)
 
 
+def consolidate_table(current: DataFrame, history: DataFrame, path: str, table: str | None = None,
+                      load_date: str | None = None) -> None:
+    """Create the table from the current export, then add the history to it."""
+    write_overwrite(current, path, table, load_date)
+    write_append(history, path, table, load_date)
+
+
 def _path_bytes(spark: SparkSession, path: str) -> int:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -61,12 +69,41 @@ def _path_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(hpath).getLength())
 
 
+def _partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """Names of the ``column=value`` folder levels under ``path``, outermost first."""
+    jvm = spark.sparkContext._jvm
+    at, out = jvm.org.apache.hadoop.fs.Path(path), []
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    while True:
+        below = [st.getPath() for st in fs.listStatus(at) if st.isDirectory() and "=" in st.getPath().getName()]
+        if not below:
+            return out
+        at = below[0]
+        out.append(at.getName().split("=", 1)[0])
+
+
+def _read_as_stored(spark: SparkSession, path: str) -> DataFrame:
+    """The files under ``path`` with partition values as the text of their folders."""
+    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        return spark.read.parquet(path)
+    finally:
+        spark.conf.set(key, before)
+
+
 def compact(spark: SparkSession, path: str, out_path: str, target_file_bytes: int = TARGET_FILE_BYTES) -> DataFrame:
     """Rewrite the Parquet files under ``path`` into ``out_path`` as files of
     about ``target_file_bytes``; the content is unchanged (same multiset of
-    rows).  The number of files follows the stored size, not a row count."""
+    rows, same columns and partition folders).  The number of files follows the
+    stored size, not a row count; a partition folder that holds a large share of
+    the table is split over several tasks."""
+    df, by = _read_as_stored(spark, path), _partition_columns(spark, path)
+    if by:
+        df.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(out_path)
+        return _read_as_stored(spark, out_path)
     n = max(1, math.ceil(_path_bytes(spark, path) / target_file_bytes))
-    df = spark.read.parquet(path)
     # fewer, larger files: merge scan partitions without a shuffle; only a
     # table whose scan gives fewer partitions than wanted files is re-spread
     out = df.coalesce(n) if n <= df.rdd.getNumPartitions() else df.repartition(n)
@@ -84,13 +121,20 @@ def table_location(spark: SparkSession, table: str) -> str:
 
 def compact_table(spark: SparkSession, table: str, target_file_bytes: int = TARGET_FILE_BYTES) -> str:
     """Compact a catalog table: write the compacted copy next to the current
-    files, then point the table at it (a metadata change; no file is moved).
-    Readers see either the old or the new location, never a partial copy.
-    Returns the new location; the old files stay for the retention policy."""
+    files, then point the table, and each partition that the catalog knows, at it
+    (a metadata change; no file is moved).  The copy is whole before the first
+    change.  Returns the new location; the old files stay for the retention
+    policy."""
     import uuid
     old = table_location(spark, table)
     new = f"{old.rstrip('/')}_compact_{uuid.uuid4().hex[:12]}"
     compact(spark, old, new, target_file_bytes)
+    by = _partition_columns(spark, old)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
+    if by:  # one row for each partition of the catalog
+        for r in spark.sql(f"SHOW PARTITIONS {table}").collect():
+            spec = ", ".join("{} = '{}'".format(k, unquote(v).replace("'", "\\'"))
+                             for k, v in (x.split("=", 1) for x in r["partition"].split("/")))
+            spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{new}/{r['partition']}'")
     spark.catalog.refreshTable(table)
     return new

@@ -134,6 +134,17 @@ def _cell_value(cell, shared, dates):
 CHUNK_ROWS = 200_000
 
 
+def _suffixed(cells):
+    """Header cells (row -1) with a text that stood further left get ``.1``, ``.2``, ...
+    as the reports' own reader names repeated columns: only the first counts as a month."""
+    seen: dict = {}
+    for sheet, no, r, c, v in cells:
+        if r == -1:
+            n = seen[no, v] = seen.get((no, v), -1) + 1
+            v = f"{v}.{n}" if n else v
+        yield sheet, no, r, c, v
+
+
 def _frame(rows):
     return pd.DataFrame(rows, columns=["file", "sheet", "sheet_no", "r", "c", "v"]).astype(
         {"sheet_no": "int32", "r": "int32", "c": "int32"})
@@ -144,7 +155,7 @@ def _decode_batches(batches):
         rows = []
         for path, content in zip(pdf["path"], pdf["content"]):
             name = path.rsplit("/", 1)[-1]
-            for sheet, no, r, c, v in decode_workbook(name, bytes(content)):
+            for sheet, no, r, c, v in _suffixed(decode_workbook(name, bytes(content))):
                 rows.append((path, sheet, no, r, c, v))
                 if len(rows) >= CHUNK_ROWS:
                     yield _frame(rows)
@@ -174,12 +185,10 @@ def new_workbook_cells(spark: SparkSession, root: str, manifest: DataFrame, glob
     (one column ``name``: file names already loaded).
 
     Files are listed first (metadata only), the manifest is applied as a
-    left-anti join, and only the remaining files are opened, so loaded
-    workbooks are never read again.  The surviving paths are file-listing
-    metadata (what Spark's own file index keeps on the driver)."""
+    left-anti join, and only the remaining files are decoded.  Nothing is listed
+    on the driver: the rest of the scan's rows meet their decoder where they are."""
     from tresoria.sources.tables import discover_files, new_files
-    todo = new_files(discover_files(spark, root, glob), manifest)
-    paths = [r["path"] for r in todo.select("path").collect()]
-    if not paths:
-        return spark.createDataFrame([], CELL_SCHEMA)
-    return decode_files(spark.read.format("binaryFile").load(paths))
+    todo = new_files(discover_files(spark, root, glob), manifest).select("path")
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+             .option("recursiveFileLookup", "true").load(root))
+    return decode_files(files.join(todo, on="path", how="left_semi"))
