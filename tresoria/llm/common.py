@@ -55,9 +55,10 @@ def matches(text: Column, pattern: str, maybe: Column | None = None) -> Column:
 
 
 def labelled(spans: Column, kind: str, rank: int) -> Column:
-    """Spans with their kind's name and its place in the order of kinds."""
+    """Spans with their kind's name and its place in the order of kinds; they sort by
+    start, then kind."""
     return F.transform(spans, lambda x: F.struct(
-        x["s"].alias("s"), x["e"].alias("e"), F.lit(rank).alias("k"), F.lit(kind).alias("kind"), x["t"].alias("t")))
+        x["s"].alias("s"), F.lit(rank).alias("k"), x["e"].alias("e"), F.lit(kind).alias("kind"), x["t"].alias("t")))
 
 
 def span_list(spans: Column) -> Column:

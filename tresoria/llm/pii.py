@@ -227,7 +227,7 @@ def _selected(df: DataFrame, models: list[Ensemble]) -> DataFrame:
     """``__base`` by kind then start, and ``__more``: proposals over their kind's
     threshold that no base span and no better proposal overlaps."""
     df = df.withColumn("__base", F.array_sort("__base", lambda a, b: _order(a, b)))
-    empty = F.array().cast("array<struct<s:int,e:int,k:int,kind:string,t:string>>")
+    empty = F.array().cast("array<struct<s:int,k:int,e:int,kind:string,t:string>>")
     if not models:
         return df.withColumn("__more", empty)
 
@@ -248,8 +248,8 @@ def _selected(df: DataFrame, models: list[Ensemble]) -> DataFrame:
             (y["s"] < x["s"]) | ((y["s"] == x["s"]) & (y["e"] > x["e"])))))))
     names = F.array(*map(F.lit, KINDS))
     more = F.transform(kept, lambda x: F.struct(
-        x["s"].alias("s"), x["e"].alias("e"), x["k"].alias("k"), F.get(names, x["k"]).alias("kind"), F.lit("").alias("t")))
-    return df.withColumn("__more", F.coalesce(more.cast("array<struct<s:int,e:int,k:int,kind:string,t:string>>"), empty))
+        x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e"), F.get(names, x["k"]).alias("kind"), F.lit("").alias("t")))
+    return df.withColumn("__more", F.coalesce(more.cast("array<struct<s:int,k:int,e:int,kind:string,t:string>>"), empty))
 
 
 def _order(a: Column, b: Column) -> Column:
@@ -283,7 +283,7 @@ def redact(docs: DataFrame, text_col: str = "text", models: list[Ensemble] | Non
     models = train(docs, text_col) if models is None else models
     df = _prepared(docs, [F.struct("*").alias("__row")], text_col)
     df = _selected(df, models)
-    spans = F.array_sort(F.concat("__base", "__more"))  # by start, then end
+    spans = F.array_sort(F.concat("__base", "__more"))  # by start
     text = F.col("__t")
 
     def step(acc, x):

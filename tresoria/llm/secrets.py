@@ -104,7 +104,7 @@ def entropy_spans(text: Column) -> Column:
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, ``base`` and ``found`` spans
-    (``array<struct<s,e,k,kind,t>>``, by start then kind).  ``found`` holds the
+    (``array<struct<s,k,e,kind,t>>``, by start then kind).  ``found`` holds the
     base spans and those entropy spans that no base span contains."""
     text = F.col("__t")
     df = docs.select(F.col(id_col).alias("__id"), text_or_empty(text_col).alias("__t"))
