@@ -59,8 +59,8 @@ def test_small_tables_use_the_join(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    a = {r.doc_id: r.score for r in compare(df, rows, class_words=50, count_words_kept=50)}
-    b = {r.doc_id: r.score for r in compare(df, rows, class_words=50, count_words_kept=100_000)}
+    a = {r.doc_id: r.score for r in compare(df, rows, class_words=20, count_words_kept=60)}
+    b = {r.doc_id: r.score for r in compare(df, rows, class_words=20, count_words_kept=100_000)}
     assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k], rel=1e-9) for k in a)
 
 

@@ -44,6 +44,8 @@ COUNT_WORDS = 65536
 ROUNDS = 2
 #: words that a task's counter holds before it is passed on
 FLUSH = 400_000
+#: texts scored before their rows are passed on: bounds what a task holds
+SCORED = 200
 #: words exchanged in one block
 BLOCK = 512
 #: share of the class model; added count of an unseen class bigram
@@ -267,24 +269,26 @@ def _score_rows(docs: DataFrame, sent) -> DataFrame:
         get, class_of = m.counts.get, m.classes.table.get
         end_count = m.counts.get(b"", 0)  # the end token's count is kept under the empty word
         for b in batches:
-            out = []
-            for doc_id, held, t in zip(*(b.column(i).to_pylist() for i in range(3))):
-                ws = words_of(t)
-                counts = [get(w, -1) for w in ws]
-                cls = [c if (c := class_of(w)) is not None else form(w) for w in ws]
-                cls = np.array([*cls, EDGE], dtype=np.int64)
-                before = np.concatenate(([EDGE], cls[:-1]))
-                n = np.array([*counts, end_count], dtype=np.int64)
-                held_here = n >= 0
-                p = m.probability(before[held_here], cls[held_here], n[held_here])
-                rare = Counter((ws[i], int(before[i]) * FORMS + int(cls[i]) - CLASSES) for i in np.flatnonzero(~held_here))
-                out.append((serial, doc_id, held, len(n), int((n > 0).sum()), float(m.base(n[held_here]).sum()),
-                            float(np.log10(p).sum()), [{"w": w, "c": c, "m": k} for (w, c), k in rare.items()]))
-                serial += 1
-            cols = list(zip(*out)) or [[]] * 8
-            types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), _RARE]
-            yield pa.RecordBatch.from_arrays([pa.array(c, ty) for c, ty in zip(cols, types)],
-                                             names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare"])
+            for lo in range(0, b.num_rows, SCORED):
+                out = []
+                part = b.slice(lo, SCORED)
+                for doc_id, held, t in zip(*(part.column(i).to_pylist() for i in range(3))):
+                    ws = words_of(t)
+                    counts = [get(w, -1) for w in ws]
+                    cls = [c if (c := class_of(w)) is not None else form(w) for w in ws]
+                    cls = np.array([*cls, EDGE], dtype=np.int64)
+                    before = np.concatenate(([EDGE], cls[:-1]))
+                    n = np.array([*counts, end_count], dtype=np.int64)
+                    held_here = n >= 0
+                    p = m.probability(before[held_here], cls[held_here], n[held_here])
+                    rare = Counter((ws[i], int(before[i]) * FORMS + int(cls[i]) - CLASSES) for i in np.flatnonzero(~held_here))
+                    out.append((serial, doc_id, held, len(n), int((n > 0).sum()), float(m.base(n[held_here]).sum()),
+                                float(np.log10(p).sum()), [{"w": w, "c": c, "m": k} for (w, c), k in rare.items()]))
+                    serial += 1
+                cols = list(zip(*out))
+                types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), _RARE]
+                yield pa.RecordBatch.from_arrays([pa.array(c, ty) for c, ty in zip(cols, types)],
+                                                 names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare"])
 
     return docs.select("id", "held_out", "text").mapInArrow(run, SUMMARY)
 
@@ -300,7 +304,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", round
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     ends = _train_texts(docs).count()
     n_tokens, n_types = total["n"] + ends, total["v"] + (ends > 0)
-    top = [(bytes(r["word"]), r["n"]) for r in counts.orderBy(F.desc("n"), "word").limit(count_words_kept).collect()]
+    top = frequent_words(counts, count_words_kept)
     frequent = [w for w, _ in top[:class_words]]
     table = cluster(docs, frequent, rounds)
     bigrams = class_bigrams(docs, table)
@@ -329,6 +333,24 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", round
                       full.alias("score"), F.pow(F.lit(10.0), -full / F.col("n_tokens")).alias("perplexity"))
 
 
+def frequent_words(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
+    """The words above the lowest count that leaves at most ``most`` of them, most
+    frequent first.  The bound comes from a histogram of counts, of a few hundred
+    bands whatever the corpus, so only those words ever reach the driver."""
+    band = F.floor(F.log2(F.col("n").cast("double")) * 16)
+    bands = counts.groupBy(band.alias("b")).agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("b")).collect()
+    taken, least = 0, None
+    for r in bands:
+        taken += r["words"]
+        if taken > most:
+            break
+        least = r["b"]
+    if least is None:
+        return []
+    rows = counts.filter(band >= least).select("word", "n").collect()
+    return sorted(((bytes(r["word"]), r["n"]) for r in rows), key=lambda x: (-x[1], x[0]))
+
+
 def _form_counts(counts: DataFrame, table: dict[bytes, int]) -> dict[int, tuple[int, int]]:
     """form: (tokens, words seen once) over the words outside ``table``."""
     sent = counts.sparkSession.sparkContext.broadcast(frozenset(table))
