@@ -26,7 +26,9 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 import zlib
+from array import array
 from collections import defaultdict
 from functools import lru_cache
 
@@ -88,10 +90,11 @@ class Encoder:
     def _encode(self, pieces: list[str]) -> list[bytes]:
         """Ids of pieces of the vocabulary's pattern, as raw bytes: the model alone
         is asked, since normalizing and cutting are done."""
-        if self.table is None:
+        if self.table is None or sys.byteorder != "little":
             return self._whole(pieces)
         run, table = self.model.tokenize, self.table
-        return [np.array([t.id for t in run(p.translate(table))], dtype=self.dtype).tobytes() for p in pieces]
+        code = "H" if self.dtype.itemsize == 2 else "I"
+        return [array(code, [t.id for t in run(p.translate(table))]).tobytes() for p in pieces]
 
     def _whole(self, chunks: list[str]) -> list[bytes]:
         """Ids of chunks of any kind, each by the whole tokenizer."""
@@ -135,15 +138,16 @@ class Encoder:
         for name, members in groups.items():
             cache = getattr(self, name)
             get = cache.get
-            found = [(i, keys, [get(k) for k in keys]) for i, keys in members]
-            new = dict.fromkeys(k for _, keys, got in found if None in got for k, v in zip(keys, got) if v is None)
+            found = [(i, keys, list(map(get, keys))) for i, keys in members]
+            # a chunk without ids is empty, a chunk not seen is None: both are rare, so all() settles most texts
+            new = {k: None for _, keys, got in found if not all(got) for k, v in zip(keys, got) if v is None}
             if new:
                 self._learn(cache, list(new))
             for i, keys, got in found:
-                if None in got:
-                    got = [get(k) for k in keys]
-                    if None in got:  # the cache was emptied meanwhile
-                        self._learn(cache, list(dict.fromkeys(k for k, v in zip(keys, got) if v is None)))
+                if not all(got):
+                    got = list(map(get, keys))
+                    if not all(got) and any(v is None for v in got):  # the cache was emptied meanwhile
+                        self._learn(cache, list({k: None for k, v in zip(keys, got) if v is None}))
                         got = [v if v is not None else get(k) for k, v in zip(keys, got)]
                 out[i] = np.frombuffer(b"".join(got), dtype=self.dtype)
         return out
@@ -254,7 +258,7 @@ class Packer:
 
     A piece is (row, start, length, sequence, offset, ids)."""
 
-    def __init__(self, first_sequence: int, sequence: int = SEQUENCE, window_tokens: int = 4_000_000):
+    def __init__(self, first_sequence: int, sequence: int = SEQUENCE, window_tokens: int = 8_000_000):
         self.next, self.size, self.window = first_sequence, sequence, window_tokens
         self.rows, self.tokens = [], 0
         self.open = []  # pieces of the open sequence: (row, start, ids)
@@ -322,7 +326,7 @@ class Packer:
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = "word_bpe_49k.json",
          sequence: int = SEQUENCE, end_id: int = END_ID, with_ids: bool = True,
-         window_tokens: int = 4_000_000) -> DataFrame:
+         window_tokens: int = 8_000_000) -> DataFrame:
     """Pieces of all documents: id, place in the document, CRC-32 of the ids (as
     little-endian unsigned 32-bit numbers), sequence and place there; with
     ``with_ids`` also the ids themselves in that form."""
