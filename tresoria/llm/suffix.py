@@ -136,16 +136,16 @@ def _pieces(texts: DataFrame, width: int) -> DataFrame:
         core_of, hull_of = xxhash.xxh3_128_digest, xxhash.xxh3_64_intdigest
         for batch in batches:
             for t, blocks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for lo in range(0, len(blocks), 2000):
+                for lo in range(0, len(blocks), 8000):
                     rows, cores, hulls = [], [], []
-                    for x in blocks[lo:lo + 2000]:
-                        p, a, b = x["p"], x["a"], x["b"]
+                    flat = iter(blocks[lo:lo + 8000])
+                    for tag, p, a, b in zip(flat, flat, flat, flat):
                         for q in range((p - b + 1) // STEP, (p - a) // STEP + 1):
                             last = p - STEP * q
                             u, v = max(a, last - STEP + 1), min(b - 1, last)
                             cores.append(core_of(t[last:last - STEP + 1 + width]))
                             hulls.append(hull_of(t[u:v + width]))
-                            rows.append((x["id"], x["single"], u, v))
+                            rows.append((tag >> 1, bool(tag & 1), u, v))
                     names = _signed(cores).reshape(-1, 2)
                     ids, single, u, v = zip(*rows)
                     yield pa.RecordBatch.from_arrays(
@@ -162,8 +162,9 @@ def _starts(texts: DataFrame, width: int) -> DataFrame:
         digest = xxhash.xxh3_128_digest
         for batch in batches:
             for t, pieces in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for lo in range(0, len(pieces), 2000):
-                    rows = [(x["id"], x["single"], i) for x in pieces[lo:lo + 2000] for i in range(x["u"], x["v"] + 1)]
+                for lo in range(0, len(pieces), 6000):
+                    flat = iter(pieces[lo:lo + 6000])
+                    rows = [(tag >> 1, bool(tag & 1), i) for tag, u, v in zip(flat, flat, flat) for i in range(u, v + 1)]
                     names = _signed([digest(t[i:i + width]) for _, _, i in rows]).reshape(-1, 2)
                     ids, single, at = zip(*rows)
                     at = pa.array(at, pa.int32())
@@ -180,9 +181,10 @@ def _meet(many: DataFrame, side: DataFrame, on, rows: int, row_bytes: int, how:
 
 
 def _texts_with(docs: DataFrame, parts: DataFrame, n_parts: int, small_bytes: int) -> DataFrame:
-    """(text, parts): each text that has ``parts`` (key, x), once, with all of them.
-    Copies of a text collapse in each task before the texts are shuffled."""
-    by_text = parts.groupBy("key").agg(F.collect_list("x").alias("parts"))
+    """(text, parts): each text that has ``parts`` (key, x), once, with the numbers of
+    all of them in a row.  Copies of a text collapse in each task before the texts
+    are shuffled."""
+    by_text = parts.groupBy("key").agg(F.flatten(F.collect_list("x")).alias("parts"))
     met = _meet(docs.select("key", "text"), by_text, "key", n_parts, 48, "inner", small_bytes)
     return met.dropDuplicates(["key"]).select("text", "parts")
 
@@ -190,8 +192,8 @@ def _texts_with(docs: DataFrame, parts: DataFrame, n_parts: int, small_bytes: in
 def repeated_spans(docs: DataFrame, width: int = WIDTH, reach: int = REACH, small_bytes: int = SMALL_BYTES) -> DataFrame:
     """(key, s, e): covered stretches, which may overlap, of ``docs`` (key, text)."""
     every = materialize(_blocks(docs, width, reach), "suffix-samples")
-    names = materialize(every.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name"), "suffix-names")
-    left = materialize(_meet(every, names, "name", names.count(), 16, "left_semi", small_bytes), "suffix-named")
+    names = every.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name")
+    left = materialize(every.join(names.hint("merge"), "name", "left_semi"), "suffix-named")
     # the same block twice: all its strings are repeated
     blocks = left.groupBy("name", "block").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "p", "a", "b")).alias("one"))
@@ -202,7 +204,8 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, reach: int = REACH, smal
     open_names = blocks.groupBy("name").agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("kinds")).filter(
         "least = 1 and kinds > 1").select("name")
     open_ = materialize(blocks.join(open_names, "name").select("id", (F.col("n") == 1).alias("single"), "one.*"), "suffix-open")
-    texts = _texts_with(docs, open_.select("key", F.struct("id", "single", "p", "a", "b").alias("x")), open_.count(), small_bytes)
+    tag = F.shiftleft("id", 1) + F.col("single").cast("long")
+    texts = _texts_with(docs, open_.select("key", F.array(tag, "p", "a", "b").alias("x")), open_.count(), small_bytes)
 
     # pieces of 16 starts: a core that no other block has settles its piece, and so does an equal hull
     pieces = materialize(_pieces(texts, width), "suffix-pieces")
@@ -216,7 +219,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, reach: int = REACH, smal
 
     # what is left is named start by start
     ends = hulls.join(still, ["c1", "c2"]).select("single", "one.*").join(open_.select("id", "key"), "id")
-    ends = materialize(ends.select("key", F.struct("id", "single", "u", "v").alias("x")), "suffix-ends")
+    ends = materialize(ends.select("key", F.array(tag, "u", "v").alias("x")), "suffix-ends")
     starts = materialize(_starts(_texts_with(docs, ends, ends.count(), small_bytes), width), "suffix-starts")
     twice = starts.groupBy("n1", "n2").agg(*two).filter("lo < hi").select("n1", "n2")
     found = starts.filter("single").join(twice, ["n1", "n2"]).select("id", "u", "v").union(whole.select("id", "u", "v"))
@@ -227,15 +230,22 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, reach: int = REACH, smal
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def merged(spans) -> list[tuple[int, int]]:
-    """Maximal runs of (start, end) stretches."""
-    out = []
-    for s, e in sorted(spans):
-        if out and s <= out[-1][1]:
-            out[-1] = (out[-1][0], max(e, out[-1][1]))
-        else:
-            out.append((s, e))
-    return out
+def _merged(spans: DataFrame) -> DataFrame:
+    """(key, spans): the maximal runs of the sorted stretches in ``x``, as start and end in a row."""
+    def run(batches):
+        for batch in batches:
+            out = []
+            for x in batch.column(1).to_pylist():
+                flat = []
+                for y in x:
+                    if flat and y["s"] <= flat[-1]:
+                        flat[-1] = max(flat[-1], y["e"])
+                    else:
+                        flat += (y["s"], y["e"])
+                out.append(flat)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int32()))], names=["key", "spans"])
+
+    return spans.select("key", "x").mapInArrow(run, "key binary, spans array<int>")
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -249,15 +259,18 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
     """Id, number of bytes, of removed bytes and of removed runs, SHA-256 of what is
     kept, and with ``with_text`` the kept bytes themselves, of each row."""
     rows = keyed(docs, id_col, text_col)
-    spans = materialize(repeated_spans(rows, width, reach, small_bytes), "suffix-spans")
-    n_spans = spans.count()
-    by_text = spans.groupBy("key").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
+    # stretches of a text that touch become one before they meet the text again
+    spans = repeated_spans(rows, width, reach, small_bytes).groupBy("key").agg(
+        F.array_sort(F.collect_list(F.struct("s", "e"))).alias("x"))
+    spans = materialize(_merged(spans), "suffix-spans")
+    size = spans.agg(F.coalesce(F.sum(F.size("spans") * 4 + 64), F.lit(0)).alias("n")).first()["n"]
 
     def run(batches):
         for batch in batches:
             out = [[] for _ in range(6)]
             for doc_id, t, found in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                cut = merged((x["s"], x["e"]) for x in found or [])
+                flat = iter(found or [])
+                cut = list(zip(flat, flat))
                 kept, at = [], 0
                 for s, e in cut:
                     kept.append(t[at:s])
@@ -272,5 +285,5 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
                 cols, names = cols + [pa.array(out[5], pa.binary())], names + ["kept"]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    joined = _meet(rows, by_text, "key", n_spans, 40, "left", small_bytes).select("id", "text", "spans")
+    joined = _meet(rows, spans, "key", size, 1, "left", small_bytes).select("id", "text", "spans")
     return joined.mapInArrow(run, RESULT + (", kept binary" if with_text else "")).withColumnRenamed("doc_id", id_col)
