@@ -14,11 +14,12 @@ Work is one projection of the scan: no shuffle, nothing gathered per key.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tresoria.llm.common import BLANK, NOT_BLANK, text_or_empty, words_of
+from tresoria.llm.common import BLANK, NOT_BLANK, settled, text_or_empty, words_of
 
 WINDOW = 8
 #: Phrases of page furniture, looked for in the lower-cased line.
@@ -50,73 +51,112 @@ def _count(text: Column, outside: str) -> Column:
     return F.length(F.regexp_replace(text, outside, ""))
 
 
-def _repeat_words(words: Column, n: Column) -> Column:
-    """Words that lie in a window of 8 words found twice or more in the text.
+def _rest(array: Column, first: int) -> Column:
+    """``array`` from its place ``first`` (from 1) on."""
+    return F.slice(array, first, 1 << 30)
+
+
+def _with_window_hashes(df: DataFrame) -> DataFrame:
+    """``__h8``: a hash of the 8-word window that begins at each word of ``__words``.
+    Equal windows have equal hashes: three doubling steps combine the words'
+    hashes by shift and exclusive or.  Windows that run past the end give null."""
+    df = df.withColumn("__h1", F.transform("__words", lambda w: F.xxhash64(w)))
+    for by in (1, 2, 4):
+        mix = partial(lambda by, a, b: F.shiftleft(a, by).bitwiseXOR(b), by)
+        df = df.withColumn(f"__h{2 * by}", F.zip_with(f"__h{by}", _rest(F.col(f"__h{by}"), 1 + by),
+                                                      lambda a, b: mix(a, b)))  # noqa: B023 - called here
+    return df
+
+
+def _with_repeats(df: DataFrame) -> DataFrame:
+    """``n_repeat_words`` beside ``__words`` and ``__n``: words that lie in a window
+    of 8 words found twice or more in the text.
 
     Distinct window hashes are counted first; only a text with an equal pair
     sorts its windows (the strings themselves, so a hash clash changes nothing).
+    Each array is a column of its own, so none is computed twice.
     """
-    starts = F.when(n >= WINDOW, F.sequence(F.lit(1), n - (WINDOW - 1))).otherwise(F.array().cast("array<int>"))
-    hashes = F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, WINDOW)))
-    repeats = F.size(F.array_distinct(hashes)) < F.size(starts)
-    keyed = F.array_sort(F.transform(starts, lambda i: F.struct(
-        F.array_join(F.slice(words, i, WINDOW), " ").alias("w"), i.alias("i"))))
+    words, n = F.col("__words"), F.col("__n")
+    df = _with_window_hashes(df).withColumn("__h", F.when(n >= WINDOW, F.slice(
+        "__h8", 1, F.greatest(n - (WINDOW - 1), F.lit(0)))))
+    starts = F.sequence(F.lit(1), n - (WINDOW - 1))
+    df = df.withColumn("__keyed", F.when(F.size(F.array_distinct("__h")) < F.size("__h"), F.array_sort(F.transform(
+        starts, lambda i: F.struct(F.array_join(F.slice(words, i, WINDOW), " ").alias("w"), i.alias("i"))))))
     # equal windows are neighbours after the sort: both of a pair are marked
-    pairs = F.zip_with(keyed, F.slice(keyed, 2, F.greatest(F.size(keyed), F.lit(1))),
+    pairs = F.zip_with("__keyed", _rest(F.col("__keyed"), 2),
                        lambda a, b: F.when(a["w"] == b["w"], F.array(a["i"], b["i"])))
-    at = F.array_sort(F.array_distinct(F.flatten(F.filter(pairs, lambda p: p.isNotNull()))))
-    steps = F.zip_with(at, F.slice(at, 2, F.greatest(F.size(at), F.lit(1))),
+    df = df.withColumn("__at", F.array_sort(F.array_distinct(F.flatten(F.filter(pairs, lambda p: p.isNotNull())))))
+    steps = F.zip_with("__at", _rest(F.col("__at"), 2),
                        lambda a, b: F.least(F.coalesce(b - a, F.lit(WINDOW)), F.lit(WINDOW)))
     total = F.aggregate(steps, F.lit(0).cast("long"), lambda acc, x: acc + x.cast("long"))
-    return F.when(repeats, total).otherwise(F.lit(0).cast("long"))
+    return df.withColumn("n_repeat_words", F.coalesce(total, F.lit(0).cast("long")))
+
+
+#: A line that breaks a rule holds one of these characters, a word right after itself or a phrase.
+_MARKS = r"[#*$%&<>!|]"
+_TWICE = rf"(?<!{NOT_BLANK})({NOT_BLANK}++){BLANK}++\1(?!{NOT_BLANK})"
 
 
-def line_fails(line: Column, rules: Rules) -> Column:
-    """True when a line with a word breaks a punctuation, navigation or boilerplate rule."""
-    words = F.size(F.array_remove(F.split(line, BLANK + "+"), ""))
+def _may_fail(text: Column) -> Column:
+    """False for a text in which no line can break a rule: most are settled here."""
+    low = F.lower(text)
+    out = text.rlike(_MARKS) | text.rlike(_TWICE)
+    for phrase in BOILERPLATE:
+        out = out | low.contains(phrase)
+    return out
+
+
+def line_fails(line: Column, parts: Column, rules: Rules) -> Column:
+    """True when a line with the words ``parts`` breaks a punctuation, navigation
+    or boilerplate rule."""
+    words = F.size(parts)
     symbols = _count(line, r"[^#*$%&<>]+")
     shouts = _count(line, r"[^!]+")
     bars = _count(line, r"[^|]+")
-    low = F.lower(line)
-    furniture = F.lit(False)
-    for phrase in BOILERPLATE:
-        furniture = furniture | low.contains(phrase)
-    # words that repeat the word before, counted on a regular form of the line
-    parts = F.array_remove(F.split(line, BLANK + "+"), "")
-    stutter = F.size(F.filter(F.zip_with(parts, F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1))),
-                                         lambda a, b: a == b), lambda x: F.coalesce(x, F.lit(False))))
-    return ((symbols * 100 > words * rules.max_symbols_per_100_words)
-            | (shouts * 100 > words * rules.max_shouts_per_100_words)
-            | ((bars >= rules.min_bars) & (bars * 100 >= words * rules.min_bars_per_100_words))
+    stutter = F.size(F.filter(F.zip_with(parts, _rest(parts, 2), lambda a, b: a == b),
+                              lambda x: F.coalesce(x, F.lit(False))))
+    furniture = F.lower(line).rlike("|".join(BOILERPLATE))
+    return ((line.rlike(_MARKS) & (
+                (symbols * 100 > words * rules.max_symbols_per_100_words)
+                | (shouts * 100 > words * rules.max_shouts_per_100_words)
+                | ((bars >= rules.min_bars) & (bars * 100 >= words * rules.min_bars_per_100_words))))
             | ((words >= rules.min_stutter_words) & (stutter * 100 >= words * rules.min_stutter_pct))
             | furniture)
 
 
+def _good_lines(lines: Column, rules: Rules) -> Column:
+    """The lines that break no rule; lines without a word break none."""
+    split = F.transform(lines, lambda x: F.struct(x.alias("l"), words_of(x).alias("p")))
+    return F.transform(F.filter(split, lambda x: (F.size(x["p"]) == 0) | ~line_fails(x["l"], x["p"], rules)),
+                       lambda x: x["l"])
+
+
 def _with_verdict(df: DataFrame, text_col: str, rules: Rules) -> DataFrame:
-    """``__t`` (text), the statistics, ``__lines`` kept and the verdict beside the given columns."""
-    text = F.col("__t")
-    has_word = lambda line: line.rlike(NOT_BLANK)
+    """The statistics and the verdict beside the given columns."""
+    text, keep = F.col("__t"), df.columns
     df = df.withColumn("__t", text_or_empty(text_col))
     df = df.withColumn("__words", words_of(text)).withColumn("__lines", F.split(text, "\n", -1))
     df = df.withColumn("__n", F.size("__words"))
-    df = df.withColumn("__full", F.filter("__lines", has_word))
-    df = df.withColumn("__good", F.filter("__full", lambda x: ~line_fails(x, rules)))
+    df = df.withColumn("__full", F.filter("__lines", lambda x: x.rlike(NOT_BLANK)))
+    df = df.withColumn("__good", F.when(_may_fail(text), _good_lines(F.col("__full"), rules)).otherwise(F.col("__full")))
     all_chars, good_chars = (F.length(F.array_join(F.col(c), "")) for c in ("__full", "__good"))
-    df = df.withColumns({
+    df = _with_repeats(df).withColumns({"__all_chars": all_chars, "__good_chars": good_chars})
+    base_failed = (F.col("__n") < rules.min_words) | (
+        F.col("n_repeat_words") * 100 > F.col("__n") * rules.max_repeat_pct)
+    lost = F.col("__all_chars") - F.col("__good_chars")
+    return settled(df, keep, {
         "n_words": F.col("__n").cast("long"),
         "word_chars": F.length(F.array_join("__words", "")).cast("long"),
         "n_symbols": _count(text, r"[^#*$%&|<>]+").cast("long"),
         "n_dup_lines": (F.size("__full") - F.size(F.array_distinct("__full"))).cast("long"),
-        "n_repeat_words": _repeat_words(F.col("__words"), F.col("__n")),
+        "n_repeat_words": F.col("n_repeat_words"),
+        "base_failed": base_failed,
+        "kept": ~base_failed & (lost * 100 <= F.col("__all_chars") * rules.max_lost_pct),
         "n_lines": F.size("__full").cast("long"),
         "n_bad_lines": (F.size("__full") - F.size("__good")).cast("long"),
-        "line_chars": all_chars.cast("long"),
-        "lost_chars": (all_chars - good_chars).cast("long"),
+        "line_chars": F.col("__all_chars").cast("long"),
+        "lost_chars": lost.cast("long"),
     })
-    df = df.withColumn("base_failed", (F.col("n_words") < rules.min_words)
-                       | (F.col("n_repeat_words") * 100 > F.col("n_words") * rules.max_repeat_pct))
-    return df.withColumn("kept", ~F.col("base_failed")
-                         & (F.col("lost_chars") * 100 <= F.col("line_chars") * rules.max_lost_pct))
 
 
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -135,11 +175,9 @@ def clean(docs: DataFrame, text_col: str = "text", rules: Rules = Rules()) -> Da
     Lines without a word stay where they are.  The other columns (``n_chars``
     among them) pass through untouched.
     """
-    has_word = lambda line: line.rlike(NOT_BLANK)
     boxed = docs.select(F.struct("*").alias("__row"), F.col(text_col).alias("__text"))
     df = _with_verdict(boxed, "__text", rules).filter("kept")
-    left = F.array_join(F.filter(F.split(F.col("__t"), "\n", -1),
-                                 lambda x: ~has_word(x) | ~line_fails(x, rules)), "\n")
+    left = F.array_join(_good_lines(F.split(F.col("__text"), "\n", -1), rules), "\n")
     text = F.when(F.col("n_bad_lines") == 0, F.col("__text")).otherwise(left)
     return df.select(*[(text if c == text_col else F.col("__row")[c]).alias(c) for c in docs.columns])
 
@@ -149,8 +187,8 @@ ORACLE_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (
-  SELECT r, doc_id, t, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), x -> x <> '') AS words,
-         list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  SELECT r, doc_id, t, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM d),
 win AS (
   SELECT r, i, list_aggregate(words[i:i+7], 'string_agg', ' ') AS k
@@ -161,14 +199,14 @@ twice AS (
 rep AS (SELECT r, sum(least(8, coalesce(nxt - i, 8))) AS n FROM twice GROUP BY r),
 ln AS (SELECT r, unnest(lines) AS l FROM w),
 lw AS (
-  SELECT r, l, list_filter(string_split_regex(l, '[\x20\x09-\x0D]+'), x -> x <> '') AS p FROM ln),
+  SELECT r, l, list_filter(string_split_regex(l, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS p FROM ln),
 lf AS (
   SELECT r, l,
     length(regexp_replace(l, '[^#*$%&<>]+', '', 'g')) * 100 > len(p) * 50
     OR length(regexp_replace(l, '[^!]+', '', 'g')) * 100 > len(p) * 50
     OR (length(regexp_replace(l, '[^|]+', '', 'g')) >= 3
         AND length(regexp_replace(l, '[^|]+', '', 'g')) * 100 >= len(p) * 25)
-    OR (len(p) >= 10 AND len(list_filter(range(2, len(p) + 1), i -> p[i] = p[i-1])) * 100 >= len(p) * 50)
+    OR (len(p) >= 10 AND len(list_filter(range(2, len(p) + 1), lambda i: p[i] = p[i-1])) * 100 >= len(p) * 50)
     OR regexp_matches(lower(l), 'all rights reserved|cookie policy|privacy policy|terms of service|terms of use|enable javascript|subscribe to our|lorem ipsum')
       AS bad
   FROM lw),
