@@ -192,7 +192,8 @@ def _texts_with(docs: DataFrame, parts: DataFrame, n_parts: int, small_bytes: in
 def repeated_spans(docs: DataFrame, width: int = WIDTH, reach: int = REACH, small_bytes: int = SMALL_BYTES) -> DataFrame:
     """(key, s, e): covered stretches, which may overlap, of ``docs`` (key, text)."""
     every = materialize(_blocks(docs, width, reach), "suffix-samples")
-    names = every.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name")
+    # written first, so that the join's sides are plain shuffles and a hot name's rows can be split
+    names = materialize(every.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name"), "suffix-names")
     left = materialize(every.join(names.hint("merge"), "name", "left_semi"), "suffix-named")
     # the same block twice: all its strings are repeated
     blocks = left.groupBy("name", "block").agg(
