@@ -17,7 +17,7 @@ CORE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "24MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
