@@ -256,7 +256,6 @@ class Model:
 
 SUMMARY = ("row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, "
            "rare array<struct<w:binary,c:int,m:int>>")
-_RARE = pa.list_(pa.struct([("w", pa.binary()), ("c", pa.int32()), ("m", pa.int32())]))
 
 
 def _score_rows(docs: DataFrame, sent) -> DataFrame:
@@ -270,7 +269,7 @@ def _score_rows(docs: DataFrame, sent) -> DataFrame:
         end_count = m.counts.get(b"", 0)  # the end token's count is kept under the empty word
         for b in batches:
             for lo in range(0, b.num_rows, SCORED):
-                out = []
+                out, ends, rare_words, rare_codes, rare_times = [], [0], [], [], []
                 part = b.slice(lo, SCORED)
                 for doc_id, held, t in zip(*(part.column(i).to_pylist() for i in range(3))):
                     ws = words_of(t)
@@ -283,12 +282,20 @@ def _score_rows(docs: DataFrame, sent) -> DataFrame:
                     p = m.probability(before[held_here], cls[held_here], n[held_here])
                     rare = Counter((ws[i], int(before[i]) * FORMS + int(cls[i]) - CLASSES) for i in np.flatnonzero(~held_here))
                     out.append((serial, doc_id, held, len(n), int((n > 0).sum()), float(m.base(n[held_here]).sum()),
-                                float(np.log10(p).sum()), [{"w": w, "c": c, "m": k} for (w, c), k in rare.items()]))
+                                float(np.log10(p).sum())))
+                    rare_words += [w for w, _ in rare]
+                    rare_codes += [c for _, c in rare]
+                    rare_times += rare.values()
+                    ends.append(len(rare_words))
                     serial += 1
-                cols = list(zip(*out))
-                types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), _RARE]
-                yield pa.RecordBatch.from_arrays([pa.array(c, ty) for c, ty in zip(cols, types)],
-                                                 names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare"])
+                types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+                others = pa.StructArray.from_arrays(
+                    [pa.array(rare_words, pa.binary()), pa.array(rare_codes, pa.int32()), pa.array(rare_times, pa.int32())],
+                    names=["w", "c", "m"])
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(c, ty) for c, ty in zip(zip(*out), types)),
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), others)],
+                    names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare"])
 
     return docs.select("id", "held_out", "text").mapInArrow(run, SUMMARY)
 
