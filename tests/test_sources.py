@@ -214,7 +214,12 @@ def test_load_workbooks_twice(spark):
     os.makedirs(d + "/in")
     write_xlsx(d + "/in/a 2021.02.xlsx", [("S1", grid)])
     run = lambda: loads.load_workbooks(spark, d + "/in", "adjustments", d + "/t", d + "/m", load_date="2024-01-31")
+    from tresoria.session import ensure_checkpoint_dir
+    stages = lambda: os.listdir(ensure_checkpoint_dir(spark).removeprefix("file:") + "/stages")
+    spark.range(1).write.mode("overwrite").parquet(ensure_checkpoint_dir(spark) + "/stages/other")
+    before = set(stages())
     assert (run(), run()) == (1, 0)
+    assert set(stages()) == before  # a load leaves no stage behind, and nobody else's goes
     write_xlsx(d + "/in/b 2021.04.xlsx", [("S1", grid)])
     assert run() == 1 and spark.read.parquet(d + "/t").count() == 2
     assert loads.read_manifest(spark, d + "/m").count() == 2

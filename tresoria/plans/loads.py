@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tresoria.operators import cells as C
-from tresoria.session import materialize
+from tresoria.session import materialize, stages_released
 from tresoria.sources import sinks
 from tresoria.sources.tables import discover_files, new_files
 from tresoria.sources.workbook import decode_files
@@ -34,6 +34,11 @@ def load_cells(cells: DataFrame, kind: str, path: str, manifest_path: str, table
 
     ``kind``: ``multi`` or ``single`` (forecast workbooks, through the quality
     gate) or ``adjustments``."""
+    with stages_released(cells.sparkSession):
+        return _load_cells(cells, kind, path, manifest_path, table, load_date)
+
+
+def _load_cells(cells: DataFrame, kind: str, path: str, manifest_path: str, table: str | None, load_date: str | None) -> int:
     spark = cells.sparkSession
     cells = C.normalise_cells(cells)
     files = cells.select(F.col("file").alias("name")).distinct()
@@ -51,9 +56,11 @@ def load_cells(cells: DataFrame, kind: str, path: str, manifest_path: str, table
 def load_workbooks(spark: SparkSession, root: str, kind: str, path: str, manifest_path: str, table: str | None = None,
                    glob: str = "*.xlsx", load_date: str | None = None) -> int:
     """:func:`load_cells` for the workbooks under ``root``; listed files are not decoded."""
-    listed = discover_files(spark, root, glob).select("path", F.col("path").alias("name"))
-    todo = materialize(new_files(listed, read_manifest(spark, manifest_path)).select("path"), "load-paths")
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-             .option("recursiveFileLookup", "true").load(root))
-    cells = decode_files(files.join(todo, on="path", how="left_semi"))
-    return load_cells(cells, kind, path, manifest_path, table, load_date)
+    with stages_released(spark):
+        listed = discover_files(spark, root, glob).select("path", F.col("path").alias("name"))
+        todo = materialize(new_files(listed, read_manifest(spark, manifest_path)).select("path"), "load-paths")
+        files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+                 .option("recursiveFileLookup", "true").load(root))
+        # decoded once, into a stage that the load's steps read
+        cells = C.prepare_cells(decode_files(files.join(todo, on="path", how="left_semi")))
+        return load_cells(cells, kind, path, manifest_path, table, load_date)

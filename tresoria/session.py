@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -81,6 +83,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
+_OPEN_STAGES: ContextVar[list | None] = ContextVar("open_stages", default=None)
+
+
+@contextmanager
+def stages_released(spark: SparkSession):
+    """Delete the stage tables that :func:`materialize` writes inside the block when
+    it ends.  For jobs that write their result inside, such as a load or a
+    micro-batch: nothing read from those stages may be used afterwards."""
+    token = _OPEN_STAGES.set([])
+    try:
+        yield
+    finally:
+        paths = _OPEN_STAGES.get()
+        _OPEN_STAGES.reset(token)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for p in paths:
+            at = jvm.org.apache.hadoop.fs.Path(p)
+            at.getFileSystem(conf).delete(at, True)
+
+
 def materialize(df, name: str = "stage"):
     """Cut the lineage of ``df``: write it as a Parquet table under the shared
     checkpoint folder (``spark.checkpoint.dir``) and continue from it.
@@ -94,5 +116,7 @@ def materialize(df, name: str = "stage"):
     import uuid
     spark = df.sparkSession
     path = scratch_path(spark, f"stages/{name}-{uuid.uuid4().hex}")
+    if (open_stages := _OPEN_STAGES.get()) is not None:
+        open_stages.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tresoria.operators.cells import adjustments, ingest_forecast
+from tresoria.session import stages_released
 from tresoria.sources.sinks import prepare_for_load
 from tresoria.sources.workbook import decode_files
 
@@ -47,8 +48,9 @@ def start_ingest(spark: SparkSession, source_dir: str, sink_path: str, checkpoin
         raise ValueError(f"layout must be one of {LAYOUTS}")
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        out = prepare_for_load(_pipeline(decode_files(batch), layout), load_date)
-        out.write.mode("overwrite").parquet(f"{sink_path.rstrip('/')}/lot={batch_id}")
+        with stages_released(batch.sparkSession):
+            out = prepare_for_load(_pipeline(decode_files(batch), layout), load_date)
+            out.write.mode("overwrite").parquet(f"{sink_path.rstrip('/')}/lot={batch_id}")
 
     files = workbook_stream(spark, source_dir, glob, max_files_per_batch)
     w = files.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint_path)
