@@ -3,6 +3,7 @@
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from tests.llm.helpers import clash
@@ -93,3 +94,30 @@ def test_links_and_odd_urls(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     compare(spark, rows, df)
     assert hosts.judge(df.limit(0)).count() == 0
+
+
+def test_long_chain_is_solved(spark):
+    """Distrust reaches hosts any number of links from a seed: ranks solve the linear system."""
+    n = 16  # h1 links to h0, h2 to h1 and so on; 0 is blocked, t0 allowed
+    rows = [(0, "http://h0.net/es/", "")]
+    rows += [(i, f"http://h{i}.net/", f'<a href="http://h{i - 1}.net/">') for i in range(1, n)]
+    rows += [(100, "http://t0.com/", '<a href="http://t1.org/">')]
+    rows += [(100 + i, f"http://t{i}.org/", f'<a href="http://t{i + 1}.org/">') for i in range(1, n)]
+    rows += [(1000 + i, f"http://alone{i}.org/", "") for i in range(120)]
+    names = sorted({parts(u)[0] for _, u, _ in rows} | {f"t{n}.org"})
+    at = {h: i for i, h in enumerate(names)}
+    links = np.zeros((len(names), len(names)))
+    for _, u, page in rows:
+        for to in re.findall('//([^/]+)/', page):
+            links[at[to], at[parts(u)[0]]] += 1
+    want = []
+    for m, seed in ((links, "t0.com"), (links.T, "h0.net")):
+        m = m / np.maximum(m.sum(axis=0), 1)
+        s = np.eye(len(names))[at[seed]]
+        want.append(np.linalg.solve(np.eye(len(names)) - hosts.DAMPING * m, (1 - hosts.DAMPING) * s))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.host: r for r in hosts.judge(df).collect()}
+    for h, r in got.items():
+        assert (r.trust, r.distrust) == pytest.approx((want[0][at[h]], want[1][at[h]]), abs=3e-9)
+    for i in range(9, 13):
+        assert got[f"h{i}.net"].verdict == "block" and got[f"h{i}.net"].distrust > 1 / len(got)

@@ -7,10 +7,14 @@ host is blocked when distrust dominates.  Edges are the absolute links of the
 pages, and each host's tie to the domains above it, so that a site's hosts share
 their standing.
 
+Rank flows until what is still on its way is too little to matter, however far
+that is from the seeds: see ``propagate``.
+
 Scale: pages are reduced to (host, host, count) by partial counts before any
 shuffle; ranks and edges meet on host keys; only the final join reads pages
 again, without their text, and a hot host there is split by Spark's skew join.
-Every few steps the ranks are written to the shared folder.
+Every few steps the ranks are written to the shared folder, and a few sums a kind
+go to the driver.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path,
 no rule and the verdict ``allow``; null ids stay; repeated rows are judged each;
@@ -19,6 +23,9 @@ null html has no links; other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +37,12 @@ RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www
 LINK = r"""(?i)\b(?:href|src)\s*=\s*["']?\s*[a-z][a-z0-9+.-]*://([^/?#"'\s<>]+)"""
 
 DAMPING = 0.85
-STEPS = 8
+#: rank of a kind that may be left unsettled: as a part of an even share, and at most
+TOLERANCE, SETTLED = 1e-3, 1e-9
+#: so many steps settle all but ``SETTLED`` on any graph; the loop goes by what is left
+STEPS = math.ceil(math.log(SETTLED) / math.log(DAMPING))
+#: steps of a round, after which the ranks are written
+ROUND = 8
 #: least share of distrust in a host's trust and distrust, and least rank, to block it
 BLOCK_SHARE = 0.5
 
@@ -73,26 +85,72 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return every.groupBy("src", "dst").agg(F.sum("n").alias("n"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, steps: int = STEPS, damping: float = DAMPING) -> DataFrame:
+def _least_left(products: np.ndarray) -> np.ndarray:
+    """The weights of k0, k1, ... that leave least, by the products of k0 to the last."""
+    n = len(products) - 1
+    used = np.eye(n + 1, n) - np.eye(n + 1, n, -1)  # adding a k takes it and leaves the next
+    return np.linalg.lstsq(used.T @ products @ used, used.T @ products[:, 0], rcond=1e-13)[0]
+
+
+def _weighted(ks: list[str], weights: np.ndarray) -> Column:
+    return sum((F.col(k) * float(c) for k, c in zip(ks, weights)), F.lit(0.0))
+
+
+def _left(ks: list[str], weights: np.ndarray) -> Column:
+    """What is still to be passed on once the weighted ``ks`` are added."""
+    return sum(((F.col(b) - F.col(a)) * float(c) for a, b, c in zip(ks, ks[1:], weights)), F.col(ks[0]))
+
+
+def propagate(edges: DataFrame, seeds: DataFrame, n_hosts: int, damping: float = DAMPING) -> DataFrame:
     """(host, trust, distrust) from ``seeds`` (host, kind, w): kind 0 is trust and
     goes along the edges, kind 1 is distrust and goes against them.  The weights
-    of a kind are scaled to one; a host that nothing reaches is missing."""
+    of a kind are scaled to one; a host that nothing reaches is missing.
+
+    A round takes ``ROUND`` steps: ``r`` is the rank so far, ``k0`` what is still to
+    be passed on, ``k1`` that after one step, and so on.  Adding k0 to k7 leaves k8;
+    other weights may leave less (least squares, from the sums of products), and of
+    the two the one with the smaller summed size is taken.  A step passes on
+    ``damping`` at most, so a round leaves damping ** ROUND or less, and ranks are off
+    by the summed size / (1 - damping) at most: the loop ends when that is small."""
     way = edges.select(F.lit(0).alias("kind"), "src", "dst", "n").union(
         edges.select(F.lit(1).alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "n"))
     out = way.groupBy("kind", "src").agg(F.sum("n").alias("total"))
-    way = materialize(way.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("n") / F.col("total")).alias("p")),
-                      "host-edges")
+    way = way.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("n") / F.col("total") * damping).alias("p"),
+                                                F.lit(0.0).alias("stay"))
     total = seeds.groupBy("kind").agg(F.sum("w").alias("total"))
-    start = materialize(seeds.join(F.broadcast(total), "kind").select(  # two rows
-        "kind", "host", (F.col("w") / F.col("total")).alias("s")), "host-seeds")
-    rank = start.withColumnRenamed("s", "r")
-    for step in range(steps):
-        flow = rank.join(way, (rank["kind"] == way["kind"]) & (rank["host"] == way["src"])).select(
-            rank["kind"], F.col("dst").alias("host"), (F.col("r") * F.col("p") * damping).alias("r"))
-        back = start.select("kind", "host", (F.col("s") * (1 - damping)).alias("r"))
-        rank = flow.union(back).groupBy("kind", "host").agg(F.sum("r").alias("r"))
-        if step % 4 == 3:
-            rank = materialize(rank, "host-ranks")
+    rank = materialize(seeds.join(F.broadcast(total), "kind").select(  # two rows
+        "kind", "host", F.lit(0.0).alias("r"), (F.col("w") / F.col("total") * (1 - damping)).alias("k0")), "host-seeds")
+    # a host also keeps what it has: an edge to itself
+    nodes = way.select("kind", F.explode(F.array("src", "dst")).alias("src")).union(rank.select("kind", "host")).distinct()
+    way = materialize(way.union(nodes.select("kind", "src", F.col("src").alias("dst"), F.lit(0.0).alias("p"),
+                                             F.lit(1.0).alias("stay"))), "host-edges")
+    least = min(TOLERANCE / max(1, n_hosts), SETTLED)
+    ks = [f"k{i}" for i in range(ROUND + 1)]
+    power = np.ones(ROUND)
+    while True:
+        for i in range(ROUND):
+            kept, new = ["r", *ks[:i + 1]], F.col(ks[i]) * F.col("p")
+            moved = rank.join(way, (rank["kind"] == way["kind"]) & (rank["host"] == way["src"])).select(
+                rank["kind"], F.col("dst").alias("host"), *[(F.col(c) * F.col("stay")).alias(c) for c in kept], new.alias(ks[i + 1]))
+            rank = moved.groupBy("kind", "host").agg(*[F.sum(c).alias(c) for c in [*kept, ks[i + 1]]])
+        rank = materialize(rank, "host-ranks")
+        products = rank.groupBy("kind").agg(*[F.sum(F.col(a) * F.col(b)).alias(f"{a}_{b}") for a in ks for b in ks if a <= b]).collect()
+        weights = {x["kind"]: _least_left(np.array([[x[f"{min(a, b)}_{max(a, b)}"] for b in ks] for a in ks])) for x in products}
+        size = lambda c: F.sum(F.abs(c))
+        lefts = rank.groupBy("kind").agg(size(_left(ks, power)).alias("power"), *[
+            size(F.when(F.col("kind") == k, _left(ks, c))).alias(f"least{k}") for k, c in weights.items()]).collect()
+        left = 0.0
+        for x in lefts:
+            k = x["kind"]
+            if x["power"] <= x[f"least{k}"]:
+                weights[k] = power
+            left = max(left, min(x["power"], x[f"least{k}"]))
+        by_kind = lambda f: F.coalesce(*[F.when(F.col("kind") == k, f(c)) for k, c in weights.items()], F.lit(0.0))
+        rank = rank.select("kind", "host", (F.col("r") + by_kind(lambda c: _weighted(ks, c))).alias("r"),
+                           by_kind(lambda c: _left(ks, c)).alias("k0"))
+        if left / (1 - damping) <= least:
+            break
+    rank = rank.withColumn("r", F.greatest("r", F.lit(0.0)))
     part = lambda k: F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("r"))), F.lit(0.0))
     return rank.groupBy("host").agg(part(0).alias("trust"), part(1).alias("distrust"))
 
@@ -111,13 +169,13 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
     # a host is a seed by the share of its pages that rules judge so
     seeds = per_host.filter("ok > 0").select("host", F.lit(0).alias("kind"), (F.col("ok") / F.col("n")).alias("w")).union(
         per_host.filter("bad > 0").select("host", F.lit(1).alias("kind"), (F.col("bad") / F.col("n")).alias("w")))
-    rank = propagate(host_edges(one.select("host", "html")), seeds)
-    n_hosts = per_host.agg(F.count(F.lit(1)).alias("hosts"))
+    n_hosts = per_host.count()
+    rank = propagate(host_edges(one.select("host", "html")), seeds, n_hosts)
     # blocked: distrust outweighs trust and is above an even share of all rank
-    rank = rank.crossJoin(F.broadcast(n_hosts)).select(  # one row
+    rank = rank.select(
         "host", "trust", "distrust",
         ((F.col("distrust") > block_share * (F.col("trust") + F.col("distrust")))
-         & (F.col("distrust") * F.col("hosts") > 1.0)).alias("blocked"))
+         & (F.col("distrust") * n_hosts > 1.0)).alias("blocked"))
     light = ruled.drop("html")
     joined = light.join(rank, "host", "left")
     verdict = F.coalesce("fit.verdict", F.when(F.col("blocked"), "block"), F.lit("allow"))
