@@ -56,6 +56,33 @@ def test_page_without_article_tag():
     assert mincut.main_text(page).split("\n") == ["Heading", *para]
 
 
+PROSE = ["Some plain prose that fills a paragraph, as articles do; it goes on for a while and ends.",
+         "More prose after it, again with enough words to look like a part of the text."]
+PARAS = "".join(f"<p>{p}</p>" for p in PROSE)
+ASIDE = "Read these other articles too, they are just as good as this one is, or better."
+
+
+def test_head_without_its_end_tag():
+    for start in ("<body>", "", "<article>", "<template><p>not shown</template><body>"):
+        page = f"<html><head><title>No</title><meta charset=utf-8><style>p{{}}</style>\n{start}{PARAS}"
+        assert mincut.main_text(page).split("\n") == PROSE
+    assert mincut.main_text(f"<head><title>No</title>{PROSE[0]}") == PROSE[0]
+    assert mincut.main_text(f"<head><template><p>{ASIDE}</template></head><body>{PARAS}").split("\n") == PROSE
+
+
+def test_layout_around_the_content_is_no_boilerplate():
+    side = f'<div id="sidebar"><p>{ASIDE}</p></div><div id="comments"><article><p>{ASIDE}</p></article></div>'
+    for name in ("layout has-sidebar", "no-comments", "with-header", "layout hasSidebar", "sidebar-left", "widget"):
+        for tag in ("article", "main", "div"):
+            page = f'<body><div class="{name}"><{tag}>{PARAS}</{tag}>{side if tag != "div" else side.replace("article", "div")}</div>'
+            assert mincut.main_text(page).split("\n") == PROSE, (name, tag)
+    # a marked part beside the content stays out, an article in it too
+    for part in (side, f'<div class="comment-list"><article class="comment"><p>{ASIDE}</p></article></div>'):
+        for tag in ("article", "main", "div"):
+            assert mincut.main_text(f"<body><{tag}>{PARAS}</{tag}>{part}").split("\n") == PROSE, (part, tag)
+    assert mincut.main_text(f'<body><div class="cookie-notice"><p>{ASIDE}</p></div>') == ""
+
+
 def test_broken_html_never_fails():
     rng = random.Random(4)
     parts = ["<p>", "</p>", "<div class='x", "\"", "'", "<", ">", "<!--", "-->", "<script>", "</script", "&amp", "&#0;", "<a href=",

@@ -5,7 +5,8 @@ text features gives each block a cost of being content and one of being
 boilerplate; they become its capacities to the two terminals.  Edges between
 neighbouring blocks and between blocks close in the element tree make it dear to
 label them differently.  The maximum flow gives the cheapest labelling; the
-blocks on the content side are the text.
+blocks on the content side are the text.  A name of boilerplate on an element
+counts for all blocks in it, unless the element is the layout around the content.
 
 Each page is a small graph of its own, solved in the task that reads it: nothing
 is shuffled and a batch is all that is held in memory.
@@ -38,6 +39,8 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 #: elements whose content is no text of the page
 RAW = frozenset("script style title textarea noscript iframe xmp noembed noframes plaintext".split())
 DROPPED = frozenset("head template svg math object video audio canvas map select datalist button".split())
+#: what a head may hold, beside raw and void elements; anything else closes it
+IN_HEAD = frozenset("head template".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -55,6 +58,8 @@ BAD_WORDS = frozenset(
     "navigation newsletter notice notices pager pagination popup promo promotion recommended related reply replies respond "
     "search share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar topbar widget "
     "complementary".split())
+#: before one of these words in a name: it tells of a part, as ``has-sidebar`` does, and marks nothing
+OF_PARTS = frozenset("has have with without no not hide hides show shows".split())
 GOOD_WORDS = frozenset("article body content entry main post story text".split())
 BAD_TAGS = {"nav": 16.0, "footer": 16.0, "aside": 16.0, "form": 16.0, "menu": 16.0, "dialog": 16.0, "header": 16.0, "search": 16.0}
 
@@ -79,8 +84,11 @@ def _attributes(raw: str) -> tuple[bool, bool, bool]:
     for m in _ATTR.finditer(raw):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name in ("class", "id", "role"):
-            words = {w.lower() for w in _NAME.findall(value)}
-            bad, good = bad or bool(words & BAD_WORDS), good or bool(words & GOOD_WORDS)
+            for part in value.split():
+                words = [w.lower() for w in _NAME.findall(part)]
+                first = next((i for i, w in enumerate(words) if w in BAD_WORDS), None)
+                bad = bad or first is not None and OF_PARTS.isdisjoint(words[:first])
+                good = good or not GOOD_WORDS.isdisjoint(words)
         elif name == "hidden" or (name == "aria-hidden" and value == "true"):
             hidden = hidden or name == "hidden" and raw[m.start() - 1:m.start()].isspace()
         elif name == "style":
@@ -91,8 +99,11 @@ def _attributes(raw: str) -> tuple[bool, bool, bool]:
 def blocks_of(page: str) -> list[Block]:
     """The page's text blocks in order."""
     out: list[Block] = []
-    # (tag, id of the element, names boilerplate, weight of boilerplate tags, inside an article, names content, dropped)
-    stack = [("", 0, False, 0.0, False, False, False)]
+    # (tag, id of the element, elements around that name boilerplate, weight of boilerplate tags, inside an article,
+    # names content, dropped)
+    stack = [("", 0, (), 0.0, False, False, False)]
+    # marks around each main and article; marks with other boilerplate below them
+    mains, articles, frames = [], [], set()
     block = None
     links = serial = pos = 0
     end = len(page)
@@ -100,6 +111,8 @@ def blocks_of(page: str) -> list[Block]:
         m = _TOKEN.match(page, pos)
         pos = m.end()
         if (text := m["text"]) is not None:
+            if stack[-1][0] == "head" and not text.isspace():
+                stack.pop()
             top = stack[-1]
             if top[6]:
                 continue
@@ -151,21 +164,55 @@ def blocks_of(page: str) -> list[Block]:
                         break
                 elif stack[i][0] in FENCE:
                     break
+        if stack[-1][0] == "head" and tag not in IN_HEAD:
+            stack.pop()
         up = stack[-1]
         bad, good, hidden = _attributes(attrs) if attrs else (False, False, False)
         in_article = up[4] or tag in ("article", "main")
         # a heading group inside the article is its own, not the page's
         weight = 0.0 if tag == "header" and up[4] else BAD_TAGS.get(tag, 0.0)
+        if tag in ("article", "main") and not (up[3] or up[6] or bad or hidden):
+            (mains if tag == "main" else articles).append(up[2])
         if tag in ("article", "main", "body", "html"):
             bad = False
+        if bad or weight:
+            frames.update(up[2])
         serial += 1
         links += tag == "a"
-        stack.append((tag, serial, up[2] or bad, up[3] + weight, in_article, up[5] or good, up[6] or hidden or tag in DROPPED))
+        stack.append((tag, serial, up[2] + (serial,) if bad else up[2], up[3] + weight, in_article, up[5] or good, up[6] or hidden or tag in DROPPED))
     for b in out:
         raw = "".join(b.text)
         b.text = " ".join(raw.split())
         b.linked = min(1.0, b.linked / max(1, len(raw)))
-    return [b for b in out if b.text]
+    out = [b for b in out if b.text]
+    if any(b.bad for b in out):
+        _settle_marks(out, mains, articles, frames)
+    return out
+
+
+def _settle_marks(blocks: list[Block], mains: list[tuple], articles: list[tuple], frames: set[int]) -> None:
+    """``bad`` of each block, so far the elements around it that name boilerplate:
+    True if one of them is boilerplate, not the layout that holds the content.
+
+    Layout is what stands around a ``main``; what stands around an ``article``, when
+    none is outside and the marked part has more content than the rest; and an
+    element with all content of the page and with other boilerplate in it."""
+    marks = [b.bad for b in blocks]
+    for b in blocks:
+        b.bad = False
+    size = [len(b.text) if score(b) > 0 else 0 for b in blocks]
+    outside = sum(n for n, m in zip(size, marks) if not m)
+    inside = lambda layout: sum(n for n, m in zip(size, marks) if m and layout.issuperset(m))
+    layout = {x for m in mains for x in m}
+    if not mains and articles:
+        first = set(min(articles, key=len))  # the first of those with the fewest marks
+        if inside(first) > outside:
+            layout = first
+    elif not mains and not outside:
+        whole = set.intersection(*map(set, tops)) if (tops := [m for n, m in zip(size, marks) if n]) else set()
+        layout = whole & frames
+    for b, m in zip(blocks, marks):
+        b.bad = not layout.issuperset(m)
 
 
 def score(b: Block) -> float:
