@@ -89,3 +89,16 @@ def test_chunks_of_long_texts(monkeypatch):
     parts = suffix.samples(text)
     place = lambda rows: {i: p for p, a, b in rows for i in range(a, b)}
     assert place(whole) == place(parts) and sorted(place(whole)) == list(range(len(text) - 399))
+
+
+def test_copies_collapse_before_texts_are_joined(spark):
+    """Beyond the broadcast, a text meets its parts once, not once for each of its copies."""
+    docs = spark.createDataFrame([(i if i < 5 else 7, f"text {min(i, 5)}") for i in range(300)], "key long, text string")
+    parts = spark.createDataFrame([(k, [k, n]) for k in (1, 7) for n in range(3)], "key long, x array<long>")
+    for small in (0, 1 << 20):
+        got = suffix._texts_with(docs, parts, 6, small)
+        assert sorted((r.text, sorted(r.parts)) for r in got.collect()) == [
+            (t, sorted([k, n][i] for n in range(3) for i in range(2))) for t, k in (("text 1", 1), ("text 5", 7))]
+    plan = suffix._texts_with(docs, parts, 6, 0)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    line = lambda what: next(i for i, x in enumerate(plan) if what in x)
+    assert line("Join Inner") < line("first(text")  # deeper in the plan: done before the join

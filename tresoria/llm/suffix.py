@@ -183,10 +183,13 @@ def _meet(many: DataFrame, side: DataFrame, on, rows: int, row_bytes: int, how:
 def _texts_with(docs: DataFrame, parts: DataFrame, n_parts: int, small_bytes: int) -> DataFrame:
     """(text, parts): each text that has ``parts`` (key, x), once, with the numbers of
     all of them in a row.  Copies of a text collapse in each task before the texts
-    are shuffled."""
+    are shuffled: after the join while the parts are sent to every task, before it
+    when the join itself shuffles."""
     by_text = parts.groupBy("key").agg(F.flatten(F.collect_list("x")).alias("parts"))
-    met = _meet(docs.select("key", "text"), by_text, "key", n_parts, 48, "inner", small_bytes)
-    return met.dropDuplicates(["key"]).select("text", "parts")
+    texts = docs.select("key", "text")
+    if n_parts * 48 <= small_bytes:
+        return texts.join(F.broadcast(by_text), "key").dropDuplicates(["key"]).select("text", "parts")
+    return texts.dropDuplicates(["key"]).join(by_text, "key").select("text", "parts")
 
 
 def repeated_spans(docs: DataFrame, width: int = WIDTH, reach: int = REACH, small_bytes: int = SMALL_BYTES) -> DataFrame:
