@@ -17,7 +17,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     names = set(E.queries())
-    assert {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 11)) and "pipeline" in names
+    assert {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 14)) and "pipeline" in names
     assert set(queries.ORACLE) <= set(queries.QUERIES) <= names
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tresoria.llm import brown, hosts, mincut, packing, pii, quality, secrets, simhash, suffix, tiling
+from tresoria.llm import brown, centroids, chat, divergence, hosts, mincut, packing, pii, quality, secrets, simhash, suffix, tiling
 from tresoria.llm.common import read_table
 
 
@@ -53,6 +53,24 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.remove(read_table(spark, sf_dir, "documents", "doc_id", "text"), with_text=False)
 
 
+def op11_va_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents", "lang", "source", "text"))
+
+
+#: a conversation that says the template's own control strings
+CONTROL_TURNS = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text").unionByName(
+        spark.createDataFrame(CONTROL_TURNS, "conv_id long, turn long, role string, text string"))
+    return chat.read_back(chat.segments(turns), arranged=True)
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_html_mincut": op2_html_mincut,
@@ -64,8 +82,14 @@ QUERIES = {
     "op8_simhash_pigeonring": op8_simhash_pigeonring,
     "op9_line_quality": op9_line_quality,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_va_centroids": op11_va_centroids,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_chat_format": op13_chat_format,
 }
 
 ORACLE = {
     "op9_line_quality": quality.ORACLE_SQL,
+    "op11_va_centroids": centroids.ORACLE_SQL,
+    "op12_source_divergence": divergence.ORACLE_SQL,
+    "op13_chat_format": chat.ORACLE_SQL,
 }
