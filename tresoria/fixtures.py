@@ -98,12 +98,48 @@ SELECT u.file AS FILE, u.sheet AS SHEET, u.r AS R, u.c AS C, u.v AS V, CAST(s.no
 FROM u JOIN s ON u.file = s.file AND u.sheet = s.sheet
 """
 
+# Forecast workbooks whose labels stand in the second column, some of them in the first (the anchor's) only.
+CELLS_SHIFT_SQL = f"""
+SELECT FILE, SHEET, R, CAST(CASE WHEN C > 0 THEN C + 1 WHEN R IN (1, 4, 5) THEN 0 ELSE 1 END AS INT) AS C, V
+FROM ({CELLS_SQL}) t
+"""
+
+# Adjustment workbooks with a title above: the dates stand in the second row of the sheet's body.
+CELLS_ADJ_LOW_SQL = f"""
+SELECT FILE, SHEET, CAST(R + 2 AS INT) AS R, C, V, SHEET_NO FROM ({CELLS_ADJ_SQL}) t
+UNION ALL SELECT DISTINCT FILE, SHEET, -1, 0, 'Suivi mensuel', SHEET_NO FROM ({CELLS_ADJ_SQL}) t
+"""
+
+# File names with the date of an order in one of seven shapes, or none.
+FILE_NAMES_SQL = """
+SELECT DISTINCT 'DEA/Prévisions DEA mensualisées/lot ' || chr(CAST(97 + o_orderkey % 5 AS INT)) || '/Equilibre ' || CASE o_orderkey % 8
+         WHEN 0 THEN y || '.' || lpad(m, 2, '0') || ' - DEA' WHEN 1 THEN y || ' ' || m WHEN 2 THEN d || '.' || lpad(m, 2, '0') || '.' || y
+         WHEN 3 THEN lpad(m, 2, '0') || '-' || y WHEN 4 THEN y || '-' || lpad(m, 2, '0') || '-' || d WHEN 5 THEN d || lpad(m, 2, '0') || y
+         WHEN 6 THEN lpad(m, 2, '0') || ' ' || d || ' ' || y ELSE 'Technique' END || '.xlsx' AS FILE,
+       CASE WHEN o_orderkey % 8 = 7 THEN NULL ELSE y || '-' || lpad(m, 2, '0') END AS VERSION
+FROM (SELECT o_orderkey, CAST(year(o_orderdate) AS STRING) AS y, CAST(month(o_orderdate) AS STRING) AS m,
+             CAST(13 + day(o_orderdate) % 16 AS STRING) AS d FROM orders) t
+"""
+
+# The dimension of codes: some of the ledger's, and some that the ledger does not have.
+LABEL_DIM_SQL = """
+SELECT DISTINCT CASE WHEN event_type = 'click' THEN 'r0' ELSE 'd0' END || CAST(2 * (user_id % 2) AS STRING) AS CODE_BUDGETAIRE,
+       'Libellé ' || event_type || ' ' || CAST(user_id % 2 AS STRING) AS LIBELLE FROM events
+UNION ALL SELECT DISTINCT CASE WHEN event_type = 'click' THEN 'R0' ELSE 'D0' END || CAST(2 * (user_id % 2) AS STRING), 'Libellé ' || event_type FROM events
+UNION ALL SELECT DISTINCT 'R9' || CAST(user_id % 7 AS STRING), 'Code sans mouvement' FROM events
+UNION ALL SELECT 'X' || CAST(max(user_id) AS STRING), NULL FROM events
+"""
+
 VIEWS = {
     "ledger": LEDGER_SQL,
     "prev": PREV_SQL,
     "cells": CELLS_SQL,
     "cells_single": CELLS_SINGLE_SQL,
     "cells_adj": CELLS_ADJ_SQL,
+    "cells_shift": CELLS_SHIFT_SQL,
+    "cells_adj_low": CELLS_ADJ_LOW_SQL,
+    "file_names": FILE_NAMES_SQL,
+    "label_dim": LABEL_DIM_SQL,
 }
 
 
@@ -114,6 +150,6 @@ def register_base_tables(spark: SparkSession, sf_dir: str, names=None) -> None:
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One fixture view as a lazy DataFrame over the Parquet tables of ``sf_dir``."""
-    base = {"ledger": ["events"]}.get(name, ["orders"])
+    base = {"ledger": ["events"], "label_dim": ["events"]}.get(name, ["orders"])
     register_base_tables(spark, sf_dir, base)
     return spark.sql(VIEWS[name])

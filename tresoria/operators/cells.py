@@ -43,17 +43,14 @@ def prepare_cells(cells: DataFrame) -> DataFrame:
 
     Every later step reads the cells several times (bounds, crop, unpivot);
     reading a written copy keeps plans small and avoids decoding the source
-    again.  Operators accept unprepared cells too."""
-    if getattr(cells, "_prepared_cells", False):
-        return cells
+    again.  Operators prepare their cells themselves, unless told that they are
+    (``prepared=True``)."""
     df = normalise_cells(cells)
     cols = [F.col("file").cast("string"), F.col("sheet").cast("string"),
             F.col("r").cast("int"), F.col("c").cast("int"), F.col("v").cast("string")]
     if "sheet_no" in df.columns:
         cols.append(F.col("sheet_no").cast("int"))
-    out = materialize(df.select(*cols), "cells")
-    out._prepared_cells = True  # written already: a second preparation returns it as it is
-    return out
+    return materialize(df.select(*cols), "cells")
 
 
 def is_number(v: Column) -> Column:
@@ -283,6 +280,40 @@ def unpivot_single(cropped: DataFrame) -> DataFrame:
             .select(*SHEET, "r", "c", "annee", "mois_nom", "type_montant", "label", "montant"))
 
 
+#: layout: rows that hold a column's month and type, and the first row of values
+LAYOUT_ROWS = {"multi": (-1, 0, 1), "single": (0, 1, 2)}
+
+
+def unpivot(cells: DataFrame, bounds: DataFrame, layout: str = "multi") -> DataFrame:
+    """Crop and unpivot in one go: ``unpivot_multi``/``unpivot_single`` of ``crop(cells, bounds)``.
+
+    The cells are read three times, for the values, for the columns' header rows and for the
+    rows' labels (repaired by an aggregate over the label and the anchor column, not by a
+    self-join); ``bounds`` should be written, one row a sheet, or they are computed again for each."""
+    month_row, type_row, first = LAYOUT_ROWS[layout]
+    b = bounds.select(*SHEET, "ancre", "ligne_fin", "col_debut", "col_fin")
+    x = normalise_cells(cells).join(b, on=SHEET, how="inner").where(F.col("r") < F.col("ligne_fin"))
+    right = (F.col("c") > F.col("col_debut")) & (F.col("c") < F.col("col_fin"))
+    at = lambda row: F.max(F.when(F.col("r") == row, F.col("v")))
+    vals = x.where(right & (F.col("r") >= first)).select(*SHEET, "r", "c", F.col("v").alias("montant"))
+    meta = x.where(right & (F.col("r") < first)).groupBy(*SHEET, "c").agg(
+        at(month_row).alias("mois_nom"), at(type_row).alias("type_montant"), at(-1).alias("entete"),
+        F.max((F.col("r") <= 0).cast("int")).alias("en_tete"))
+    in_column = lambda c: F.max(F.when(F.col("c") == F.col(c), F.col("v")))
+    labels = x.where(((F.col("c") == F.col("col_debut")) | (F.col("c") == F.col("ancre"))) & (F.col("r") >= first)).groupBy(
+        *SHEET, "r").agg(F.coalesce(in_column("col_debut"), in_column("ancre")).alias("label"))
+    own = F.concat(F.lit("Unnamed: "), F.col("c").cast("string"))
+    if layout == "single":
+        w = Window.partitionBy(*SHEET).orderBy("c").rowsBetween(Window.unboundedPreceding, 0)
+        filled = F.last("entete", ignorenulls=True).over(w)
+        meta = meta.withColumn("annee", F.when(F.col("en_tete") == 1, F.coalesce(filled, own)))
+    u = (vals.join(meta.drop("entete", "en_tete"), on=SHEET + ["c"], how="left")
+         .join(labels, on=SHEET + ["r"], how="left"))
+    if layout == "multi":
+        u = u.withColumns({"annee": F.col("sheet"), "mois_nom": F.coalesce("mois_nom", own)})
+    return u.select(*SHEET, "r", "c", "annee", "mois_nom", "type_montant", "label", "montant")
+
+
 def to_fact(long: DataFrame) -> DataFrame:
     """Long rows -> the 7 text columns of the forecast fact (+ provenance).
 
@@ -304,21 +335,25 @@ FACT_COLUMNS = ["version_prev", "annee", "mois", "mois_nom", "nature_montant", "
                 "montant_millions"]
 
 
-def long_forecast(cells: DataFrame, layout: str = "multi") -> DataFrame:
+def written_bounds(cells: DataFrame) -> DataFrame:
+    """The bounds of every sheet, computed once and written: one row a sheet."""
+    return materialize(sheet_bounds(cells), "bounds")
+
+
+def long_forecast(cells: DataFrame, layout: str = "multi", prepared: bool = False) -> DataFrame:
     """Cells -> long forecast rows with provenance (before the gate)."""
-    cells = prepare_cells(cells)
-    cropped = crop(cells, sheet_bounds(cells))
-    return to_fact(unpivot_multi(cropped) if layout == "multi" else unpivot_single(cropped))
+    cells = cells if prepared else prepare_cells(cells)
+    return to_fact(unpivot(cells, written_bounds(cells), layout))
 
 
 def ingest_forecast(cells: DataFrame, layout: str = "multi",
-                    allowed: Sequence[str] = ALLOWED_LABELS) -> DataFrame:
+                    allowed: Sequence[str] = ALLOWED_LABELS, prepared: bool = False) -> DataFrame:
     """Forecast workbooks as cells -> rows of the sheets that pass the gate.
 
     The gate unit is the sheet for the sheet-per-year layout and the
     workbook for the one-sheet layout.  Passing units are applied as a
     semi-join."""
-    fact = materialize(long_forecast(cells, layout), "fact")
+    fact = materialize(long_forecast(cells, layout, prepared), "fact")
     keys = ["nom_fichier", "nom_onglet"] if layout == "multi" else ["nom_fichier"]
     gate = quality_gate(fact, keys, allowed)
     ok = gate.where(F.col("valide")).select(*keys)
@@ -376,35 +411,39 @@ def _first_sheets(cells: DataFrame, n: int) -> DataFrame:
     return cells.where(F.col("sheet_no") <= n).select(*SHEET).distinct()
 
 
-def adjustments(cells: DataFrame, max_sheets: int = ADJ_MAX_SHEETS) -> DataFrame:
+def adjustments(cells: DataFrame, max_sheets: int = ADJ_MAX_SHEETS, prepared: bool = False) -> DataFrame:
     """Adjustment workbooks -> ``(nom_fichier, nom_onglet, annee, mois, mois_nom,
     montant_retraitement, raison)``.
 
     In the first ``max_sheets`` sheets, the last column holding ``raison``
     lists ``Retraitement`` rows and ``raison`` rows; the i-th of each are
-    paired; every date column with an amount gives one row."""
-    cells = prepare_cells(cells)
-    cells = semi_join(cells, _first_sheets(cells, max_sheets), SHEET)
-    hdr = date_header(cells)
+    paired; every date column with an amount gives one row.
+
+    The header of each sheet and the marked rows are written once (a row a sheet, a row a
+    mark); the cells are then read twice, for the paired rows and for the dates."""
+    cells = cells if prepared else prepare_cells(cells)
+    if "sheet_no" not in cells.columns:
+        raise ValueError("cells need sheet_no: the order of a workbook's sheets is not the order of their names")
+    cells = cells.where(F.col("sheet_no") <= max_sheets)
+    hdr = materialize(date_header(cells), "date-header")
     x = cells.join(hdr, on=SHEET).where(F.col("c") <= F.col("col_fin"))
     body = x.where(F.col("r") > F.col("ligne_entete"))
     low = F.lower(F.col("v"))
-    col_r = body.where(low.contains("raison")).groupBy(*SHEET).agg(F.max("c").alias("col_raison"))
-    marks = body.join(col_r, on=SHEET).where(F.col("c") == F.col("col_raison"))
+    marks = body.select(*SHEET, "r", "c", low.contains("retraitement").alias("ret"), low.contains("raison").alias("rai")).where("ret or rai")
+    last = F.max(F.when(F.col("rai"), F.col("c"))).over(Window.partitionBy(*SHEET))
+    marks = materialize(marks.withColumn("col_raison", last).where("c = col_raison"), "marks")
     w = Window.partitionBy(*SHEET).orderBy("r")
-    ret = (marks.where(low.contains("retraitement")).select(*SHEET, "r")
-           .withColumn("i", F.row_number().over(w)).withColumnRenamed("r", "r_ret"))
-    rai = (marks.where(low.contains("raison")).select(*SHEET, "r")
-           .withColumn("i", F.row_number().over(w)).withColumnRenamed("r", "r_rai"))
-    pairs = ret.join(rai, on=SHEET + ["i"], how="inner")
+    numbered = lambda kind: (marks.where(F.col(kind)).select(*SHEET, F.col("r").alias(f"r_{kind}"),
+                                                           F.row_number().over(w).alias("i")))
+    pairs = numbered("ret").join(numbered("rai"), on=SHEET + ["i"], how="inner")
+    rows = pairs.select(*SHEET, "i", F.expr("stack(2, 'ret', r_ret, 'rai', r_rai) as (kind, r)"))
+    # equi-join on the row key: a cell meets the pairs of its own row only
+    of = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("v")))
+    paired = body.join(rows, on=SHEET + ["r"], how="inner").groupBy(*SHEET, "i", "c").agg(
+        of("ret").alias("montant_retraitement"), of("rai").alias("raison")).where(F.col("montant_retraitement").isNotNull())
     heads = (x.where((F.col("r") == F.col("ligne_entete")) & is_date_text(F.col("v")))
              .select(*SHEET, "c", _as_date(F.col("v")).alias("d")))
-    # equi-join on the row key: each body cell meets at most its own pair
-    amounts = (body.join(pairs.withColumnRenamed("r_ret", "r"), on=SHEET + ["r"], how="inner")
-               .select(*SHEET, "c", "r_rai", F.col("v").alias("montant_retraitement")))
-    reasons = body.select(*SHEET, "c", F.col("r").alias("r_rai"), F.col("v").alias("raison"))
-    out = (amounts.join(heads, on=SHEET + ["c"], how="inner")
-           .join(reasons, on=SHEET + ["c", "r_rai"], how="left"))
+    out = paired.join(heads, on=SHEET + ["c"], how="inner")
     mois = F.lpad(F.month("d").cast("string"), 2, "0")
     return out.select(
         F.substring_index(F.col("file"), ADJ_FOLDER_MARK, -1).alias("nom_fichier"),

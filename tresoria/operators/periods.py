@@ -80,6 +80,11 @@ def flow_labels(sage_all: DataFrame, kind: str, grain: str = "flux",
     return (codes.where(F.upper(F.substring(lab, 1, 1)) == letter).select(lab).distinct())
 
 
+def dimension_codes(labels: DataFrame) -> DataFrame:
+    """The budget codes of the stored label dimension, for :func:`flow_labels`."""
+    return labels.select(F.col("CODE_BUDGETAIRE").alias("code_budgetaire")).where("code_budgetaire is not null").distinct()
+
+
 def flow_label_table(sage_all: DataFrame, grain: str = "flux",
                      budget_codes: DataFrame | None = None) -> DataFrame:
     """(kind, label) for both kinds; a label may belong to both."""

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,9 +20,12 @@ from tresoria.operators import controls, forecast, labels, ledger, periods
 from tresoria.operators.controls import quality_gate
 from tresoria.plans import loads
 from tresoria.plans import oracle_sql as O
-from tresoria.session import scratch_path
-from tresoria.sources import sinks
-from tresoria.sources.tables import discover_files, ledger_table, new_files, read_csv_table
+from tresoria.session import materialize, scratch_path
+from tresoria.sources import commits, sinks
+from tresoria.sources.tables import discover_files, label_table, ledger_table, new_files, read_csv_table
+from tresoria.sources.workbook import decode_files
+from tresoria.sources.workbook_writer import encode_workbooks
+from tresoria.streaming import ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -394,41 +398,41 @@ def q_leading_run(spark, sf):
 @register("sheet_unpivot_multi", O.ctes(**O.unpivot_multi_ctes()) + "SELECT * FROM lng")
 def q_sheet_unpivot_multi(spark, sf):
     c = prepared(spark, sf, "cells")
-    return C.unpivot_multi(C.crop(c, C.sheet_bounds(c)))
+    return C.unpivot(c, C.written_bounds(c), "multi")
 
 
 @register("sheet_unpivot_single", O.ctes(**O.unpivot_single_ctes()) + "SELECT * FROM lng")
 def q_sheet_unpivot_single(spark, sf):
     c = prepared(spark, sf, "cells_single")
-    return C.unpivot_single(C.crop(c, C.sheet_bounds(c)))
+    return C.unpivot(c, C.written_bounds(c), "single")
 
 
 @register("year_fill", O.ctes(**O.unpivot_single_ctes()) + "SELECT * FROM yf")
 def q_year_fill(spark, sf):
     c = prepared(spark, sf, "cells_single")
-    return C.year_fill(C.crop(c, C.sheet_bounds(c)))
+    return C.year_fill(C.crop(c, C.written_bounds(c)))
 
 
 @register("quality_gate", O.ctes(**O.unpivot_multi_ctes(), fact=O.fact_cte())
           + O.gate_sql("fact", ["nom_fichier", "nom_onglet"]))
 def q_quality_gate(spark, sf):
-    return quality_gate(C.long_forecast(prepared(spark, sf, "cells"), "multi"))
+    return quality_gate(C.long_forecast(prepared(spark, sf, "cells"), "multi", prepared=True))
 
 
 @register("quality_gate_single", O.ctes(**O.unpivot_single_ctes(), fact=O.fact_cte())
           + O.gate_sql("fact", ["nom_fichier"]))
 def q_quality_gate_single(spark, sf):
-    return quality_gate(C.long_forecast(prepared(spark, sf, "cells_single"), "single"), ["nom_fichier"])
+    return quality_gate(C.long_forecast(prepared(spark, sf, "cells_single"), "single", prepared=True), ["nom_fichier"])
 
 
 @register("forecast_ingest", O.ingest_sql("multi"))
 def q_forecast_ingest(spark, sf):
-    return C.ingest_forecast(prepared(spark, sf, "cells"), "multi")
+    return C.ingest_forecast(prepared(spark, sf, "cells"), "multi", prepared=True)
 
 
 @register("forecast_ingest_single", O.ingest_sql("single"))
 def q_forecast_ingest_single(spark, sf):
-    return C.ingest_forecast(prepared(spark, sf, "cells_single"), "single")
+    return C.ingest_forecast(prepared(spark, sf, "cells_single"), "single", prepared=True)
 
 
 @register("version_from_filename", O.ctes(cells=None, cells_single=None, cells_adj=None)
@@ -451,7 +455,7 @@ def q_date_header_cut(spark, sf):
 
 @register("adjustments", O.ctes(**O.adj_ctes()) + O.ADJ_SELECT)
 def q_adjustments(spark, sf):
-    return C.adjustments(prepared(spark, sf, "cells_adj"))
+    return C.adjustments(prepared(spark, sf, "cells_adj"), prepared=True)
 
 
 # ------------------------------------------------------- sources / sinks ---
@@ -586,7 +590,7 @@ def _load_twice(spark, cells, kind, table):
     again = loads.load_cells(cells, kind, path, manifest, load_date=LOAD_DATE)
     if cells.limit(1).count() and (not first or again):
         raise ValueError(f"loaded {first} files, then {again} again")
-    return spark.read.parquet(path)
+    return commits.read_committed(spark, path, manifest)
 
 
 @register("load_forecast_table", f"SELECT {_FACT_UPPER}, '{LOAD_DATE}' AS DATE_EXTRACTION FROM ({O.ingest_sql('multi')})")
@@ -601,6 +605,154 @@ def q_load_adjustments_table(spark, sf):
     return _load_twice(spark, fixtures.view(spark, sf, "cells_adj"), "adjustments", "treso_dea_retraitements")
 
 
+_ADJ_UPPER = ("SELECT nom_fichier AS NOM_FICHIER, nom_onglet AS NOM_ONGLET, annee AS ANNEE, mois AS MOIS, mois_nom AS MOIS_NOM, "
+              f"montant_retraitement AS MONTANT_RETRAITEMENT, raison AS RAISON, '{LOAD_DATE}' AS DATE_EXTRACTION FROM ")
+
+
+@register("load_stopped_and_rerun", _ADJ_UPPER + f"({O.ctes(**O.adj_ctes('cells_adj_low')) + O.ADJ_SELECT})")
+def q_load_stopped_and_rerun(spark, sf):
+    """A load of half the workbooks; one of all of them that stops after its rows are written and before its commit; the
+    same again to its end; and small loads merged.  Every workbook's rows are read once.  (The dates of these sheets stand
+    below a title: the header row is promoted.)"""
+    import uuid
+    table = f"retraitement_dft_{uuid.uuid4().hex[:12]}"
+    path, log = _fresh(spark, table), _fresh(spark, "log")
+    cells = C.prepare_cells(fixtures.view(spark, sf, "cells_adj_low"))
+    half = cells.where(F.crc32("file") % 2 == 0)
+    first = loads.load_cells(half, "adjustments", path, log, table, LOAD_DATE)
+    stopped = loads.stage_cells(cells, "adjustments", path, log, table, LOAD_DATE)
+    again = loads.load_cells(cells, "adjustments", path, log, table, LOAD_DATE)
+    if stopped and (stopped.loaded != again or loads.load_cells(cells, "adjustments", path, log, table, LOAD_DATE)):
+        raise ValueError(f"loaded {first} files, staged {stopped.loaded}, then loaded {again}")
+    loads.compact_loads(spark, path, log, table)
+    if sorted(map(str, spark.table(table).drop("load").columns)) != sorted(commits.read_committed(spark, path, log).columns):
+        raise ValueError("the catalog table and the log differ")
+    return spark.table(table).drop("load")
+
+
+@register("workbook_cells", O.ctes(cells_adj_low=None) + f"""
+SELECT FILE AS file, SHEET AS sheet, SHEET_NO AS sheet_no, R AS r, C AS c, {O.read_number('V')} AS v FROM cells_adj_low""")
+def q_workbook_cells(spark, sf):
+    """Workbooks written from cells (numbers, date styles, shared strings) and decoded again."""
+    return decode_files(encode_workbooks(fixtures.view(spark, sf, "cells_adj_low")))
+
+
+@register("load_workbook_files", f"SELECT {', '.join((O.read_number(c) if c == 'montant_millions' else c) + ' AS ' + c.upper() for c in C.FACT_COLUMNS)}, "
+          f"'{LOAD_DATE}' AS DATE_EXTRACTION FROM ({O.ingest_sql('multi', 'cells_shift')})")
+def q_load_workbook_files(spark, sf):
+    """Workbooks with repaired labels through decoding, gate and commit, beside truncated copies of every one and
+    copies without a date in their name: those are listed with the reason, all others are loaded."""
+    path, log = _fresh(spark, "treso_dea_prev"), _fresh(spark, "log")
+    good = materialize(encode_workbooks(fixtures.view(spark, sf, "cells_shift")), "workbooks")
+    half = good.withColumns({"content": F.expr("substring(content, 1, cast(length / 2 as int))"),
+                             "path": F.concat(F.lit("incomplet/"), "path")})
+    undated = good.withColumn("path", F.concat(F.lit("copie "), F.xxhash64("path").cast("string"), F.lit(".xlsx")))
+    files = good.unionByName(half).unionByName(undated)
+    listed = files.select(F.col("path").alias("name"), F.lit(None).cast("timestamp").alias("modification_time"), "length")
+    n = loads.load_files(files, listed, "multi", path, log, load_date=LOAD_DATE)
+    reasons = loads.rejected_files(spark, log).groupBy((F.col("reason") == loads.NO_VERSION).alias("undated")).count().collect()
+    if sorted((r["undated"], r["count"]) for r in reasons) != [(False, n), (True, n)]:
+        raise ValueError(f"loaded {n} files, rejected {reasons}")
+    return commits.read_committed(spark, path, log)
+
+
+@register("label_repair", O.ctes(**O.bounds_ctes("cells_shift")) + "SELECT file, sheet, r, v AS label FROM cr WHERE c = col_debut AND r >= 0")
+def q_label_repair(spark, sf):
+    """Labels of the kept rows: the label column's, or the anchor column's where that is empty."""
+    c = prepared(spark, sf, "cells_shift")
+    cropped = C.crop(c, C.written_bounds(c))
+    return cropped.where("c = col_debut and r >= 0").select("file", "sheet", "r", F.col("v").alias("label"))
+
+
+@register("promoted_header", O.ctes(**O.adj_ctes("cells_adj_low")) + "SELECT * FROM h2")
+def q_promoted_header(spark, sf):
+    return C.date_header(prepared(spark, sf, "cells_adj_low").where(F.col("sheet_no") <= C.ADJ_MAX_SHEETS))
+
+
+@register("version_free_forms", O.ctes(file_names=None) + "SELECT FILE AS file, VERSION AS version_prev FROM file_names")
+def q_version_free_forms(spark, sf):
+    """Dates of file names in seven shapes; the oracle knows them from the orders."""
+    return fixtures.view(spark, sf, "file_names").select(F.col("FILE").alias("file"), version_from_filename("FILE").alias("version_prev"))
+
+
+@register("stream_exports", _LEDGER_LOADED)
+def q_stream_exports(spark, sf):
+    """Export files that arrive in two waves, read by a stream: the second wave's micro-batch is written and stopped before
+    its commit, then replayed."""
+    source, sink, ck = (_fresh(spark, x) for x in ("exports", "stream", "stream_checkpoint"))
+    raw = raw_ledger(spark, sf)
+    late = F.coalesce(F.col("FICHIER").isin("export_3.csv", "export_4.csv"), F.lit(False))
+
+    def arrive(rows):
+        rows.repartition(F.col("FICHIER")).write.mode("append").option("sep", ";").option("header", "true").option(
+            "ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(source)
+
+    def run(on_written=None):
+        ingest.start_export_ingest(spark, source, raw.columns, sink, ck, load_date=LOAD_DATE, on_written=on_written).awaitTermination()
+
+    def stop(batch_id):
+        raise RuntimeError("stopped before the commit")
+
+    arrive(raw.where(~late))
+    run()
+    arrive(raw.where(late))
+    try:
+        run(stop)
+    except StreamingQueryException as e:
+        if "stopped before the commit" not in str(e):
+            raise
+    run()  # the batch that was written is written again, into its own lot
+    run()  # nothing new
+    return ingest.read_ingested(spark, sink).drop("lot")
+
+
+@register("ledger_latest_incremental", O.ledger_ctes() + "SELECT * FROM sage")
+def q_ledger_latest_incremental(spark, sf):
+    """Five exports merged one after the other into the maintained latest-version table, one of them twice."""
+    path, raw = _fresh(spark, "ledger_latest"), raw_ledger(spark, sf)
+    for n in (0, 3, 1, 3, 4, 2):
+        ledger.merge_export(raw.where(F.col("FICHIER") == f"export_{n}.csv"), path)
+    return ledger.read_latest(spark, path)
+
+
+@register("ledger_latest_bucketed", O.ledger_ctes() + "SELECT * FROM sage")
+def q_ledger_latest_bucketed(spark, sf):
+    """The latest-file rule on a table bucketed by day and account: no shuffle."""
+    import uuid
+    table = f"export_sage_bucketed_{uuid.uuid4().hex[:12]}"
+    ledger.store_bucketed_ledger(raw_ledger(spark, sf), table, 8, _fresh(spark, table))
+    return ledger.clean_bucketed_ledger(spark, table)
+
+
+def _budget_dimension(spark, sf):
+    """The stored label dimension, in a database of its own."""
+    import uuid
+    database = f"tresorerie_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{_fresh(spark, database)}'")
+    sinks.write_overwrite(fixtures.view(spark, sf, "label_dim"), _fresh(spark, "libelles"), load_date=LOAD_DATE,
+                          table=f"{database}.codeflux_codebudget_libelles")
+    return label_table(spark, database)
+
+
+def _dimension_flows_sql(kind: str, letter: str) -> str:
+    return (O.ctes(ledger=None, typed=O.TYPED_LEDGER, sage=O.SAGE, label_dim=None,
+                   fl=f"SELECT * FROM sage WHERE banque_compte = {O.q(K.CONSOLIDATED_ACCOUNT)} AND code_budgetaire IN "
+                      f"(SELECT CODE_BUDGETAIRE FROM label_dim WHERE upper(substr(CODE_BUDGETAIRE, 1, 1)) = {O.q(letter)})")
+            + O.sum_by_sql("fl", "M", "code_budgetaire"))
+
+
+def _register_dimension_flows(kind: str, name: str, letter: str) -> None:
+    @register(name, _dimension_flows_sql(kind, letter))
+    def fn(spark, sf):
+        codes = periods.dimension_codes(_budget_dimension(spark, sf))
+        s = sage(spark, sf)
+        return periods.flows(s, periods.flow_labels(s, kind, "budget", codes), "budget", "M")
+
+
+_register_dimension_flows("recettes", "receipts_month_dimension", "R")
+_register_dimension_flows("depenses", "spending_month_dimension", "D")
+
+
 @register("compact_partitioned", _LOADED_SQL)
 def q_compact_partitioned(spark, sf):
     """A catalog table partitioned by month, written in two appends and compacted:

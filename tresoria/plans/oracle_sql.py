@@ -406,8 +406,8 @@ def gate_sql(src: str, keys) -> str:
 FACT_COLS = "version_prev, annee, mois, mois_nom, nature_montant, type_montant, montant_millions"
 
 
-def ingest_sql(layout: str) -> str:
-    d = unpivot_multi_ctes("cells") if layout == "multi" else unpivot_single_ctes("cells_single")
+def ingest_sql(layout: str, view: str | None = None) -> str:
+    d = unpivot_multi_ctes(view or "cells") if layout == "multi" else unpivot_single_ctes(view or "cells_single")
     keys = ["nom_fichier", "nom_onglet"] if layout == "multi" else ["nom_fichier"]
     d["fact"] = fact_cte()
     d["gate"] = gate_sql("fact", keys)
@@ -415,10 +415,15 @@ def ingest_sql(layout: str) -> str:
             f"(SELECT {', '.join(keys)} FROM gate WHERE valide)")
 
 
-def adj_ctes() -> dict:
+def read_number(x: str) -> str:
+    """A cell's text as a workbook gives it back: a number in its shortest form, all else as it is."""
+    return f"COALESCE(regexp_replace(CAST(TRY_CAST({x} AS DOUBLE) AS VARCHAR), '\\.0$', ''), {x})"
+
+
+def adj_ctes(view: str = "cells_adj") -> dict:
     isd = "(COALESCE(try_strptime(v, '%Y-%m-%d'), try_strptime(v, '%Y-%m-%d %H:%M:%S')) IS NOT NULL)"
-    d = cells_base("cells_adj")
-    d["fs"] = "SELECT DISTINCT FILE AS file, SHEET AS sheet FROM cells_adj WHERE SHEET_NO <= 5"
+    d = cells_base(view)
+    d["fs"] = f"SELECT DISTINCT FILE AS file, SHEET AS sheet FROM {view} WHERE SHEET_NO <= 5"
     d["c5"] = "SELECT * FROM cl WHERE (file, sheet) IN (SELECT file, sheet FROM fs)"
     d["hd"] = (f"SELECT file, sheet, max(c) AS max_c, CASE WHEN bool_or(r = -1 AND {isd}) THEN -1 "
                f"ELSE min(CASE WHEN r >= 0 AND {isd} THEN r END) END AS ligne_entete FROM c5 GROUP BY file, sheet")

@@ -145,9 +145,12 @@ def _suffixed(cells):
         yield sheet, no, r, c, v
 
 
+CHECKED_SCHEMA = CELL_SCHEMA + ", error string"
+
+
 def _frame(rows):
     return pd.DataFrame(rows, columns=["file", "sheet", "sheet_no", "r", "c", "v"]).astype(
-        {"sheet_no": "int32", "r": "int32", "c": "int32"})
+        {"sheet_no": "Int32", "r": "Int32", "c": "Int32"})
 
 
 def _decode_batches(batches):
@@ -165,10 +168,37 @@ def _decode_batches(batches):
 
 
 def decode_files(files: DataFrame) -> DataFrame:
-    """``binaryFile`` rows (path, content) -> cells."""
+    """``binaryFile`` rows (path, content) -> cells; a file that is no workbook ends the job."""
     return files.select("path", "content").mapInPandas(_decode_batches, CELL_SCHEMA)
 
 
+def _check_workbook(content: bytes) -> str | None:
+    """Why the content is no workbook that can be read to its end, or None."""
+    try:
+        for _ in decode_workbook("", content):
+            pass
+    except Exception as e:  # whatever a damaged file makes the zip or XML reader raise
+        return f"{type(e).__name__}: {e}"[:500]
+    return None
+
+
+def _decode_checked_batches(batches):
+    for pdf in batches:
+        bad = [_check_workbook(bytes(c)) for c in pdf["content"]]
+        for frame in _decode_batches([pdf[[b is None for b in bad]]]):
+            yield frame.assign(error=None)
+        errors = [(p, b) for p, b in zip(pdf["path"], bad) if b is not None]
+        if errors:
+            yield _frame([(p, None, None, None, None, None) for p, _ in errors]).assign(error=[b for _, b in errors])
+
+
+def decode_checked(files: DataFrame) -> DataFrame:
+    """Cells as :func:`decode_files` gives them, with a column ``error``: a file that cannot be read to its end gives one
+    row with the reason, and no cell.  A file is read through before its first cell is passed on, so half a damaged
+    workbook never counts and no task holds a whole sheet's cells."""
+    return files.select("path", "content").mapInPandas(_decode_checked_batches, CHECKED_SCHEMA)
+
+
 def workbook_cells(spark: SparkSession, root: str, glob: str = "*.xlsx", recursive: bool = True) -> DataFrame:
     """All workbooks under ``root`` matching ``glob`` as long cells.
 
