@@ -102,3 +102,35 @@ def test_copies_collapse_before_texts_are_joined(spark):
     plan = suffix._texts_with(docs, parts, 6, 0)._jdf.queryExecution().optimizedPlan().toString().splitlines()
     line = lambda what: next(i for i, x in enumerate(plan) if what in x)
     assert line("Join Inner") < line("first(text")  # deeper in the plan: done before the join
+
+
+def test_passages_below_the_width_are_reported(spark):
+    """Always true where ``passage`` bytes are shared with another row, never where no name's length is."""
+    rng = random.Random(9)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    long_, part = text(300), text(140)
+    docs = [text(500) for _ in range(30)]
+    docs += [text(rng.randint(200, 900)) + long_ + text(rng.randint(200, 900)) for _ in range(6)]  # below 400 bytes: nothing goes
+    docs += [text(400) + part + text(400) for _ in range(6)] + [long_, "short " * 10, "short " * 10, text(270), None]
+    docs += [docs[0]] + [x * 2 for x in [text(256)]]  # a copy; a text that repeats itself only
+    out = suffix.remove(frame(spark, docs).repartition(3), with_text=False).collect()
+    own = {r.doc_id: r for r in out}
+    n = len(docs)
+    assert [own[i].shares_passage for i in range(1, 30)] == [False] * 29 and own[0].shares_passage and own[n - 2].shares_passage
+    assert all(own[i].shares_passage and not own[i].n_removed for i in range(30, 36)) and own[42].shares_passage
+    assert not any(own[i].shares_passage for i in [*range(36, 42), 43, 44, 45, 46, n - 1])
+
+
+def test_shared_passages_equal_brute_force_at_both_bounds(spark):
+    rng = random.Random(4)
+    pieces = ["".join(rng.choice("ab ") for _ in range(rng.randint(5, 60))) for _ in range(25)]
+    docs = ["".join(rng.choices(pieces, k=rng.randint(0, 8))) for _ in range(80)]
+    out = suffix.remove(frame(spark, docs), with_text=False, passage=40, passage_reach=20).collect()
+    held = lambda t, w: {t[i:i + w] for i in range(len(t) - w + 1)}
+    flags = {r.doc_id: r.shares_passage for r in out}
+    for i, t in enumerate(docs):
+        others = [x for j, x in enumerate(docs) if j != i]
+        must = any(held(t, 40) & held(x, 40) for x in others)
+        may = len(t) >= 40 and any(held(t, 21) & held(x, 21) for x in others)
+        assert must <= flags[i] <= may
+    assert 0 < sum(flags.values()) < len(docs)

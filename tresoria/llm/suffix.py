@@ -25,6 +25,11 @@ else.  The plan is that of a difference-cover suffix sort, kept to the first
 Names are fingerprints (128 bits where they decide), not ranks: equal strings only have to be
 neighbours, and a fingerprint needs no shuffle to be given.
 
+Passages below ``width`` stay in the text, as the rule says, but are reported: ``shares_passage`` tells whether a row
+holds a string that another row holds too.  It is found by the sample alone: of every ``passage_reach`` starts one
+names the ``passage - passage_reach + 1`` bytes from it, so rows that share ``passage`` bytes always share a name, and
+rows that share a name share that many bytes.
+
 Scale: a few numbers for each ``reach / 2`` bytes are shuffled, and the texts never,
 unless the spans to cut outgrow ``small_bytes``: they meet their texts in a
 broadcast join up to that size and in a shuffled one beyond.  Copies are counted
@@ -54,6 +59,9 @@ GRAM = 16
 CHUNK = 1 << 20
 #: largest side that is sent to every task
 SMALL_BYTES = 48 << 20
+#: a passage of some fifty words, and the starts of which one is sampled for it
+PASSAGE = 256
+PASSAGE_REACH = 112
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _PLACE = np.uint64((1 << 21) - 1)
 
@@ -231,7 +239,34 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, reach: int = REACH, smal
     return again.union(found.join(open_.select("id", "key"), "id").select("key", "s", "e"))
 
 
-RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+def sharing_texts(docs: DataFrame, passage: int = PASSAGE, reach: int = PASSAGE_REACH) -> DataFrame:
+    """(key) of the texts of at least ``passage`` bytes, of ``docs`` (key, text), that share a sampled name with another row:
+    with another text, or with a copy of their own."""
+    held = passage - reach + 1
+
+    def run(batches):
+        name = xxhash.xxh3_64_intdigest
+        for batch in batches:
+            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for lo in range(0, len(keys), 200):
+                k, names = [], []
+                for key, t in zip(keys[lo:lo + 200], texts[lo:lo + 200]):
+                    found = {name(t[p:p + held]) for p, _, _ in samples(t, passage, reach)}
+                    k += [key] * len(found)
+                    names.extend(found)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(k, pa.int64()), pa.array(np.array(names, dtype="<u8").view("<i8"))], names=["k", "name"])
+
+    short = F.xxhash64("key").alias("k")
+    every = materialize(docs.select(short, "text").mapInArrow(run, "k long, name long"), "suffix-passages")
+    shared = materialize(every.groupBy("name").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).filter("lo < hi").select("name"),
+                         "suffix-passage-names")
+    found = every.join(shared, "name", "left_semi").select("k").distinct()
+    long_ = docs.filter(F.length("text") >= passage).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    return long_.select("key", "n", short).join(found.withColumn("found", F.lit(True)), "k", "left").filter("n > 1 or found").select("key")
+
+
+RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, shares_passage boolean"
 
 
 def _merged(spans: DataFrame) -> DataFrame:
@@ -259,20 +294,23 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, reach: int = REACH,
-           with_text: bool = True, small_bytes: int = SMALL_BYTES) -> DataFrame:
+           with_text: bool = True, small_bytes: int = SMALL_BYTES, passage: int = PASSAGE,
+           passage_reach: int = PASSAGE_REACH) -> DataFrame:
     """Id, number of bytes, of removed bytes and of removed runs, SHA-256 of what is
-    kept, and with ``with_text`` the kept bytes themselves, of each row."""
+    kept, whether the text shares a passage with another row, and with ``with_text`` the kept
+    bytes themselves, of each row."""
     rows = keyed(docs, id_col, text_col)
     # stretches of a text that touch become one before they meet the text again
     spans = repeated_spans(rows, width, reach, small_bytes).groupBy("key").agg(
         F.array_sort(F.collect_list(F.struct("s", "e"))).alias("x"))
-    spans = materialize(_merged(spans), "suffix-spans")
-    size = spans.agg(F.coalesce(F.sum(F.size("spans") * 4 + 64), F.lit(0)).alias("n")).first()["n"]
+    shared = sharing_texts(rows, passage, passage_reach).withColumn("shared", F.lit(True))
+    spans = materialize(_merged(spans).join(shared, "key", "full"), "suffix-spans")
+    size = spans.agg(F.coalesce(F.sum(F.coalesce(F.size("spans"), F.lit(0)) * 4 + 64), F.lit(0)).alias("n")).first()["n"]
 
     def run(batches):
         for batch in batches:
-            out = [[] for _ in range(6)]
-            for doc_id, t, found in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            out = [[] for _ in range(7)]
+            for doc_id, t, found, shares in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 flat = iter(found or [])
                 cut = list(zip(flat, flat))
                 kept, at = [], 0
@@ -280,14 +318,14 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
                     kept.append(t[at:s])
                     at = e
                 kept = b"".join([*kept, t[at:]])
-                row = (doc_id, len(t), len(t) - len(kept), len(cut), hashlib.sha256(kept).hexdigest(), kept)
+                row = (doc_id, len(t), len(t) - len(kept), len(cut), hashlib.sha256(kept).hexdigest(), bool(shares), kept)
                 for col, v in zip(out, row):
                     col.append(v)
-            cols = [pa.array(c, pa.int64()) for c in out[:4]] + [pa.array(out[4], pa.string())]
-            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+            cols = [pa.array(c, pa.int64()) for c in out[:4]] + [pa.array(out[4], pa.string()), pa.array(out[5], pa.bool_())]
+            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "shares_passage"]
             if with_text:
-                cols, names = cols + [pa.array(out[5], pa.binary())], names + ["kept"]
+                cols, names = cols + [pa.array(out[6], pa.binary())], names + ["kept"]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    joined = _meet(rows, spans, "key", size, 1, "left", small_bytes).select("id", "text", "spans")
+    joined = _meet(rows, spans, "key", size, 1, "left", small_bytes).select("id", "text", "spans", "shared")
     return joined.mapInArrow(run, RESULT + (", kept binary" if with_text else "")).withColumnRenamed("doc_id", id_col)
