@@ -119,6 +119,56 @@ def table_location(spark: SparkSession, table: str) -> str:
     raise ValueError(f"{table} has no location")
 
 
+def _stored_files(spark: SparkSession, table: str) -> DataFrame:
+    """(folder, length) of the files that the catalog table reads now, wherever its partitions lie.  Metadata only: the
+    list of files, which the planner holds for any scan, and their sizes."""
+    paths = [unquote(p) for p in spark.table(table).inputFiles()]  # URIs: the names on disk are escaped once less
+    files = spark.read.format("binaryFile").load(paths) if paths else spark.createDataFrame([], "path string, length long")
+    return files.select(F.regexp_replace("path", "/[^/]*$", "").alias("folder"), "length")
+
+
+def _partition_of(folder: str, by: list[str]) -> tuple:
+    """The partition values that a folder's last levels name, NULL for Hive's default name."""
+    levels = [unquote(x.split("=", 1)[1]) for x in folder.split("/")[-len(by):]]
+    return tuple(None if v == "__HIVE_DEFAULT_PARTITION__" else v for v in levels)
+
+
+def _spec(values: tuple, by: list[str]) -> str:
+    quoted = ["'__HIVE_DEFAULT_PARTITION__'" if v is None else "'{}'".format(v.replace("'", "\\'")) for v in values]
+    return ", ".join(f"`{k}` = {v}" for k, v in zip(by, quoted))
+
+
+def compact_partitions(spark: SparkSession, table: str, target_file_bytes: int = TARGET_FILE_BYTES,
+                       small_file_bytes: int | None = None) -> list[str]:
+    """Compact those partitions of a catalog table that hold several files below ``small_file_bytes`` (half the target)
+    and could be fewer; all others keep their files.  Only the chosen partitions are read and written, next to the
+    table, and each is then pointed at its copy (a metadata change).  Returns their folders' names; the old files stay
+    for the retention policy."""
+    import uuid
+    by = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if not by:
+        raise ValueError(f"{table} has no partitions: use compact_table")
+    small = small_file_bytes or target_file_bytes // 2
+    groups = _stored_files(spark, table).groupBy("folder").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"), F.count_if(F.col("length") < small).alias("small"))
+    chosen = [r["folder"] for r in groups.where(
+        (F.col("small") > 1) & (F.ceil(F.col("bytes") / target_file_bytes) < F.col("files"))).collect()]  # one row a partition
+    if not chosen:
+        return []
+    values = {_partition_of(f, by): "/".join(f.split("/")[-len(by):]) for f in chosen}
+    picked = spark.createDataFrame(list(values), ", ".join(f"`{k}` string" for k in by)).alias("p")
+    rows, on = spark.table(table).alias("t"), F.lit(True)
+    for k in by:
+        on = on & F.col(f"t.{k}").cast("string").eqNullSafe(F.col(f"p.{k}"))
+    new = f"{table_location(spark, table).rstrip('/')}_compact_{uuid.uuid4().hex[:12]}"
+    (rows.join(F.broadcast(picked), on, "left_semi").hint("rebalance", *by).write.mode("errorifexists")
+     .partitionBy(*by).parquet(new))
+    for v, folder in values.items():
+        spark.sql(f"ALTER TABLE {table} PARTITION ({_spec(v, by)}) SET LOCATION '{new}/{folder}'")
+    spark.catalog.refreshTable(table)
+    return sorted(values.values())
+
+
 def compact_table(spark: SparkSession, table: str, target_file_bytes: int = TARGET_FILE_BYTES) -> str:
     """Compact a catalog table: write the compacted copy next to the current
     files, then point the table, and each partition that the catalog knows, at it
