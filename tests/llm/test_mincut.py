@@ -83,6 +83,39 @@ def test_layout_around_the_content_is_no_boilerplate():
     assert mincut.main_text(f'<body><div class="cookie-notice"><p>{ASIDE}</p></div>') == ""
 
 
+def test_marks_on_all_of_the_content():
+    nav = "<nav><ul><li><a href=/a>One</a><li><a href=/b>Two</a></ul></nav>"
+    side = f'<div id="sidebar"><p>{ASIDE}</p></div>'
+    for page in (f"<form id=aspnetForm>{nav}<div>{PARAS}</div></form>", f"<form id=aspnetForm><article>{PARAS}</article>{side}</form>",
+                 f"<form><div class=content>{PARAS}</div></form>", f'<article><section class="story-related-bridge">{PARAS}</section></article>{side}',
+                 f'{nav}<div class="social"><div class="post">{PARAS}</div></div>'):
+        assert mincut.main_text(f"<body>{page}").split("\n") == PROSE, page
+    # a form, a discussion, a teaser or a marked part beside unmarked prose stays out, whatever it holds
+    for part in (f"<form><p>{ASIDE}</p></form>", f"<div id=discussion><div class=post><p>{ASIDE}</p></div></div>", f"<div class=teaser><p>{ASIDE}</p></div>",
+                 f'<div id=comments><div class="comment-content">{PARAS * 5}</div></div>'):
+        for tag in ("article", "div"):
+            assert mincut.main_text(f"<body><{tag}>{PARAS}</{tag}>{part}").split("\n") == PROSE, part
+    assert mincut.main_text(f'<body><div id=comments><div class="text">{PARAS}</div></div>') == ""
+
+
+def test_the_cut_decides_where_the_classifier_is_wrong():
+    link = "<p><a href=/a>See also this</a></p>"
+    page = f"<body><ul><li><a href=/>Home page</a><li><a href=/b>All of them</a></ul><div><p>{PROSE[0]}</p>{link}<p>{PROSE[1]}</p></div>"
+    blocks = mincut.blocks_of(page)
+    by_sign, by_cut = [mincut.score(b) > 0 for b in blocks], mincut.label(blocks)
+    assert by_sign == [False, False, True, False, True] and by_cut == [False, False, True, True, True]
+
+
+def test_deep_and_long_pages_in_linear_time():
+    import time
+    took = []
+    for n in (10_000, 40_000):
+        start = time.process_time()
+        assert mincut.main_text("<div class=x>words of it " * n).count("\n") == n - 1
+        took.append(time.process_time() - start)
+    assert took[1] < 10 * took[0] + 1
+
+
 def test_broken_html_never_fails():
     rng = random.Random(4)
     parts = ["<p>", "</p>", "<div class='x", "\"", "'", "<", ">", "<!--", "-->", "<script>", "</script", "&amp", "&#0;", "<a href=",

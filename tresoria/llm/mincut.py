@@ -5,15 +5,20 @@ text features gives each block a cost of being content and one of being
 boilerplate; they become its capacities to the two terminals.  Edges between
 neighbouring blocks and between blocks close in the element tree make it dear to
 label them differently.  The maximum flow gives the cheapest labelling; the
-blocks on the content side are the text.  A name of boilerplate on an element
-counts for all blocks in it, unless the element is the layout around the content.
+blocks on the content side are the text.  A name or a tag of boilerplate on an element
+counts for all blocks in it, unless the element is the layout around the content.  All
+weights lie in the range of the edges' capacities, so neighbours can outweigh what speaks
+against a block, as for a paragraph of links inside an article.
 
 Each page is a small graph of its own, solved in the task that reads it: nothing
 is shuffled and a batch is all that is held in memory.
 
 Defined results: null or empty html gives an empty text; a page without a
 content block too; null ids stay; repeated rows are read each; other columns are
-ignored.  Unclosed and stray tags, comments and quotes never fail.
+ignored; an empty table gives no row.  Unclosed and stray tags, comments and quotes never
+fail.  A very long or deeply nested page is read whole; a block keeps three numbers of the
+elements around it, not all of them.  Of equally cheap cuts the one with the fewest content
+blocks counts.
 """
 
 from __future__ import annotations
@@ -54,33 +59,39 @@ FENCE = frozenset("ul ol dl table html body article section div nav aside main h
 #: class, id and role words that mark boilerplate and content
 BAD_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent "
-    "contentinfo cookie cookies copyright disclaimer disqus footer form gdpr header login masthead menu modal nav navbar "
-    "navigation newsletter notice notices pager pagination popup promo promotion recommended related reply replies respond "
-    "search share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar topbar widget "
+    "contentinfo cookie cookies copyright disclaimer discussion discussions disqus feedback footer form gdpr guestbook header "
+    "login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promotion recommended related reply replies respond "
+    "search share sharing sidebar signup skip social sponsor sponsored subscribe subscription teaser teasers toolbar topbar widget "
     "complementary".split())
 #: before one of these words in a name: it tells of a part, as ``has-sidebar`` does, and marks nothing
 OF_PARTS = frozenset("has have with without no not hide hides show shows".split())
 GOOD_WORDS = frozenset("article body content entry main post story text".split())
-BAD_TAGS = {"nav": 16.0, "footer": 16.0, "aside": 16.0, "form": 16.0, "menu": 16.0, "dialog": 16.0, "header": 16.0, "search": 16.0}
+#: of these, the names of a whole content
+WHOLE_WORDS = frozenset("article content entry main post story".split())
+BAD_TAGS = frozenset("nav footer aside form menu dialog header search".split())
 
 #: weights of the classifier: positive speaks for content
 WEIGHTS = {"bias": -1.2, "log_words": 0.9, "link_share": -4.0, "sentence": 0.8, "heading": 0.6, "paragraph": 0.9,
-           "item": -0.5, "good_tag": 5.0, "good_word": 1.5, "bad_word": -16.0, "bad_tag": -1.0}
-#: capacities of the smoothness edges
-ADJACENT, NEAR = 0.35, 0.5
+           "item": -0.5, "good_tag": 3.0, "good_word": 1.0, "bad": -10.0}
+#: capacities of the smoothness edges: between neighbours, and between those under the same nearest element
+ADJACENT, NEAR = 0.5, 2.0
+
+
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 
 
 class Block:
-    __slots__ = ("text", "tag", "path", "bad", "badtag", "good", "goodword", "linked")
+    __slots__ = ("text", "tag", "number", "opened", "bad", "good", "goodword", "linked")
 
-    def __init__(self, tag, path, bad, badtag, good, goodword):
+    def __init__(self, tag, number, opened, bad, good, goodword):
         self.text, self.linked = [], 0
-        self.tag, self.path, self.bad, self.badtag, self.good, self.goodword = tag, path, bad, badtag, good, goodword
+        #: ``opened``: numbers of blocks that stood before each of the nearest block elements, nearest first
+        self.tag, self.number, self.opened, self.bad, self.good, self.goodword = tag, number, opened, bad, good, goodword
 
 
-def _attributes(raw: str) -> tuple[bool, bool, bool]:
-    """(names boilerplate, names content, hidden) by a tag's attributes."""
-    bad = good = hidden = False
+def _attributes(raw: str) -> tuple[bool, bool, bool, bool]:
+    """(names boilerplate, names content, names a whole content, hidden) by a tag's attributes."""
+    bad = good = whole = hidden = False
     for m in _ATTR.finditer(raw):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name in ("class", "id", "role"):
@@ -89,21 +100,22 @@ def _attributes(raw: str) -> tuple[bool, bool, bool]:
                 first = next((i for i, w in enumerate(words) if w in BAD_WORDS), None)
                 bad = bad or first is not None and OF_PARTS.isdisjoint(words[:first])
                 good = good or not GOOD_WORDS.isdisjoint(words)
+                whole = whole or not WHOLE_WORDS.isdisjoint(words)
         elif name == "hidden" or (name == "aria-hidden" and value == "true"):
             hidden = hidden or name == "hidden" and raw[m.start() - 1:m.start()].isspace()
         elif name == "style":
             hidden = hidden or bool(re.search(r"display\s*:\s*none", value))
-    return bad, good, hidden
+    return bad, good, whole and not bad, hidden
 
 
 def blocks_of(page: str) -> list[Block]:
     """The page's text blocks in order."""
     out: list[Block] = []
-    # (tag, id of the element, elements around that name boilerplate, weight of boilerplate tags, inside an article,
-    # names content, dropped)
-    stack = [("", 0, (), 0.0, False, False, False)]
-    # marks around each main and article; marks with other boilerplate below them
-    mains, articles, frames = [], [], set()
+    # (tag, nearest block element's tag and the numbers of blocks before it and those around it, elements around that
+    # mark boilerplate, inside an article, names content, dropped)
+    stack = [("", ("", ()), (), False, False, False)]
+    # marks around each main, article and named content; marks with other marks below them; marks inside articles
+    mains, articles, named, frames, within = [], [], [], set(), set()
     block = None
     links = serial = pos = 0
     end = len(page)
@@ -114,14 +126,14 @@ def blocks_of(page: str) -> list[Block]:
             if stack[-1][0] == "head" and not text.isspace():
                 stack.pop()
             top = stack[-1]
-            if top[6]:
+            if top[5]:
                 continue
             if "&" in text:
                 text = entities.unescape(text)
             if block is None:
                 if not text or text.isspace():
                     continue
-                block = Block(top[0], [s[1] for s in stack], top[2], top[3], top[4], top[5])
+                block = Block(top[1][0], len(out), top[1][1], top[2], top[3], top[4])
                 out.append(block)
             block.text.append(text)
             if links:
@@ -167,40 +179,48 @@ def blocks_of(page: str) -> list[Block]:
         if stack[-1][0] == "head" and tag not in IN_HEAD:
             stack.pop()
         up = stack[-1]
-        bad, good, hidden = _attributes(attrs) if attrs else (False, False, False)
-        in_article = up[4] or tag in ("article", "main")
-        # a heading group inside the article is its own, not the page's
-        weight = 0.0 if tag == "header" and up[4] else BAD_TAGS.get(tag, 0.0)
-        if tag in ("article", "main") and not (up[3] or up[6] or bad or hidden):
+        bad, good, whole, hidden = _attributes(attrs) if attrs else (False, False, False, False)
+        if tag in ("article", "main") and not (up[5] or bad or hidden):
             (mains if tag == "main" else articles).append(up[2])
         if tag in ("article", "main", "body", "html"):
             bad = False
-        if bad or weight:
-            frames.update(up[2])
-        serial += 1
+        # a heading group inside the article is its own, not the page's
+        bad = bad or tag in BAD_TAGS and not (tag == "header" and up[3])
+        marks = up[2]
+        if bad:
+            serial += 1
+            frames.update(marks)
+            marks += (serial,)
+            if up[3]:
+                within.add(serial)
+        elif whole and tag in BLOCK and not (up[5] or hidden):
+            named.append(marks)
         links += tag == "a"
-        stack.append((tag, serial, up[2] + (serial,) if bad else up[2], up[3] + weight, in_article, up[5] or good, up[6] or hidden or tag in DROPPED))
+        near = (tag, (len(out), *up[1][1][:2])) if tag in BLOCK else up[1]
+        stack.append((tag, near, marks, up[3] or tag in ("article", "main"), up[4] or good, up[5] or hidden or tag in DROPPED))
     for b in out:
         raw = "".join(b.text)
         b.text = " ".join(raw.split())
         b.linked = min(1.0, b.linked / max(1, len(raw)))
     out = [b for b in out if b.text]
     if any(b.bad for b in out):
-        _settle_marks(out, mains, articles, frames)
+        _settle_marks(out, mains, articles, named, frames, within)
     return out
 
 
-def _settle_marks(blocks: list[Block], mains: list[tuple], articles: list[tuple], frames: set[int]) -> None:
-    """``bad`` of each block, so far the elements around it that name boilerplate:
+def _settle_marks(blocks: list[Block], mains: list[tuple], articles: list[tuple], named: list[tuple], frames: set[int],
+                  within: set[int]) -> None:
+    """``bad`` of each block, so far the elements around it that mark boilerplate by a name or their tag:
     True if one of them is boilerplate, not the layout that holds the content.
 
     Layout is what stands around a ``main``; what stands around an ``article``, when
-    none is outside and the marked part has more content than the rest; and an
-    element with all content of the page and with other boilerplate in it."""
+    none is outside and the marked part has more content than the rest.  On a page whose content is all
+    marked it is also an element with all of it that has other boilerplate in it, lies inside an article, or
+    holds an element named as content."""
     marks = [b.bad for b in blocks]
     for b in blocks:
         b.bad = False
-    size = [len(b.text) if score(b) > 0 else 0 for b in blocks]
+    size = [len(b.text) if score(b) > 0 and b.tag not in HEADINGS else 0 for b in blocks]
     outside = sum(n for n, m in zip(size, marks) if not m)
     inside = lambda layout: sum(n for n, m in zip(size, marks) if m and layout.issuperset(m))
     layout = {x for m in mains for x in m}
@@ -208,9 +228,13 @@ def _settle_marks(blocks: list[Block], mains: list[tuple], articles: list[tuple]
         first = set(min(articles, key=len))  # the first of those with the fewest marks
         if inside(first) > outside:
             layout = first
-    elif not mains and not outside:
-        whole = set.intersection(*map(set, tops)) if (tops := [m for n, m in zip(size, marks) if n]) else set()
-        layout = whole & frames
+        else:
+            layout = set()
+    common = lambda tops: set.intersection(*map(set, tops)) if tops else set()
+    if not outside and not any(n and layout.issuperset(m) for n, m in zip(size, marks)):
+        inner = common([m for n, m, b in zip(size, marks, blocks) if n and b.good])
+        whole = common([m for n, m in zip(size, marks) if n])
+        layout = layout | inner & within | whole & (frames | {x for m in named for x in m})
     for b, m in zip(blocks, marks):
         b.bad = not layout.issuperset(m)
 
@@ -221,7 +245,7 @@ def score(b: Block) -> float:
     s = w["bias"] + w["log_words"] * min(4.0, math.log2(1 + b.text.count(" ") + 1)) + w["link_share"] * b.linked
     if b.text[-1] in ".!?…\"”»:":
         s += w["sentence"]
-    if b.tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
+    if b.tag in HEADINGS:
         s += w["heading"]
     elif b.tag in ("p", "blockquote", "pre"):
         s += w["paragraph"]
@@ -231,9 +255,7 @@ def score(b: Block) -> float:
         s += w["good_tag"]
     if b.goodword:
         s += w["good_word"]
-    if b.bad:
-        s += w["bad_word"]
-    return s + w["bad_tag"] * b.badtag
+    return s + w["bad"] if b.bad else s
 
 
 def max_flow_side(n: int, source: list[float], sink: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
@@ -304,18 +326,10 @@ def label(blocks: list[Block]) -> list[bool]:
     odds = [score(b) for b in blocks]
     soft = lambda x: x + math.log1p(math.exp(-x)) if x > 0 else math.log1p(math.exp(x))
     edges = []
-    last_in: dict[int, int] = {}
-    for i, b in enumerate(blocks):
-        if i:
-            edges.append((i - 1, i, ADJACENT))
-        # the latest block of the nearest common elements, weaker with each level up
-        for up, element in enumerate(reversed(b.path[1:][-3:])):
-            j = last_in.get(element)
-            if j is not None:
-                edges.append((j, i, NEAR / (1 << up)))
-                break
-        for element in b.path[1:]:
-            last_in[element] = i
+    for i, (a, b) in enumerate(zip(blocks, blocks[1:])):
+        # neighbours under one of the nearest elements are closer, the less the higher it stands
+        near = next((NEAR / (1 << up) for up, before in enumerate(b.opened) if a.number >= before), 0.0)
+        edges.append((i, i + 1, ADJACENT + near))
     return max_flow_side(len(blocks), [soft(x) for x in odds], [soft(-x) for x in odds], edges)
 
 
