@@ -72,22 +72,40 @@ def test_secrets_on_documents(spark):
         assert r.base_sha256 == sha(base_secrets(text[r.doc_id]))
 
 
+RANDOM = "Zk3Jx9QpLm2Vt7Rb5Wy8Ns4DqTgHcFuEa1Xo6PiM"
+#: random tokens at the end of paths and slugs, and of letters only
+HIDDEN = [f"see webhooks/incoming/token/{RANDOM} there", f"example-{RANDOM[:32]}", "WqTgHcFuEaXoPiMzKjYvBnRsLdQhGtUe",
+          f"/srv/data/{RANDOM}", f"my_app_{RANDOM}"]
+HARMLESS = ["getUserAccountInformationFromDatabase", "/usr/local/lib/python3/site-packages", "some-long-title-of-a-page-2020", "A" * 40,
+            "com/company/project/module/SomeClassName", "123e4567-e89b-12d3-a456-426614174000", "2021-03-04T05-06-07-backup-of-it",
+            "internationalizationAndLocalization", "https-example-com-a-page-that-is-long"]
+
+
+def test_tokens_behind_paths_and_of_letters_are_found(spark):
+    found = [{x.kind for x in r.found} for r in secrets.scan(frame(spark, HIDDEN)).orderBy("doc_id").collect()]
+    assert found == [{"entropy"}] * len(HIDDEN)
+    assert not any(r.found for r in secrets.scan(frame(spark, HARMLESS)).collect())
+
+
 def test_entropy_spans_equal_recount(spark):
     """Every window recounted from scratch gives the spans of the incremental scan."""
     import math
-    for text in SECRET_TEXTS + ["q7Gv" * 12 + "Zk3Jx9QpLm2Vt7Rb5Wy8Ns4D", "abcdefabcdefabcdef1 k3j9x2m7q8w1z5v4b6n0"]:
+    for text in SECRET_TEXTS + ["q7Gv" * 12 + "Zk3Jx9QpLm2Vt7Rb5Wy8Ns4D", "abcdefabcdefabcdef1 k3j9x2m7q8w1z5v4b6n0", *HIDDEN, *HARMLESS]:
         got = [(x.s, x.e) for x in secrets.scan(frame(spark, [text])).first().found if x.kind == "entropy"]
         want = []
         base = [tuple(map(int, s.split(":")[1:])) for s in base_secrets(text)]
         for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}={0,2}", text):
-            c = m[0]
-            if not re.search(r"[0-9]", c) or re.search(secrets.ALLOW, c):
+            if not (re.search(r"[0-9]", m[0]) or len(re.findall(r"[a-z][A-Z]", m[0])) > 2):
+                continue
+            c = re.sub(secrets.LEAD, "", m[0])
+            at = m.end() - len(c)
+            if len(c) < secrets.LEAST or re.search(secrets.ALLOW, c):
                 continue
             _, _, w, bits = next(x for x in secrets.CLASSES if re.search(x[1], c))
             hot = [i for i in range(len(c) - w + 1)
                    if -sum(n / w * math.log2(n / w) for n in Counter(c[i:i + w]).values()) >= bits]
             if hot:
-                s, e = m.start() + hot[0], m.start() + hot[-1] + w
+                s, e = at + hot[0], at + hot[-1] + w
                 if not any(a <= s and b >= e for a, b in base):
                     want.append((s, e))
         assert got == want, text

@@ -1,14 +1,16 @@
 """Secret scan (DataFrame functions only).
 
 Three fixed patterns give the base spans.  Beside them, candidate strings (runs
-of key characters that hold a digit) are scanned with a sliding window: the
+of key characters that hold a digit or change their case several times, without the words
+of a path or slug that they begin with) are scanned with a sliding window: the
 Shannon entropy of each window is kept by incremental counts, where a step
 changes the counts of the leaving and the entering character only, and is held
 against the limit of the candidate's character class.  An allow list suppresses
 what looks random but is no secret.
 
 Defined results: a null text counts as empty and gives no span; a null id stays
-null; repeated rows are scanned alike; positions are code points.  One
+null; repeated rows are scanned alike; positions are code points; a very long text is
+scanned whole in its row; an empty table gives no row; extra columns are ignored.  One
 projection of the scan: no shuffle and nothing gathered per key.
 """
 
@@ -27,14 +29,20 @@ ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
 KINDS = ("assign", "access", "hex", "entropy")
 
-#: Runs of key characters with at least one digit; the look-behind starts at a run's first character.
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{20,}+={0,2}"
+#: Runs of key characters with a digit, or with three steps from a small to a capital letter; the look-behind starts at
+#: a run's first character.
+CANDIDATE = (r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9]|(?:[A-Za-z+/_-]*?[a-z][A-Z]){3})"
+             r"[A-Za-z0-9+/_-]{20,}+={0,2}")
+#: Words that a run begins with, each up to a separator, as in ``webhooks/incoming/``: no part of the candidate.
+LEAD = r"^[/_-]*(?:[a-z]{2,15}[/_-])+"
+LEAST = 20
 
 #: Character classes, first fit wins: pattern of the whole candidate, window, least entropy in bits.
 CLASSES = (
     ("digit", r"^[0-9]+$", 20, 99.0),
     ("hex", r"^(?:[0-9a-f]+|[0-9A-F]+)$", 16, 2.7),
     ("one_case", r"^(?:[a-z0-9]+|[A-Z0-9]+)$", 20, 3.3),
+    ("letters", r"^[A-Za-z+/_-]+$", 20, 3.95),
     ("mixed", r"", 20, 3.5),
 )
 #: Random-looking strings that are no secrets: UUIDs, samples, dated or slugged names, paths.
@@ -42,6 +50,7 @@ ALLOW = (r"(?i)(?:example|sample|dummy|placeholder|changeme|x{6}|0123456789|1234
          r"|^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
          r"|^(?:[a-z]+[-_/])+[a-z]*[0-9]{1,4}$"
          r"|^[0-9]{4}-[0-9]{2}-[0-9]{2}[A-Za-z0-9_-]*$"
+         r"|^(?:[a-z]{2,15}[0-9]{0,4}[/_-])*[a-z]{2,15}[0-9]{0,4}$"
          r"|(?:[a-z]{3,}[/_-]){3}")
 
 _MAX_WINDOW = max(w for _, _, w, _ in CLASSES)
@@ -95,7 +104,10 @@ def entropy_spans(text: Column) -> Column:
             found = part if found is None else F.when(c["t"].rlike(whole), part).otherwise(found)
         return F.struct(c["s"].alias("s"), c["t"].alias("t"), found.alias("p"))
 
-    open_ = F.filter(matches(text, CANDIDATE), lambda c: ~c["t"].rlike(ALLOW))
+    rest = lambda c: F.regexp_replace(c["t"], LEAD, "")
+    cut = F.transform(matches(text, CANDIDATE), lambda c: F.struct(
+        (c["e"] - F.length(rest(c))).alias("s"), c["e"].alias("e"), rest(c).alias("t")))
+    open_ = F.filter(cut, lambda c: (F.length(c["t"]) >= LEAST) & ~c["t"].rlike(ALLOW))
     hot = F.filter(F.transform(open_, judged), lambda x: x["p"]["s"] >= 0)
     return F.transform(hot, lambda x: F.struct(
         (x["s"] + x["p"]["s"]).alias("s"), (x["s"] + x["p"]["e"]).alias("e"),
