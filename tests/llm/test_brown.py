@@ -113,3 +113,16 @@ def test_exchange_raises_the_likelihood():
             n[own[a], own[b]] += k
         own = brown.exchange(left, right, own, n)
     assert not set(own[:10]) & set(own[10:])
+
+
+def test_frequent_words_of_a_flat_vocabulary(spark):
+    """Equal counts: as many words as fit are kept, the same in each run, and they are clustered."""
+    flat = spark.createDataFrame([(f"w{i}".encode(), 40 if i < 3000 else 2) for i in range(5000)], "word binary, n long")
+    top = brown.frequent_words(flat, 1000)
+    assert 900 < len(top) <= 1000 and {n for _, n in top} == {40}
+    assert top == brown.frequent_words(flat.repartition(7), 1000)
+    mixed = flat.union(spark.createDataFrame([(b"often", 10_000), (b"also", 9_000)], "word binary, n long"))
+    top = brown.frequent_words(mixed, 4000)
+    assert top[:2] == [(b"often", 10_000), (b"also", 9_000)] and sum(n == 40 for _, n in top) == 3000 and 3900 < len(top) <= 4000
+    assert len(brown.frequent_words(mixed, 10_000)) == 5002 and brown.frequent_words(mixed.limit(0), 10) == []
+    assert brown.frequent_words(mixed, 1) == [(b"often", 10_000)]

@@ -340,21 +340,32 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", round
                       full.alias("score"), F.pow(F.lit(10.0), -full / F.col("n_tokens")).alias("perplexity"))
 
 
+#: slices by hash of the words of one band of counts
+SLICES = 4096
+
+
 def frequent_words(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
-    """The words above the lowest count that leaves at most ``most`` of them, most
-    frequent first.  The bound comes from a histogram of counts, of a few hundred
-    bands whatever the corpus, so only those words ever reach the driver."""
+    """Nearly ``most`` words (all, where there are no more), most frequent first.
+
+    The bound comes from a histogram of counts, of a few hundred bands whatever the corpus, so only those words ever
+    reach the driver.  Of the band that would pass ``most`` as many words are taken as fit, by slices of their hash: where
+    many words are equally frequent, the choice among them is arbitrary but the same in each run."""
     band = F.floor(F.log2(F.col("n").cast("double")) * 16)
     bands = counts.groupBy(band.alias("b")).agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("b")).collect()
-    taken, least = 0, None
+    taken, keep = 0, F.lit(False)
     for r in bands:
-        taken += r["words"]
-        if taken > most:
+        if taken + r["words"] > most:
+            part = F.pmod(F.xxhash64("word"), F.lit(SLICES))
+            slices = counts.filter(band == r["b"]).groupBy(part.alias("s")).agg(F.count(F.lit(1)).alias("words")).orderBy("s").collect()
+            for x in slices:
+                taken += x["words"]
+                if taken > most:
+                    keep = keep | (band == r["b"]) & (part < x["s"])
+                    break
             break
-        least = r["b"]
-    if least is None:
-        return []
-    rows = counts.filter(band >= least).select("word", "n").collect()
+        taken += r["words"]
+        keep = F.lit(True) if r is bands[-1] else band >= r["b"]
+    rows = counts.filter(keep).select("word", "n").collect()
     return sorted(((bytes(r["word"]), r["n"]) for r in rows), key=lambda x: (-x[1], x[0]))
 
 
