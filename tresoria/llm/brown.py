@@ -2,31 +2,37 @@
 
 Words belong to classes.  A word's probability is that of its class after the
 class before, times the word's share of its class; a small part of the add-one
-unigram is mixed in.  The classes of the most frequent words come from exchange
-clustering: each word moves to the class that raises the likelihood of the class
-bigrams most.  All other words belong to the class of their form (length and
-ending), so a class is known for any word without a table.
+unigram is mixed in.  Every word with ``LEAST`` training occurrences or more has a
+class from exchange clustering, however large the vocabulary is.  The most
+frequent words move, pass after pass, to the class that raises the likelihood of
+the class bigrams most, until a pass gains less than ``TOLERANCE`` for each token.
+All other words of ``LEAST`` occurrences are then put by the same rule into the
+classes found.  Rarer words belong to the class of their form (length and ending),
+which is known for any word without a table.
 
 What is learned covers every training document: counts of all words, class
-bigrams of all tokens.  Only the table of word-to-class is bounded
-(``CLASS_WORDS``), as a model's size is.
-
-Scale: tasks count words and class bigrams of their rows before anything is
-shuffled; exchange works on blocks of words in parallel, each with the small
-class matrix; documents are scored where they are read, and only words outside
-the ``COUNT_WORDS`` most frequent meet the full count table in a join on the word.
-Rows of that join hold a word and counts, never texts.  Stages that are read
-twice are written to the shared folder.
+bigrams of all tokens.  Only the words that the tasks know by number are bounded
+(``COUNT_WORDS``); classes and counts of all others are Spark tables, joined on the
+word.
+
+Scale: texts are cut into words twice, to count words and to write them as
+numbers; the passes read numbers.  Tasks count before anything is shuffled, and a
+block's counts are added up as a stream, so a task holds one block of words and the
+small class matrix.  Rows of the joins hold a word, its places and counts, never
+texts; the words of these joins are rarer than the ``COUNT_WORDS`` most frequent,
+so no word is a hot key.  Stages that are read twice are written to the shared
+folder.
 
 Defined results: a null or blank text is the end token alone; a null id counts
 as the empty text for the fold and stays null; repeated rows are scored each;
-with no training document every count is zero; an empty table gives no row.
+with no training document every count is zero; an empty table gives no row; other
+columns are ignored.  A very long text is one row of numbers, four bytes a word.
 """
 
 from __future__ import annotations
 
-import math
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,19 +41,24 @@ from pyspark.sql import functions as F
 
 from tresoria.session import materialize
 
-CLASSES = 64  # of frequent words
+CLASSES = 64  # of words with LEAST occurrences
 FORMS = 16  # of all other words
 EDGE = CLASSES + FORMS  # the class of text ends, and of what stands before a text
 SIZE = EDGE + 1
-CLASS_WORDS = 8192
+#: words that tasks know by number, and those of them that move pass after pass
 COUNT_WORDS = 65536
-ROUNDS = 2
+CLASS_WORDS = COUNT_WORDS
+#: training occurrences of a word from which on it is clustered
+LEAST = 10
+#: passes go on while one gains this log-likelihood (nats) for each training token
+TOLERANCE = 0.005
 #: words that a task's counter holds before it is passed on
 FLUSH = 400_000
-#: texts scored before their rows are passed on: bounds what a task holds
-SCORED = 200
-#: words exchanged in one block
-BLOCK = 512
+#: texts worked on together: bounds what a task holds
+TOGETHER = 200
+#: words exchanged in one block; a place in its counts fits 16 bits
+BLOCK = 256
+CELLS = BLOCK * 2 * SIZE
 #: share of the class model; added count of an unseen class bigram
 LAMBDA, ALPHA = 0.95, 0.05
 
@@ -67,8 +78,8 @@ def held_out(id_col: str) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 7 == 2
 
 
-def _train_texts(docs: DataFrame) -> DataFrame:
-    return docs.filter(~F.col("held_out")).select("text")
+def _train(docs: DataFrame) -> DataFrame:
+    return docs.filter(~F.col("held_out"))
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -87,92 +98,148 @@ def count_words(docs: DataFrame) -> DataFrame:
         if c:
             yield batch(c)
 
-    return _train_texts(docs).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-class Classes:
-    """Class of any word: a table for frequent words, the form for the others."""
+    return _train(docs).select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
-    def __init__(self, table: dict[bytes, int]):
-        self.table, self.forms = table, {}
 
-    def of(self, words: list[bytes]) -> list[int]:
-        get = self.table.get
-        return [c if (c := get(w)) is not None else form(w) for w in words]
+NUMBERED = "row long, id long, held_out boolean, ids binary, rare array<binary>"
 
 
-def _neighbour_counts(docs: DataFrame, words: list[bytes], classes: np.ndarray) -> DataFrame:
-    """(cell, n): for word w and class c, cell (w * 2) * SIZE + c counts c before w,
-    cell (w * 2 + 1) * SIZE + c counts c after w."""
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(({w: i for i, w in enumerate(words)}, classes))
-    n_words = len(words)
+def numbered(docs: DataFrame, words: list[bytes]) -> DataFrame:
+    """Each text as 32-bit numbers.  A word of ``words`` is its place there, the end is
+    ``len(words)``; the k-th other word of a text, which ``rare`` spells, is
+    -1 - (k * FORMS + its form)."""
+    sent = docs.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(words)})
+    end = len(words)
 
     def run(batches):
-        index, of_index = sent.value
-        get = index.get
-        cells = np.zeros(n_words * 2 * SIZE, dtype=np.int64)
+        from pyspark import TaskContext
+        get = sent.value.get
+        row = TaskContext.get().partitionId() << 33
         for b in batches:
-            for t in b.column(0).to_pylist():
-                ws = words_of(t)
-                if not ws:
-                    continue
-                # frequent words by their place, others by -1 - form
-                ids = np.array([i if (i := get(w)) is not None else -1 - form(w) for w in ws], dtype=np.int64)
-                cls = np.concatenate(([EDGE], np.where(ids >= 0, of_index[np.maximum(ids, 0)], -1 - ids), [EDGE]))
-                at = np.flatnonzero(ids >= 0)
-                w = ids[at] * 2 * SIZE
-                np.add.at(cells, np.concatenate((w + cls[at], w + SIZE + cls[at + 2])), 1)
-        at = np.flatnonzero(cells)
-        for lo in range(0, len(at), 100_000):
-            part = at[lo:lo + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(cells[part])], names=["cell", "n"])
-
-    return _train_texts(docs).mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-
-
-def class_bigrams(docs: DataFrame, table: dict[bytes, int]) -> np.ndarray:
-    """Counts of neighbouring classes over all training texts, text ends included."""
-    sent = docs.sparkSession.sparkContext.broadcast(table)
+            for lo in range(0, b.num_rows, TOGETHER):
+                part = b.slice(lo, TOGETHER)
+                ids, rare, ends = [], [], [0]
+                for t in part.column(2).to_pylist():
+                    near: dict[bytes, int] = {}
+                    one = []
+                    for w in words_of(t):
+                        i = get(w)
+                        if i is None and (i := near.get(w)) is None:
+                            i = near[w] = -1 - (len(near) * FORMS + form(w) - CLASSES)
+                        one.append(i)
+                    one.append(end)
+                    ids.append(np.array(one, dtype="<i4").tobytes())
+                    rare += near
+                    ends.append(len(rare))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(row, row + part.num_rows)), part.column(0), part.column(1), pa.array(ids, pa.binary()),
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(rare, pa.binary()))],
+                    names=["row", "id", "held_out", "ids", "rare"])
+                row += part.num_rows
 
-    def run(batches):
-        classes = Classes(sent.value)
-        total = np.zeros(SIZE * SIZE, dtype=np.int64)
-        for b in batches:
-            for t in b.column(0).to_pylist():
-                c = np.array([EDGE, *classes.of(words_of(t)), EDGE], dtype=np.int64)
-                total += np.bincount(c[:-1] * SIZE + c[1:], minlength=SIZE * SIZE)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["cell", "n"])
-
-    rows = _train_texts(docs).mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(SIZE * SIZE)  # at most SIZE * SIZE rows came back
-    for r in rows:
+    return docs.select("id", "held_out", "text").mapInArrow(run, NUMBERED)
+
+
+def _numbers(column) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all texts of a column in a row, and where each text begins."""
+    one = column.to_pylist()
+    starts = np.cumsum([0] + [len(x) // 4 for x in one])[:-1]
+    return np.frombuffer(b"".join(one), dtype="<i4").astype(np.int64), starts
+
+
+def _rare_at(ids: np.ndarray, starts: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where a word without a number stands, and its place in the joined ``rare`` lists,
+    of which a text's begins at ``first``."""
+    at = np.flatnonzero(ids < 0)
+    return at, first[np.searchsorted(starts, at, "right") - 1] + (-1 - ids[at]) // FORMS
+
+
+def _classes(ids: np.ndarray, of_index: np.ndarray) -> np.ndarray:
+    """Classes by number, by form where there is none."""
+    return np.where(ids >= 0, of_index[np.maximum(ids, 0)], CLASSES + (-1 - ids) % FORMS)
+
+
+def _before(cls: np.ndarray) -> np.ndarray:
+    """The class before each token: texts end in EDGE, so one stands before each of them."""
+    return np.concatenate(([EDGE], cls[:-1]))
+
+
+def _pair_rows(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    at = np.flatnonzero(pairs)
+    return at, pairs[at]
+
+
+def _matrix(rows: DataFrame) -> np.ndarray:
+    """Class bigrams from (cell, n): at most SIZE * SIZE rows reach the driver."""
+    out = np.zeros(SIZE * SIZE)
+    for r in rows.groupBy("cell").agg(F.sum("n").alias("n")).collect():
         out[r["cell"]] = r["n"]
     return out.reshape(SIZE, SIZE)
 
 
+def _pass(texts: DataFrame, of_index: np.ndarray, movers: int) -> DataFrame:
+    """(block, cell, n, data).  Block -1: class bigrams, ``cell`` before * SIZE + after.
+    Other blocks: compressed counts of neighbours of BLOCK words, ``cell`` of them; for
+    the block's word w and class c, place (w * 2) * SIZE + c counts c before w, place
+    (w * 2 + 1) * SIZE + c counts c after w."""
+    sent = texts.sparkSession.sparkContext.broadcast(of_index)
+
+    def run(batches):
+        of_index = sent.value
+        cells = np.zeros(-(-movers // BLOCK) * CELLS, dtype=np.int32)
+        pairs = np.zeros(SIZE * SIZE, dtype=np.int64)
+        for b in batches:
+            for lo in range(0, b.num_rows, TOGETHER):
+                ids, _ = _numbers(b.column(0).slice(lo, TOGETHER))
+                cls = _classes(ids, of_index)
+                before = _before(cls)
+                pairs += np.bincount(before * SIZE + cls, minlength=SIZE * SIZE)
+                at = np.flatnonzero((ids >= 0) & (ids < movers))
+                w = ids[at] * (2 * SIZE)
+                np.add.at(cells, np.concatenate((w + before[at], w + SIZE + cls[at + 1])), 1)
+        at, n = _pair_rows(pairs)
+        out = [(-1, int(c), int(k), None) for c, k in zip(at, n)]
+        for block in range(len(cells) // CELLS):
+            at, n = _pair_rows(cells[block * CELLS:(block + 1) * CELLS])
+            if len(at):
+                raw = np.diff(at, prepend=0).astype("<u2").tobytes() + n.astype("<u4").tobytes()
+                out.append((block, len(at), 0, pa.compress(raw, "zstd", asbytes=True)))
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], ty) for i, ty in enumerate(types)],
+                                         names=["block", "cell", "n", "data"])
+
+    return _train(texts).select("ids").mapInArrow(run, "block long, cell long, n long, data binary")
+
+
 def _xlogx(x):
     return np.where(x > 0, x * np.log(np.maximum(x, 1e-300)), 0.0)
 
 
+def likelihood(bigrams: np.ndarray) -> float:
+    """Log-likelihood (nats) of the class bigrams, up to the words' own part, which classes don't change."""
+    return float(_xlogx(bigrams).sum() - _xlogx(bigrams.sum(axis=1)).sum() - _xlogx(bigrams.sum(axis=0)).sum())
+
+
 def exchange(left: np.ndarray, right: np.ndarray, own: np.ndarray, bigrams: np.ndarray) -> np.ndarray:
     """New classes of words with counts ``left`` (class before) and ``right`` (class
     after), now in classes ``own``: one word after the other moves to the class
-    with the greatest likelihood of the class bigrams, if that is above its own."""
+    with the greatest likelihood of the class bigrams, if that is above its own.  A
+    word in the class of its form moves in any case."""
     n, own = bigrams.copy(), own.copy()
     for w in range(len(own)):
         l, r, a = left[w], right[w], own[w]
-        if not l.any() and not r.any():
+        after, before = np.flatnonzero(r), np.flatnonzero(l)  # other cells don't change
+        if not len(after) and not len(before):
             continue
         n[:, a] -= l
         n[a, :] -= r
-        rows, cols = n[:CLASSES, :], n[:, :CLASSES]
-        gain = ((_xlogx(rows + r) - _xlogx(rows)).sum(axis=1) + (_xlogx(cols + l[:, None]) - _xlogx(cols)).sum(axis=0))
-        by_row, by_col = rows.sum(axis=1), cols.sum(axis=0)
+        rows, cols = n[:CLASSES, after], n[before, :CLASSES]
+        gain = ((_xlogx(rows + r[after]) - _xlogx(rows)).sum(axis=1)
+                + (_xlogx(cols + l[before, None]) - _xlogx(cols)).sum(axis=0))
+        by_row, by_col = n[:CLASSES].sum(axis=1), n[:, :CLASSES].sum(axis=0)
         gain -= _xlogx(by_row + r.sum()) - _xlogx(by_row) + _xlogx(by_col + l.sum()) - _xlogx(by_col)
         best = int(gain.argmax())
-        if gain[best] > gain[a] + 1e-9:
+        if a >= CLASSES or gain[best] > gain[a] + 1e-9:
             a = best
         n[:, a] += l
         n[a, :] += r
@@ -180,58 +247,179 @@ def exchange(left: np.ndarray, right: np.ndarray, own: np.ndarray, bigrams: np.n
     return own
 
 
-def cluster(docs: DataFrame, words: list[bytes], rounds: int = ROUNDS) -> dict[bytes, int]:
-    """Classes of ``words`` (most frequent first) by exchange over all training texts."""
-    classes = np.arange(len(words), dtype=np.int64) % CLASSES
-    if not words:
-        return {}
-    spark = docs.sparkSession
-    for _ in range(rounds):
-        cells = materialize(_neighbour_counts(docs, words, classes), "brown-cells")
-        # the class matrix of frequent words' neighbours: at most SIZE * SIZE * 2 rows
-        n = np.zeros((SIZE, SIZE))
-        of_word = spark.createDataFrame([(i, int(c)) for i, c in enumerate(classes)], "w long, c int")
-        side = (F.col("cell") / SIZE).cast("long") % 2
-        joined = cells.select((F.col("cell") / (2 * SIZE)).cast("long").alias("w"), side.alias("side"),
-                              (F.col("cell") % SIZE).alias("other"), "n").join(F.broadcast(of_word), "w")
-        for r in joined.groupBy("c", "side", "other").agg(F.sum("n").alias("n")).collect():
-            if r["side"] == 1:
-                n[r["c"], r["other"]] = r["n"]
-            elif r["other"] >= CLASSES:  # before a frequent word: the rows of other classes
-                n[r["other"], r["c"]] = r["n"]
-        sent = spark.sparkContext.broadcast((n, classes))
-
-        def run(table: pa.Table, sent=sent) -> pa.Table:
-            n, classes = sent.value
-            cell, count = table.column("cell").to_numpy(), table.column("n").to_numpy()
-            w = cell // (2 * SIZE)
-            ids, at = np.unique(w, return_inverse=True)
-            counts = np.zeros((len(ids), 2, SIZE))
-            counts[at, cell // SIZE % 2, cell % SIZE] = count
-            new = exchange(counts[:, 0], counts[:, 1], classes[ids], n)
-            return pa.table({"w": pa.array(ids, pa.int64()), "c": pa.array(new, pa.int64())})
-
-        # a block has at most BLOCK * 2 * SIZE rows
-        blocks = cells.withColumn("block", (F.col("cell") / (2 * SIZE * BLOCK)).cast("long"))
-        moved = blocks.groupBy("block").applyInArrow(
-            lambda t: run(t), "w long, c long").collect()
-        for r in moved:
-            classes[r["w"]] = r["c"]
-    return {w: int(c) for w, c in zip(words, classes)}
+def _sides(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    table = counts.reshape(-1, 2, SIZE)
+    return table[:, 0], table[:, 1]
+
+
+def _moves(sent):
+    """The function that gives a block's words their classes after a pass."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, classes = sent.value
+        counts, block = np.zeros(CELLS), 0
+        for b in batches:
+            for block, size, data in zip(*(b.column(i).to_pylist() for i in range(3))):
+                raw = pa.decompress(data, decompressed_size=size * 6, codec="zstd", asbytes=True)
+                at = np.cumsum(np.frombuffer(raw, "<u2", size).astype(np.int64))
+                counts[at] += np.frombuffer(raw, "<u4", size, size * 2)
+        first = block * BLOCK
+        own = classes[first:first + BLOCK]
+        left, right = _sides(counts)
+        new = exchange(left[:len(own)], right[:len(own)], own, n)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(first, first + len(own))), pa.array(new)], names=["w", "c"])
+
+    return run
+
+
+def cluster(texts: DataFrame, of_index: np.ndarray, movers: int, tolerance: float = TOLERANCE) -> tuple[np.ndarray, np.ndarray, list]:
+    """Classes of the first ``movers`` numbers by passes of exchange over all training
+    texts; with them the class bigrams, and the likelihood for each token after each pass."""
+    spark = texts.sparkSession
+    of_index, history, kept = of_index.copy(), [], None
+    of_index[:movers] = np.arange(movers) % CLASSES
+    while True:
+        seen = materialize(_pass(texts, of_index, movers), "brown-pass")
+        n = _matrix(seen.filter("block = -1"))
+        score_ = likelihood(n) / max(1.0, n.sum())
+        if kept is not None and score_ <= history[-1]:
+            return *kept, history
+        history.append(score_)
+        kept = of_index.copy(), n
+        if not movers or len(history) > 1 and score_ - history[-2] < tolerance:
+            return *kept, history
+        sent = spark.sparkContext.broadcast((n, of_index[:movers].copy()))
+        moved = seen.filter("block >= 0").select("block", "cell", "data").groupBy("block").applyInArrow(_moves(sent), "w long, c long")
+        for r in moved.collect():  # as many as words with a number at most
+            of_index[r["w"]] = r["c"]
+
+
+NAMED = "row long, k int, word binary, places binary"
+
+
+def _other_words(texts: DataFrame, words: list[bytes], of_index: np.ndarray, movers: int) -> DataFrame:
+    """(row, k, word, places): the k-th word of a text that has no number; ``places`` are
+    the pairs of classes around it, as 16-bit before * SIZE + after, in training texts.
+    Words with a number that didn't move come with row -1, for their places."""
+    sent = texts.sparkSession.sparkContext.broadcast((words[movers:], of_index))
+
+    def run(batches):
+        still, of_index = sent.value
+        for b in batches:
+            for lo in range(0, b.num_rows, TOGETHER):
+                part = b.slice(lo, TOGETHER)
+                ids, starts = _numbers(part.column(2))
+                size = np.array([len(x) for x in part.column(3).to_pylist()], dtype=np.int64)
+                first = np.cumsum(size) - size
+                spelled = part.column(3).flatten()
+                cls = _classes(ids, of_index)
+                around = _before(cls) * SIZE + np.append(cls[1:], EDGE)
+                train = ~np.repeat(part.column(1).to_numpy(zero_copy_only=False), np.diff(np.append(starts, len(ids))))
+                at, which = _rare_at(ids, starts, first)
+                which, at = which[train[at]], at[train[at]]
+                rows = np.repeat(part.column(0).to_numpy(), size)
+                k = np.arange(len(rows)) - np.repeat(first, size)
+                yield _named(rows, k, spelled, which, around[at])
+                if len(still):
+                    at = np.flatnonzero((ids >= movers) & (ids < movers + len(still)) & train)
+                    own, which = np.unique(ids[at] - movers, return_inverse=True)
+                    yield _named(np.full(len(own), -1), np.full(len(own), -1), pa.array([still[i] for i in own], pa.binary()),
+                                 which, around[at])
+
+    return texts.select("row", "held_out", "ids", "rare").mapInArrow(run, NAMED)
+
+
+def _named(rows, k, words, which, around) -> pa.RecordBatch:
+    places = around[np.argsort(which, kind="stable")].astype("<u2").tobytes()
+    ends = np.concatenate(([0], np.cumsum(np.bincount(which, minlength=len(rows)) * 2))).astype(np.int32)
+    packed = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(places)])
+    return pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(k, pa.int32()), words, packed],
+                                      names=["row", "k", "word", "places"])
+
+
+def _settle(named: DataFrame, bigrams: np.ndarray, words: int) -> DataFrame:
+    """(word, n, c): a class for each of ``words`` words of ``named``, by exchange with the
+    classes found, in blocks of words by hash."""
+    sent = named.sparkSession.sparkContext.broadcast(bigrams)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place: dict[bytes, int] = {}
+        total: list[int] = []
+        counts = np.zeros((BLOCK, 2, SIZE))
+        for b in batches:
+            own = []
+            for w, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if w not in place:
+                    place[w] = len(place)
+                    total.append(n)
+                own.append(place[w])
+            while len(place) > len(counts):  # hash blocks are a little uneven
+                counts = np.concatenate((counts, np.zeros_like(counts)))
+            found = b.column(2).to_pylist()
+            at = np.repeat(np.array(own, dtype=np.int64), [len(x) // 2 for x in found])
+            around = np.frombuffer(b"".join(found), "<u2").astype(np.int64)
+            np.add.at(counts, (at, 0, around // SIZE), 1)
+            np.add.at(counts, (at, 1, around % SIZE), 1)
+        # most frequent first, as in the passes; equal counts in the order of their bytes
+        names = sorted(place, key=lambda w: (-total[place[w]], w))
+        order = [place[w] for w in names]
+        new = exchange(counts[order, 0], counts[order, 1], np.array([form(w) for w in names], dtype=np.int64), sent.value)
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array([total[i] for i in order], pa.int64()), pa.array(new)],
+                                         names=["word", "n", "c"])
+
+    blocks = named.select("word", "n", "places", F.pmod(F.xxhash64("word"), F.lit(-(-words // BLOCK))).alias("block"))
+
+    return blocks.groupBy("block").applyInArrow(run, "word binary, n long, c long")
+
+
+def class_bigrams(texts: DataFrame, of_index: np.ndarray) -> np.ndarray:
+    """Counts of neighbouring classes over all training texts, text ends included."""
+    sent = texts.sparkSession.sparkContext.broadcast(of_index)
+
+    def run(batches):
+        total = np.zeros(SIZE * SIZE, dtype=np.int64)
+        for _, _, cls, _ in _known(batches, sent.value):
+            total += np.bincount(_before(cls) * SIZE + cls, minlength=SIZE * SIZE)
+        at, n = _pair_rows(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n)], names=["cell", "n"])
+
+    return _matrix(_train(texts).select(*KNOWN).mapInArrow(run, "cell long, n long"))
+
+
+KNOWN = ("id", "held_out", "ids", "rare_n", "rare_c")
+
+
+def _known(batches, of_index: np.ndarray, of_count: np.ndarray | None = None):
+    """(rows, where texts begin, classes, counts) of a few texts at a time, in a row."""
+    for b in batches:
+        for lo in range(0, b.num_rows, TOGETHER):
+            part = b.slice(lo, TOGETHER)
+            ids, starts = _numbers(part.column(2))
+            size = np.array([len(x) if x else 0 for x in part.column(3).to_pylist()], dtype=np.int64)
+            at, which = _rare_at(ids, starts, np.cumsum(size) - size)
+            cls = _classes(ids, of_index)
+            c = part.column(4).flatten().to_numpy(zero_copy_only=False).astype(np.int64)[which]
+            cls[at] = np.where(c >= 0, c, cls[at])
+            count = None
+            if of_count is not None:
+                count = of_count[np.maximum(ids, 0)]
+                count[at] = part.column(3).flatten().to_numpy(zero_copy_only=False)[which]
+            yield part, starts, cls, count
 
 
 class Model:
-    """Everything a task needs to score the tokens of a text."""
+    """Class-transition and word-emission probabilities.  ``more`` counts the tokens of
+    clustered words, by class, that are not in ``table``."""
 
     def __init__(self, table: dict[bytes, int], counts: dict[bytes, int], bigrams: np.ndarray, form_words: dict,
-                 n_tokens: int, n_types: int):
-        self.classes, self.counts = Classes(table), counts
+                 n_tokens: int, n_types: int, more: dict[int, int] | None = None):
         self.n, self.v = n_tokens, n_types
         smooth = bigrams + ALPHA
         self.step = smooth / smooth.sum(axis=1, keepdims=True)
         size = np.zeros(SIZE)
         for w, c in table.items():
             size[c] += counts.get(w, 0)
+        for c, n in (more or {}).items():
+            size[c] += n
         self.unseen = np.zeros(SIZE)
         for f, (n, once) in form_words.items():
             size[f] = n
@@ -254,90 +442,79 @@ class Model:
         return LAMBDA * self.step[before, cls] * share + (1 - LAMBDA) * (count + 1.0) / self.floor
 
 
-SUMMARY = ("row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, "
-           "rare array<struct<w:binary,c:int,m:int>>")
+SCORES = "id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+
 
+def _score_rows(texts: DataFrame, model: Model, of_index: np.ndarray, of_count: np.ndarray) -> DataFrame:
+    sent = texts.sparkSession.sparkContext.broadcast((model, of_index, of_count))
 
-def _score_rows(docs: DataFrame, sent) -> DataFrame:
-    """One row a document: the sums over tokens whose counts the model holds, and
-    the other tokens as (word, class before and form as one number, times)."""
     def run(batches):
-        from pyspark import TaskContext
-        m = sent.value
-        serial = TaskContext.get().partitionId() << 33
-        get, class_of = m.counts.get, m.classes.table.get
-        end_count = m.counts.get(b"", 0)  # the end token's count is kept under the empty word
+        m, of_index, of_count = sent.value
+        for part, starts, cls, count in _known(batches, of_index, of_count):
+            p = np.log10(m.probability(_before(cls), cls, count))
+            tokens = np.diff(np.append(starts, len(cls)))
+            sums = [np.add.reduceat(x, starts) for x in ((count > 0).astype(np.int64), m.base(count), p)]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(tokens), *map(pa.array, sums)],
+                                             names=["id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+
+    return texts.select(*KNOWN).mapInArrow(run, SCORES)
+
+
+def _form_counts(counts: DataFrame, least: int) -> dict[int, tuple[int, int]]:
+    """form: (tokens, words seen once) over the words of fewer than ``least`` occurrences."""
+    def run(batches):
+        all_, once = np.zeros(SIZE, dtype=np.int64), np.zeros(SIZE, dtype=np.int64)
         for b in batches:
-            for lo in range(0, b.num_rows, SCORED):
-                out, ends, rare_words, rare_codes, rare_times = [], [0], [], [], []
-                part = b.slice(lo, SCORED)
-                for doc_id, held, t in zip(*(part.column(i).to_pylist() for i in range(3))):
-                    ws = words_of(t)
-                    counts = [get(w, -1) for w in ws]
-                    cls = [c if (c := class_of(w)) is not None else form(w) for w in ws]
-                    cls = np.array([*cls, EDGE], dtype=np.int64)
-                    before = np.concatenate(([EDGE], cls[:-1]))
-                    n = np.array([*counts, end_count], dtype=np.int64)
-                    held_here = n >= 0
-                    p = m.probability(before[held_here], cls[held_here], n[held_here])
-                    rare = Counter((ws[i], int(before[i]) * FORMS + int(cls[i]) - CLASSES) for i in np.flatnonzero(~held_here))
-                    out.append((serial, doc_id, held, len(n), int((n > 0).sum()), float(m.base(n[held_here]).sum()),
-                                float(np.log10(p).sum())))
-                    rare_words += [w for w, _ in rare]
-                    rare_codes += [c for _, c in rare]
-                    rare_times += rare.values()
-                    ends.append(len(rare_words))
-                    serial += 1
-                types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-                others = pa.StructArray.from_arrays(
-                    [pa.array(rare_words, pa.binary()), pa.array(rare_codes, pa.int32()), pa.array(rare_times, pa.int32())],
-                    names=["w", "c", "m"])
-                yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(c, ty) for c, ty in zip(zip(*out), types)),
-                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), others)],
-                    names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare"])
+            f = np.array([form(w) for w in b.column(0).to_pylist()], dtype=np.int64)
+            n = b.column(1).to_numpy()
+            np.add.at(all_, f, n)
+            np.add.at(once, f, n == 1)
+        at = np.flatnonzero(all_)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(all_[at]), pa.array(once[at])], names=["f", "n", "once"])
 
-    return docs.select("id", "held_out", "text").mapInArrow(run, SUMMARY)
+    rows = counts.filter(F.col("n") < least).select("word", "n").mapInArrow(run, "f long, n long, once long").groupBy("f").agg(
+        F.sum("n").alias("n"), F.sum("once").alias("once")).collect()
+    return {r["f"]: (r["n"], r["once"]) for r in rows}
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS,
-          class_words: int = CLASS_WORDS, count_words_kept: int = COUNT_WORDS) -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tolerance: float = TOLERANCE,
+          class_words: int = CLASS_WORDS, count_words_kept: int = COUNT_WORDS, least: int = LEAST) -> DataFrame:
     """Id, held_out, n_tokens, n_known, train_tokens, base_score, score (both log10)
     and perplexity of each row, learned from the rows that are not held out."""
-    spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("id"), held_out(id_col).alias("held_out"),
                        F.col(text_col).cast("string").cast("binary").alias("text"))
     counts = materialize(count_words(docs), "brown-counts")
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    ends = _train_texts(docs).count()
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v"),
+                       F.count_if(F.col("n") >= least).alias("clustered")).first()
+    ends = _train(docs).count()
     n_tokens, n_types = total["n"] + ends, total["v"] + (ends > 0)
     top = frequent_words(counts, count_words_kept)
-    frequent = [w for w, _ in top[:class_words]]
-    table = cluster(docs, frequent, rounds)
-    bigrams = class_bigrams(docs, table)
-    forms = _form_counts(counts, table)
-    known = dict(top)
-    known[b""] = ends
-    model = Model(table, known, bigrams, forms, n_tokens, n_types)
-    rows = materialize(_score_rows(docs, spark.sparkContext.broadcast(model)), "brown-scores")
-
-    # the other tokens: their counts come from the full table
-    parts = rows.select("row", F.explode("rare").alias("x")).select("row", "x.w", "x.c", "x.m")
-    parts = parts.join(counts, parts["w"] == counts["word"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    codes = [(b * FORMS + f, float(model.step[b, CLASSES + f] * (1 - model.unseen[CLASSES + f]) / max(1.0, model.size[CLASSES + f])),
-              float(model.step[b, CLASSES + f] * model.unseen[CLASSES + f])) for b in range(SIZE) for f in range(FORMS)]
-    parts = parts.join(F.broadcast(spark.createDataFrame(codes, "c int, seen double, unseen double")), "c")
-    base = (F.col("n") + 1.0) / F.lit(model.floor)
-    p = F.when(F.col("n") > 0, F.col("seen") * F.col("n")).otherwise(F.col("unseen")) * LAMBDA + base * (1 - LAMBDA)
-    sums = parts.groupBy("row").agg(
-        F.sum(F.log10(base) * F.col("m")).alias("more_base"), F.sum(F.log10(p) * F.col("m")).alias("more_score"),
-        F.sum(F.when(F.col("n") > 0, F.col("m")).otherwise(0)).alias("more_known"))
-    out = rows.drop("rare").join(sums, "row", "left")
-    add = lambda a, b: F.col(a) + F.coalesce(b, F.lit(0))
-    full = add("score", "more_score")
-    return out.select(F.col("doc_id").alias(id_col), "held_out", "n_tokens", add("n_known", "more_known").cast("long").alias("n_known"),
-                      F.lit(n_tokens).cast("long").alias("train_tokens"), add("base", "more_base").alias("base_score"),
-                      full.alias("score"), F.pow(F.lit(10.0), -full / F.col("n_tokens")).alias("perplexity"))
+    words = [w for w, _ in top]
+    movers = sum(n >= least for _, n in top[:class_words])
+    texts = materialize(numbered(docs, words), "brown-texts")
+
+    by_form = np.array([*(form(w) for w in words), EDGE], dtype=np.int64)
+    of_index, bigrams, _ = cluster(texts, by_form, movers, tolerance)
+    named = _other_words(texts, words, of_index, movers)
+    named = materialize(named.join(counts, "word", "left").withColumn("n", F.coalesce("n", F.lit(0))), "brown-others")
+    often = named.filter((F.col("n") >= least) & (F.octet_length("places") > 0))
+    others = materialize(_settle(often, bigrams, max(1, total["clustered"] - movers)), "brown-classes")
+
+    # classes of the words with a number that didn't move: no more rows than those words
+    if movers < len(words):
+        still = {w: i for i, w in enumerate(words) if i >= movers}
+        for r in named.filter("row < 0").select("word").distinct().join(others, "word").collect():
+            of_index[still[bytes(r["word"])]] = r["c"]
+    known = named.filter("row >= 0").select("row", "k", "word", "n").join(others.select("word", "c"), "word", "left")
+    known = known.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("k", "n", F.coalesce("c", F.lit(-1)).alias("c")))).alias("x"))
+    texts = materialize(texts.drop("rare").join(known.select("row", F.col("x.n").alias("rare_n"), F.col("x.c").alias("rare_c")),
+                                                "row", "left"), "brown-known")
+    table = {w: int(c) for w, c in zip(words[:movers], of_index)}
+    more = {r["c"]: r["n"] for r in others.groupBy("c").agg(F.sum("n").alias("n")).collect()}
+    model = Model(table, dict(top), class_bigrams(texts, of_index), _form_counts(counts, least), n_tokens, n_types, more)
+    out = _score_rows(texts, model, of_index, np.array([*(n for _, n in top), ends], dtype=np.int64))
+    return out.select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(n_tokens).cast("long").alias("train_tokens"),
+                      "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))
 
 
 #: slices by hash of the words of one band of counts
@@ -367,23 +544,3 @@ def frequent_words(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
         keep = F.lit(True) if r is bands[-1] else band >= r["b"]
     rows = counts.filter(keep).select("word", "n").collect()
     return sorted(((bytes(r["word"]), r["n"]) for r in rows), key=lambda x: (-x[1], x[0]))
-
-
-def _form_counts(counts: DataFrame, table: dict[bytes, int]) -> dict[int, tuple[int, int]]:
-    """form: (tokens, words seen once) over the words outside ``table``."""
-    sent = counts.sparkSession.sparkContext.broadcast(frozenset(table))
-
-    def run(batches):
-        skip, all_, once = sent.value, np.zeros(SIZE, dtype=np.int64), np.zeros(SIZE, dtype=np.int64)
-        for b in batches:
-            for w, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if w not in skip:
-                    f = form(w)
-                    all_[f] += n
-                    once[f] += n == 1
-        at = np.flatnonzero(all_)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(all_[at]), pa.array(once[at])], names=["f", "n", "once"])
-
-    rows = counts.select("word", "n").mapInArrow(run, "f long, n long, once long").groupBy("f").agg(
-        F.sum("n").alias("n"), F.sum("once").alias("once")).collect()
-    return {r["f"]: (r["n"], r["once"]) for r in rows}
