@@ -3,11 +3,11 @@
 Words belong to classes.  A word's probability is that of its class after the
 class before, times the word's share of its class; a small part of the add-one
 unigram is mixed in.  Every word with ``LEAST`` training occurrences or more has a
-class from exchange clustering, however large the vocabulary is.  The most
-frequent words move, pass after pass, to the class that raises the likelihood of
-the class bigrams most, until a pass gains less than ``TOLERANCE`` for each token.
-All other words of ``LEAST`` occurrences are then put by the same rule into the
-classes found.  Rarer words belong to the class of their form (length and ending),
+class from exchange clustering, however large the vocabulary is.  The
+``CLASS_WORDS`` most frequent words move, pass after pass, to the class that raises
+the likelihood of the class bigrams most, until a pass gains less than ``TOLERANCE``
+for each token.  Each other word of ``LEAST`` occurrences is then put by the same
+rule into one of the classes found.  Rarer words belong to the class of their form (length and ending),
 which is known for any word without a table.
 
 What is learned covers every training document: counts of all words, class
@@ -36,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,7 +48,7 @@ EDGE = CLASSES + FORMS  # the class of text ends, and of what stands before a te
 SIZE = EDGE + 1
 #: words that tasks know by number, and those of them that move pass after pass
 COUNT_WORDS = 65536
-CLASS_WORDS = COUNT_WORDS
+CLASS_WORDS = 8192
 #: training occurrences of a word from which on it is clustered
 LEAST = 10
 #: passes go on while one gains this log-likelihood (nats) for each training token
@@ -59,6 +60,8 @@ TOGETHER = 200
 #: words exchanged in one block; a place in its counts fits 16 bits
 BLOCK = 256
 CELLS = BLOCK * 2 * SIZE
+#: words without a number placed in one group
+SETTLED = 1024
 #: share of the class model; added count of an unseen class bigram
 LAMBDA, ALPHA = 0.95, 0.05
 
@@ -105,7 +108,7 @@ NUMBERED = "row long, id long, held_out boolean, ids binary, rare array<binary>"
 
 
 def numbered(docs: DataFrame, words: list[bytes]) -> DataFrame:
-    """Each text as 32-bit numbers.  A word of ``words`` is its place there, the end is
+    """Each text as compressed 32-bit numbers.  A word of ``words`` is its place there, the end is
     ``len(words)``; the k-th other word of a text, which ``rare`` spells, is
     -1 - (k * FORMS + its form)."""
     sent = docs.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(words)})
@@ -113,7 +116,7 @@ def numbered(docs: DataFrame, words: list[bytes]) -> DataFrame:
 
     def run(batches):
         from pyspark import TaskContext
-        get = sent.value.get
+        get, pack = sent.value.get, zstandard.ZstdCompressor(level=1).compress
         row = TaskContext.get().partitionId() << 33
         for b in batches:
             for lo in range(0, b.num_rows, TOGETHER):
@@ -128,7 +131,7 @@ def numbered(docs: DataFrame, words: list[bytes]) -> DataFrame:
                             i = near[w] = -1 - (len(near) * FORMS + form(w) - CLASSES)
                         one.append(i)
                     one.append(end)
-                    ids.append(np.array(one, dtype="<i4").tobytes())
+                    ids.append(pack(np.array(one, dtype="<i4").tobytes()))
                     rare += near
                     ends.append(len(rare))
                 yield pa.RecordBatch.from_arrays(
@@ -142,7 +145,8 @@ def numbered(docs: DataFrame, words: list[bytes]) -> DataFrame:
 
 def _numbers(column) -> tuple[np.ndarray, np.ndarray]:
     """The numbers of all texts of a column in a row, and where each text begins."""
-    one = column.to_pylist()
+    unpack = zstandard.ZstdDecompressor().decompress
+    one = [unpack(x) for x in column.to_pylist()]
     starts = np.cumsum([0] + [len(x) // 4 for x in one])[:-1]
     return np.frombuffer(b"".join(one), dtype="<i4").astype(np.int64), starts
 
@@ -212,7 +216,8 @@ def _pass(texts: DataFrame, of_index: np.ndarray, movers: int) -> DataFrame:
 
 
 def _xlogx(x):
-    return np.where(x > 0, x * np.log(np.maximum(x, 1e-300)), 0.0)
+    x = np.maximum(x, 1e-300)
+    return x * np.log(x)
 
 
 def likelihood(bigrams: np.ndarray) -> float:
@@ -223,152 +228,165 @@ def likelihood(bigrams: np.ndarray) -> float:
 def exchange(left: np.ndarray, right: np.ndarray, own: np.ndarray, bigrams: np.ndarray) -> np.ndarray:
     """New classes of words with counts ``left`` (class before) and ``right`` (class
     after), now in classes ``own``: one word after the other moves to the class
-    with the greatest likelihood of the class bigrams, if that is above its own.  A
-    word in the class of its form moves in any case."""
-    n, own = bigrams.copy(), own.copy()
+    with the greatest likelihood of the class bigrams, if that is above its own."""
+    n, own = bigrams.astype(float), own.copy()
+    logs, by_row, by_col = _xlogx(n), n.sum(axis=1), n.sum(axis=0)
+
+    def add(a, after, r, before, l, sign):
+        n[before, a] += sign * l
+        n[a, after] += sign * r
+        by_row[before] += sign * l
+        by_row[a] += sign * r.sum()
+        by_col[after] += sign * r
+        by_col[a] += sign * l.sum()
+        logs[before, a] = _xlogx(n[before, a])
+        logs[a, after] = _xlogx(n[a, after])
+
     for w in range(len(own)):
-        l, r, a = left[w], right[w], own[w]
-        after, before = np.flatnonzero(r), np.flatnonzero(l)  # other cells don't change
+        after, before = np.flatnonzero(right[w]), np.flatnonzero(left[w])  # no other cell changes
         if not len(after) and not len(before):
             continue
-        n[:, a] -= l
-        n[a, :] -= r
-        rows, cols = n[:CLASSES, after], n[before, :CLASSES]
-        gain = ((_xlogx(rows + r[after]) - _xlogx(rows)).sum(axis=1)
-                + (_xlogx(cols + l[before, None]) - _xlogx(cols)).sum(axis=0))
-        by_row, by_col = n[:CLASSES].sum(axis=1), n[:, :CLASSES].sum(axis=0)
-        gain -= _xlogx(by_row + r.sum()) - _xlogx(by_row) + _xlogx(by_col + l.sum()) - _xlogx(by_col)
+        r, l, a = right[w, after], left[w, before], own[w]
+        add(a, after, r, before, l, -1)
+        gain = ((_xlogx(n[:CLASSES, after] + r) - logs[:CLASSES, after]).sum(axis=1)
+                + (_xlogx(n[before, :CLASSES] + l[:, None]) - logs[before, :CLASSES]).sum(axis=0))
+        rows, cols = by_row[:CLASSES], by_col[:CLASSES]
+        gain -= _xlogx(rows + r.sum()) - _xlogx(rows) + _xlogx(cols + l.sum()) - _xlogx(cols)
         best = int(gain.argmax())
-        if a >= CLASSES or gain[best] > gain[a] + 1e-9:
+        if gain[best] > gain[a] + 1e-9:
             a = best
-        n[:, a] += l
-        n[a, :] += r
+        add(a, after, r, before, l, 1)
         own[w] = a
     return own
 
 
+def place(left: np.ndarray, right: np.ndarray, bigrams: np.ndarray) -> np.ndarray:
+    """Classes of words that are in none yet: the one in which a word's counts raise the
+    likelihood of the class bigrams most.  Each word by itself, so the order doesn't matter."""
+    out = np.zeros(len(left), dtype=np.int64)
+    for lo in range(0, len(out), 128):
+        l, r = left[lo:lo + 128], right[lo:lo + 128]
+        gain = np.zeros((len(l), CLASSES))
+        for side, by_cell in ((r, bigrams[:CLASSES].T), (l, bigrams[:, :CLASSES])):
+            w, cell = np.nonzero(side)
+            had, got = by_cell[cell], side[w, cell][:, None]
+            more = _xlogx(had + got) - _xlogx(had)
+            if len(w):
+                first = np.flatnonzero(np.diff(w, prepend=-1))
+                gain[w[first]] += np.add.reduceat(more, first, axis=0)
+            total = by_cell.sum(axis=0) if side is l else bigrams[:CLASSES].sum(axis=1)
+            gain -= _xlogx(total + side.sum(axis=1)[:, None]) - _xlogx(total)
+        out[lo:lo + 128] = gain.argmax(axis=1)
+    return out
+
+
 def _sides(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     table = counts.reshape(-1, 2, SIZE)
     return table[:, 0], table[:, 1]
 
 
-def _moves(sent):
-    """The function that gives a block's words their classes after a pass."""
+def _block_counts(batches) -> tuple[int, np.ndarray]:
+    counts, block = np.zeros(CELLS), 0
+    for b in batches:
+        for block, size, data in zip(*(b.column(i).to_pylist() for i in range(3))):
+            raw = pa.decompress(data, decompressed_size=size * 6, codec="zstd", asbytes=True)
+            at = np.cumsum(np.frombuffer(raw, "<u2", size).astype(np.int64))
+            counts[at] += np.frombuffer(raw, "<u4", size, size * 2)
+    return block, counts
+
+
+def _decided(seen: DataFrame, first: int, classes: np.ndarray, bigrams: np.ndarray, movers: int) -> np.ndarray:
+    """Classes after a pass of the words from ``first`` on: the first ``movers`` by
+    exchange, the others placed."""
+    sent = seen.sparkSession.sparkContext.broadcast((bigrams, classes))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, classes = sent.value
-        counts, block = np.zeros(CELLS), 0
-        for b in batches:
-            for block, size, data in zip(*(b.column(i).to_pylist() for i in range(3))):
-                raw = pa.decompress(data, decompressed_size=size * 6, codec="zstd", asbytes=True)
-                at = np.cumsum(np.frombuffer(raw, "<u2", size).astype(np.int64))
-                counts[at] += np.frombuffer(raw, "<u4", size, size * 2)
-        first = block * BLOCK
-        own = classes[first:first + BLOCK]
-        left, right = _sides(counts)
-        new = exchange(left[:len(own)], right[:len(own)], own, n)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(first, first + len(own))), pa.array(new)], names=["w", "c"])
+        block, counts = _block_counts(batches)
+        lo = block * BLOCK
+        own = classes[lo:lo + BLOCK]
+        left, right = (side[:len(own)] for side in _sides(counts))
+        new = exchange(left, right, own, n) if first < movers else place(left, right, n)
+        keep = np.arange(lo, lo + len(own))
+        yield pa.RecordBatch.from_arrays([pa.array(keep[keep >= first]), pa.array(new[keep >= first])], names=["w", "c"])
 
-    return run
+    blocks = seen.filter(F.col("block") >= first // BLOCK).select("block", "cell", "data")
+    out = classes.copy()
+    for r in blocks.groupBy("block").applyInArrow(run, "w long, c long").collect():  # as many as ``classes`` at most
+        out[r["w"]] = r["c"]
+    return out
 
 
 def cluster(texts: DataFrame, of_index: np.ndarray, movers: int, tolerance: float = TOLERANCE) -> tuple[np.ndarray, np.ndarray, list]:
     """Classes of the first ``movers`` numbers by passes of exchange over all training
     texts; with them the class bigrams, and the likelihood for each token after each pass."""
-    spark = texts.sparkSession
     of_index, history, kept = of_index.copy(), [], None
     of_index[:movers] = np.arange(movers) % CLASSES
     while True:
         seen = materialize(_pass(texts, of_index, movers), "brown-pass")
         n = _matrix(seen.filter("block = -1"))
-        score_ = likelihood(n) / max(1.0, n.sum())
-        if kept is not None and score_ <= history[-1]:
+        each = likelihood(n) / max(1.0, n.sum())
+        if kept is not None and each <= history[-1]:
             return *kept, history
-        history.append(score_)
+        history.append(each)
         kept = of_index.copy(), n
-        if not movers or len(history) > 1 and score_ - history[-2] < tolerance:
+        if not movers or len(history) > 1 and each - history[-2] < tolerance:
             return *kept, history
-        sent = spark.sparkContext.broadcast((n, of_index[:movers].copy()))
-        moved = seen.filter("block >= 0").select("block", "cell", "data").groupBy("block").applyInArrow(_moves(sent), "w long, c long")
-        for r in moved.collect():  # as many as words with a number at most
-            of_index[r["w"]] = r["c"]
+        of_index[:movers] = _decided(seen, 0, of_index[:movers], n, movers)
 
 
-NAMED = "row long, k int, word binary, places binary"
-
-
-def _other_words(texts: DataFrame, words: list[bytes], of_index: np.ndarray, movers: int) -> DataFrame:
-    """(row, k, word, places): the k-th word of a text that has no number; ``places`` are
-    the pairs of classes around it, as 16-bit before * SIZE + after, in training texts.
-    Words with a number that didn't move come with row -1, for their places."""
-    sent = texts.sparkSession.sparkContext.broadcast((words[movers:], of_index))
+def _other_words(texts: DataFrame, of_index: np.ndarray) -> DataFrame:
+    """(word, places): the pairs of classes around training occurrences of a word without
+    a number, as 16-bit before * SIZE + after, a row for each few texts."""
+    sent = texts.sparkSession.sparkContext.broadcast(of_index)
 
     def run(batches):
-        still, of_index = sent.value
+        of_index = sent.value
         for b in batches:
             for lo in range(0, b.num_rows, TOGETHER):
                 part = b.slice(lo, TOGETHER)
-                ids, starts = _numbers(part.column(2))
-                size = np.array([len(x) for x in part.column(3).to_pylist()], dtype=np.int64)
-                first = np.cumsum(size) - size
-                spelled = part.column(3).flatten()
+                ids, starts = _numbers(part.column(0))
+                spelled = part.column(1).to_pylist()
+                size = np.array([len(x) for x in spelled], dtype=np.int64)
+                at, which = _rare_at(ids, starts, np.cumsum(size) - size)
+                same: dict[bytes, int] = {}  # words that several of the texts hold are one row
+                one = np.array([same.setdefault(w, len(same)) for x in spelled for w in x], dtype=np.int64)
                 cls = _classes(ids, of_index)
-                around = _before(cls) * SIZE + np.append(cls[1:], EDGE)
-                train = ~np.repeat(part.column(1).to_numpy(zero_copy_only=False), np.diff(np.append(starts, len(ids))))
-                at, which = _rare_at(ids, starts, first)
-                which, at = which[train[at]], at[train[at]]
-                rows = np.repeat(part.column(0).to_numpy(), size)
-                k = np.arange(len(rows)) - np.repeat(first, size)
-                yield _named(rows, k, spelled, which, around[at])
-                if len(still):
-                    at = np.flatnonzero((ids >= movers) & (ids < movers + len(still)) & train)
-                    own, which = np.unique(ids[at] - movers, return_inverse=True)
-                    yield _named(np.full(len(own), -1), np.full(len(own), -1), pa.array([still[i] for i in own], pa.binary()),
-                                 which, around[at])
-
-    return texts.select("row", "held_out", "ids", "rare").mapInArrow(run, NAMED)
-
-
-def _named(rows, k, words, which, around) -> pa.RecordBatch:
-    places = around[np.argsort(which, kind="stable")].astype("<u2").tobytes()
-    ends = np.concatenate(([0], np.cumsum(np.bincount(which, minlength=len(rows)) * 2))).astype(np.int32)
-    packed = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(places)])
-    return pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(k, pa.int32()), words, packed],
-                                      names=["row", "k", "word", "places"])
-
-
-def _settle(named: DataFrame, bigrams: np.ndarray, words: int) -> DataFrame:
-    """(word, n, c): a class for each of ``words`` words of ``named``, by exchange with the
-    classes found, in blocks of words by hash."""
-    sent = named.sparkSession.sparkContext.broadcast(bigrams)
+                around = (_before(cls) * SIZE + np.append(cls[1:], EDGE))[at]
+                own = one[which] if len(at) else at
+                packed = around[np.argsort(own, kind="stable")].astype("<u2").tobytes()
+                ends = np.concatenate(([0], np.cumsum(np.bincount(own, minlength=len(same)) * 2))).astype(np.int32)
+                places = pa.Array.from_buffers(pa.binary(), len(same), [None, pa.py_buffer(ends), pa.py_buffer(packed)])
+                yield pa.RecordBatch.from_arrays([pa.array(list(same), pa.binary()), places], names=["word", "places"])
+
+    return _train(texts).select("ids", "rare").mapInArrow(run, "word binary, places binary")
+
+
+def _settle(others: DataFrame, bigrams: np.ndarray, words: int, least: int) -> DataFrame:
+    """(word, n, c) of the about ``words`` words of ``others``: training count and class,
+    -1 for words of fewer than ``least`` occurrences, in groups of words by hash."""
+    sent = others.sparkSession.sparkContext.broadcast(bigrams)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place: dict[bytes, int] = {}
-        total: list[int] = []
-        counts = np.zeros((BLOCK, 2, SIZE))
+        at_word: dict[bytes, int] = {}
+        counts = np.zeros((SETTLED, 2, SIZE))
         for b in batches:
-            own = []
-            for w, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if w not in place:
-                    place[w] = len(place)
-                    total.append(n)
-                own.append(place[w])
-            while len(place) > len(counts):  # hash blocks are a little uneven
+            own = np.array([at_word.setdefault(w, len(at_word)) for w in b.column(0).to_pylist()], dtype=np.int64)
+            while len(at_word) > len(counts):  # groups by hash are a little uneven
                 counts = np.concatenate((counts, np.zeros_like(counts)))
-            found = b.column(2).to_pylist()
-            at = np.repeat(np.array(own, dtype=np.int64), [len(x) // 2 for x in found])
+            found = b.column(1).to_pylist()
+            at = np.repeat(own, [len(x) // 2 for x in found])
             around = np.frombuffer(b"".join(found), "<u2").astype(np.int64)
             np.add.at(counts, (at, 0, around // SIZE), 1)
             np.add.at(counts, (at, 1, around % SIZE), 1)
-        # most frequent first, as in the passes; equal counts in the order of their bytes
-        names = sorted(place, key=lambda w: (-total[place[w]], w))
-        order = [place[w] for w in names]
-        new = exchange(counts[order, 0], counts[order, 1], np.array([form(w) for w in names], dtype=np.int64), sent.value)
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array([total[i] for i in order], pa.int64()), pa.array(new)],
-                                         names=["word", "n", "c"])
-
-    blocks = named.select("word", "n", "places", F.pmod(F.xxhash64("word"), F.lit(-(-words // BLOCK))).alias("block"))
+        counts = counts[:len(at_word)]
+        n = counts[:, 0].sum(axis=1).astype(np.int64)
+        often, cls = np.flatnonzero(n >= least), np.full(len(n), -1, dtype=np.int64)
+        cls[often] = place(counts[often, 0], counts[often, 1], sent.value)
+        yield pa.RecordBatch.from_arrays([pa.array(list(at_word), pa.binary()), pa.array(n), pa.array(cls)], names=["word", "n", "c"])
 
-    return blocks.groupBy("block").applyInArrow(run, "word binary, n long, c long")
+    group = F.pmod(F.xxhash64("word"), F.lit(-(-max(1, words) // SETTLED)))
+    return others.select("word", "places", group.alias("block")).groupBy("block").applyInArrow(run, "word binary, n long, c long")
 
 
 def class_bigrams(texts: DataFrame, of_index: np.ndarray) -> np.ndarray:
@@ -484,33 +502,31 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toler
     docs = docs.select(F.col(id_col).cast("long").alias("id"), held_out(id_col).alias("held_out"),
                        F.col(text_col).cast("string").cast("binary").alias("text"))
     counts = materialize(count_words(docs), "brown-counts")
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v"),
-                       F.count_if(F.col("n") >= least).alias("clustered")).first()
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     ends = _train(docs).count()
     n_tokens, n_types = total["n"] + ends, total["v"] + (ends > 0)
     top = frequent_words(counts, count_words_kept)
     words = [w for w, _ in top]
-    movers = sum(n >= least for _, n in top[:class_words])
+    often = sum(n >= least for _, n in top)
+    movers = min(often, class_words)
     texts = materialize(numbered(docs, words), "brown-texts")
 
     by_form = np.array([*(form(w) for w in words), EDGE], dtype=np.int64)
-    of_index, bigrams, _ = cluster(texts, by_form, movers, tolerance)
-    named = _other_words(texts, words, of_index, movers)
-    named = materialize(named.join(counts, "word", "left").withColumn("n", F.coalesce("n", F.lit(0))), "brown-others")
-    often = named.filter((F.col("n") >= least) & (F.octet_length("places") > 0))
-    others = materialize(_settle(often, bigrams, max(1, total["clustered"] - movers)), "brown-classes")
-
-    # classes of the words with a number that didn't move: no more rows than those words
-    if movers < len(words):
-        still = {w: i for i, w in enumerate(words) if i >= movers}
-        for r in named.filter("row < 0").select("word").distinct().join(others, "word").collect():
-            of_index[still[bytes(r["word"])]] = r["c"]
-    known = named.filter("row >= 0").select("row", "k", "word", "n").join(others.select("word", "c"), "word", "left")
-    known = known.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("k", "n", F.coalesce("c", F.lit(-1)).alias("c")))).alias("x"))
+    found, bigrams, _ = cluster(texts, by_form, movers, tolerance)
+    of_index = found.copy()
+    if often > movers:
+        seen = materialize(_pass(texts, found, often), "brown-pass")
+        of_index[movers:often] = _decided(seen, movers, found[:often], bigrams, movers)[movers:]
+    others = materialize(_settle(_other_words(texts, found), bigrams, total["v"] - len(words), least), "brown-others")
+
+    # the other words of a text, in its order: their counts and classes
+    known = texts.select("row", F.posexplode("rare").alias("k", "word")).join(others, "word", "left")
+    known = known.select("row", F.struct("k", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("c", F.lit(-1)).cast("int").alias("c")).alias("x"))
+    known = known.groupBy("row").agg(F.sort_array(F.collect_list("x")).alias("x"))
     texts = materialize(texts.drop("rare").join(known.select("row", F.col("x.n").alias("rare_n"), F.col("x.c").alias("rare_c")),
                                                 "row", "left"), "brown-known")
-    table = {w: int(c) for w, c in zip(words[:movers], of_index)}
-    more = {r["c"]: r["n"] for r in others.groupBy("c").agg(F.sum("n").alias("n")).collect()}
+    table = {w: int(c) for w, c in zip(words[:often], of_index)}
+    more = {r["c"]: r["n"] for r in others.filter("c >= 0").groupBy("c").agg(F.sum("n").alias("n")).collect()}
     model = Model(table, dict(top), class_bigrams(texts, of_index), _form_counts(counts, least), n_tokens, n_types, more)
     out = _score_rows(texts, model, of_index, np.array([*(n for _, n in top), ends], dtype=np.int64))
     return out.select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(n_tokens).cast("long").alias("train_tokens"),
