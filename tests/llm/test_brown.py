@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import clash, frame, odd_texts
 from tresoria.llm import brown
@@ -126,3 +127,34 @@ def test_frequent_words_of_a_flat_vocabulary(spark):
     assert top[:2] == [(b"often", 10_000), (b"also", 9_000)] and sum(n == 40 for _, n in top) == 3000 and 3900 < len(top) <= 4000
     assert len(brown.frequent_words(mixed, 10_000)) == 5002 and brown.frequent_words(mixed.limit(0), 10) == []
     assert brown.frequent_words(mixed, 1) == [(b"often", 10_000)]
+
+
+def _two_kinds(texts=120):
+    """Texts in which words of two kinds alternate, 200 words of each kind."""
+    rng = random.Random(3)
+    return [(i, " ".join(f"{'ab'[k % 2]}{rng.randrange(200)}" for k in range(120))) for i in range(texts)]
+
+
+def test_likelihood_rises_with_every_pass(spark):
+    docs = frame(spark, _two_kinds()).select(
+        F.col("doc_id").alias("id"), F.lit(False).alias("held_out"), F.col("text").cast("binary").alias("text"))
+    vocabulary = sorted({w for _, t in _two_kinds() for w in t.encode().split()})
+    by_form = np.array([*(brown.form(w) for w in vocabulary), brown.EDGE], dtype=np.int64)
+    of_index, n, history = brown.cluster(brown.numbered(docs, vocabulary), by_form, len(vocabulary))
+    assert len(history) > 1 and all(b > a for a, b in zip(history, history[1:]))
+    assert n.sum() == 120 * 121 and history[-1] == pytest.approx(brown.likelihood(n) / n.sum())
+
+
+def test_words_without_a_number_are_placed(spark):
+    """A table of ten words: all others of LEAST occurrences get a class all the same, each kind its own."""
+    docs = frame(spark, _two_kinds()).select(
+        F.col("doc_id").alias("id"), F.lit(False).alias("held_out"), F.col("text").cast("binary").alias("text"))
+    vocabulary = [f"{k}{i}".encode() for i in range(5) for k in "ab"]
+    of_index = np.array([0, 1] * 5 + [brown.EDGE], dtype=np.int64)
+    texts = brown.numbered(docs, vocabulary)
+    matrix = brown._matrix(brown._pass(texts, of_index, len(vocabulary)).filter("block = -1"))
+    got = brown._settle(brown._other_words(texts, of_index), matrix, 390, brown.LEAST).collect()
+    every = Counter(w for _, t in _two_kinds() for w in t.encode().split())
+    assert {bytes(r.word): r.n for r in got} == {w: n for w, n in every.items() if w not in vocabulary}
+    assert all((r.c >= 0) == (r.n >= brown.LEAST) for r in got) and len(got) == 390
+    assert all(0 <= r.c < brown.CLASSES for r in got if r.n >= brown.LEAST)
