@@ -80,6 +80,17 @@ def test_cached_ids_equal_the_tokenizer():
         assert e([t.encode()])[0].tolist() == true_ids(t)[:-1], repr(t)
 
 
+def test_pieces_are_kept_instead_of_chunks():
+    """Words with any punctuation around them cost a look-up of each part, texts are cut together."""
+    words, marks = [a + b + c for a in "abcd" for b in "eiou" for c in "lmnr"], ["", ",", ".", "...", "é", "7", "12", "-x"]
+    texts = [" ".join(w.title() + a + b for w in words for b in marks) for a in marks]
+    texts += ["", " \n", "don't we'll", "a\x00b c\xa0d e", "a <|endoftext|> b", "漢 a", " É½x ", "x" * 9000]
+    e = packing.Encoder(public_tokenizers.path(FILE))
+    assert [ids.tolist() for ids in e([t.encode() for t in texts])] == [true_ids(t)[:-1] for t in texts]
+    kept = sum(len(v) for k, v in vars(e).items() if isinstance(v, dict) and k != "table")
+    assert kept < 400 < len({w for t in texts for w in t.lower().split()})
+
+
 def test_other_vocabularies():
     path = public_tokenizers.path("byte_bpe_50k.json")
     e, t = packing.Encoder(path), "Hello  world\n\nA a é "

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +32,35 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, BLANK + "+"), "")
 
 
+#: bytes of text that a task cuts into words together
+CUT_BYTES = 4_000_000
+
+
+def cut_groups(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """(from, to) of consecutive texts of some ``CUT_BYTES`` together, one text at least."""
+    if len(texts):
+        size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64))
+        cuts = np.flatnonzero(np.diff(size // CUT_BYTES)) + 1
+        yield from zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)])
+
+
+def cut_words(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Words of binary texts in a row as places in the list of different ones (``lower``:
+    A-Z as a-z); that list; and how many words each text has.  As ``bytes.split`` cuts them:
+    at the six ASCII blanks only, whatever the bytes are."""
+    one = pc.fill_null(texts, b"")
+    one = pa.Array.from_buffers(pa.string(), len(one), one.buffers(), offset=one.offset)  # not checked: any bytes
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(one) if lower else one)
+    found = lists.flatten().cast(pa.binary()).dictionary_encode()
+    at, size = found.indices.to_numpy(), pc.list_value_length(lists).to_numpy().astype(np.int64)
+    none = pc.index(found.dictionary, pa.scalar(b"", pa.binary())).as_py()
+    if none >= 0:  # a blank at an end of a text leaves an empty word there
+        there = at != none
+        size = np.diff(np.concatenate(([0], np.cumsum(there)))[np.concatenate(([0], np.cumsum(size)))])
+        at = at[there]
+    return at, found.dictionary, size
+
+
 def matches(text: Column, pattern: str, maybe: Column | None = None) -> Column:
     """Non-overlapping matches, leftmost first: ``array<struct<s,e,t>>`` in code
     points, end exclusive, with the matched text.

@@ -37,8 +37,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tresoria.llm.common import cut_groups, cut_words
+
 SEQUENCE = 4096
 END_ID = 2
+BLANK, LETTER, DIGIT, SYMBOL, ODD = range(5)  # kinds of characters
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
 
@@ -47,31 +50,34 @@ class Encoder:
     """Token ids of whole texts with caches of their parts.
 
     The vocabulary's pre-tokenizer never joins across white space, so a text's
-    ids are those of its blank-separated chunks in a row; a chunk that is in the
-    cache costs one look-up.  In a text of Latin-1 characters, where composing
-    and lower-casing touch single characters only, chunks are looked up in lower
-    case, and a new one is put together from its letter runs, digits and symbol
-    runs, as the vocabulary's pattern cuts it.  Whatever that does not cover
-    (contractions, special tokens, control characters, other scripts) goes to the
-    tokenizer chunk by chunk.
+    ids are those of its blank-separated chunks in a row.  Texts of Latin-1
+    characters, where composing and lower-casing touch single characters only, are
+    cut together, as one array of bytes, into letter runs, digits and symbol runs,
+    as the vocabulary's pattern cuts them; each different piece is looked up once.
+    Whatever that does not cover (contractions, special tokens, control characters,
+    other scripts) goes to the tokenizer chunk by chunk.
     """
 
-    #: the vocabulary's pattern over lower-cased Latin-1 without apostrophes and white space
-    PIECE = re.compile(r"[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]"
-                       r"|[^a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff0-9\xb2\xb3\xb9\xbc-\xbe]+")
+    #: the vocabulary's pattern over lower-cased Latin-1 without apostrophes and white space:
+    #: runs of letters, single digits, runs of anything else
+    LETTER = re.compile(r"[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]")
+    DIGIT = re.compile(r"[0-9\xb2\xb3\xb9\xbc-\xbe]")
     NOT_PLAIN = re.compile(r"['\x00-\x20\x7f-\xa0\xad]")
 
     def __init__(self, path: str, cache_size: int = 1_000_000):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.cache_size = cache_size
-        self.latin: dict[bytes, bytes] = {}  # lower-cased chunks of Latin-1 texts
+        self.pieces: dict[bytes, bytes] = {}  # of Latin-1 texts, lower-cased, one byte a character
         self.other: dict[bytes, bytes] = {}  # chunks of other texts, as they are
-        self.pieces: dict[str, bytes] = {}
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(True) <= 1 << 16 else "<u4")
         fold = self.tokenizer.encode("A a", add_special_tokens=False).ids
         self.model = self.tokenizer.model
         self.table = self._byte_level()
+        lower = [chr(i).lower() for i in range(256)]
+        self.lower = np.array([ord(c) for c in lower], dtype=np.uint8)
+        self.kind = np.array([BLANK if c in " \t\n\r\x0b\x0c" else ODD if self.NOT_PLAIN.search(c) else LETTER if self.LETTER.match(c)
+                              else DIGIT if self.DIGIT.match(c) else SYMBOL for c in lower], dtype=np.uint8)
         self.by_chunk = len(fold) == 2 and fold[0] == fold[1]  # lower-cased, white space dropped
 
     def _byte_level(self) -> dict | None:
@@ -107,60 +113,79 @@ class Encoder:
         if cache is self.other:
             cache.update(zip(new, self._whole([k.decode("utf-8", "replace") for k in new])))
             return
-        odd, cut = [], []
-        for k in new:
-            s = k.decode().lower()
-            if self.NOT_PLAIN.search(s):
-                odd.append(k)
-            else:
-                cut.append((k, self.PIECE.findall(s)))
-        cache.update(zip(odd, self._whole([k.decode() for k in odd])))
-        if len(self.pieces) > self.cache_size:
-            self.pieces.clear()
-        missing = list(dict.fromkeys(p for _, ps in cut for p in ps if p not in self.pieces))
-        self.pieces.update(zip(missing, self._encode(missing)))
-        get = self.pieces.__getitem__
-        for k, ps in cut:
-            cache[k] = get(ps[0]) if len(ps) == 1 else b"".join(map(get, ps))
+        odd = [k for k in new if not k.isalpha() and self.NOT_PLAIN.search(k.decode("latin-1"))]  # isalpha: ASCII letters
+        if odd:
+            cache.update(zip(odd, self._whole([k.decode("latin-1") for k in odd])))
+            new = [k for k in new if k not in cache]
+        cache.update(zip(new, self._encode([k.decode("latin-1") for k in new])))
+
+    def _pieces(self, texts: list[bytes]) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+        """Pieces of Latin-1 texts in a row as places in the list of different ones; that list;
+        and how many pieces each text has.  White space is a piece too, and a chunk with a
+        character that is not plain is one."""
+        raw = np.frombuffer(b" ".join([*texts, b""]), dtype=np.uint8)
+        raw, kind = self.lower[raw], self.kind[raw]
+        first = np.ones(len(raw), dtype=bool)
+        first[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+        if (kind == ODD).any():
+            blank = kind == BLANK
+            chunk = np.flatnonzero(np.diff(blank, prepend=not blank[0]))  # and the blanks between
+            odd = np.logical_or.reduceat(kind == ODD, chunk)
+            first &= ~np.repeat(odd, np.diff(chunk, append=len(raw)))
+            first[chunk] = True
+        starts = np.flatnonzero(first)
+        offsets = np.append(starts, len(raw)).astype(np.int32)
+        found = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(raw)]).dictionary_encode()
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        return found.indices.to_numpy(), found.dictionary, np.diff(np.searchsorted(starts, ends), prepend=0)
+
+    def _cached(self, cache: dict, at: np.ndarray, parts: pa.Array, size: np.ndarray) -> list[np.ndarray]:
+        """Ids of texts of ``size`` parts each, from those of each different part."""
+        parts = parts.to_pylist()
+        got = list(map(cache.get, parts))
+        new = [i for i, v in enumerate(got) if v is None]  # a part without ids is empty
+        if new:
+            self._learn(cache, [parts[i] for i in new])
+            for i in new:
+                got[i] = cache[parts[i]]
+        ids = np.frombuffer(b"".join(got), dtype=self.dtype)
+        many = np.fromiter(map(len, got), dtype=np.int64, count=len(got)) // self.dtype.itemsize
+        each = many[at]
+        ends = np.cumsum(each)
+        # the k-th id of an occurrence is the k-th of its part
+        ids = ids[np.repeat((np.cumsum(many) - many)[at] - ends + each, each) + np.arange(each.sum())]
+        cuts = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(size)))].tolist()
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
 
     def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids of each UTF-8 text, without an end id."""
         out: list = [None] * len(texts)
-        groups: dict = {}
+        latin, other = [], []
         for i, t in enumerate(texts):
             if not self.by_chunk:
                 ids = self.tokenizer.encode(t.decode("utf-8", "replace"), add_special_tokens=False).ids
                 out[i] = np.array(ids, dtype=self.dtype)
-            elif b"<|" not in t and _is_latin(t):
-                groups.setdefault("latin", []).append((i, t.lower().split()))
+            elif b"<|" not in t and (one := _latin(t)) is not None:
+                latin.append((i, one))
             else:
-                groups.setdefault("other", []).append((i, t.split()))  # bytes: the six ASCII blanks only
-        for name, members in groups.items():
-            cache = getattr(self, name)
-            get = cache.get
-            found = [(i, keys, list(map(get, keys))) for i, keys in members]
-            # a chunk without ids is empty, a chunk not seen is None: both are rare, so all() settles most texts
-            new = {k: None for _, keys, got in found if not all(got) for k, v in zip(keys, got) if v is None}
-            if new:
-                self._learn(cache, list(new))
-            for i, keys, got in found:
-                if not all(got):
-                    got = list(map(get, keys))
-                    if not all(got) and any(v is None for v in got):  # the cache was emptied meanwhile
-                        self._learn(cache, list({k: None for k, v in zip(keys, got) if v is None}))
-                        got = [v if v is not None else get(k) for k, v in zip(keys, got)]
-                out[i] = np.frombuffer(b"".join(got), dtype=self.dtype)
+                other.append((i, t))
+        if latin:
+            for (i, _), ids in zip(latin, self._cached(self.pieces, *self._pieces([t for _, t in latin]))):
+                out[i] = ids
+        if other:
+            for (i, _), ids in zip(other, self._cached(self.other, *cut_words(pa.array([t for _, t in other], pa.binary()), lower=False))):
+                out[i] = ids
         return out
 
 
-def _is_latin(t: bytes) -> bool:
+def _latin(t: bytes) -> bytes | None:
+    """A UTF-8 text as Latin-1, if it has no other characters."""
     if t.isascii():
-        return True
+        return t
     try:
-        t.decode("utf-8").encode("latin-1")
+        return t.decode("utf-8").encode("latin-1")
     except UnicodeError:
-        return False
-    return True
+        return None
 
 
 _ENCODERS: dict = {}
@@ -356,9 +381,9 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
 
         for b in batches:
             ids, texts = b.column(0).to_pylist(), b.column(1)
-            for lo in range(0, len(ids), 64):
-                group = [t or b"" for t in texts.slice(lo, 64).to_pylist()]
-                for doc, got in zip(ids[lo:lo + 64], encode(group)):
+            for lo, hi in cut_groups(texts):
+                group = [t or b"" for t in texts.slice(lo, hi - lo).to_pylist()]
+                for doc, got in zip(ids[lo:hi], encode(group)):
                     full = np.append(got, np.array([end_id], dtype=got.dtype))
                     put(packer.add((doc, len(full)), full))
             if out["doc_id"]:
