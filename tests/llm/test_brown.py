@@ -158,3 +158,28 @@ def test_words_without_a_number_are_placed(spark):
     assert {bytes(r.word): r.n for r in got} == {w: n for w, n in every.items() if w not in vocabulary}
     assert all((r.c >= 0) == (r.n >= brown.LEAST) for r in got) and len(got) == 390
     assert all(0 <= r.c < brown.CLASSES for r in got if r.n >= brown.LEAST)
+
+
+def test_large_vocabulary_is_numbered(spark):
+    """100,000 different words are all known by number, none is spelled and joined."""
+    rows = [(i, " ".join(f"w{k}" for k in range(i * 1000, i * 1000 + 1000))) for i in range(100)]
+    docs = frame(spark, rows).select(
+        F.col("doc_id").alias("id"), F.lit(False).alias("held_out"), F.col("text").cast("binary").alias("text"))
+    words = [w for w, _ in brown.frequent_words(brown.count_words(docs), brown.COUNT_WORDS)]
+    assert len(words) == 100_000
+    assert brown.numbered(docs, words).agg(F.sum(F.size("rare"))).first()[0] == 0
+
+
+def test_numbers_of_texts(spark):
+    """Numbers against words looked up one by one: cased, repeated, blank-led and other words, nulls, blank texts."""
+    import zstandard
+    texts = ["b A  c zz a. zz", None, "", " \n ", "\tq a q É\x1fx É\x1fx a!", "zz é zz", "B\x0cA a", "漢 a 漢. c 漢"]
+    docs = frame(spark, list(enumerate(texts))).select(
+        F.col("doc_id").alias("id"), F.lit(True).alias("held_out"), F.col("text").cast("binary").alias("text")).coalesce(1)
+    for r in brown.numbered(docs, [b"a", b"b"]).collect():
+        near, want = {}, []
+        for w in map(str.encode, words(texts[r.id])):
+            known = {b"a": 0, b"b": 1}.get(w)
+            want.append(known if known is not None else -1 - (near.setdefault(w, len(near)) * brown.FORMS + brown.form(w) - brown.CLASSES))
+        got = np.frombuffer(zstandard.ZstdDecompressor().decompress(r.ids), "<i4").tolist()
+        assert got == [*want, 2] and [bytes(w) for w in r.rare] == list(near)

@@ -36,18 +36,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tresoria.llm.common import cut_groups, cut_words
 from tresoria.session import materialize
 
 CLASSES = 64  # of words with LEAST occurrences
 FORMS = 16  # of all other words
 EDGE = CLASSES + FORMS  # the class of text ends, and of what stands before a text
 SIZE = EDGE + 1
-#: words that tasks know by number, and those of them that move pass after pass
-COUNT_WORDS = 65536
+#: words that tasks know by number, and those of them that move pass after pass; the first bounds
+#: a task's memory (a pass counts in 648 bytes a word) and no result depends on it
+COUNT_WORDS = 262144
 CLASS_WORDS = 8192
 #: training occurrences of a word from which on it is clustered
 LEAST = 10
@@ -66,10 +69,6 @@ SETTLED = 1024
 LAMBDA, ALPHA = 0.95, 0.05
 
 
-def words_of(text: bytes | None) -> list[bytes]:
-    return text.lower().split() if text else []  # bytes: A-Z and the six ASCII blanks only
-
-
 def form(word: bytes) -> int:
     """The form class of a word: four bands of length by four kinds of ending."""
     last = word[-1]
@@ -93,8 +92,9 @@ def count_words(docs: DataFrame) -> DataFrame:
                                               names=["word", "n"])
         c = Counter()
         for b in batches:
-            for t in b.column(0).to_pylist():
-                c.update(words_of(t))
+            for lo, hi in cut_groups(b.column(0)):
+                at, words, _ = cut_words(b.column(0).slice(lo, hi - lo))
+                c.update(dict(zip(words.to_pylist(), np.bincount(at, minlength=len(words)).tolist())))
                 if len(c) > FLUSH:
                     yield batch(c)
                     c = Counter()
@@ -119,24 +119,28 @@ def numbered(docs: DataFrame, words: list[bytes]) -> DataFrame:
         get, pack = sent.value.get, zstandard.ZstdCompressor(level=1).compress
         row = TaskContext.get().partitionId() << 33
         for b in batches:
-            for lo in range(0, b.num_rows, TOGETHER):
-                part = b.slice(lo, TOGETHER)
-                ids, rare, ends = [], [], [0]
-                for t in part.column(2).to_pylist():
-                    near: dict[bytes, int] = {}
-                    one = []
-                    for w in words_of(t):
-                        i = get(w)
-                        if i is None and (i := near.get(w)) is None:
-                            i = near[w] = -1 - (len(near) * FORMS + form(w) - CLASSES)
-                        one.append(i)
-                    one.append(end)
-                    ids.append(pack(np.array(one, dtype="<i4").tobytes()))
-                    rare += near
-                    ends.append(len(rare))
+            for lo, hi in cut_groups(b.column(2)):
+                part = b.slice(lo, hi - lo)
+                at, words, size = cut_words(part.column(2))
+                spelled = words.to_pylist()
+                number = np.array([get(w, -1) for w in spelled], dtype=np.int64)
+                forms = np.array([form(w) - CLASSES if i < 0 else 0 for w, i in zip(spelled, number.tolist())], dtype=np.int64)
+                one, text = number[at], np.repeat(np.arange(len(size)), size)
+                rare = np.flatnonzero(one < 0)
+                _, first, same = np.unique(text[rare] * len(words) + at[rare], return_index=True, return_inverse=True)
+                order = np.argsort(first)  # a text's other words by where they first stand
+                rank = np.empty_like(order)
+                rank[order] = np.arange(len(order))
+                new = rare[first[order]]
+                many = np.bincount(text[new], minlength=len(size))
+                ends = np.cumsum(many)
+                one[rare] = -1 - ((rank[same] - (ends - many)[text[rare]]) * FORMS + forms[at[rare]])
+                raw = np.insert(one, np.cumsum(size), end).astype("<i4").tobytes()
+                cuts = (np.concatenate(([0], np.cumsum(size + 1))) * 4).tolist()
+                ids = [pack(raw[a:z]) for a, z in zip(cuts, cuts[1:])]
+                spell = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), words.take(pa.array(at[new])))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(row, row + part.num_rows)), part.column(0), part.column(1), pa.array(ids, pa.binary()),
-                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(rare, pa.binary()))],
+                    [pa.array(np.arange(row, row + part.num_rows)), part.column(0), part.column(1), pa.array(ids, pa.binary()), spell],
                     names=["row", "id", "held_out", "ids", "rare"])
                 row += part.num_rows
 
@@ -160,7 +164,9 @@ def _rare_at(ids: np.ndarray, starts: np.ndarray, first: np.ndarray) -> tuple[np
 
 def _classes(ids: np.ndarray, of_index: np.ndarray) -> np.ndarray:
     """Classes by number, by form where there is none."""
-    return np.where(ids >= 0, of_index[np.maximum(ids, 0)], CLASSES + (-1 - ids) % FORMS)
+    cls, rare = of_index.take(ids, mode="clip"), np.flatnonzero(ids < 0)
+    cls[rare] = CLASSES + (-1 - ids[rare]) % FORMS
+    return cls
 
 
 def _before(cls: np.ndarray) -> np.ndarray:
@@ -312,8 +318,8 @@ def _decided(seen: DataFrame, first: int, classes: np.ndarray, bigrams: np.ndarr
 
     blocks = seen.filter(F.col("block") >= first // BLOCK).select("block", "cell", "data")
     out = classes.copy()
-    for r in blocks.groupBy("block").applyInArrow(run, "w long, c long").collect():  # as many as ``classes`` at most
-        out[r["w"]] = r["c"]
+    new = blocks.groupBy("block").applyInArrow(run, "w long, c long").toArrow()  # as many as ``classes`` at most
+    out[new["w"].to_numpy()] = new["c"].to_numpy()
     return out
 
 
@@ -346,18 +352,17 @@ def _other_words(texts: DataFrame, of_index: np.ndarray) -> DataFrame:
             for lo in range(0, b.num_rows, TOGETHER):
                 part = b.slice(lo, TOGETHER)
                 ids, starts = _numbers(part.column(0))
-                spelled = part.column(1).to_pylist()
-                size = np.array([len(x) for x in spelled], dtype=np.int64)
+                size = pc.list_value_length(part.column(1)).to_numpy().astype(np.int64)
                 at, which = _rare_at(ids, starts, np.cumsum(size) - size)
-                same: dict[bytes, int] = {}  # words that several of the texts hold are one row
-                one = np.array([same.setdefault(w, len(same)) for x in spelled for w in x], dtype=np.int64)
+                spelled = part.column(1).flatten().dictionary_encode()  # words that several of the texts hold are one row
+                one, same = spelled.indices.to_numpy().astype(np.int64), spelled.dictionary
                 cls = _classes(ids, of_index)
                 around = (_before(cls) * SIZE + np.append(cls[1:], EDGE))[at]
                 own = one[which] if len(at) else at
                 packed = around[np.argsort(own, kind="stable")].astype("<u2").tobytes()
                 ends = np.concatenate(([0], np.cumsum(np.bincount(own, minlength=len(same)) * 2))).astype(np.int32)
                 places = pa.Array.from_buffers(pa.binary(), len(same), [None, pa.py_buffer(ends), pa.py_buffer(packed)])
-                yield pa.RecordBatch.from_arrays([pa.array(list(same), pa.binary()), places], names=["word", "places"])
+                yield pa.RecordBatch.from_arrays([same, places], names=["word", "places"])
 
     return _train(texts).select("ids", "rare").mapInArrow(run, "word binary, places binary")
 
@@ -371,14 +376,13 @@ def _settle(others: DataFrame, bigrams: np.ndarray, words: int, least: int) -> D
         at_word: dict[bytes, int] = {}
         counts = np.zeros((SETTLED, 2, SIZE))
         for b in batches:
-            own = np.array([at_word.setdefault(w, len(at_word)) for w in b.column(0).to_pylist()], dtype=np.int64)
+            words = b.column(0).dictionary_encode()
+            own = np.array([at_word.setdefault(w, len(at_word)) for w in words.dictionary.to_pylist()], dtype=np.int64)
             while len(at_word) > len(counts):  # groups by hash are a little uneven
                 counts = np.concatenate((counts, np.zeros_like(counts)))
-            found = b.column(1).to_pylist()
-            at = np.repeat(own, [len(x) // 2 for x in found])
-            around = np.frombuffer(b"".join(found), "<u2").astype(np.int64)
-            np.add.at(counts, (at, 0, around // SIZE), 1)
-            np.add.at(counts, (at, 1, around % SIZE), 1)
+            at = np.repeat(own[words.indices.to_numpy()] * (2 * SIZE), pc.binary_length(b.column(1)).to_numpy() // 2)
+            around = np.frombuffer(b"".join(b.column(1).to_pylist()), "<u2").astype(np.int64)
+            np.add.at(counts.reshape(-1), np.concatenate((at + around // SIZE, at + SIZE + around % SIZE)), 1)
         counts = counts[:len(at_word)]
         n = counts[:, 0].sum(axis=1).astype(np.int64)
         often, cls = np.flatnonzero(n >= least), np.full(len(n), -1, dtype=np.int64)
@@ -412,7 +416,7 @@ def _known(batches, of_index: np.ndarray, of_count: np.ndarray | None = None):
         for lo in range(0, b.num_rows, TOGETHER):
             part = b.slice(lo, TOGETHER)
             ids, starts = _numbers(part.column(2))
-            size = np.array([len(x) if x else 0 for x in part.column(3).to_pylist()], dtype=np.int64)
+            size = pc.fill_null(pc.list_value_length(part.column(3)), 0).to_numpy().astype(np.int64)
             at, which = _rare_at(ids, starts, np.cumsum(size) - size)
             cls = _classes(ids, of_index)
             c = part.column(4).flatten().to_numpy(zero_copy_only=False).astype(np.int64)[which]
@@ -558,5 +562,5 @@ def frequent_words(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
             break
         taken += r["words"]
         keep = F.lit(True) if r is bands[-1] else band >= r["b"]
-    rows = counts.filter(keep).select("word", "n").collect()
-    return sorted(((bytes(r["word"]), r["n"]) for r in rows), key=lambda x: (-x[1], x[0]))
+    rows = counts.filter(keep).select("word", "n").toArrow()
+    return sorted(zip(rows["word"].to_pylist(), rows["n"].to_pylist()), key=lambda x: (-x[1], x[0]))

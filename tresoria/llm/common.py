@@ -52,13 +52,14 @@ def cut_words(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, pa.Array
     one = pa.Array.from_buffers(pa.string(), len(one), one.buffers(), offset=one.offset)  # not checked: any bytes
     lists = pc.ascii_split_whitespace(pc.ascii_lower(one) if lower else one)
     found = lists.flatten().cast(pa.binary()).dictionary_encode()
-    at, size = found.indices.to_numpy(), pc.list_value_length(lists).to_numpy().astype(np.int64)
-    none = pc.index(found.dictionary, pa.scalar(b"", pa.binary())).as_py()
+    at, words, size = found.indices.to_numpy(), found.dictionary, pc.list_value_length(lists).to_numpy().astype(np.int64)
+    none = pc.index(words, pa.scalar(b"", pa.binary())).as_py()
     if none >= 0:  # a blank at an end of a text leaves an empty word there
         there = at != none
         size = np.diff(np.concatenate(([0], np.cumsum(there)))[np.concatenate(([0], np.cumsum(size)))])
         at = at[there]
-    return at, found.dictionary, size
+        at, words = at - (at > none), words.filter(pc.not_equal(words, pa.scalar(b"", pa.binary())))
+    return at, words, size
 
 
 def matches(text: Column, pattern: str, maybe: Column | None = None) -> Column:
